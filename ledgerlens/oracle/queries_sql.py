@@ -17,9 +17,10 @@ SELECT source_file, rows, collection_date_min, collection_date_max, collection_m
     q["settled_rows"] = sql("""
 SELECT COUNT(*) AS rows_total, CAST(SUM(CASE WHEN gm_c IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS rows_unsettled,
        CAST(SUM(CASE WHEN gm_c IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS rows_settled FROM bookings""")
-    from . import coupons_sql, segments_sql
+    from . import coupons_sql, segments_sql, trends_sql
     q.update(coupons_sql.queries())
     q.update(segments_sql.queries())
+    q.update(trends_sql.queries())
     try:
         from . import more_sql
         q.update(more_sql.queries())
