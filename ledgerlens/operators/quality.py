@@ -50,12 +50,11 @@ def waterfall_reconcile(waterfall: DataFrame) -> DataFrame:
 def rollup_totals_agree(totals: DataFrame, reference_name: str = "weekly_waterfall") -> DataFrame:
     """Compare each rollup's total GM with the waterfall's; tolerance max(1, 1e-6 * total)
     (in currency units, i.e. 100 cents)."""
-    ref = totals.filter(F.col("rollup") == reference_name).select(F.col("gm_total").alias("_ref"))
-    tol = F.greatest(F.lit(100.0), F.abs(F.col("_ref")) * F.lit(1e-6))
-    return (totals.crossJoin(F.broadcast(ref))  # ref is exactly one row
-            .select("rollup", "gm_total", F.col("_ref").alias("waterfall_gm_total"),
-                    (F.col("gm_total") - F.col("_ref")).alias("diff_c"),
-                    (F.abs(F.col("gm_total") - F.col("_ref")) < tol).alias("agrees")))
+    ref = totals.filter(F.col("rollup") == reference_name).select(F.max("gm_total")).scalar()
+    tol = F.greatest(F.lit(100.0), F.abs(ref) * F.lit(1e-6))
+    return totals.select("rollup", "gm_total", ref.alias("waterfall_gm_total"),
+                         (F.col("gm_total") - ref).alias("diff_c"),
+                         (F.abs(F.col("gm_total") - ref) < tol).alias("agrees"))
 
 
 def null_margin_guard(clean: DataFrame) -> DataFrame:

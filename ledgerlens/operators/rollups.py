@@ -145,14 +145,13 @@ def weekly_segment(settled: DataFrame) -> DataFrame:
 def stack_distribution(settled: DataFrame) -> DataFrame:
     """Discount kinds over complete weeks: share of bookings and gm_pct.
 
-    The grand total is a one-row aggregate cross-joined back (broadcast of one row)."""
+    The grand total is a scalar subquery over the (four-row) aggregate."""
     full = PR.complete_weeks(settled).withColumn("n_disc_types", X.stack_bucket("n_disc"))
     g = full.groupBy("n_disc_types").agg(F.count(F.lit(1)).alias("bookings"), X.sum0("net_c").alias("net_sum"),
                                          X.sum0("gm_c").alias("gm_sum"))
-    tot = g.agg(F.sum("bookings").alias("_tot"))
-    return (g.crossJoin(F.broadcast(tot))
-            .withColumn("share_pct", X.ratio_pct("bookings", "_tot"))
-            .withColumn("gm_pct", X.ratio_pct("gm_sum", "net_sum")).drop("_tot"))
+    tot = g.select(F.sum("bookings")).scalar()
+    return (g.withColumn("share_pct", X.ratio_pct("bookings", tot))
+            .withColumn("gm_pct", X.ratio_pct("gm_sum", "net_sum")))
 
 
 def negative_margin_tail(settled: DataFrame) -> DataFrame:

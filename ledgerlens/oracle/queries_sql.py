@@ -17,7 +17,8 @@ SELECT source_file, rows, collection_date_min, collection_date_max, collection_m
     q["settled_rows"] = sql("""
 SELECT COUNT(*) AS rows_total, CAST(SUM(CASE WHEN gm_c IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS rows_unsettled,
        CAST(SUM(CASE WHEN gm_c IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS rows_settled FROM bookings""")
-    from . import coupons_sql, pricing_sql, segments_sql, trends_sql
+    from . import coupons_sql, pricing_sql, quality_sql, segments_sql, trends_sql
+    q.update(quality_sql.queries())
     q.update(pricing_sql.queries())
     q.update(coupons_sql.queries())
     q.update(segments_sql.queries())

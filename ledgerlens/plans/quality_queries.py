@@ -1 +1,196 @@
-"""Registrations for quality keys."""
+"""Registrations for data-quality keys and for the expression-level operators.
+
+An expression operator (a filter or derived column) is checked through a small aggregate
+of its output over the whole fact, which exercises every row without shipping it.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .. import params as P
+from ..functions import exprs as X
+from ..operators import prepare as PR
+from ..operators import quality as Q
+from ..operators import rollups as R
+from ..sources.tables import read_table
+from .context import context
+from .registry import register
+
+
+def _c(spark, sf):
+    return context(spark, sf)
+
+
+def _count() -> F.Column:
+    return F.count(F.lit(1)).alias("rows")
+
+
+# -- expression operators -----------------------------------------------------------------
+
+def q_clean_window(s, d):
+    ctx = _c(s, d)
+    cut = PR.clean_window(ctx.bookings, *ctx.window)
+    return cut.groupBy(F.trunc("booking_date", "MM").alias("booking_month")).agg(
+        _count(), F.min("booking_date").alias("first_day"), F.max("booking_date").alias("last_day"))
+
+
+def q_repair_cost(s, d):
+    fixed = PR.repair_cost(_c(s, d).bookings)
+    return fixed.agg(
+        _count(), X.count_when(F.col("cost_repaired")).alias("rows_repaired"),
+        X.count_when(F.col("cpt_fixed_c").isNull()).alias("rows_unrepairable"),
+        X.sum0("cpt_fixed_c").alias("cost_fixed_sum"),
+        X.count_when(F.col("cpt_fixed_c") != F.col("cpt_c")).alias("mismatches"))
+
+
+def q_week_start(s, d):
+    wk = PR.with_week(_c(s, d).bookings.drop("week_start"))
+    return wk.groupBy("week_start").agg(_count(), F.min("booking_date").alias("first_day"),
+                                        F.max("booking_date").alias("last_day"))
+
+
+def q_discount_kinds(s, d):
+    k = PR.discount_kinds(_c(s, d).bookings, nonzero_rule=True)
+    return k.groupBy("n_disc_types", "n_disc_bucket").agg(_count())
+
+
+def q_has_coupon(s, d):
+    return (_c(s, d).bookings.groupBy(X.has_coupon().alias("has_coupon"))
+            .agg(_count(), X.sum0("coupon_c").alias("coupon_sum")))
+
+
+def q_depth_tier(s, d):
+    return _c(s, d).settled.groupBy(X.depth_tier("n_disc").alias("depth_tier")).agg(_count())
+
+
+def q_bucket_top_n(s, d):
+    b = _c(s, d).bucketed()
+    parts = [b.groupBy(F.lit(name).alias("dimension"), F.col(col).alias("bucket")).agg(_count())
+             for name, col in (("package", "package_bucket"), ("city", "city_bucket"), ("coupon", "coupon_bucket"))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def q_bucket_min_count(s, d):
+    c = _c(s, d).clean
+    return (PR.bucket_min_count(c, "package_code", P.MIN_PACKAGE_ROWS, "package_bucket")
+            .groupBy("package_bucket").agg(_count()))
+
+
+def q_combo_flag(s, d):
+    return _c(s, d).bookings.groupBy(X.is_combo().alias("is_combo")).agg(_count())
+
+
+def q_before_clean_start_cut(s, d):
+    ctx = _c(s, d)
+    cut = PR.from_clean_start(ctx.settled, *ctx.window)
+    return cut.groupBy("is_partial").agg(_count(), F.min("booking_date").alias("first_day"),
+                                         F.max("booking_date").alias("last_day"))
+
+
+def q_net_and_margin(s, d):
+    nm = PR.net_and_margin(_c(s, d).bookings)
+    return nm.agg(_count(), X.count_when(F.col("net_calc_c") != F.col("net_c")).alias("net_mismatch"),
+                  X.count_when(F.col("gm_calc_c") != F.col("gm_c")).alias("gm_mismatch"),
+                  X.count_when(F.col("is_negative_gm")).alias("negative_gm"),
+                  X.count_when(F.col("is_3plus")).alias("stacked_3plus"))
+
+
+def q_complete_weeks(s, d):
+    return PR.complete_weeks(_c(s, d).settled).select("week_start").distinct()
+
+
+def q_suppress_small_n(s, d):
+    st = R.weekly_stack(_c(s, d).settled).select("week_start", "n_disc_types", "tier", "bookings", "gm_pct")
+    return PR.suppress_small_n(st, "bookings", "gm_pct")
+
+
+def q_bookings_scope(s, d):
+    c = _c(s, d).clean
+    scopes = {"all": F.lit(True), "vip_gold": F.col("customer_category") == "vip gold",
+              "sales": F.col("booked_by") == "Sales", "coupon": X.has_coupon()}
+    parts = [c.filter(pred).agg(F.lit(name).alias("scope"), _count(), X.sum0("gm_c").alias("gm_sum"))
+             for name, pred in scopes.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def q_currency_view(s, d):
+    wf = R.weekly_waterfall(_c(s, d).clean).select("week_start", "offer_sum", "net_sum", "gm_sum")
+    return PR.currency_view(wf, ["offer_sum", "net_sum", "gm_sum"], P.FX_RATE)
+
+
+# -- quality -------------------------------------------------------------------------------
+
+def q_waterfall_reconcile(s, d):
+    return Q.waterfall_reconcile(R.weekly_waterfall(_c(s, d).clean))
+
+
+def rollup_totals(settled: DataFrame) -> DataFrame:
+    """Total complete-week GM of each published weekly rollup."""
+    tables = {"weekly_waterfall": R.rollup(settled, ["week_start", "is_partial"]),
+              "weekly_stack": R.weekly_stack(settled), "weekly_coupon": R.weekly_coupon(settled),
+              "weekly_segment": R.weekly_segment(settled), "weekly_market_sku": R.weekly_market_sku(settled)}
+    parts = [t.filter(~F.col("is_partial")).agg(F.lit(name).alias("rollup"),
+                                                X.sum0("gm_sum").alias("gm_total"))
+             for name, t in tables.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def q_rollup_totals_agree(s, d):
+    return Q.rollup_totals_agree(rollup_totals(_c(s, d).settled))
+
+
+def q_null_margin_guard(s, d):
+    return Q.null_margin_guard(_c(s, d).clean)
+
+
+def banned_hashes(spark) -> DataFrame:
+    words = spark.createDataFrame([(w,) for w in P.BANNED_WORDS], T.StructType([T.StructField("word", T.StringType())]))
+    return words.select(F.sha2(F.lower("word"), 256).alias("token_hash"))
+
+
+def q_banned_tokens(s, d):
+    docs = read_table(s, d, "documents", ["doc_id", "text"])
+    return Q.banned_tokens(docs, banned_hashes(s), pattern=P.TOKEN_PATTERN)
+
+
+def q_duplicate_ids(s, d):
+    return PR.duplicate_ids(_c(s, d).bookings)
+
+
+def q_extract_disjoint(s, d):
+    return PR.extract_overlap(_c(s, d).bookings)
+
+
+def q_union_extracts(s, d):
+    """Three extracts cut by collection year (one lacks the zone column), unioned by name."""
+    b = _c(s, d).bookings
+    y = F.year("collection_date")
+    e1 = b.filter(y < 1997).withColumn("extract", F.lit("early"))
+    e2 = b.filter(y.between(1997, 1999)).withColumn("extract", F.lit("middle")).drop("zone")
+    e3 = b.filter(y >= 2000).withColumn("extract", F.lit("late"))
+    u = PR.union_extracts([e1, e2, e3])
+    return u.groupBy("extract").agg(_count(), X.count_when(F.col("zone").isNull()).alias("rows_missing_zone"),
+                                    X.sum0("gm_c").alias("gm_sum"))
+
+
+for _key, _fn in {
+    "clean_window": q_clean_window, "repair_cost": q_repair_cost, "week_start": q_week_start,
+    "discount_kinds": q_discount_kinds, "has_coupon": q_has_coupon, "coupon_depth_tier": q_depth_tier,
+    "bucket_top_n": q_bucket_top_n, "bucket_min_count": q_bucket_min_count, "combo_flag": q_combo_flag,
+    "before_clean_start_cut": q_before_clean_start_cut, "net_and_margin": q_net_and_margin,
+    "complete_weeks": q_complete_weeks, "suppress_small_n": q_suppress_small_n, "bookings_scope": q_bookings_scope,
+    "currency_view": q_currency_view, "waterfall_reconcile": q_waterfall_reconcile,
+    "rollup_totals_agree": q_rollup_totals_agree, "null_margin_guard": q_null_margin_guard,
+    "banned_tokens": q_banned_tokens, "duplicate_ids": q_duplicate_ids, "extract_disjoint": q_extract_disjoint,
+    "union_extracts": q_union_extracts,
+}.items():
+    register(_key)(_fn)
