@@ -76,9 +76,17 @@ def cap_total_discount(df: DataFrame, parts=("special_c", "vip_c", "coupon_c", "
     """If the discounts exceed ``cap`` of the offer, scale all of them proportionally."""
     tot = sum(F.coalesce(F.col(p), F.lit(0)) for p in parts)
     scale = F.least(F.lit(1.0), F.lit(cap) * F.col(offer) / F.greatest(tot.cast("double"), F.lit(1e-9)))
-    out = df
+    out = df.withColumn("_scale", scale)          # one scale for all parts, computed before rescaling
     for p in parts:
-        out = out.withColumn(p, F.col(p) * scale)
+        out = out.withColumn(p, F.col(p) * F.col("_scale"))
+    return out.drop("_scale")
+
+
+def nan_to_null(df: DataFrame, cols: list[str]) -> DataFrame:
+    """NaN -> NULL at ingest: in Spark ``NaN > 15`` is true, in pandas it is false (C17)."""
+    out = df
+    for c in cols:
+        out = out.withColumn(c, F.when(~F.isnan(F.col(c)), F.col(c)))
     return out
 
 

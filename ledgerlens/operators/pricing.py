@@ -158,7 +158,18 @@ def did_elasticity(settled: DataFrame, events_m: DataFrame, promos: DataFrame,
                    weeks: int = P.DID_WINDOW_WEEKS, z: float = P.Z90) -> DataFrame:
     """Difference-in-differences elasticity with a 90 % CI, one row per executed event x
     treated market; null when any window total is 0."""
-    t = _arm_totals(weekly_panel(settled), events_m, weeks)
+    return did_from_panel(weekly_panel(settled), events_m, promos, weeks, z)
+
+
+def did_from_panel(panel: DataFrame, events_m: DataFrame, promos: DataFrame,
+                   weeks: int = P.DID_WINDOW_WEEKS, z: float = P.Z90) -> DataFrame:
+    """DiD on a complete-week panel (week_start, market, sku, bookings).
+
+    e = [ln(Tpost/Tpre) - ln(Cpost/Cpre)] / ln(1+p) on window totals of the treated and
+    control cells; SE = sqrt(1/Tpre + 1/Tpost + 1/Cpre + 1/Cpost) / |ln(1+p)|; CI = e +- z SE.
+    Flags: ``confounded`` (market promo on the treated market in the post window) and
+    ``contaminated`` (control market treated or pushed inside the window)."""
+    t = _arm_totals(panel, events_m, weeks)
     ev = F.broadcast(_executed(events_m).select("event_id", "market", "pct_change", "control_market"))
     j = (t.join(ev, ["event_id", "market"])
          .join(confounder_overlap(events_m, promos, weeks), ["event_id", "market"])
@@ -337,3 +348,18 @@ def coupon_health(clean: DataFrame, healthy: float = 0.66, watch: float = 0.33)
     out = m.withColumn("health_score", _round6(score))
     return out.withColumn("health", F.when(F.col("health_score") >= healthy, F.lit("healthy"))
                           .when(F.col("health_score") >= watch, F.lit("watch")).otherwise(F.lit("at risk")))
+
+
+def elastic_multiplier(cells: DataFrame, events_m: DataFrame, elasticity_col: str = "true_elasticity") -> DataFrame:
+    """Price and volume multipliers of each (week_start, market, sku) cell from the executed
+    events active in it (change week <= week): price = prod(1+p), volume = prod((1+p)^e).
+    Products are taken as exp(sum(ln)) in one aggregate; cells without events get 1."""
+    ev = F.broadcast(_executed(events_m).select(
+        F.col("sku").alias("e_sku"), F.col("market").alias("e_market"), "change_week",
+        (F.lit(1.0) + F.col("pct_change") / F.lit(100.0)).alias("_g"), F.col(elasticity_col).alias("_e")))
+    keys = ["week_start", "market", "sku"]
+    j = cells.select(*keys).join(ev, (F.col("sku") == F.col("e_sku")) & (F.col("market") == F.col("e_market"))
+                                 & (F.col("change_week") <= F.col("week_start")), "left")
+    return j.groupBy(*keys).agg(
+        F.coalesce(F.exp(F.sum(F.log("_g"))), F.lit(1.0)).alias("price_mult"),
+        F.coalesce(F.exp(F.sum(F.col("_e") * F.log("_g"))), F.lit(1.0)).alias("volume_mult"))
