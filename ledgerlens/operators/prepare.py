@@ -106,7 +106,13 @@ def bucket_top_n(target: DataFrame, ranking: DataFrame, key: str, n: int, out: s
     """Replace values outside the top-n (learned on ``ranking``) by OTHER.
 
     ``null_label`` labels missing keys (the intended NONE bucket for coupons, C7)."""
-    top = top_values(ranking, key, n).select(F.col(key).alias("_top_key"))
+    return bucket_by_top(target, top_values(ranking, key, n), key, out, null_label)
+
+
+def bucket_by_top(target: DataFrame, top: DataFrame, key: str, out: str,
+                  null_label: str | None = None) -> DataFrame:
+    """``bucket_top_n`` with an already learned top list (at most N rows, broadcast)."""
+    top = top.select(F.col(key).alias("_top_key"))
     joined = target.join(F.broadcast(top), target[key] == top["_top_key"], "left")
     label = F.coalesce(F.col("_top_key"), F.lit(P.OTHER))
     if null_label is not None:

@@ -29,6 +29,7 @@ class Context:
         self.spark = spark
         self.sf_dir = sf_dir
         self._window = window or P.WindowParams()
+        self._tops: dict = {}
 
     @property
     def bookings(self) -> DataFrame:
@@ -53,13 +54,22 @@ class Context:
         start, end = self.window
         return PR.clean_window(self.settled, start, end)
 
+    def top(self, key: str, n: int) -> DataFrame:
+        """Top-n values of ``key`` on the clean window, learned once per context and cached
+        (at most n rows; recomputed from lineage if an executor holding it is lost)."""
+        k = (key, n)
+        with _LOCK:
+            if k not in self._tops:
+                self._tops[k] = PR.top_values(self.clean, key, n).cache()
+            return self._tops[k]
+
     def bucketed(self) -> DataFrame:
         """Clean rows with every long-tail bucket the rollups use (top-N learned on clean)."""
-        c = self.clean
-        out = PR.bucket_top_n(c, c, "package_code", P.TOP_N["package15"], "package_bucket")
-        out = PR.bucket_top_n(out, c, "city", P.TOP_N["city6"], "city_bucket")
-        out = PR.bucket_top_n(out, c, "coupon_code", P.TOP_N["coupon30"], "coupon_bucket",
-                              null_label=P.NONE_COUPON)
+        out = PR.bucket_by_top(self.clean, self.top("package_code", P.TOP_N["package15"]), "package_code",
+                               "package_bucket")
+        out = PR.bucket_by_top(out, self.top("city", P.TOP_N["city6"]), "city", "city_bucket")
+        out = PR.bucket_by_top(out, self.top("coupon_code", P.TOP_N["coupon30"]), "coupon_code", "coupon_bucket",
+                               null_label=P.NONE_COUPON)
         return out
 
 

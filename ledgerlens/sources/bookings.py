@@ -57,7 +57,17 @@ def sized_side(df: DataFrame, rows: int, max_rows: int = BROADCAST_MAX_ROWS) ->
     return F.broadcast(df) if rows <= max_rows else df.hint("merge")
 
 
-def _customer_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def table_rows(spark: SparkSession, sf_dir: str, keys: dict[str, str]) -> dict[str, int]:
+    """Row counts of several tables in one job (key column only; the result has one row
+    per table)."""
+    parts = [read_table(spark, sf_dir, t, [c]).select(F.lit(t).alias("t")) for t, c in keys.items()]
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    return {r["t"]: r["n"] for r in u.groupBy("t").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
+def _customer_orders(spark: SparkSession, sf_dir: str, n_customers: int | None = None) -> DataFrame:
     orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"])
     customer = read_table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey", "c_mktsegment"])
     nation = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name", "n_regionkey"])
@@ -71,7 +81,7 @@ def _customer_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     geo = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey).select(
         "n_nationkey", "n_name", "r_name")
-    customer = sized_side(customer, customer.count())
+    customer = sized_side(customer, customer.count() if n_customers is None else n_customers)
     return (orders
             .join(customer, orders.o_custkey == customer.c_custkey)
             .join(F.broadcast(geo), F.col("c_nationkey") == geo.n_nationkey)
@@ -86,15 +96,20 @@ def build_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
         "l_discount", "l_tax", "l_returnflag", "l_linestatus"])
     part = read_table(spark, sf_dir, "part", ["p_partkey", "p_type", "p_retailprice"])
-    n_orders = read_table(spark, sf_dir, "orders", ["o_orderkey"]).count()
-    orders = sized_side(_customer_orders(spark, sf_dir), n_orders)
-    part = sized_side(part, part.count())
-
-    # The line-item fact is never broadcast; each dimension side is size-checked. The fact is
-    # hash-partitioned on the order key up front: a sort-merge join with orders needs exactly
-    # this exchange (so it is reused, not repeated), and when orders is broadcast it spreads
-    # the projection work over all cores even if the files hold few row groups.
-    line = line.repartition("l_orderkey")
+    rows = table_rows(spark, sf_dir, {"orders": "o_orderkey", "customer": "c_custkey", "part": "p_partkey"})
+    n_orders = rows.get("orders", 0)
+    orders = sized_side(_customer_orders(spark, sf_dir, rows.get("customer", 0)), n_orders)
+    part = sized_side(part, rows.get("part", 0))
+
+    # The line-item fact is never broadcast; each dimension side is size-checked.
+    # * orders broadcast (so the fact is at most a few million rows): the fact is spread over
+    #   2 x cores partitions by a per-row id (uniform; no pre-sort as a round-robin shuffle
+    #   needs), so the wide projection uses every core even when the files hold few row
+    #   groups; no business key is involved, so a hot order key cannot pile up in one task.
+    # * orders too big: the sort-merge join's own exchange on the order key is the only
+    #   shuffle of the fact, and AQE's skew-join handling splits a hot key.
+    if n_orders <= BROADCAST_MAX_ROWS:
+        line = line.repartition(2 * spark.sparkContext.defaultParallelism, F.monotonically_increasing_id())
     j = (line.join(orders, line.l_orderkey == orders.o_orderkey)
          .join(part, line.l_partkey == part.p_partkey))
 
