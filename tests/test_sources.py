@@ -60,3 +60,11 @@ def test_write_tables_and_persist(spark, tmp_out, sf_small):
     pruned = spark.read.parquet(out).filter(F.col("booking_month") == "1996-01")
     assert pruned.count() > 0
     assert "PartitionFilters" in pruned._jdf.queryExecution().executedPlan().toString()
+
+
+def test_refresh_writes_ten_tables(spark, sf_small, tmp_out):
+    from ledgerlens.plans.refresh import model_tables, refresh_rollups
+    paths = refresh_rollups(spark, sf_small, tmp_out)
+    assert len(paths) == 10
+    assert spark.read.parquet(paths["weekly_waterfall"]).count() > 0
+    assert set(model_tables(spark, sf_small)) >= {"campaign_scorecard", "stacking_risk"}
