@@ -1,18 +1,55 @@
-"""Readers for the driver tables (one parquet file per table)."""
+"""Readers for the driver tables (one parquet file per table).
+
+Schemas are declared (no inference job per read); names and physical types match the
+files. ``columns`` prunes the read, so ``ReadSchema`` holds only those columns.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
 
+_I, _L, _D, _S, _TS = T.IntegerType(), T.LongType(), T.DoubleType(), T.StringType(), T.TimestampNTZType()
+
+
+def _schema(*cols) -> T.StructType:
+    return T.StructType([T.StructField(n, t, True) for n, t in cols])
+
+
+SCHEMAS = {
+    "region": _schema(("r_regionkey", _I), ("r_name", _S)),
+    "nation": _schema(("n_nationkey", _I), ("n_name", _S), ("n_regionkey", _I)),
+    "customer": _schema(("c_custkey", _L), ("c_name", _S), ("c_nationkey", _I), ("c_acctbal", _D),
+                        ("c_mktsegment", _S)),
+    "supplier": _schema(("s_suppkey", _L), ("s_name", _S), ("s_nationkey", _I), ("s_acctbal", _D)),
+    "part": _schema(("p_partkey", _L), ("p_name", _S), ("p_brand", _S), ("p_type", _S), ("p_size", _I),
+                    ("p_retailprice", _D)),
+    "orders": _schema(("o_orderkey", _L), ("o_custkey", _L), ("o_orderstatus", _S), ("o_totalprice", _D),
+                      ("o_orderdate", _TS), ("o_orderpriority", _S)),
+    "lineitem": _schema(("l_orderkey", _L), ("l_partkey", _L), ("l_suppkey", _L), ("l_linenumber", _I),
+                        ("l_quantity", _D), ("l_extendedprice", _D), ("l_discount", _D), ("l_tax", _D),
+                        ("l_returnflag", _S), ("l_linestatus", _S), ("l_shipdate", _TS)),
+    "events": _schema(("event_id", _L), ("ts", _TS), ("user_id", _L), ("event_type", _S), ("value", _D),
+                      ("props", _S)),
+    "documents": _schema(("doc_id", _L), ("text", _S), ("lang", _S), ("source", _S), ("n_chars", _L)),
+    "pages": _schema(("page_id", _L), ("url", _S), ("html", _S)),
+    "benchmark": _schema(("item_id", _L), ("text", _S)),
+    "labels": _schema(("doc_id", _L), ("quality", _I), ("toxic", _I)),
+    "conversations": _schema(("conv_id", _L), ("turn", _L), ("role", _S), ("text", _S)),
+}
+
 
 def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
-    """Scan one table; ``columns`` prunes the Parquet read (ReadSchema holds only those)."""
-    df = spark.read.parquet(table_path(sf_dir, name))
+    """Scan one table with its declared schema; ``columns`` prunes the Parquet read."""
+    reader = spark.read
+    if name in SCHEMAS:
+        reader = reader.schema(SCHEMAS[name])
+    df = reader.parquet(table_path(sf_dir, name))
     return df.select(*columns) if columns else df
