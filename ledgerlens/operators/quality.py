@@ -75,7 +75,9 @@ def banned_tokens(docs: DataFrame, banned_hashes: DataFrame, text_col: str = "te
     JVM-side; the (small) banned list is joined as a left-semi join."""
     toks = docs.select(id_col, F.explode(F.regexp_extract_all(F.col(text_col), F.lit(f"({pattern})"), 1))
                        .alias("token"))
-    hashed = toks.withColumn("token_hash", F.sha2(F.lower("token"), 256))
+    # sha2 is nullable in Catalyst, so the join would get an inferred isnotnull(sha2(...))
+    # filter below the projection and hash every token twice; a non-nullable key avoids it.
+    hashed = toks.withColumn("token_hash", F.coalesce(F.sha2(F.lower("token"), 256), F.lit("")))
     hits = hashed.join(F.broadcast(banned_hashes.select("token_hash")), "token_hash", "left_semi")
     return hits.groupBy(id_col).agg(F.count(F.lit(1)).alias("hits"),
                                     F.countDistinct("token_hash").alias("distinct_tokens"))

@@ -63,13 +63,20 @@ class Context:
                 self._tops[k] = PR.top_values(self.clean, key, n).cache()
             return self._tops[k]
 
-    def bucketed(self) -> DataFrame:
-        """Clean rows with every long-tail bucket the rollups use (top-N learned on clean)."""
-        out = PR.bucket_by_top(self.clean, self.top("package_code", P.TOP_N["package15"]), "package_code",
-                               "package_bucket")
-        out = PR.bucket_by_top(out, self.top("city", P.TOP_N["city6"]), "city", "city_bucket")
-        out = PR.bucket_by_top(out, self.top("coupon_code", P.TOP_N["coupon30"]), "coupon_code", "coupon_bucket",
-                               null_label=P.NONE_COUPON)
+    def bucketed(self, *which: str) -> DataFrame:
+        """Clean rows with the long-tail buckets the caller uses (``package``, ``city``,
+        ``coupon``; all three by default), top-N learned on the clean window. Only the
+        requested (broadcast) bucket joins are planned."""
+        which = which or ("package", "city", "coupon")
+        out = self.clean
+        if "package" in which:
+            out = PR.bucket_by_top(out, self.top("package_code", P.TOP_N["package15"]), "package_code",
+                                   "package_bucket")
+        if "city" in which:
+            out = PR.bucket_by_top(out, self.top("city", P.TOP_N["city6"]), "city", "city_bucket")
+        if "coupon" in which:
+            out = PR.bucket_by_top(out, self.top("coupon_code", P.TOP_N["coupon30"]), "coupon_code",
+                                   "coupon_bucket", null_label=P.NONE_COUPON)
         return out
 
 

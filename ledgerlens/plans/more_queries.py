@@ -34,7 +34,7 @@ register("depth_curve")(lambda s, d: C.depth_curve(_c(s, d).clean, D.depth_tiers
 register("rule_rows")(lambda s, d: C.rule_rows(_c(s, d).clean, _rules(s)))
 register("mov_compliance")(lambda s, d: C.mov_compliance(_c(s, d).clean, _rules(s)))
 register("upper_limit_breach")(lambda s, d: C.upper_limit_breach(_c(s, d).clean, _rules(s)))
-register("mov_weekly")(lambda s, d: C.mov_weekly(_c(s, d).bucketed(), _rules(s)))
+register("mov_weekly")(lambda s, d: C.mov_weekly(_c(s, d).bucketed("coupon"), _rules(s)))
 register("addfamily_weekly")(lambda s, d: C.addfamily_weekly(_c(s, d).clean))
 register("unknown_codes")(lambda s, d: C.unknown_codes(_c(s, d).clean, _rules(s)))
 register("coupon_age")(lambda s, d: C.coupon_age(_c(s, d).clean, _rules(s)))

@@ -23,13 +23,13 @@ from .context import context
 
 def rollup_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     ctx = context(spark, sf_dir)
-    b, clean, settled = ctx.bucketed(), ctx.clean, ctx.settled
+    clean, settled = ctx.clean, ctx.settled
     return {
-        "booking_weekly": R.booking_weekly(b),
-        "coupon_weekly": R.coupon_weekly(b),
+        "booking_weekly": R.booking_weekly(ctx.bucketed("package", "city")),
+        "coupon_weekly": R.coupon_weekly(ctx.bucketed("coupon")),
         "package_info": R.package_info(clean),
-        "segment_weekly": R.segment_weekly(b),
-        "channel_weekly": R.channel_weekly(b),
+        "segment_weekly": R.segment_weekly(ctx.bucketed("city")),
+        "channel_weekly": R.channel_weekly(ctx.bucketed("city")),
         "stacking_weekly": R.stacking_weekly(clean),
         "geo_weekly": R.geo_weekly(clean),
         "daily_trend": R.daily_trend(settled, clean, *ctx.window),

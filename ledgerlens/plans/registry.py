@@ -37,11 +37,11 @@ def _c(spark, sf):
 
 
 # -- rollups ----------------------------------------------------------------------------
-register("booking_weekly")(lambda s, d: R.booking_weekly(_c(s, d).bucketed()))
-register("coupon_weekly")(lambda s, d: R.coupon_weekly(_c(s, d).bucketed()))
+register("booking_weekly")(lambda s, d: R.booking_weekly(_c(s, d).bucketed("package", "city")))
+register("coupon_weekly")(lambda s, d: R.coupon_weekly(_c(s, d).bucketed("coupon")))
 register("package_info")(lambda s, d: R.package_info(_c(s, d).clean))
-register("segment_weekly")(lambda s, d: R.segment_weekly(_c(s, d).bucketed()))
-register("channel_weekly")(lambda s, d: R.channel_weekly(_c(s, d).bucketed()))
+register("segment_weekly")(lambda s, d: R.segment_weekly(_c(s, d).bucketed("city")))
+register("channel_weekly")(lambda s, d: R.channel_weekly(_c(s, d).bucketed("city")))
 register("stacking_weekly")(lambda s, d: R.stacking_weekly(_c(s, d).clean))
 register("geo_weekly")(lambda s, d: R.geo_weekly(_c(s, d).clean))
 register("daily_trend")(lambda s, d: R.daily_trend(_c(s, d).settled, _c(s, d).clean, *_c(s, d).window))
