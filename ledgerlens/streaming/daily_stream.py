@@ -34,9 +34,12 @@ def daily_stream(spark: SparkSession, input_glob: str, schema: T.StructType, top
     rows = (rows.join(tp, rows.package_code == tp._pk, "left").join(tc, rows.city == tc._ct, "left")
             .withColumn("package_bucket", F.coalesce("_pk", F.lit(P.OTHER)))
             .withColumn("city_bucket", F.coalesce("_ct", F.lit(P.OTHER))))
-    agg = rows.groupBy(F.window("event_ts", "1 day").alias("day"), "package_bucket", "city_bucket").agg(
+    # Group on the event-time column itself (midnight of the booking day): no epoch-aligned
+    # window, so the day is the same in every session time zone; date -> timestamp -> date
+    # is exact.
+    agg = rows.groupBy("event_ts", "package_bucket", "city_bucket").agg(
         F.count(F.lit(1)).alias("bookings"), X.sum0("gm_c").alias("gm_sum"), X.sum0("net_c").alias("revenue_sum"))
-    return agg.select(F.col("day.start").cast("date").alias("booking_date"), "package_bucket", "city_bucket",
+    return agg.select(F.col("event_ts").cast("date").alias("booking_date"), "package_bucket", "city_bucket",
                       "bookings", "gm_sum", "revenue_sum", X.ratio_pct("gm_sum", "revenue_sum").alias("gm_pct"))
 
 
