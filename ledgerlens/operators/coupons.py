@@ -158,3 +158,11 @@ def attention_flags(campaign: DataFrame, mov: DataFrame) -> DataFrame:
         "coupon_code", "bookings", "gm_pct", "pct_bookings_below_stated_mov",
         F.coalesce(F.col("pct_bookings_below_stated_mov") > P.MOV_ATTENTION_SHARE, F.lit(False)).alias("mov_attention"),
         F.coalesce(F.col("gm_pct") < P.CAMPAIGN_GM_ATTENTION, F.lit(False)).alias("gm_attention"))
+
+
+def top_campaigns(clean: DataFrame, rules: DataFrame, k: int = 30) -> DataFrame:
+    """The k biggest campaigns (a top-k report; the limit is the feature). Total order:
+    bookings desc, code asc, so the cut is deterministic; planned as TakeOrderedAndProject
+    (each task keeps k rows)."""
+    sc = campaign_scorecard(clean, rules)
+    return sc.orderBy(F.col("bookings").desc(), F.col("coupon_code").asc()).limit(k)

@@ -46,6 +46,10 @@ def queries() -> dict[str, str]:
 SELECT c.*, r.mov_c, r.discount, r.upper_limit, r.rule_type, r.coupon_code IS NOT NULL AS known_in_crm
 FROM campaign c LEFT JOIN rules r ON r.coupon_code = c.coupon_code""", CAMPAIGN, rules_cte())
     q["campaign_scorecard"] = q["campaign_rules"]
+    q["top_campaigns"] = sql("""
+SELECT c.*, r.mov_c, r.discount, r.upper_limit, r.rule_type, r.coupon_code IS NOT NULL AS known_in_crm
+FROM campaign c LEFT JOIN rules r ON r.coupon_code = c.coupon_code
+ORDER BY c.bookings DESC, c.coupon_code ASC LIMIT 30""", CAMPAIGN, rules_cte())
     q["addfamily_check"] = sql(f"""
 SELECT c.coupon_code, f.cap_pct, COUNT(*) AS n, AVG(total_disc_pct) AS avg_total_disc_pct,
        MAX(total_disc_pct) AS max_total_disc_pct,

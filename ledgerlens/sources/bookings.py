@@ -51,10 +51,12 @@ def share_of(offer: Column, pct: Column) -> Column:
 BROADCAST_MAX_ROWS = 1_000_000   # a joined side is broadcast only below this many rows
 
 
-def sized_side(df: DataFrame, rows: int, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` when its counted size is under the bound; otherwise ask for a
-    sort-merge join (spills, and AQE can still split skewed partitions)."""
-    return F.broadcast(df) if rows <= max_rows else df.hint("merge")
+def sized_side(df: DataFrame, rows: int, max_rows: int | None = None) -> DataFrame:
+    """Broadcast ``df`` when its counted size is under the bound (``BROADCAST_MAX_ROWS``
+    unless given); otherwise ask for a sort-merge join (spills, and AQE can still split
+    skewed partitions)."""
+    bound = BROADCAST_MAX_ROWS if max_rows is None else max_rows
+    return F.broadcast(df) if rows <= bound else df.hint("merge")
 
 
 def table_rows(spark: SparkSession, sf_dir: str, keys: dict[str, str]) -> dict[str, int]:
