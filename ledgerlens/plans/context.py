@@ -13,7 +13,6 @@ import threading
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .. import params as P
 from ..operators import prepare as PR
