@@ -241,8 +241,11 @@ def flat_volume_impact(settled: DataFrame, part: DataFrame, events_m: DataFrame,
     t = _arm_totals(weekly_panel(settled), events_m, weeks).select("event_id", "market", "t_pre")
     j = rows.join(t, ["event_id", "market"], "left")
     wk = F.coalesce(F.col("t_pre"), F.lit(0)) / F.lit(float(weeks))
-    return j.select("event_id", "market", "old_price_c", "new_price_c", "price_change_c", "pct_change",
-                    wk.alias("weekly_bookings"), (F.col("price_change_c") * wk).alias("weekly_revenue_impact_c"))
+    out = j.select("event_id", "market", "old_price_c", "new_price_c", "price_change_c", "pct_change",
+                   wk.alias("weekly_bookings"), (F.col("price_change_c") * wk).alias("weekly_revenue_impact_c"))
+    # total over the event list: exact integer sum, divided once (order-independent)
+    total = j.select(F.sum(F.col("price_change_c") * F.coalesce(F.col("t_pre"), F.lit(0)))).scalar()
+    return out.withColumn("total_weekly_revenue_impact_c", total / F.lit(float(weeks)))
 
 
 def competitor_gap(part: DataFrame, competitors_wide: DataFrame, events: DataFrame) -> DataFrame:

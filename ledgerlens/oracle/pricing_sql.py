@@ -154,7 +154,9 @@ SELECT event_id, sku, market, old_price_c, new_price_c, new_price_c - old_price_
     q["flat_volume_impact"] = sql(f"""
 SELECT p.event_id, p.market, p.old_price_c, p.new_price_c, p.new_price_c - p.old_price_c AS price_change_c,
        p.pct_change, COALESCE(t.t_pre, 0) / {float(K)} AS weekly_bookings,
-       (p.new_price_c - p.old_price_c) * (COALESCE(t.t_pre, 0) / {float(K)}) AS weekly_revenue_impact_c
+       (p.new_price_c - p.old_price_c) * (COALESCE(t.t_pre, 0) / {float(K)}) AS weekly_revenue_impact_c,
+       CAST(SUM((p.new_price_c - p.old_price_c) * COALESCE(t.t_pre, 0)) OVER () AS BIGINT) / {float(K)}
+         AS total_weekly_revenue_impact_c
 FROM per p LEFT JOIN tot t ON t.event_id = p.event_id AND t.market = p.market
 WHERE p.change_date IS NOT NULL""", EV, EXEC, LIST, MM, PER, PANEL, ARMS)
     q["competitor_gap"] = sql("""

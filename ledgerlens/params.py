@@ -144,17 +144,28 @@ def price_events() -> list[PriceEvent]:
             for e, s, m, p, d, st, c in spec]
 
 
-def promo_events() -> list[tuple]:
-    """(week_start, market or ALL, event, scope)."""
+def market_pushes() -> list[tuple]:
+    """(week_start, market): market-scope coupon pushes (two land in E01/E03 post windows)."""
     w = _dt.timedelta(weeks=1)
     e01 = _monday(_dt.date(1996, 3, 4))
     e03 = _monday(_dt.date(1997, 2, 3))
-    rows = [(e01 + 2 * w, "ASIA", "Coupon push", "market"), (e01 + 3 * w, "ASIA", "Coupon push", "market"),
-            (e03 + 1 * w, "ASIA", "Coupon push", "market"), (e03 + 2 * w, "ASIA", "Coupon push", "market"),
-            (_monday(_dt.date(1998, 8, 10)), "ALL", "Festive coupon live", "global"),
-            (_monday(_dt.date(1998, 8, 17)), "ALL", "Festive coupon live", "global"),
-            (_monday(_dt.date(1999, 6, 7)), "ALL", "Bundle coupon launched", "global"),
-            (_monday(_dt.date(2000, 1, 10)), "AFRICA", "Coupon push", "market")]
+    return [(e01 + 2 * w, "ASIA"), (e01 + 3 * w, "ASIA"), (e03 + 1 * w, "ASIA"), (e03 + 2 * w, "ASIA"),
+            (_monday(_dt.date(2000, 1, 10)), "AFRICA")]
+
+
+def festive_weeks() -> list[_dt.date]:
+    return [_monday(_dt.date(1998, 8, 10)), _monday(_dt.date(1998, 8, 17))]
+
+
+def one_off_events() -> list[tuple]:
+    return [(_monday(_dt.date(1999, 6, 7)), "Bundle coupon launched")]
+
+
+def promo_events() -> list[tuple]:
+    """(week_start, market or ALL, event, scope): the three promo shapes concatenated."""
+    rows = [(d, m, "Coupon push", "market") for d, m in market_pushes()]
+    rows += [(d, "ALL", "Festive coupon live", "global") for d in festive_weeks()]
+    rows += [(d, "ALL", e, "global") for d, e in one_off_events()]
     return rows
 
 

@@ -83,9 +83,17 @@ def price_event_markets(spark: SparkSession) -> DataFrame:
 
 
 def promo_events(spark: SparkSession) -> DataFrame:
-    schema = T.StructType([T.StructField("week_start", T.DateType()), T.StructField("market", T.StringType()),
-                           T.StructField("event", T.StringType()), T.StructField("scope", T.StringType())])
-    return spark.createDataFrame(P.promo_events(), schema)
+    """Promo / confounder events from three shapes (market pushes, festive weeks, one-off
+    global events), concatenated by name (U05)."""
+    d = T.StructField("week_start", T.DateType())
+    pushes = spark.createDataFrame(P.market_pushes(), T.StructType([d, T.StructField("market", T.StringType())]))
+    festive = spark.createDataFrame([(w,) for w in P.festive_weeks()], T.StructType([d]))
+    one_off = spark.createDataFrame(P.one_off_events(), T.StructType([d, T.StructField("event", T.StringType())]))
+    return (pushes.select("week_start", "market", F.lit("Coupon push").alias("event"), F.lit("market").alias("scope"))
+            .unionByName(festive.select("week_start", F.lit("ALL").alias("market"),
+                                        F.lit("Festive coupon live").alias("event"), F.lit("global").alias("scope")))
+            .unionByName(one_off.select("week_start", F.lit("ALL").alias("market"), "event",
+                                        F.lit("global").alias("scope"))))
 
 
 def price_actions(spark: SparkSession) -> DataFrame:

@@ -257,3 +257,11 @@ def test_clean_window_filter_reaches_scan(spark, sf_small):
     plan = E.queries()["weekly_waterfall"](spark, sf_small)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan and "booking_date" in plan
     assert math.isfinite(1.0)
+
+
+def test_u05_promo_union_three_shapes(spark):
+    promos = D.promo_events(spark)
+    rows = promos.collect()
+    assert len(rows) == len(P.market_pushes()) + len(P.festive_weeks()) + len(P.one_off_events())
+    assert {r["scope"] for r in rows} == {"market", "global"}
+    assert all(r["market"] == "ALL" for r in rows if r["scope"] == "global")
