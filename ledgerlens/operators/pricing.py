@@ -171,9 +171,11 @@ def did_from_panel(panel: DataFrame, events_m: DataFrame, promos: DataFrame,
     ``contaminated`` (control market treated or pushed inside the window)."""
     t = _arm_totals(panel, events_m, weeks)
     ev = F.broadcast(_executed(events_m).select("event_id", "market", "pct_change", "control_market"))
+    # the flag frames hold one row per event x market (bounded by the event list): broadcast
     j = (t.join(ev, ["event_id", "market"])
-         .join(confounder_overlap(events_m, promos, weeks), ["event_id", "market"])
-         .join(control_contamination(events_m, promos, weeks).select("event_id", "market", "contaminated"),
+         .join(F.broadcast(confounder_overlap(events_m, promos, weeks)), ["event_id", "market"])
+         .join(F.broadcast(control_contamination(events_m, promos, weeks).select("event_id", "market",
+                                                                                "contaminated")),
                ["event_id", "market"]))
     ok = (F.col("t_pre") > 0) & (F.col("t_post") > 0) & (F.col("c_pre") > 0) & (F.col("c_post") > 0)
     lnp = F.log(F.lit(1.0) + F.col("pct_change") / F.lit(100.0))

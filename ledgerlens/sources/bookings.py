@@ -219,8 +219,8 @@ def bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bookings_lazy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Un-materialised variant (used by tests and by plans that stream straight through)."""
+    """Un-materialised variant: the mapping plus ``is_partial`` from a scalar subquery on the
+    latest booking week (for one-off jobs that stream straight through)."""
     df = build_bookings(spark, sf_dir)
-    latest = df.agg(F.max("week_start").alias("latest_week"))
-    return df.crossJoin(F.broadcast(latest)).withColumn(
-        "is_partial", F.col("week_start") == F.col("latest_week")).drop("latest_week")
+    latest = df.select(F.max("week_start")).scalar()
+    return df.withColumn("is_partial", F.col("week_start") == latest)
