@@ -194,7 +194,7 @@ def build_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
-def _materialise(spark: SparkSession, sf_dir: str) -> tuple[str, _dt.date]:
+def _materialise(spark: SparkSession, sf_dir: str) -> tuple[str, _dt.date, DataFrame]:
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
     with _LOCK:
         hit = _CACHE.get(key)
@@ -206,16 +206,18 @@ def _materialise(spark: SparkSession, sf_dir: str) -> tuple[str, _dt.date]:
             (build_bookings(spark, sf_dir)
              .sortWithinPartitions("booking_date")
              .write.mode("overwrite").parquet(path))
-        latest = spark.read.parquet(path).agg(F.max("week_start").alias("w")).first()["w"]
-        _CACHE[key] = (path, latest)
+        fact = spark.read.parquet(path)
+        latest = fact.agg(F.max("week_start").alias("w")).first()["w"]
+        # one DataFrame per (application, dataset): the file listing happens once, and every
+        # query starts from the same logical scan
+        df = fact.withColumn("is_partial", F.col("week_start") == F.lit(latest))
+        _CACHE[key] = (path, latest, df)
         return _CACHE[key]
 
 
 def bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Materialised bookings fact with ``is_partial`` (week of the latest booking)."""
-    path, latest_week = _materialise(spark, sf_dir)
-    df = spark.read.parquet(path)
-    return df.withColumn("is_partial", F.col("week_start") == F.lit(latest_week))
+    return _materialise(spark, sf_dir)[2]
 
 
 def bookings_lazy(spark: SparkSession, sf_dir: str) -> DataFrame:
