@@ -45,8 +45,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the session.
 
     Reads ``spark.checkpoint.dir`` (or the SparkContext's checkpoint dir). Only when
-    neither is set -- local tests -- a private folder under the temp dir is created and
-    registered, so later calls see it.
+    neither is set and the master is local (tests) a private folder under the temp dir is
+    created and registered; on a cluster an unset folder is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
@@ -55,6 +55,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if current:
             sc.setCheckpointDir(current)
     if not current:
+        if not sc.master.startswith("local"):
+            # a driver-local folder would scatter written tables over executor disks
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS / object store) on a cluster")
         current = tempfile.mkdtemp(prefix="ledgerlens-ckpt-")
         sc.setCheckpointDir(current)
     return current.rstrip("/")
