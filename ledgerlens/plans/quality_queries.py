@@ -130,18 +130,32 @@ def q_waterfall_reconcile(s, d):
     return Q.waterfall_reconcile(R.weekly_waterfall(_c(s, d).clean))
 
 
+ROLLUP_GRAINS = {
+    "weekly_waterfall": ["week_start"],
+    "weekly_stack": ["week_start", "n_disc_types", "customer_category"],
+    "weekly_coupon": ["week_start", "coupon"],
+    "weekly_segment": ["week_start", "market", "customer_category", "booking_flag", "booked_by"],
+    "weekly_market_sku": ["week_start", "market", "sku"],
+}
+
+
 def rollup_totals(settled: DataFrame) -> DataFrame:
-    """Total complete-week GM of each published weekly rollup."""
-    tables = {"weekly_waterfall": R.rollup(settled, ["week_start", "is_partial"]),
-              "weekly_stack": R.weekly_stack(settled), "weekly_coupon": R.weekly_coupon(settled),
-              "weekly_segment": R.weekly_segment(settled), "weekly_market_sku": R.weekly_market_sku(settled)}
-    parts = [t.filter(~F.col("is_partial")).agg(F.lit(name).alias("rollup"),
-                                                X.sum0("gm_sum").alias("gm_total"))
-             for name, t in tables.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Total complete-week GM of each published weekly rollup.
+
+    All five groupings are computed in one pass with GROUPING SETS (one scan, one Expand,
+    partial aggregation, one shuffle); ``grouping_id`` tells the groupings apart, and each
+    rollup's total is the sum over its own groups."""
+    full = (PR.complete_weeks(settled).withColumn("n_disc_types", X.stack_bucket("n_disc"))
+            .withColumn("coupon", F.coalesce(F.col("coupon_code"), F.lit(P.NONE_COUPON))))
+    cols = sorted({c for v in ROLLUP_GRAINS.values() for c in v})
+    gid_of = {name: sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in grain)
+              for name, grain in ROLLUP_GRAINS.items()}
+    g = full.groupingSets([list(v) for v in ROLLUP_GRAINS.values()], *cols).agg(
+        X.sum0("gm_c").alias("gm_sum"), F.grouping_id().alias("gid"))
+    name = None
+    for n, gid in gid_of.items():
+        name = (F.when(F.col("gid") == gid, F.lit(n)) if name is None else name.when(F.col("gid") == gid, F.lit(n)))
+    return g.groupBy(name.alias("rollup")).agg(X.sum0("gm_sum").alias("gm_total"))
 
 
 def q_rollup_totals_agree(s, d):
