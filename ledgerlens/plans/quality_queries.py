@@ -15,7 +15,7 @@ from ..functions import exprs as X
 from ..operators import prepare as PR
 from ..operators import quality as Q
 from ..operators import rollups as R
-from ..sources.tables import read_table
+from ..sources.tables import read_table, spread_scan
 from .context import context
 from .registry import register
 
@@ -172,7 +172,7 @@ def banned_hashes(spark) -> DataFrame:
 
 
 def q_banned_tokens(s, d):
-    docs = read_table(s, d, "documents", ["doc_id", "text"])
+    docs = spread_scan(read_table(s, d, "documents", ["doc_id", "text"]), "doc_id")
     return Q.banned_tokens(docs, banned_hashes(s), pattern=P.TOKEN_PATTERN)
 
 

@@ -53,3 +53,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] |
         reader = reader.schema(SCHEMAS[name])
     df = reader.parquet(table_path(sf_dir, name))
     return df.select(*columns) if columns else df
+
+
+def spread_scan(df: DataFrame, key: str) -> DataFrame:
+    """Hash-distribute a scan by a unique key when it yields fewer partitions than the
+    cluster has cores (e.g. a file written as one row group), so per-row work such as
+    tokenising whole texts runs on every core. A later ``groupBy(key)`` reuses this
+    partitioning, so it adds no second shuffle. A scan that is already split widely (the
+    large-data case) is returned unchanged: no extra shuffle of the whole table."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(2 * cores, key)

@@ -46,3 +46,23 @@ def test_first_three_rank_with_hot_customer(spark, sf_small):
     pdf = skewed.toPandas().sort_values(["o_custkey", "o_orderdate", "o_orderkey"])
     want = set(pdf.groupby("o_custkey").head(3)["o_orderkey"])
     assert got == want and len(got) < n
+
+
+def test_spread_scan_only_when_narrow(spark, sf_small):
+    from ledgerlens.sources.tables import read_table, spread_scan
+    docs = read_table(spark, sf_small, "documents", ["doc_id", "text"])
+    cores = spark.sparkContext.defaultParallelism
+    assert docs.rdd.getNumPartitions() < cores          # one row group: a single scan task
+    spread = spread_scan(docs, "doc_id")
+    assert spread.rdd.getNumPartitions() == 2 * cores
+    assert sorted(r[0] for r in spread.select("doc_id").collect()) == sorted(r[0] for r in docs.select("doc_id").collect())
+    wide = docs.repartition(cores)
+    assert spread_scan(wide, "doc_id") is wide           # already split: no extra shuffle
+
+
+def test_token_scan_single_exchange(spark, sf_small):
+    """The per-document aggregate reuses the doc_id distribution of the spread scan."""
+    import __spark_entry__ as E
+    df = E.queries()["banned_tokens"](spark, sf_small)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
