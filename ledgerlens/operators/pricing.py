@@ -155,10 +155,11 @@ def control_contamination(events_m: DataFrame, promos: DataFrame, weeks: int = P
 
 
 def did_elasticity(settled: DataFrame, events_m: DataFrame, promos: DataFrame,
-                   weeks: int = P.DID_WINDOW_WEEKS, z: float = P.Z90) -> DataFrame:
+                   weeks: int = P.DID_WINDOW_WEEKS, z: float = P.Z90, panel: DataFrame | None = None) -> DataFrame:
     """Difference-in-differences elasticity with a 90 % CI, one row per executed event x
-    treated market; null when any window total is 0."""
-    return did_from_panel(weekly_panel(settled), events_m, promos, weeks, z)
+    treated market; null when any window total is 0. ``panel`` is ``weekly_panel(settled)``
+    when the caller already holds it (e.g. cached once per dataset)."""
+    return did_from_panel(weekly_panel(settled) if panel is None else panel, events_m, promos, weeks, z)
 
 
 def did_from_panel(panel: DataFrame, events_m: DataFrame, promos: DataFrame,
@@ -189,9 +190,10 @@ def did_from_panel(panel: DataFrame, events_m: DataFrame, promos: DataFrame,
         "confounded", "contaminated")
 
 
-def did_pairing(settled: DataFrame, events_m: DataFrame, weeks: int = P.DID_WINDOW_WEEKS) -> DataFrame:
+def did_pairing(settled: DataFrame, events_m: DataFrame, weeks: int = P.DID_WINDOW_WEEKS,
+                panel: DataFrame | None = None) -> DataFrame:
     """Treated cell joined to the control-market cell on sku x week, inside the window."""
-    panel = weekly_panel(settled)
+    panel = weekly_panel(settled) if panel is None else panel
     ev = F.broadcast(_executed(events_m).select("event_id", "sku", "market", "control_market", "change_week"))
     span = 7 * weeks
     tr = panel.join(ev, (panel.sku == ev.sku) & (panel.market == ev.market)
@@ -237,10 +239,10 @@ def price_event_rows(part: DataFrame, events_m: DataFrame, market_mult: DataFram
 
 
 def flat_volume_impact(settled: DataFrame, part: DataFrame, events_m: DataFrame, market_mult: DataFrame,
-                       weeks: int = P.DID_WINDOW_WEEKS) -> DataFrame:
+                       weeks: int = P.DID_WINDOW_WEEKS, panel: DataFrame | None = None) -> DataFrame:
     """(new - old price) x pre-window weekly bookings for each executed event x market."""
     rows = price_event_rows(part, _executed(events_m), market_mult)
-    t = _arm_totals(weekly_panel(settled), events_m, weeks).select("event_id", "market", "t_pre")
+    t = _arm_totals(weekly_panel(settled) if panel is None else panel, events_m, weeks).select("event_id", "market", "t_pre")
     j = rows.join(t, ["event_id", "market"], "left")
     wk = F.coalesce(F.col("t_pre"), F.lit(0)) / F.lit(float(weeks))
     out = j.select("event_id", "market", "old_price_c", "new_price_c", "price_change_c", "pct_change",
@@ -355,16 +357,40 @@ def coupon_health(clean: DataFrame, healthy: float = 0.66, watch: float = 0.33)
                           .when(F.col("health_score") >= watch, F.lit("watch")).otherwise(F.lit("at risk")))
 
 
-def elastic_multiplier(cells: DataFrame, events_m: DataFrame, elasticity_col: str = "true_elasticity") -> DataFrame:
+def elastic_multiplier(cells: DataFrame, events_m: DataFrame, elasticity_col: str = "true_elasticity",
+                       carry: tuple[str, ...] = ()) -> DataFrame:
     """Price and volume multipliers of each (week_start, market, sku) cell from the executed
     events active in it (change week <= week): price = prod(1+p), volume = prod((1+p)^e).
-    Products are taken as exp(sum(ln)) in one aggregate; cells without events get 1."""
+    Products are taken as exp(sum(ln)) in one aggregate; cells without events get 1. An
+    active event with an unknown elasticity makes the volume multiplier unknown (null)
+    rather than silently neutral. ``carry`` names cell columns kept alongside (they must be
+    determined by the cell key)."""
     ev = F.broadcast(_executed(events_m).select(
         F.col("sku").alias("e_sku"), F.col("market").alias("e_market"), "change_week",
         (F.lit(1.0) + F.col("pct_change") / F.lit(100.0)).alias("_g"), F.col(elasticity_col).alias("_e")))
     keys = ["week_start", "market", "sku"]
-    j = cells.select(*keys).join(ev, (F.col("sku") == F.col("e_sku")) & (F.col("market") == F.col("e_market"))
-                                 & (F.col("change_week") <= F.col("week_start")), "left")
-    return j.groupBy(*keys).agg(
+    j = cells.select(*keys, *carry).join(ev, (F.col("sku") == F.col("e_sku")) & (F.col("market") == F.col("e_market"))
+                                         & (F.col("change_week") <= F.col("week_start")), "left")
+    unknown = F.count_if(F.col("_g").isNotNull() & F.col("_e").isNull()) > 0
+    return j.groupBy(*keys, *carry).agg(
+        F.count("_g").alias("events_active"),
         F.coalesce(F.exp(F.sum(F.log("_g"))), F.lit(1.0)).alias("price_mult"),
-        F.coalesce(F.exp(F.sum(F.col("_e") * F.log("_g"))), F.lit(1.0)).alias("volume_mult"))
+        F.when(~unknown, F.coalesce(F.exp(F.sum(F.col("_e") * F.log("_g"))), F.lit(1.0))).alias("volume_mult"))
+
+
+def elastic_projection(settled: DataFrame, events_m: DataFrame, promos: DataFrame,
+                       weeks: int = P.DID_WINDOW_WEEKS, z: float = P.Z90, panel: DataFrame | None = None) -> DataFrame:
+    """P17 on measured data: every complete-week (week, market, sku) cell of the panel with
+    the price multiplier of the executed events active in it and the volume multiplier that
+    the DiD elasticity measured for each of those events implies.
+
+    The panel is one aggregate of the fact; the DiD frame and the event list hold one row
+    per event x market (bounded by the event list) and are broadcast, so the cell join is a
+    map-side range join and the final aggregate adds one shuffle of the panel. Pass a
+    cached ``panel`` so the DiD and the projection share one scan of the fact."""
+    panel = weekly_panel(settled) if panel is None else panel
+    did = did_from_panel(panel, events_m, promos, weeks, z).select("event_id", "market", "elasticity")
+    ev = events_m.join(F.broadcast(did), ["event_id", "market"], "left")
+    m = elastic_multiplier(panel, ev, "elasticity", carry=("bookings",))
+    return m.select("week_start", "market", "sku", "bookings", "events_active",
+                    _round6(F.col("price_mult")).alias("price_mult"), _round6(F.col("volume_mult")).alias("volume_mult"))
\ No newline at end of file

@@ -141,6 +141,17 @@ FROM tot t JOIN ev_x e ON e.event_id = t.event_id AND e.market = t.market
 JOIN conf c ON c.event_id = t.event_id AND c.market = t.market
 JOIN contam k ON k.event_id = t.event_id AND k.market = t.market""", EV, EXEC, promo_events_cte(), PANEL, ARMS, CONF,
                               CONTAM)
+    did = f"""did AS (SELECT t.event_id, t.market, CASE WHEN {ok} THEN {r6(est)} END AS elasticity
+FROM tot t JOIN ev_x e ON e.event_id = t.event_id AND e.market = t.market)"""
+    g = "ln(1 + e.pct_change / 100e0)"
+    q["elastic_projection"] = sql(f"""
+SELECT p.week_start, p.market, p.sku, p.bookings, COUNT(e.event_id) AS events_active,
+       {r6(f"COALESCE(exp(SUM({g})), 1e0)")} AS price_mult,
+       CASE WHEN COUNT(e.event_id) = COUNT(d.elasticity)
+            THEN {r6(f"COALESCE(exp(SUM(d.elasticity * {g})), 1e0)")} END AS volume_mult
+FROM panel p LEFT JOIN ev_x e ON e.sku = p.sku AND e.market = p.market AND e.change_week <= p.week_start
+LEFT JOIN did d ON d.event_id = e.event_id AND d.market = e.market
+GROUP BY p.week_start, p.market, p.sku, p.bookings""", EV, EXEC, PANEL, ARMS, did)
     q["did_pairing"] = sql(f"""
 SELECT e.event_id, e.market, p.week_start, CAST(date_diff('day', e.change_week, p.week_start) / 7 AS INTEGER)
          AS rel_week, p.bookings AS treated_bookings, c.bookings AS control_bookings

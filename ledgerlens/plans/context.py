@@ -62,6 +62,15 @@ class Context:
                 self._tops[k] = PR.top_values(self.clean, key, n).cache()
             return self._tops[k]
 
+    @cached_property
+    def panel(self) -> DataFrame:
+        """Complete-week bookings per (week, market, sku), shared by the DiD-based keys and
+        cached once per context. Its size is bounded by weeks x markets x skus, not by the
+        number of bookings; a lost executor recomputes its blocks from lineage."""
+        from ..operators.pricing import weekly_panel
+        with _LOCK:
+            return weekly_panel(self.settled).cache()
+
     def bucketed(self, *which: str) -> DataFrame:
         """Clean rows with the long-tail buckets the caller uses (``package``, ``city``,
         ``coupon``; all three by default), top-N learned on the clean window. Only the

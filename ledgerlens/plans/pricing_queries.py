@@ -26,11 +26,14 @@ register("event_window_range")(lambda s, d: M.event_window_range(_c(s, d).clean,
 register("price_event_daily")(lambda s, d: M.price_event_daily(_c(s, d).clean, _ev(s)))
 register("price_event_impact")(lambda s, d: M.price_event_impact(_c(s, d).clean, _ev(s), D.rules_union(s)))
 register("arc_elasticity")(lambda s, d: M.arc_elasticity(M.price_event_impact(_c(s, d).clean, _ev(s)), _ev(s)))
-register("did_elasticity")(lambda s, d: M.did_elasticity(_c(s, d).settled, _ev(s), D.promo_events(s)))
-register("did_pairing")(lambda s, d: M.did_pairing(_c(s, d).settled, _ev(s)))
+register("did_elasticity")(lambda s, d: M.did_elasticity(_c(s, d).settled, _ev(s), D.promo_events(s),
+                                                         panel=_c(s, d).panel))
+register("elastic_projection")(lambda s, d: M.elastic_projection(_c(s, d).settled, _ev(s), D.promo_events(s),
+                                                                 panel=_c(s, d).panel))
+register("did_pairing")(lambda s, d: M.did_pairing(_c(s, d).settled, _ev(s), panel=_c(s, d).panel))
 register("price_event_rows")(lambda s, d: M.price_event_rows(_part(s, d), _ev(s), D.market_multipliers(s)))
 register("flat_volume_impact")(lambda s, d: M.flat_volume_impact(_c(s, d).settled, _part(s, d), _ev(s),
-                                                                 D.market_multipliers(s)))
+                                                                 D.market_multipliers(s), panel=_c(s, d).panel))
 register("competitor_gap")(lambda s, d: M.competitor_gap(_part(s, d), D.competitor_prices_wide(s), _ev(s)))
 register("price_action_exposure")(lambda s, d: M.price_action_exposure(D.price_actions(s),
                                                                        G.package_exposure(_c(s, d).clean)))

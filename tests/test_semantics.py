@@ -168,6 +168,17 @@ def test_p17_elastic_multiplier(spark):
     assert got[e01.change_week - dt.timedelta(weeks=1)] == (1.0, 1.0)
 
 
+def test_p17_unknown_elasticity_is_not_neutral(spark):
+    """An active event whose elasticity could not be measured makes the volume multiplier
+    unknown; the price multiplier still applies."""
+    e01 = [e for e in P.price_events() if e.event_id == "E01"][0]
+    ev = D.price_event_markets(spark).withColumn(
+        "elasticity", F.when(F.col("event_id") == "E01", F.lit(None).cast("double")).otherwise(F.lit(-1.0)))
+    cells = spark.createDataFrame([(e01.change_week, "ASIA", "ECONOMY")], "week_start date, market string, sku string")
+    r = M.elastic_multiplier(cells, ev, "elasticity").first()
+    assert r["events_active"] == 1 and r["price_mult"] == pytest.approx(1.1) and r["volume_mult"] is None
+
+
 def test_p19_suppression(spark):
     df = spark.createDataFrame([(50, 12.5), (150, 20.0)], "n long, pct double")
     out = PR.suppress_small_n(df, "n", "pct").orderBy("n").collect()
