@@ -33,6 +33,39 @@ def test_sort_merge_path_equals_sql(spark, sf_small, monkeypatch):
     assert table_hash(COLS, rows, None)[0] == table_hash([d[0] for d in cur.description], drows, None)[0]
 
 
+def _sql_mapping_hash(sf_small):
+    con = duckdb.connect()
+    for t in ("region", "nation", "customer", "part", "orders", "lineitem"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_small}/{t}.parquet')")
+    cur = con.execute(with_bookings("SELECT " + ", ".join(COLS) + " FROM bookings_base"))
+    drows = cur.fetchall()
+    return len(drows), table_hash([d[0] for d in cur.description], drows, None)[0]
+
+
+def test_part_side_over_byte_bound_joins_by_sort_merge(spark, sf_small, monkeypatch):
+    """Every side over its bound: the fact joins orders and part by sort-merge and still
+    equals the SQL mapping."""
+    monkeypatch.setattr(B, "BROADCAST_MAX_ROWS", 0)
+    monkeypatch.setattr(B, "BROADCAST_MAX_BYTES", 0)
+    df = B.build_bookings(spark, sf_small).select(*COLS)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [l_partkey" in plan
+    rows = [tuple(r) for r in df.collect()]
+    assert (len(rows), table_hash(COLS, rows, None)[0]) == _sql_mapping_hash(sf_small)
+
+
+def test_large_plan_shuffles_fact_once(spark, sf_small, monkeypatch):
+    """Orders over the row bound, part under the byte bound (the 100 TB shape): the line
+    items cross one exchange (on the order key); part is broadcast."""
+    monkeypatch.setattr(B, "BROADCAST_MAX_ROWS", 0)
+    df = B.build_bookings(spark, sf_small)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [l_partkey" in plan
+    assert "hashpartitioning(l_orderkey" in plan and "hashpartitioning(l_partkey" not in plan
+    _, measured = B.part_side(spark, sf_small)
+    assert 0 < measured <= B.BROADCAST_MAX_BYTES
+
+
 def test_first_three_rank_with_hot_customer(spark, sf_small):
     orders = spark.read.parquet(f"{sf_small}/orders.parquet").select("o_orderkey", "o_custkey", "o_orderdate")
     n = orders.count()
