@@ -65,26 +65,37 @@ def sized_side(df: DataFrame, rows: int, max_rows: int | None = None) -> DataFra
     return F.broadcast(df) if rows <= bound else df.hint("merge")
 
 
-def part_side(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
-    """The part side as (p_partkey, p_type, p_premium) and its measured size in bytes.
-
-    Only the sku string and a premium flag are needed, so the side stays narrow; one job
-    counts its rows and sums the exact byte length of the sku strings, which bounds the
-    size of the broadcast (rows x PART_ROW_BYTES + string bytes)."""
-    part = read_table(spark, sf_dir, "part", ["p_partkey", "p_type", "p_retailprice"]).select(
+def part_side(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part side, narrow: (p_partkey, p_type, p_premium). Only the sku string and a
+    premium flag are needed, so the broadcast holds little beyond the sku bytes."""
+    return read_table(spark, sf_dir, "part", ["p_partkey", "p_type", "p_retailprice"]).select(
         "p_partkey", "p_type", (F.col("p_retailprice") >= 950).alias("p_premium"))
-    m = part.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("p_type")).alias("b")).first()
-    return part, int(m["n"] or 0) * PART_ROW_BYTES + int(m["b"] or 0)
 
 
-def table_rows(spark: SparkSession, sf_dir: str, keys: dict[str, str]) -> dict[str, int]:
-    """Row counts of several tables in one job (key column only; the result has one row
-    per table)."""
-    parts = [read_table(spark, sf_dir, t, [c]).select(F.lit(t).alias("t")) for t, c in keys.items()]
+def table_sizes(spark: SparkSession, sf_dir: str, cols: dict[str, tuple[str, str | None]]) -> dict[str, tuple[int, int]]:
+    """(rows, string bytes) of several tables in one job. ``cols`` maps a table to its key
+    column and, optionally, a string column whose exact byte length is summed (the result
+    has one row per table)."""
+    parts = []
+    for t, (key, text) in cols.items():
+        b = F.octet_length(text).cast("bigint") if text else F.lit(0).cast("bigint")
+        parts.append(read_table(spark, sf_dir, t, [key] + ([text] if text else []))
+                     .select(F.lit(t).alias("t"), b.alias("b")))
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
-    return {r["t"]: r["n"] for r in u.groupBy("t").agg(F.count(F.lit(1)).alias("n")).collect()}
+    got = u.groupBy("t").agg(F.count(F.lit(1)).alias("n"), F.sum("b").alias("b")).collect()
+    return {r["t"]: (int(r["n"]), int(r["b"] or 0)) for r in got}
+
+
+def table_rows(spark: SparkSession, sf_dir: str, keys: dict[str, str]) -> dict[str, int]:
+    """Row counts of several tables in one job (key column only)."""
+    return {t: n for t, (n, _) in table_sizes(spark, sf_dir, {t: (c, None) for t, c in keys.items()}).items()}
+
+
+def part_bytes(rows: int, sku_bytes: int) -> int:
+    """Size bound of the broadcast part side: rows x PART_ROW_BYTES + the exact sku bytes."""
+    return rows * PART_ROW_BYTES + sku_bytes
 
 
 def _customer_orders(spark: SparkSession, sf_dir: str, n_customers: int | None = None) -> DataFrame:
@@ -115,11 +126,13 @@ def build_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = read_table(spark, sf_dir, "lineitem", [
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
         "l_discount", "l_tax", "l_returnflag", "l_linestatus"])
-    rows = table_rows(spark, sf_dir, {"orders": "o_orderkey", "customer": "c_custkey"})
-    n_orders = rows.get("orders", 0)
-    orders = sized_side(_customer_orders(spark, sf_dir, rows.get("customer", 0)), n_orders)
-    part, part_bytes = part_side(spark, sf_dir)
-    part = F.broadcast(part) if part_bytes <= BROADCAST_MAX_BYTES else part.hint("merge")
+    # one job measures every side: orders and customer rows, part rows and sku bytes
+    sizes = table_sizes(spark, sf_dir, {"orders": ("o_orderkey", None), "customer": ("c_custkey", None),
+                                        "part": ("p_partkey", "p_type")})
+    n_orders = sizes.get("orders", (0, 0))[0]
+    orders = sized_side(_customer_orders(spark, sf_dir, sizes.get("customer", (0, 0))[0]), n_orders)
+    part = part_side(spark, sf_dir)
+    part = F.broadcast(part) if part_bytes(*sizes.get("part", (0, 0))) <= BROADCAST_MAX_BYTES else part.hint("merge")
 
     # The line-item fact is never broadcast; each dimension side is size-checked.
     # * part is bounded by the catalogue (tens of millions of rows at 100 TB, under 1 GB as

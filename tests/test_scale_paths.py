@@ -62,8 +62,9 @@ def test_large_plan_shuffles_fact_once(spark, sf_small, monkeypatch):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin [l_partkey" in plan
     assert "hashpartitioning(l_orderkey" in plan and "hashpartitioning(l_partkey" not in plan
-    _, measured = B.part_side(spark, sf_small)
-    assert 0 < measured <= B.BROADCAST_MAX_BYTES
+    rows, sku_bytes = B.table_sizes(spark, sf_small, {"part": ("p_partkey", "p_type")})["part"]
+    assert rows == spark.read.parquet(f"{sf_small}/part.parquet").count() and sku_bytes > rows
+    assert 0 < B.part_bytes(rows, sku_bytes) <= B.BROADCAST_MAX_BYTES
 
 
 def test_first_three_rank_with_hot_customer(spark, sf_small):
