@@ -242,7 +242,8 @@ def flat_volume_impact(settled: DataFrame, part: DataFrame, events_m: DataFrame,
                        weeks: int = P.DID_WINDOW_WEEKS, panel: DataFrame | None = None) -> DataFrame:
     """(new - old price) x pre-window weekly bookings for each executed event x market."""
     rows = price_event_rows(part, _executed(events_m), market_mult)
-    t = _arm_totals(weekly_panel(settled) if panel is None else panel, events_m, weeks).select("event_id", "market", "t_pre")
+    panel = weekly_panel(settled) if panel is None else panel
+    t = _arm_totals(panel, events_m, weeks).select("event_id", "market", "t_pre")
     j = rows.join(t, ["event_id", "market"], "left")
     wk = F.coalesce(F.col("t_pre"), F.lit(0)) / F.lit(float(weeks))
     out = j.select("event_id", "market", "old_price_c", "new_price_c", "price_change_c", "pct_change",

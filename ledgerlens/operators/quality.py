@@ -51,10 +51,13 @@ def rollup_totals_agree(totals: DataFrame, reference_name: str = "weekly_waterfa
     """Compare each rollup's total GM with the waterfall's; tolerance max(1, 1e-6 * total)
     (in currency units, i.e. 100 cents)."""
     ref = totals.filter(F.col("rollup") == reference_name).select(F.max("gm_total")).scalar()
+    # bound once as a column: an inline scalar subquery referenced four times would be
+    # planned, and its totals recomputed, four times
+    t = totals.withColumn("waterfall_gm_total", ref)
+    ref = F.col("waterfall_gm_total")
     tol = F.greatest(F.lit(100.0), F.abs(ref) * F.lit(1e-6))
-    return totals.select("rollup", "gm_total", ref.alias("waterfall_gm_total"),
-                         (F.col("gm_total") - ref).alias("diff_c"),
-                         (F.abs(F.col("gm_total") - ref) < tol).alias("agrees"))
+    return t.select("rollup", "gm_total", "waterfall_gm_total", (F.col("gm_total") - ref).alias("diff_c"),
+                    (F.abs(F.col("gm_total") - ref) < tol).alias("agrees"))
 
 
 def null_margin_guard(clean: DataFrame) -> DataFrame:

@@ -150,8 +150,8 @@ def stack_distribution(settled: DataFrame) -> DataFrame:
     g = full.groupBy("n_disc_types").agg(F.count(F.lit(1)).alias("bookings"), X.sum0("net_c").alias("net_sum"),
                                          X.sum0("gm_c").alias("gm_sum"))
     tot = g.select(F.sum("bookings")).scalar()
-    return (g.withColumn("share_pct", X.ratio_pct("bookings", tot))
-            .withColumn("gm_pct", X.ratio_pct("gm_sum", "net_sum")))
+    return (g.withColumn("_tot", tot).withColumn("share_pct", X.ratio_pct("bookings", "_tot"))
+            .withColumn("gm_pct", X.ratio_pct("gm_sum", "net_sum")).drop("_tot"))
 
 
 def negative_margin_tail(settled: DataFrame) -> DataFrame:

@@ -1,7 +1,10 @@
 """Segment, channel, geography and operations views.
 
 Shares of a grand total use a scalar subquery (``DataFrame.scalar()``): Spark evaluates
-the one-value aggregate once and inlines it -- no cross join, no single-partition window.
+the one-value aggregate as its own distributed job and inlines it -- no cross join, no
+single-partition window. The subquery is bound to a column once and referenced by name;
+written inline inside an expression that repeats its denominator it would be planned, and
+its scan run, once per reference.
 """
 
 from __future__ import annotations
@@ -19,9 +22,11 @@ def segment_mix(clean: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("bookings"), X.sum0("net_c").alias("revenue"), X.sum0("gm_c").alias("gm"),
         X.flag_share(X.has_coupon()).alias("coupon_pen"), F.avg("total_disc_pct").alias("avg_disc"),
         F.avg("total_member").alias("avg_members"))
+    # the total is bound once as a column: referenced twice inside ratio_pct, an inline
+    # scalar subquery would be planned (and scanned) twice
     total = g.select(F.sum("revenue")).scalar()
-    return (g.withColumn("gm_pct", X.ratio_pct("gm", "revenue"))
-            .withColumn("rev_share", X.ratio_pct("revenue", total)))
+    return (g.withColumn("_total", total).withColumn("gm_pct", X.ratio_pct("gm", "revenue"))
+            .withColumn("rev_share", X.ratio_pct("revenue", "_total")).drop("_total"))
 
 
 def segment_channel(clean: DataFrame) -> DataFrame:

@@ -29,7 +29,8 @@ def top_coupons_by_category(clean: DataFrame, n: int = 5) -> DataFrame:
 
 def revenue_share(clean: DataFrame, key: str = "city") -> DataFrame:
     g = clean.groupBy(key).agg(X.sum0("net_c").alias("revenue"))
-    return g.withColumn("share_pct", X.ratio_pct("revenue", g.select(F.sum("revenue")).scalar()))
+    return (g.withColumn("_total", g.select(F.sum("revenue")).scalar())
+            .withColumn("share_pct", X.ratio_pct("revenue", "_total")).drop("_total"))
 
 
 def waterfall_long(clean: DataFrame) -> DataFrame:
@@ -155,9 +156,10 @@ def lifecycle_curve(clean: DataFrame) -> DataFrame:
 def city_aov_outlier(clean: DataFrame, ratio: float = P.AOV_OUTLIER_RATIO) -> DataFrame:
     g = clean.groupBy("city").agg(F.count(F.lit(1)).alias("bookings"), X.sum0("offer_c").alias("offer_sum"))
     g = g.withColumn("aov", F.col("offer_sum") / F.col("bookings"))
-    med = g.select(F.percentile("aov", 0.5)).scalar()
-    r = F.col("aov") / med
-    return g.select("city", "bookings", "aov", med.alias("median_aov"), r.alias("aov_vs_median"),
+    g = g.withColumn("median_aov", g.select(F.percentile("aov", 0.5)).scalar())
+    g = g.withColumn("aov_vs_median", F.col("aov") / F.col("median_aov"))
+    r = F.col("aov_vs_median")
+    return g.select("city", "bookings", "aov", "median_aov", "aov_vs_median",
                     ((r > ratio) | (r < 1.0 / ratio)).alias("is_outlier"))
 
 
