@@ -39,10 +39,12 @@ def _executed(events_m: DataFrame) -> DataFrame:
     return events_m.filter(F.col("change_week").isNotNull())
 
 
-def event_window_range(clean: DataFrame, events_m: DataFrame, days: int = IMPACT_WINDOW_DAYS) -> DataFrame:
-    """Non-equi join: each executed event x market with the days inside [d - w, d + w - 1]."""
+def event_window_range(clean: DataFrame, events_m: DataFrame, days: int = IMPACT_WINDOW_DAYS,
+                       cells: DataFrame | None = None) -> DataFrame:
+    """Non-equi join: each executed event x market with the days inside [d - w, d + w - 1].
+    ``cells`` is ``daily_cells(clean)`` when the caller already holds it (cached)."""
     ev = F.broadcast(_executed(events_m).select("event_id", "sku", "market", "change_week"))
-    cells = daily_cells(clean)
+    cells = daily_cells(clean) if cells is None else cells
     cond = ((cells.sku == ev.sku) & (cells.market == ev.market)
             & cells.booking_date.between(F.date_sub(ev.change_week, days), F.date_add(ev.change_week, days - 1)))
     j = cells.join(ev, cond)
@@ -51,11 +53,12 @@ def event_window_range(clean: DataFrame, events_m: DataFrame, days: int = IMPACT
                     .alias("side"), "bookings", "gm_sum", "revenue_sum", "offer_sum")
 
 
-def price_event_daily(clean: DataFrame, events_m: DataFrame, days: int = IMPACT_WINDOW_DAYS) -> DataFrame:
+def price_event_daily(clean: DataFrame, events_m: DataFrame, days: int = IMPACT_WINDOW_DAYS,
+                      cells: DataFrame | None = None) -> DataFrame:
     """Every event (executed or not) LEFT JOIN the daily cells on exact sku and market
     inside the window; unmatched events are kept and flagged."""
     ev = F.broadcast(events_m.select("event_id", "sku", "market", "change_week", "status"))
-    cells = daily_cells(clean)
+    cells = daily_cells(clean) if cells is None else cells
     cond = ((ev.sku == cells.sku) & (ev.market == cells.market)
             & cells.booking_date.between(F.date_sub(ev.change_week, days), F.date_add(ev.change_week, days - 1)))
     j = ev.join(cells, cond, "left")
@@ -66,11 +69,11 @@ def price_event_daily(clean: DataFrame, events_m: DataFrame, days: int = IMPACT_
 
 
 def price_event_impact(clean: DataFrame, events_m: DataFrame, rules: DataFrame | None = None,
-                       days: int = IMPACT_WINDOW_DAYS) -> DataFrame:
+                       days: int = IMPACT_WINDOW_DAYS, cells: DataFrame | None = None) -> DataFrame:
     """Per executed event x market: sums before [d-w, d-1] and after [d, d+w-1]; gm_pct and
     ASP deltas; annotated with coupons created in the same window when ``rules`` is given
     (a coincident coupon change contaminates the read)."""
-    r = event_window_range(clean, events_m, days)
+    r = event_window_range(clean, events_m, days, cells)
     pre, post = F.col("side") == "pre", F.col("side") == "post"
 
     def s(c, cond):

@@ -71,6 +71,14 @@ class Context:
         with _LOCK:
             return weekly_panel(self.settled).cache()
 
+    @cached_property
+    def daily_cells(self) -> DataFrame:
+        """Clean-window bookings and sums per (day, sku, market), shared by the event-window
+        keys and cached once per context (bounded by days x skus x markets)."""
+        from ..operators.pricing import daily_cells
+        with _LOCK:
+            return daily_cells(self.clean).cache()
+
     def bucketed(self, *which: str) -> DataFrame:
         """Clean rows with the long-tail buckets the caller uses (``package``, ``city``,
         ``coupon``; all three by default), top-N learned on the clean window. Only the

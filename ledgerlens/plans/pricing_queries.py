@@ -22,10 +22,13 @@ def _part(spark, sf):
     return read_table(spark, sf, "part", ["p_type", "p_retailprice"])
 
 
-register("event_window_range")(lambda s, d: M.event_window_range(_c(s, d).clean, _ev(s)))
-register("price_event_daily")(lambda s, d: M.price_event_daily(_c(s, d).clean, _ev(s)))
-register("price_event_impact")(lambda s, d: M.price_event_impact(_c(s, d).clean, _ev(s), D.rules_union(s)))
-register("arc_elasticity")(lambda s, d: M.arc_elasticity(M.price_event_impact(_c(s, d).clean, _ev(s)), _ev(s)))
+register("event_window_range")(lambda s, d: M.event_window_range(_c(s, d).clean, _ev(s),
+                                                                 cells=_c(s, d).daily_cells))
+register("price_event_daily")(lambda s, d: M.price_event_daily(_c(s, d).clean, _ev(s), cells=_c(s, d).daily_cells))
+register("price_event_impact")(lambda s, d: M.price_event_impact(_c(s, d).clean, _ev(s), D.rules_union(s),
+                                                                 cells=_c(s, d).daily_cells))
+register("arc_elasticity")(lambda s, d: M.arc_elasticity(
+    M.price_event_impact(_c(s, d).clean, _ev(s), cells=_c(s, d).daily_cells), _ev(s)))
 register("did_elasticity")(lambda s, d: M.did_elasticity(_c(s, d).settled, _ev(s), D.promo_events(s),
                                                          panel=_c(s, d).panel))
 register("elastic_projection")(lambda s, d: M.elastic_projection(_c(s, d).settled, _ev(s), D.promo_events(s),
