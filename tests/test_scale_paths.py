@@ -100,3 +100,15 @@ def test_token_scan_single_exchange(spark, sf_small):
     df = E.queries()["banned_tokens"](spark, sf_small)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_grand_total_subquery_scans_once(spark, sf_small):
+    """Grand totals are scalar subqueries bound once: the fact is scanned by the main
+    aggregate and once by the subquery, not once per reference to the total."""
+    import __spark_entry__ as E
+    for key in ("segment_mix", "stack_distribution", "revenue_share", "city_aov_outlier", "rollup_totals_agree"):
+        df = E.queries()[key](spark, sf_small)
+        df.write.format("noop").mode("overwrite").save()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        final = plan[:plan.find("== Initial Plan ==")] if "== Initial Plan ==" in plan else plan
+        assert final.count("FileScan") == 2, key
