@@ -10,20 +10,42 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import encode_documents
 from .common import read_documents
+from .decontaminate import find_contamination
+from .language_id import held_out, identify
 from .license_scan import license_scan
+from .sharding import shard_documents
+from .toxicity import score_toxicity
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(read_documents(spark, sf_dir))
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(read_documents(spark, sf_dir))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(read_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"),
                             public_tokenizers.PATTERN)
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_contamination(read_documents(spark, sf_dir), read_documents(spark, sf_dir, "benchmark"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = score_toxicity(read_documents(spark, sf_dir), read_documents(spark, sf_dir, "labels"))
+    return scored.withColumn("held_out", held_out("doc_id", 5, 0))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(read_documents(spark, sf_dir)).withColumn("held_out", held_out())
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_license_scan, op3_byte_bpe)}
+    return {f.__name__: f for f in (op1_license_scan, op2_sharding, op3_byte_bpe, op6_decontamination,
+                                     op8_toxicity, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
