@@ -1,3 +1,88 @@
 """DuckDB SQL for those training-data queries that SQL can express."""
 
-ORACLE: dict[str, str] = {}
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_SPACED = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+_PLAIN = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+def _passages(documents: str = "documents", window: int = 50) -> str:
+    """Common table expressions: d (doc_id, w: words) and gone (doc_id, p: removed word, from 1)."""
+    return f"""
+d AS (SELECT doc_id, coalesce({_SPACED.format('text')}, []) AS w FROM {documents}),
+windows AS (
+  SELECT doc_id, s, md5(array_to_string(w[s:s + {window - 1}], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - {window} + 2)) AS s FROM d)),
+least AS (SELECT h, min(doc_id) AS least FROM windows GROUP BY h HAVING min(doc_id) < max(doc_id)),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(s, s + {window})) AS p
+  FROM windows JOIN least USING (h) WHERE doc_id > least)"""
+
+
+def _linked(documents: str, gram: int, share: int) -> str:
+    """Common table expressions: sets (doc_id, n), and reach (a, b) over all links."""
+    return f"""
+words AS (SELECT doc_id, coalesce({_SPACED.format(_LOWER.format('text'))}, []) AS w FROM {documents}),
+shingles AS (
+  SELECT DISTINCT doc_id, md5(array_to_string(w[s:s + {gram - 1}], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {gram} + 2, 2))) AS s FROM words WHERE len(w) > 0)),
+sets AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i
+  FROM shingles x JOIN shingles y ON x.h = y.h AND x.doc_id < y.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM shared JOIN sets p ON p.doc_id = a JOIN sets q ON q.doc_id = b
+  WHERE 100 * i >= {share} * (p.n + q.n - i)),
+both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach(a, b) AS (
+  SELECT a, b FROM both_ways
+  UNION
+  SELECT r.a, l.b FROM reach r JOIN both_ways l ON r.b = l.a)"""
+
+
+OP4 = f"""
+WITH RECURSIVE {_linked('documents', 4, 85)}
+SELECT w.doc_id, coalesce(any_value(n), 0) AS n_shingles, least(w.doc_id, coalesce(min(b), w.doc_id)) AS component_id
+FROM words w LEFT JOIN sets USING (doc_id) LEFT JOIN reach ON a = w.doc_id
+GROUP BY w.doc_id"""
+
+OP5 = f"""
+WITH {_passages()},
+each AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text, count(*) AS n
+  FROM each ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)"""
+
+
+def _hits(documents: str = "documents", window: int = 13) -> str:
+    """Common table expressions: d (doc_id, w), found (doc_id, s, n, item_id)."""
+    return f"""
+d AS (SELECT doc_id, coalesce({_PLAIN.format('text')}, []) AS w FROM {documents}),
+items AS (SELECT item_id, {_PLAIN.format('text')} AS w FROM benchmark),
+item_windows AS (
+  SELECT DISTINCT item_id, least(len(w), {window}) AS n, array_to_string(w[s:s + least(len(w), {window}) - 1], ' ') AS x
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - {window} + 2, 2))) AS s FROM items WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM item_windows),
+doc_windows AS (
+  SELECT doc_id, n, s, array_to_string(w[s:s + n - 1], ' ') AS x
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, sizes)),
+found AS (SELECT doc_id, s, n, item_id FROM doc_windows JOIN item_windows USING (n, x))"""
+
+
+OP6 = f"""
+WITH {_hits()},
+hit AS (SELECT doc_id, count(*) AS n_hit FROM (
+  SELECT DISTINCT doc_id, unnest(range(s, s + n)) AS p FROM found) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS items FROM (
+  SELECT DISTINCT doc_id, item_id::VARCHAR AS i FROM found) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)"""
+
+ORACLE: dict[str, str] = {
+    "op4_ngram_jaccard_join": OP4,
+    "op5_substring_dedup": OP5,
+    "op6_decontamination": OP6,
+}

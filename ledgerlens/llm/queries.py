@@ -14,6 +14,7 @@ from .decontaminate import find_contamination
 from .language_id import held_out, identify
 from .license_scan import license_scan
 from .sharding import shard_documents
+from .substring_dedup import dedup_passages
 from .toxicity import score_toxicity
 
 
@@ -30,6 +31,10 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                             public_tokenizers.PATTERN)
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_passages(read_documents(spark, sf_dir))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_contamination(read_documents(spark, sf_dir), read_documents(spark, sf_dir, "benchmark"))
 
@@ -44,7 +49,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_license_scan, op2_sharding, op3_byte_bpe, op6_decontamination,
+    return {f.__name__: f for f in (op1_license_scan, op2_sharding, op3_byte_bpe, op5_substring_dedup, op6_decontamination,
                                      op8_toxicity, op10_language_id)}
 
 
