@@ -11,11 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from .bpe import encode_documents
 from .common import read_documents
 from .decontaminate import find_contamination
+from .jaccard_join import jaccard_components
 from .language_id import held_out, identify
 from .license_scan import license_scan
 from .sharding import shard_documents
 from .substring_dedup import dedup_passages
 from .toxicity import score_toxicity
+from .vector_search import search
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,6 +33,10 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                             public_tokenizers.PATTERN)
 
 
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(read_documents(spark, sf_dir), 4, 85, 100)
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_passages(read_documents(spark, sf_dir))
 
@@ -44,13 +50,17 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("held_out", held_out("doc_id", 5, 0))
 
 
+def op9_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(read_documents(spark, sf_dir, "embeddings"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(read_documents(spark, sf_dir)).withColumn("held_out", held_out())
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_license_scan, op2_sharding, op3_byte_bpe, op5_substring_dedup, op6_decontamination,
-                                     op8_toxicity, op10_language_id)}
+    return {f.__name__: f for f in (op1_license_scan, op2_sharding, op3_byte_bpe, op4_ngram_jaccard_join,
+                                     op5_substring_dedup, op6_decontamination, op8_toxicity, op9_vector_search, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
