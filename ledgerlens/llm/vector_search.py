@@ -31,10 +31,11 @@ from .common import batched, written
 #: Vectors, by smallest hash, that k-means is fitted to, and rounds of fitting.
 SAMPLE_ROWS = 20_000
 ROUNDS = 12
-#: Centres: this many for the sample's square root, within bounds.
+#: Centres: twice the square root of the sample, within bounds.
 LEAST_LISTS, MOST_LISTS = 8, 1024
-#: Share of all lists that a query probes, and at least so many.
-PROBE_SHARE, LEAST_PROBES = 0.25, 8
+#: Share of all lists that a query probes, and at least so many. Vectors without clusters need
+#: a large share (a quarter reaches recall 0.75 on the test vectors, this 0.96 or more).
+PROBE_SHARE, LEAST_PROBES = 0.65, 8
 #: Candidates scanned together.
 BLOCK = 4096
 #: Rotated dimensions of a column block, and the significance of the hypothesis test.
@@ -66,7 +67,7 @@ def fit(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Centres by k-means on the sample, and a random orthogonal matrix."""
     sample = np.array([r.v for r in rows.orderBy("key", "v").select("v").limit(SAMPLE_ROWS).collect()], float)
     rng = np.random.default_rng(7)
-    lists = int(np.clip(np.sqrt(len(sample)), LEAST_LISTS, MOST_LISTS))
+    lists = int(np.clip(2 * np.sqrt(len(sample)), LEAST_LISTS, MOST_LISTS))
     centres = sample[rng.choice(len(sample), min(lists, len(sample)), replace=False)]
     for _ in range(ROUNDS):
         near = nearest_lists(sample, centres, 1)[:, 0]
@@ -149,23 +150,24 @@ def search(vectors: DataFrame, every: int = 100, k: int = 10) -> DataFrame:
              .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = []
+        out = [pd.DataFrame({"key": pd.Series(dtype="int64"), "ids": pd.Series(dtype=object),
+                             "score": pd.Series(dtype=float)})]
         if len(left) and len(right):
             block, queries = np.stack(left["v"].to_numpy()), np.stack(right["v"].to_numpy())
-            keys, vs = right["key"].to_numpy(), right["v"].to_numpy()
             for i, alive, exact in scan(queries, block, shared.value[1], k):
-                out.append(pd.DataFrame({"key": keys[i], "ids": left["ids"].to_numpy()[alive], "score": exact,
-                                         "v": [vs[i]] * len(alive)}))
-        return pd.concat(out) if out else pd.DataFrame({"key": [], "ids": [], "score": [], "v": []})
+                out.append(pd.DataFrame({"key": right["key"].iloc[i], "ids": left["ids"].to_numpy()[alive],
+                                         "score": exact}))
+        return pd.concat(out[1:]) if len(out) > 1 else out[0]
 
     found = cut.select("list", "block", "v", "ids").groupBy("list", "block").cogroup(
         probe.select("list", "block", "v", "key").groupBy("list", "block")).applyInPandas(
-        run, f"key long, ids array<{name}>, score double, v array<double>")
-    near = W.partitionBy("v").orderBy("score", "vec_id")
+        run, f"key long, ids array<{name}>, score double")
+    near = W.partitionBy("key").orderBy("score", "vec_id")
     # k + 1, since one of them may be the query itself
-    top = (found.select("v", "score", F.explode("ids").alias("vec_id"))
+    top = (found.select("key", "score", F.explode("ids").alias("vec_id"))
            .withColumn("r", F.row_number().over(near)).where(F.col("r") <= k + 1).drop("r"))
-    answers = ids.withColumnRenamed("vec_id", "query_id").join(top, "v").where("vec_id != query_id")
+    answers = (ids.select(F.col("vec_id").alias("query_id"), F.xxhash64("v").alias("key"))
+               .join(top, "key").where("vec_id != query_id"))
     order = W.partitionBy("query_id").orderBy("score", "vec_id")
     return (answers.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
