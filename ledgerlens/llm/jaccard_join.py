@@ -228,15 +228,33 @@ def links(sets: DataFrame, docs: DataFrame, gram: int, t: Threshold) -> tuple[Da
     return classes, every.join(top, "label", "left").select("node", F.coalesce("top", "label").alias("label"))
 
 
-def jaccard_components(docs: DataFrame, gram: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """n_shingles and component_id of every row: the smallest doc_id reachable by links between
-    texts whose sets have den * overlap >= num * union."""
-    t = Threshold(num, den)
+def _labelled(docs: DataFrame, gram: int, t: Threshold) -> tuple[DataFrame, DataFrame]:
+    """(sets, members): all rows' sets; sid, doc_id (smallest) and component label of each class."""
     sets = written(sets_of(docs, gram, t), "sets")
     classes, labels = links(sets, docs, gram, t)
-    named = classes.select("sid", "doc_id").join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn(
+    members = classes.select("sid", "doc_id").join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn(
         "label", F.coalesce("label", "sid"))
-    group = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    of_set = named.join(group, "label").select("sid", "component_id")
+    return sets, written(members, "members")
+
+
+def jaccard_components(docs: DataFrame, gram: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """n_shingles and component_id of every row: the smallest doc_id reachable by links between
+    texts whose sets have den * overlap >= num * union."""
+    sets, members = _labelled(docs, gram, Threshold(num, den))
+    group = members.groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    of_set = members.join(group, "label").select("sid", "component_id")
     own = sets.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return sets.where("n > 0").join(of_set, "sid").select("doc_id", F.col("n").alias("n_shingles"), "component_id").union(own)
+
+
+def one_of_each(docs: DataFrame, gram: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """All columns of one row of each component, that of the smallest doc_id (a null one only
+    where no row has an id). Texts without words link with nothing and all stay."""
+    sets, members = _labelled(docs, gram, Threshold(num, den))
+    first = (sets.where("n > 0").join(members.select("sid", "label"), "sid").groupBy("label")
+             .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")).alias("x"))
+             .select(F.col("x.row_key").alias("_row_key")))
+    rows = docs.withColumn("_row_key", F.xxhash64("doc_id", "text"))
+    wordless = F.col("text").isNull() | ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    kept = rows.where(~wordless).join(first, "_row_key", "left_semi").dropDuplicates(["_row_key"])
+    return kept.unionByName(rows.where(wordless)).drop("_row_key")

@@ -16,6 +16,7 @@ from .language_id import held_out, identify
 from .license_scan import license_scan
 from .sharding import shard_documents
 from .substring_dedup import dedup_passages
+from .suffix_dedup import dedup_bytes
 from .toxicity import score_toxicity
 from .vector_search import search
 
@@ -45,6 +46,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_contamination(read_documents(spark, sf_dir), read_documents(spark, sf_dir, "benchmark"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_bytes(read_documents(spark, sf_dir))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = score_toxicity(read_documents(spark, sf_dir), read_documents(spark, sf_dir, "labels"))
     return scored.withColumn("held_out", held_out("doc_id", 5, 0))
@@ -59,8 +64,9 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_license_scan, op2_sharding, op3_byte_bpe, op4_ngram_jaccard_join,
-                                     op5_substring_dedup, op6_decontamination, op8_toxicity, op9_vector_search, op10_language_id)}
+    return {f.__name__: f for f in (
+        op1_license_scan, op2_sharding, op3_byte_bpe, op4_ngram_jaccard_join, op5_substring_dedup,
+        op6_decontamination, op7_suffix_dedup, op8_toxicity, op9_vector_search, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:

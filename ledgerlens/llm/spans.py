@@ -17,9 +17,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import WIDE, batched, signed, sliding_min, texts_of
+from .sketch import maybe_repeated
 
 #: Fields that name a text: its doc_id and its checksum (a doc_id may recur with other texts).
 KEY = ["doc_id", "text_key"]
+CONTEXT = ["anchor", "f1", "f2"]
+_HIGH, _LOW = np.uint64(0xFFFFFFFF00000000), np.uint64(0x00000000FFFFFFFF)
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -29,29 +32,40 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 class Blocks:
-    """Anchors, block starts and block ends (in windows) of one symbol sequence."""
+    """Anchors, block starts and block ends (in windows) of one symbol sequence.
+
+    The anchor of a window is the leftmost piece of the least hash, found by one running minimum
+    over (upper half of the hash, position)."""
 
     def __init__(self, symbols: np.ndarray, window: int, gram: int):
         self.n = max(0, len(symbols) - window + 1)
         self.window = window
+        self.symbols = symbols
         if not self.n:
             self.anchor = np.zeros(0, np.uint64)
             self.first = self.until = np.zeros(0, np.int64)
             return
-        self.prefix = [w.prefix(symbols) for w in WIDE]
-        least = sliding_min(WIDE[0].windows(self.prefix[0], gram), window - gram + 1)
+        self.prefix = [WIDE[0].prefix(symbols)]
+        piece = WIDE[0].windows(self.prefix[0], gram)
+        ranked = (piece & _HIGH) | np.arange(len(piece), dtype=np.uint64)
+        least = sliding_min(ranked, window - gram + 1)
         self.first = np.concatenate(([0], np.flatnonzero(least[1:] != least[:-1]) + 1))
         self.until = np.append(self.first[1:], self.n)
-        self.anchor = least[self.first]
+        self.anchor = piece[(least[self.first] & _LOW).astype(np.int64)]
+
+    def _both(self) -> list[np.ndarray]:
+        if len(self.prefix) == 1:
+            self.prefix.append(WIDE[1].prefix(self.symbols))
+        return self.prefix
 
     def contexts(self, chosen: np.ndarray) -> list[np.ndarray]:
         """Two independent hashes of the contexts of the chosen blocks."""
         lo, hi = self.first[chosen], self.until[chosen] + self.window - 1
-        return [w.spans(p, lo, hi) for w, p in zip(WIDE, self.prefix)]
+        return [w.spans(p, lo, hi) for w, p in zip(WIDE, self._both())]
 
     def hashes(self, starts: np.ndarray) -> list[np.ndarray]:
         """Two independent hashes of the windows at ``starts``."""
-        return [w.spans(p, starts, starts + self.window) for w, p in zip(WIDE, self.prefix)]
+        return [w.spans(p, starts, starts + self.window) for w, p in zip(WIDE, self._both())]
 
 
 def upper(values: np.ndarray) -> pa.Array:
@@ -59,6 +73,37 @@ def upper(values: np.ndarray) -> pa.Array:
     return pa.array((values >> np.uint64(32)).astype(np.uint32).view(np.int32), pa.int32())
 
 
+def flagged_blocks(docs: DataFrame, bitmap: np.ndarray, symbols: Callable[[bytes], np.ndarray], window: int,
+                   gram: int) -> DataFrame:
+    """Blocks whose anchor the bitmap may hold: CONTEXT, KEY, first, n (windows)."""
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+
+    def run(batches):
+        bits = shared.value
+        for batch in batches:
+            size, columns = [], ([], [], [], [], [])
+            for text in texts_of(batch):
+                b = Blocks(symbols(text), window, gram)
+                chosen = np.flatnonzero(maybe_repeated(b.anchor, bits)) if b.n else b.first
+                size.append(len(chosen))
+                if len(chosen):
+                    values = (b.anchor[chosen], *b.contexts(chosen), b.first[chosen], b.until[chosen] - b.first[chosen])
+                    for column, value in zip(columns, values):
+                        column.append(value)
+            if sum(size):
+                row = pa.array(np.repeat(np.arange(len(size)), size))
+                anchor, one, two, first, n = map(np.concatenate, columns)
+                yield pa.RecordBatch.from_arrays([
+                    signed(anchor), signed(one), upper(two), batch.column("doc_id").take(row),
+                    batch.column("text_key").take(row), pa.array(first, pa.int32()), pa.array(n, pa.int32())],
+                    names=[*CONTEXT, *KEY, "first", "n"])
+
+    return batched(keyed(docs), run, T.StructType([
+        T.StructField("anchor", T.LongType()), T.StructField("f1", T.LongType()), T.StructField("f2", T.IntegerType()),
+        T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("text_key", T.LongType()),
+        T.StructField("first", T.IntegerType()), T.StructField("n", T.IntegerType())]))
+
+
 def windows_at(docs: DataFrame, places: DataFrame, symbols: Callable[[bytes], np.ndarray], window: int) -> DataFrame:
     """(h1, h2, doc_id, text_key, first) of every window in the given blocks (KEY, first, n)."""
     id_type = docs.schema["doc_id"].dataType

@@ -19,14 +19,12 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .common import batched, covered, signed, space_words, texts_of, word_hashes, written
-from .sketch import maybe_repeated, repeated_bitmap
-from .spans import KEY, Blocks, keyed, rewrite, upper, windows_at
+from .common import covered, space_words, texts_of, word_hashes, written
+from .sketch import repeated_bitmap
+from .spans import CONTEXT, KEY, Blocks, flagged_blocks, keyed, rewrite, windows_at
 
 #: Words of a window; words of the pieces whose least hash is a window's anchor.
 WINDOW = 50
@@ -37,50 +35,20 @@ def symbols(text: bytes) -> np.ndarray:
     return word_hashes(space_words(text))
 
 
-def suspect_blocks(docs: DataFrame, window: int, gram: int) -> DataFrame:
-    """Blocks whose anchor may occur in several documents: anchor, context, KEY, first, n."""
-    rows = keyed(docs)
-
-    def keys(batch):
-        return [np.unique(Blocks(symbols(t), window, gram).anchor) for t in texts_of(batch)]
-
-    shared = docs.sparkSession.sparkContext.broadcast(repeated_bitmap(rows, keys))
-
-    def run(batches):
-        bitmap = shared.value
-        for batch in batches:
-            size, anchor, one, two, first, n = [], [], [], [], [], []
-            for text in texts_of(batch):
-                b = Blocks(symbols(text), window, gram)
-                chosen = np.flatnonzero(maybe_repeated(b.anchor, bitmap)) if b.n else np.zeros(0, np.int64)
-                size.append(len(chosen))
-                if len(chosen):
-                    h = b.contexts(chosen)
-                    for column, value in zip((anchor, one, two, first, n), (
-                            b.anchor[chosen], h[0], h[1], b.first[chosen], b.until[chosen] - b.first[chosen])):
-                        column.append(value)
-            if sum(size):
-                row = pa.array(np.repeat(np.arange(len(size)), size))
-                yield pa.RecordBatch.from_arrays([
-                    signed(np.concatenate(anchor)), signed(np.concatenate(one)), upper(np.concatenate(two)),
-                    batch.column("doc_id").take(row), batch.column("text_key").take(row),
-                    pa.array(np.concatenate(first), pa.int32()), pa.array(np.concatenate(n), pa.int32())],
-                    names=["anchor", "f1", "f2", *KEY, "first", "n"])
-
-    return batched(rows, run, T.StructType([
-        T.StructField("anchor", T.LongType()), T.StructField("f1", T.LongType()), T.StructField("f2", T.IntegerType()),
-        T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("text_key", T.LongType()),
-        T.StructField("first", T.IntegerType()), T.StructField("n", T.IntegerType())]))
+def sketched(docs: DataFrame, window: int, gram: int) -> np.ndarray:
+    """First pass: bitmap of the anchors that may occur in several documents."""
+    return repeated_bitmap(keyed(docs), lambda batch: [
+        np.unique(Blocks(symbols(t), window, gram).anchor) for t in texts_of(batch)])
 
 
 def repeated_places(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """Stretches of windows (KEY, first, n) that also start in a document of smaller doc_id."""
-    blocks = written(suspect_blocks(docs, window, gram), "blocks")
-    context = ["anchor", "f1", "f2"]
-    leaders = blocks.groupBy(*context).agg(F.min(F.struct(*KEY, "first", "n")).alias("lead"),
+    bitmap = sketched(docs, window, gram)
+    blocks = written(flagged_blocks(docs, bitmap, symbols, window, gram), "blocks")
+    leaders = blocks.groupBy(*CONTEXT).agg(F.min(F.struct(*KEY, "first", "n")).alias("lead"),
                                            F.count(F.lit(1)).alias("size"))
     leaders = written(leaders, "leaders")
-    whole = (blocks.join(leaders.where("size > 1").select(*context, F.col("lead.doc_id").alias("least")), context)
+    whole = (blocks.join(leaders.where("size > 1").select(*CONTEXT, F.col("lead.doc_id").alias("least")), CONTEXT)
              .where("doc_id > least").select(*KEY, "first", "n"))
     several = leaders.groupBy("anchor").agg(F.count(F.lit(1)).alias("contexts")).where("contexts > 1")
     edges = leaders.join(several, "anchor", "left_semi").select("lead.*")

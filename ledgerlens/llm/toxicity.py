@@ -33,7 +33,7 @@ from .common import batched, per_document, texts_of
 from .language_id import held_out
 
 #: Documents of each label in the sample that fits the chain and the logistic layer.
-SAMPLE_ROWS = 1500
+SAMPLE_ROWS = 500
 #: A lexicon word occurs in this many toxic learning documents at least (the lower of a count
 #: and a share of them), and its log-odds lie this many standard errors above zero.
 LEAST_TOXIC, SIGNIFICANT = 4, 4.0
@@ -164,7 +164,7 @@ def fit_chain(sequences: list[tuple[np.ndarray, np.ndarray]]) -> Chain:
         return Chain(np.zeros(6))
     lengths = np.array([len(o) for o, _ in pieces])
     mask = np.arange(width) < lengths[:, None]
-    x, y = np.zeros(mask.shape), np.zeros(mask.shape, np.int64)
+    x, y = np.zeros(mask.shape), np.zeros(mask.shape, np.int8)
     x[mask], y[mask] = np.concatenate([o for o, _ in pieces]), np.concatenate([t for _, t in pieces])
     listed = x > 0
     pair = mask[:, 1:]
@@ -252,7 +252,7 @@ def learn(docs: DataFrame, labels: DataFrame):
         rows.append((x, at, r.n_words, r.toxic))
         odds = np.zeros(r.n_words)
         odds[at] = x
-        tagged.append((odds, (odds > 0).astype(np.int64) * r.toxic))
+        tagged.append((odds, (odds > 0).astype(np.int8) * np.int8(r.toxic)))
     chain = fit_chain(tagged)
     sizes = np.array([n for _, _, n, _ in rows])
     p, _ = chain.marginals([x for x, *_ in rows], [at for _, at, *_ in rows], sizes)
