@@ -1,8 +1,80 @@
-"""The corpus pipeline: toxicity, near duplicates, repeated passages, benchmark passages, tokens."""
+"""The corpus pipeline: from raw documents to token ids, in five stages.
+
+Each stage takes all that its predecessor kept and its decisions take effect. ``run`` writes each
+stage's result to the shared folder as Parquet and reads it back for the next.
+
+1. toxicity: documents predicted toxic go.
+2. near_duplicates: of each component of texts linked by a Jaccard similarity of 0.8 or more over
+   five-word shingles, the document of smallest doc_id stays.
+3. passages: words inside a 50-word passage that a document of smaller doc_id has go; a document
+   of which nothing is left goes, unchanged texts keep their layout.
+4. decontamination: documents of which a twentieth or more lies in benchmark windows go.
+5. tokens: byte-level BPE ids of every text.
+
+The first and last stage have no SQL twin (a trained chain, a tokenizer), so ORACLE_SQL is None
+and tests hold the stages against brute force."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ledgerlens.llm.bpe import encode_documents
+from ledgerlens.llm.common import read_documents, written
+from ledgerlens.llm.decontaminate import find_contamination
+from ledgerlens.llm.jaccard_join import one_of_each
+from ledgerlens.llm.substring_dedup import dedup_passages
+from ledgerlens.llm.toxicity import score_toxicity
 
-STAGES: list = []
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def _columns(found: DataFrame, docs: DataFrame) -> DataFrame:
+    return found.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    scored = score_toxicity(docs, read_documents(spark, sf_dir, "labels"), keep=True)
+    return _columns(scored.where("predicted = 0"), docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return _columns(one_of_each(docs), docs)
+
+
+def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = dedup_passages(docs, keep=True).where("n_removed = 0 or n_removed < n_words")
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        found = found.withColumn("n_chars", F.when(
+            F.col("n_removed") > 0, F.char_length("text").cast(kind)).otherwise(F.col("n_chars")))
+    return _columns(found, docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    scanned = find_contamination(docs, read_documents(spark, sf_dir, "benchmark"), keep=True)
+    return _columns(scanned.where("not contaminated"), docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN,
+                            with_ids=True)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", toxicity),
+    ("near_duplicates", near_duplicates),
+    ("passages", passages),
+    ("decontamination", decontamination),
+    ("tokens", tokens),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_documents(spark, sf_dir)
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
