@@ -1,7 +1,8 @@
 """Operator 8: toxicity by a linear-chain conditional random field over words.
 
 1. Corpus statistics (Spark, all learning rows): in how many toxic and clean labelled documents
-   each word occurs. Words whose log-odds of toxicity are significantly positive form the lexicon.
+   each word and each word beginning (stem) occurs. Those whose log-odds of toxicity are
+   significantly positive form the lexicon; a word takes the largest odds of itself and its stems.
 2. Labelled tokens: a lexicon word of a toxic document is tagged offending, every other word is
    not. A two-tag chain (emissions from a word's log-odds, tag transitions) is fitted to a bounded
    sample by gradient ascent on the conditional likelihood.
@@ -36,13 +37,16 @@ from .language_id import held_out
 SAMPLE_ROWS = 500
 #: A lexicon word occurs in this many toxic learning documents at least (the lower of a count
 #: and a share of them), and its log-odds lie this many standard errors above zero.
-LEAST_TOXIC, SIGNIFICANT = 4, 4.0
+LEAST_TOXIC, SIGNIFICANT = 4, 3.0
 #: Words of the lexicon, the most significant first; bounds what is broadcast.
 LEXICON = 20_000
 FOLDS, FOLD = 5, 0
 #: Weight of the ridge penalty, steps and step size of the gradient ascent.
 RIDGE, STEPS, RATE = 1e-3, 150, 0.5
 
+#: Lengths (bytes) of the word beginnings counted next to whole words; a stem is marked by a star.
+STEMS = (5, 6, 7, 8)
+
 _WORD = regex.compile(rb"[a-z0-9\x80-\xff]+")
 _LOWER = bytes((b + 32) if 0x41 <= b <= 0x5A else b for b in range(256))
 
@@ -52,6 +56,25 @@ def words_at(text: bytes | None) -> tuple[list[bytes], list[int]]:
     return [m.group() for m in found], [m.start() for m in found]
 
 
+def entries(word: bytes) -> list[bytes]:
+    """Lexicon entries that speak for a word."""
+    return [word, *(word[:k] + b"*" for k in STEMS if len(word) >= k)]
+
+
+class Odds(dict):
+    """word -> its odds by the lexicon, 0 for a plain word (a bounded memo)."""
+
+    def __init__(self, lexicon: dict[bytes, float]):
+        super().__init__()
+        self.lexicon = lexicon
+
+    def __missing__(self, word: bytes) -> float:
+        if len(self) >= 1 << 18:
+            self.clear()
+        odds = self[word] = max(self.lexicon.get(e, 0.0) for e in entries(word))
+        return odds
+
+
 # -- corpus statistics ---------------------------------------------------------------------
 
 def learning_labels(labels: DataFrame) -> DataFrame:
@@ -66,14 +89,14 @@ def word_sets(rows: DataFrame) -> DataFrame:
         for batch in batches:
             counts: dict[tuple[bytes, int], int] = {}
             for text, toxic in zip(texts_of(batch), batch.column("toxic").to_pylist()):
-                for word in set(words_at(text)[0]):
+                for word in {e for w in set(words_at(text)[0]) for e in entries(w)}:
                     counts[word, toxic] = counts.get((word, toxic), 0) + 1
             yield pa.RecordBatch.from_arrays([
-                pa.array([w for w, _ in counts], pa.binary()).cast(pa.string()),
+                pa.array([w for w, _ in counts], pa.binary()),
                 pa.array([t for _, t in counts], pa.int32()),
                 pa.array(list(counts.values()), pa.int64())], names=["word", "toxic", "n"])
 
-    return batched(rows, run, "word string, toxic int, n long")
+    return batched(rows, run, "word binary, toxic int, n long")
 
 
 def lexicon(rows: DataFrame) -> dict[bytes, float]:
@@ -90,7 +113,7 @@ def lexicon(rows: DataFrame) -> dict[bytes, float]:
     least = min(LEAST_TOXIC, max(1, bad // 20))
     kept = (counts.where(F.col("t") >= least).select("word", odds.alias("odds"), (odds / error).alias("z"))
             .where(F.col("z") >= SIGNIFICANT).orderBy(F.desc("z"), "word").limit(LEXICON))
-    return {r.word.encode(): float(r.odds) for r in kept.collect()}
+    return {bytes(r.word): float(r.odds) for r in kept.collect()}
 
 
 # -- the chain -----------------------------------------------------------------------------
@@ -210,12 +233,12 @@ def fit_chain(sequences: list[tuple[np.ndarray, np.ndarray]]) -> Chain:
 
 # -- texts ---------------------------------------------------------------------------------
 
-def listed_words(text: bytes | None, odds_of: dict[bytes, float]):
+def listed_words(text: bytes | None, odds_of: Odds):
     """Odds, word positions and byte spans of the lexicon words of a text; its number of words."""
     words, starts = words_at(text)
-    at = [k for k, w in enumerate(words) if w in odds_of]
-    return (np.array([odds_of[words[k]] for k in at]), np.array(at, np.int64),
-            [(starts[k], starts[k] + len(words[k])) for k in at], len(words))
+    odds = np.fromiter(map(odds_of.__getitem__, words), float, len(words))
+    at = np.flatnonzero(odds)
+    return odds[at], at, [(starts[k], starts[k] + len(words[k])) for k in at], len(words)
 
 
 def features(p: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -263,8 +286,9 @@ def sample_words(rows: DataFrame, odds_of: dict[bytes, float]) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(odds_of)
 
     def run(batches):
+        odds = Odds(shared.value)
         for batch in batches:
-            found = [listed_words(t, shared.value) for t in texts_of(batch)]
+            found = [listed_words(t, odds) for t in texts_of(batch)]
             yield pa.RecordBatch.from_arrays([
                 pa.array([f[0] for f in found], pa.list_(pa.float64())),
                 pa.array([f[1] for f in found], pa.list_(pa.int64())),
@@ -287,7 +311,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, keep: bool = False, model
         model = shared.value
         span = pa.list_(pa.struct([("first", pa.int32()), ("until", pa.int32())]))
         if model:
-            odds_of, chain, layer = model[0], Chain(model[1]), model[2]
+            odds_of, chain, layer = Odds(model[0]), Chain(model[1]), model[2]
 
         def score(texts):
             n = len(texts)
