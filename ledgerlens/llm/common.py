@@ -3,8 +3,11 @@ splitting on raw UTF-8 bytes, vectorised hashing, and tables written to the shar
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -136,8 +139,28 @@ def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[bytes | None]:
     return batch.column(name).cast(pa.binary()).to_pylist()
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python once per application, as ``--py-files`` would,
+    so that a job also runs where only the driver can import it."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parents[1]
+    if package.is_dir():  # else it already came as an archive
+        target = Path(tempfile.mkdtemp(prefix="ledgerlens-py-")) / "ledgerlens.zip"
+        with zipfile.ZipFile(target, "w") as z:
+            for f in sorted(package.rglob("*.py")):
+                z.write(f, f.relative_to(package.parent))
+        sc.addPyFile(str(target))
+    _shipped.add(sc.applicationId)
+
+
 def batched(df: DataFrame, fn: Callable, schema: str | T.StructType) -> DataFrame:
     """``mapInArrow`` with bounded batches; ``fn`` takes and yields record batches."""
+    ship(df.sparkSession)
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_PER_BATCH)
     return df.mapInArrow(fn, schema)
 
