@@ -37,7 +37,7 @@ from .language_id import held_out
 SAMPLE_ROWS = 500
 #: A lexicon word occurs in this many toxic learning documents at least (the lower of a count
 #: and a share of them), and its log-odds lie this many standard errors above zero.
-LEAST_TOXIC, SIGNIFICANT = 4, 4.0
+LEAST_TOXIC, SIGNIFICANT, LEAST_ODDS = 4, 4.0, 1.5
 #: Words of the lexicon, the most significant first; bounds what is broadcast.
 LEXICON = 20_000
 FOLDS, FOLD = 5, 0
@@ -112,7 +112,7 @@ def lexicon(rows: DataFrame) -> dict[bytes, float]:
     error = F.sqrt(1 / (F.col("t") + 0.5) + 1 / (F.col("c") + 0.5))
     least = min(LEAST_TOXIC, max(1, bad // 20))
     kept = (counts.where(F.col("t") >= least).select("word", odds.alias("odds"), (odds / error).alias("z"))
-            .where(F.col("z") >= SIGNIFICANT).orderBy(F.desc("z"), "word").limit(LEXICON))
+            .where((F.col("z") >= SIGNIFICANT) & (F.col("odds") >= LEAST_ODDS)).orderBy(F.desc("z"), "word").limit(LEXICON))
     return {bytes(r.word): float(r.odds) for r in kept.collect()}
 
 
