@@ -179,8 +179,9 @@ def links(sets: DataFrame, docs: DataFrame, gram: int, t: Threshold) -> tuple[Da
         F.first("prefix").alias("prefix")), "classes")
     entries = written(index_entries(classes).withColumn("block", F.expr(t.block("n"))), "entries")
 
-    # One pivot for each list: compared with the list's block and the next larger one.
-    heads = entries.groupBy("token", "block").agg(F.min(F.struct("sid", "n", "pos")).alias("x"))
+    # One pivot for each list, compared with the list's block and the next larger one: the set that
+    # has fewest rarer shingles before this one, in a group of near copies the nearest to the middle.
+    heads = entries.groupBy("token", "block").agg(F.min(F.struct("pos", "sid", "n")).alias("x"))
     both = entries.select("*", F.explode(F.array("block", F.col("block") - 1)).alias("list"))
     answers = (both.join(heads.select("token", F.col("block").alias("list"), "x"), ["token", "list"])
                .where("sid != x.sid").select("token", "list", "sid", "n", "pos", F.col("x.sid").alias("b"),
