@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from .. import params as P
 
-MONEY_PARTS = ["offer_c", "special_c", "vip_c", "coupon_c", "redcash_c", "giftcard_c", "net_c", "cpt_c", "gm_c"]
-
-
 def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -87,11 +84,6 @@ def is_combo(c="package_code") -> Column:
     return F.coalesce(F.col(c).contains(","), F.lit(False))
 
 
-def coupon_depth_pct() -> Column:
-    """Coupon discount as percent of offer (double)."""
-    return ratio_pct("coupon_c", "offer_c")
-
-
 def risk_flag(pen="coupon_penetration", disc="avg_total_disc_pct", chg="actual_price_pct_change") -> Column:
     """Ordered stacking-risk rules (null-safe: a missing input never satisfies a rule)."""
     pen, disc, chg = col(pen), col(disc), col(chg)

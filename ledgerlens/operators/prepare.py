@@ -42,22 +42,13 @@ def with_week(df: DataFrame, date_col: str = "booking_date") -> DataFrame:
     return df.withColumn("week_start", X.week_start(date_col))
 
 
-# -- P06 / P07 / P08 / P11 / P15 / P16 ------------------------------------------------
+# -- P06 / P07 / P08 / P11 / P15 ------------------------------------------------
 
 def discount_kinds(df: DataFrame, nonzero_rule: bool = True) -> DataFrame:
     n = X.n_disc_types(nonzero_rule)
     return df.withColumn("n_disc_types", n).withColumn("n_disc_bucket", X.stack_bucket(n))
 
 
-def with_flags(df: DataFrame) -> DataFrame:
-    """has_coupon, depth tier, combo flag, negative-margin and 3+-stack flags."""
-    return (df.withColumn("has_coupon", X.has_coupon())
-            .withColumn("depth_tier", X.depth_tier("n_disc"))
-            .withColumn("is_combo", X.is_combo())
-            .withColumn("is_negative_gm", F.coalesce(F.col("gm_c") < 0, F.lit(False)))
-            .withColumn("is_3plus", F.col("n_disc") >= 3))
-
-
 def net_and_margin(df: DataFrame, parts=("special_c", "vip_c", "coupon_c", "redcash_c", "giftcard_c"),
                    offer="offer_c", cost="cpt_c") -> DataFrame:
     """net = offer - discounts; gm = net - cost; flags for negative margin and 3+ kinds."""
@@ -71,17 +62,6 @@ def net_and_margin(df: DataFrame, parts=("special_c", "vip_c", "coupon_c", "redc
             .withColumn("is_3plus", kinds >= 3))
 
 
-def cap_total_discount(df: DataFrame, parts=("special_c", "vip_c", "coupon_c", "redcash_c", "giftcard_c"),
-                       offer="offer_c", cap: float = 0.95) -> DataFrame:
-    """If the discounts exceed ``cap`` of the offer, scale all of them proportionally."""
-    tot = sum(F.coalesce(F.col(p), F.lit(0)) for p in parts)
-    scale = F.least(F.lit(1.0), F.lit(cap) * F.col(offer) / F.greatest(tot.cast("double"), F.lit(1e-9)))
-    out = df.withColumn("_scale", scale)          # one scale for all parts, computed before rescaling
-    for p in parts:
-        out = out.withColumn(p, F.col(p) * F.col("_scale"))
-    return out.drop("_scale")
-
-
 def nan_to_null(df: DataFrame, cols: list[str]) -> DataFrame:
     """NaN -> NULL at ingest: in Spark ``NaN > 15`` is true, in pandas it is false (C17)."""
     out = df
@@ -139,6 +119,14 @@ def from_clean_start(df: DataFrame, start: _dt.date, end: _dt.date) -> DataFrame
             .withColumn("is_partial", ~F.col("booking_date").between(F.lit(start), F.lit(end))))
 
 
+def flag_partial_weeks(df: DataFrame, first_day: _dt.date | None, last_day: _dt.date | None) -> DataFrame:
+    """``is_partial``: the booking's week (Monday to Sunday) is not wholly inside
+    [first_day, last_day], so weeks cut by either edge of the covered days are partial."""
+    starts_before = F.col("week_start") < F.lit(first_day).cast("date")
+    ends_after = F.date_add("week_start", 6) > F.lit(last_day).cast("date")
+    return df.withColumn("is_partial", F.coalesce(starts_before | ends_after, F.lit(False)))
+
+
 def complete_weeks(df: DataFrame) -> DataFrame:
     return df.filter(~F.col("is_partial"))
 

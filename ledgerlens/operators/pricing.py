@@ -213,11 +213,12 @@ def did_pairing(settled: DataFrame, events_m: DataFrame, weeks: int = P.DID_WIND
 
 
 def concurrent_coupon_change(events_m: DataFrame, rules: DataFrame, days: int = IMPACT_WINDOW_DAYS) -> DataFrame:
-    """Coupons created inside each executed event's window (sorted, comma-joined)."""
-    ev = _executed(events_m)
-    r = F.broadcast(rules.filter(F.col("create_date").isNotNull()).select("coupon_code", "create_date"))
-    cond = r.create_date.between(F.date_sub(ev.change_week, days), F.date_add(ev.change_week, days - 1))
-    j = ev.join(r, cond, "left")
+    """Coupons created inside each executed event's window (sorted, comma-joined). Each event
+    is exploded to the days of its window, so the join is an equality on the day."""
+    day = F.explode(F.sequence(F.date_sub("change_week", days), F.date_add("change_week", days - 1)))
+    ev = _executed(events_m).select("event_id", "market", day.alias("create_date"))
+    r = rules.filter(F.col("create_date").isNotNull()).select("coupon_code", "create_date")
+    j = ev.join(r, "create_date", "left")
     return j.groupBy("event_id", "market").agg(
         F.count("coupon_code").alias("coupons_created"),
         F.array_join(F.array_sort(F.collect_set("coupon_code")), ",").alias("coupon_codes"))
@@ -312,18 +313,21 @@ def cap_scenarios(settled: DataFrame, caps=CAPS, loss_rates=LOSS_RATES) -> DataF
     affected = bookings with more kinds than the cap; gross = their discount above what the
     cap-level average discount rate would give; at_risk = their GM; net = gross - r *
     (at_risk + gross); break-even r = gross / (at_risk + gross). Levels are aggregated
-    first (one row per kind count), each level fans out to the caps below it."""
+    first (one row per kind count), each level fans out to the caps up to it."""
     full = PR.complete_weeks(settled)
     disc = sum(F.col(c) for c in P.DISCOUNT_KINDS)
     lv = full.groupBy(F.col("n_disc").alias("level")).agg(
         F.count(F.lit(1)).alias("bookings"), X.sum0("offer_c").alias("offer"), X.sum0(disc).alias("disc"),
         X.sum0("gm_c").alias("gm"))
     cap_arr = F.array(*[F.lit(c) for c in caps])
-    fan = lv.select("*", F.explode(F.filter(cap_arr, lambda c: c < F.col("level"))).alias("cap"))
-    aff = fan.groupBy("cap").agg(F.sum("bookings").alias("affected_bookings"), F.sum("offer").alias("offer_aff"),
-                                 F.sum("disc").alias("disc_aff"), F.sum("gm").alias("gm_aff"))
-    capl = lv.select(F.col("level").alias("cap"), F.col("offer").alias("offer_cap"), F.col("disc").alias("disc_cap"))
-    j = aff.join(capl, "cap", "left")
+    fan = lv.select("*", F.explode(F.filter(cap_arr, lambda c: c <= F.col("level"))).alias("cap"))
+    above, at_cap = F.col("level") > F.col("cap"), F.col("level") == F.col("cap")
+    aff = fan.groupBy("cap").agg(
+        F.sum(F.when(above, F.col("bookings"))).alias("affected_bookings"),
+        F.sum(F.when(above, F.col("offer"))).alias("offer_aff"), F.sum(F.when(above, F.col("disc"))).alias("disc_aff"),
+        F.sum(F.when(above, F.col("gm"))).alias("gm_aff"), F.max(F.when(at_cap, F.col("offer"))).alias("offer_cap"),
+        F.max(F.when(at_cap, F.col("disc"))).alias("disc_cap")).where("affected_bookings is not null")
+    j = aff
     gross = F.col("disc_aff") - (F.col("disc_cap") / F.col("offer_cap")) * F.col("offer_aff")
     j = j.withColumn("gross_recovered", gross).withColumn("at_risk_gm", F.col("gm_aff"))
     j = j.withColumn("loss_rate", F.explode(F.array(*[F.lit(float(r)) for r in loss_rates])))
@@ -336,16 +340,16 @@ def cap_scenarios(settled: DataFrame, caps=CAPS, loss_rates=LOSS_RATES) -> DataF
 def coupon_health(clean: DataFrame, healthy: float = 0.66, watch: float = 0.33) -> DataFrame:
     """Composite coupon score: mean percent-rank over revenue, volume, AOV, repeat share,
     discount efficiency (higher is better) and concentration in one package (lower is
-    better). Per-coupon measures come from two aggregates; the ranking window runs over
-    the coupon aggregate (one row per code)."""
+    better). Measures come from one aggregate at coupon x package rolled up to coupons; the
+    ranking window runs over the coupon aggregate (one row per code)."""
     c = clean.filter(F.col("coupon_code").isNotNull())
-    per = c.groupBy("coupon_code").agg(
+    pairs = c.groupBy("coupon_code", "package_code").agg(
         F.count(F.lit(1)).alias("bookings"), X.sum0("net_c").alias("revenue"), X.sum0("gm_c").alias("gm"),
         X.sum0("offer_c").alias("offer"), X.sum0("coupon_c").alias("coupon_sum"),
         X.count_when(F.col("booking_flag") == P.REPEAT).alias("repeat_n"))
-    top_pkg = (c.groupBy("coupon_code", "package_code").agg(F.count(F.lit(1)).alias("n"))
-               .groupBy("coupon_code").agg(F.max("n").alias("top_package_n")))
-    m = per.join(top_pkg, "coupon_code").select(
+    m = pairs.groupBy("coupon_code").agg(
+        *[F.sum(k).alias(k) for k in ("revenue", "gm", "offer", "coupon_sum", "repeat_n")],
+        F.max("bookings").alias("top_package_n"), F.sum("bookings").alias("bookings")).select(
         "coupon_code", "bookings", "revenue",
         (F.col("offer") / F.col("bookings")).alias("aov"),
         X.ratio("repeat_n", "bookings").alias("repeat_share"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import params as P
 from ..functions import exprs as X
 
 
@@ -71,7 +72,7 @@ def settings_duplicates(settings: DataFrame, key: str = "key") -> DataFrame:
 
 
 def banned_tokens(docs: DataFrame, banned_hashes: DataFrame, text_col: str = "text", id_col: str = "doc_id",
-                  pattern: str = r"[A-Za-z][A-Za-z0-9_\-]{2,60}") -> DataFrame:
+                  pattern: str = P.TOKEN_PATTERN) -> DataFrame:
     """Tokens whose SHA-256 of the lower-cased form is listed; hits per document.
 
     Tokens are produced per row by ``regexp_extract_all`` over the whole text and hashed
@@ -81,6 +82,6 @@ def banned_tokens(docs: DataFrame, banned_hashes: DataFrame, text_col: str = "te
     # sha2 is nullable in Catalyst, so the join would get an inferred isnotnull(sha2(...))
     # filter below the projection and hash every token twice; a non-nullable key avoids it.
     hashed = toks.withColumn("token_hash", F.coalesce(F.sha2(F.lower("token"), 256), F.lit("")))
-    hits = hashed.join(F.broadcast(banned_hashes.select("token_hash")), "token_hash", "left_semi")
+    hits = hashed.join(banned_hashes.select("token_hash"), "token_hash", "left_semi")
     return hits.groupBy(id_col).agg(F.count(F.lit(1)).alias("hits"),
                                     F.countDistinct("token_hash").alias("distinct_tokens"))

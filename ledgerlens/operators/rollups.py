@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import params as P
@@ -76,19 +76,22 @@ def stacking_weekly(clean: DataFrame) -> DataFrame:
     return summary(df, ["week_start", "n_disc_types"])
 
 
-def geo_weekly(clean: DataFrame) -> DataFrame:
-    df = PR.bucket_top_n(clean, clean, "city", P.TOP_N["city20"], "city_b")
-    df = PR.bucket_top_n(df, clean, "zone", P.TOP_N["zone30"], "zone_b")
+def geo_weekly(clean: DataFrame, top=None) -> DataFrame:
+    """``top(key, n)`` gives learned top lists (cached by the context); else they are learned here."""
+    top = top or (lambda key, n: PR.top_values(clean, key, n))
+    df = PR.bucket_by_top(clean, top("city", P.TOP_N["city20"]), "city", "city_b")
+    df = PR.bucket_by_top(df, top("zone", P.TOP_N["zone30"]), "zone", "zone_b")
     return summary(df.drop("city", "zone").withColumnRenamed("city_b", "city").withColumnRenamed("zone_b", "zone"),
                    ["week_start", "city", "zone"], with_offer=True)
 
 
-def daily_trend(settled: DataFrame, clean: DataFrame, start: _dt.date, end: _dt.date) -> DataFrame:
+def daily_trend(settled: DataFrame, clean: DataFrame, start: _dt.date, end: _dt.date, top=None) -> DataFrame:
     """Daily table over everything from the clean start on; top-N learned on the clean
     window, applied to the wider frame (C9); days outside the window flagged partial."""
     src = settled.filter(F.col("booking_date") >= F.lit(start))
-    src = PR.bucket_top_n(src, clean, "package_code", P.TOP_N["package15"], "package_bucket")
-    src = PR.bucket_top_n(src, clean, "city", P.TOP_N["city6"], "city_bucket")
+    top = top or (lambda key, n: PR.top_values(clean, key, n))
+    src = PR.bucket_by_top(src, top("package_code", P.TOP_N["package15"]), "package_code", "package_bucket")
+    src = PR.bucket_by_top(src, top("city", P.TOP_N["city6"]), "city", "city_bucket")
     out = summary(src, ["booking_date", "package_bucket", "city_bucket"])
     return out.withColumn("is_partial", ~F.col("booking_date").between(F.lit(start), F.lit(end)))
 
@@ -105,9 +108,10 @@ def package_gm(clean: DataFrame, min_rows: int = P.MIN_PACKAGE_ROWS) -> DataFram
     return out.withColumn("is_combo", X.is_combo())
 
 
-def booking_cube_weekly(clean: DataFrame) -> DataFrame:
-    df = PR.bucket_top_n(clean, clean, "package_code", P.TOP_N["package80"], "package_bucket")
-    df = PR.bucket_top_n(df, clean, "city", P.TOP_N["package15"], "city_bucket")
+def booking_cube_weekly(clean: DataFrame, top=None) -> DataFrame:
+    top = top or (lambda key, n: PR.top_values(clean, key, n))
+    df = PR.bucket_by_top(clean, top("package_code", P.TOP_N["package80"]), "package_code", "package_bucket")
+    df = PR.bucket_by_top(df, top("city", P.TOP_N["city15"]), "city", "city_bucket")
     return summary(df, ["week_start", "package_bucket", "city_bucket", "customer_category", "booking_flag"],
                    {"cost_sum": X.sum0("cpt_c"), "avg_total_disc_pct": F.avg("total_disc_pct")},
                    with_offer=True)
@@ -145,13 +149,12 @@ def weekly_segment(settled: DataFrame) -> DataFrame:
 def stack_distribution(settled: DataFrame) -> DataFrame:
     """Discount kinds over complete weeks: share of bookings and gm_pct.
 
-    The grand total is a scalar subquery over the (four-row) aggregate."""
+    The grand total is a window over the (four-row) aggregate."""
     full = PR.complete_weeks(settled).withColumn("n_disc_types", X.stack_bucket("n_disc"))
     g = full.groupBy("n_disc_types").agg(F.count(F.lit(1)).alias("bookings"), X.sum0("net_c").alias("net_sum"),
                                          X.sum0("gm_c").alias("gm_sum"))
-    tot = g.select(F.sum("bookings")).scalar()
-    return (g.withColumn("_tot", tot).withColumn("share_pct", X.ratio_pct("bookings", "_tot"))
-            .withColumn("gm_pct", X.ratio_pct("gm_sum", "net_sum")).drop("_tot"))
+    return (g.withColumn("share_pct", X.ratio_pct("bookings", F.sum("bookings").over(Window.partitionBy())))
+            .withColumn("gm_pct", X.ratio_pct("gm_sum", "net_sum")))
 
 
 def negative_margin_tail(settled: DataFrame) -> DataFrame:

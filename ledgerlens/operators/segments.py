@@ -1,10 +1,7 @@
 """Segment, channel, geography and operations views.
 
-Shares of a grand total use a scalar subquery (``DataFrame.scalar()``): Spark evaluates
-the one-value aggregate as its own distributed job and inlines it -- no cross join, no
-single-partition window. The subquery is bound to a column once and referenced by name;
-written inline inside an expression that repeats its denominator it would be planned, and
-its scan run, once per reference.
+Shares of a grand total use a window over the rows already aggregated (one per group, bounded
+by the grouping's domain), so the fact is scanned once.
 """
 
 from __future__ import annotations
@@ -22,11 +19,8 @@ def segment_mix(clean: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("bookings"), X.sum0("net_c").alias("revenue"), X.sum0("gm_c").alias("gm"),
         X.flag_share(X.has_coupon()).alias("coupon_pen"), F.avg("total_disc_pct").alias("avg_disc"),
         F.avg("total_member").alias("avg_members"))
-    # the total is bound once as a column: referenced twice inside ratio_pct, an inline
-    # scalar subquery would be planned (and scanned) twice
-    total = g.select(F.sum("revenue")).scalar()
-    return (g.withColumn("_total", total).withColumn("gm_pct", X.ratio_pct("gm", "revenue"))
-            .withColumn("rev_share", X.ratio_pct("revenue", "_total")).drop("_total"))
+    return (g.withColumn("gm_pct", X.ratio_pct("gm", "revenue"))
+            .withColumn("rev_share", X.ratio_pct("revenue", F.sum("revenue").over(Window.partitionBy()))))
 
 
 def segment_channel(clean: DataFrame) -> DataFrame:
@@ -47,14 +41,23 @@ def top_coupon_per_package(clean: DataFrame) -> DataFrame:
 
 
 def package_exposure(clean: DataFrame) -> DataFrame:
-    """Per package: penetration, mean discount, gm_pct (one aggregate, no second pass),
-    plus the top coupon and its count."""
-    exp = (clean.withColumn("package_code", F.trim(F.col("package_code").cast("string")))
-           .groupBy("package_code").agg(
-               F.count(F.lit(1)).alias("n_bookings"), X.flag_share(X.has_coupon()).alias("coupon_penetration"),
-               F.avg("total_disc_pct").alias("avg_total_disc_pct"),
-               X.ratio_pct(F.sum("gm_c"), F.sum("net_c")).alias("gm_pct")))
-    return exp.join(top_coupon_per_package(clean), "package_code", "left")
+    """Per package: penetration, mean discount, gm_pct, and the top coupon with its count.
+    One aggregate at the finer grain (package x coupon) is rolled up, so the fact is scanned once."""
+    used = F.when(X.has_coupon(), F.col("coupon_code"))
+    pairs = (clean.withColumn("package_code", F.trim(F.col("package_code").cast("string")))
+             .groupBy("package_code", used.alias("coupon")).agg(
+                 F.count(F.lit(1)).alias("n"), X.count_when(X.has_coupon()).alias("with_coupon"),
+                 F.sum("total_disc_pct").alias("disc"), F.count("total_disc_pct").alias("disc_n"),
+                 F.sum("gm_c").alias("gm"), F.sum("net_c").alias("net")))
+    # the least (-n, code) is the most used coupon, ties to the smaller code
+    best = F.min(F.when(F.col("coupon").isNotNull(), F.struct(-F.col("n"), F.col("coupon"))))
+    g = pairs.groupBy("package_code").agg(
+        F.sum("n").alias("n_bookings"), F.sum("with_coupon").alias("_with"), F.sum("disc").alias("_disc"),
+        F.sum("disc_n").alias("_disc_n"), F.sum("gm").alias("_gm"), F.sum("net").alias("_net"), best.alias("_best"))
+    return g.select(
+        "package_code", "n_bookings", (F.col("_with") / F.col("n_bookings")).alias("coupon_penetration"),
+        (F.col("_disc") / F.col("_disc_n")).alias("avg_total_disc_pct"), X.ratio_pct("_gm", "_net").alias("gm_pct"),
+        F.col("_best.coupon").alias("top_coupon"), (-F.col("_best.col1")).alias("top_coupon_n"))
 
 
 def daily_scorecard(clean: DataFrame) -> DataFrame:
@@ -76,9 +79,10 @@ def _summary(df, keys, offer=False):
     return summary(df, keys, with_offer=offer)
 
 
-def agent_weekly(clean: DataFrame, n: int = P.TOP_N["agent20"]) -> DataFrame:
+def agent_weekly(clean: DataFrame, n: int = P.TOP_N["agent20"], top: DataFrame | None = None) -> DataFrame:
+    """``top`` is the learned list of the n busiest agents when the caller holds it (cached)."""
     sales = clean.filter(F.col("booked_by") == "Sales")
-    b = PR.bucket_top_n(sales, sales, "agent_id", n, "agent_bucket")
+    b = PR.bucket_by_top(sales, PR.top_values(sales, "agent_id", n) if top is None else top, "agent_id", "agent_bucket")
     return _summary(b.drop("agent_id").withColumnRenamed("agent_bucket", "agent_id"), ["week_start", "agent_id"])
 
 
@@ -109,11 +113,15 @@ SEGMENT_COLS = [f"{f.lower()}_{c.replace(' ', '_')}" for f in (P.FRESH, P.REPEAT
 
 
 def city_segment_matrix(clean: DataFrame) -> DataFrame:
-    """city x (flag-category) pivot of gm_pct; pivot values are listed so Spark skips the
-    distinct-values pass."""
+    """city x (flag-category) pivot of gm_pct, and of AOV (``<segment>_aov``); pivot values are
+    listed so Spark skips the distinct-values pass."""
     seg = F.concat(F.lower("booking_flag"), F.lit("_"), F.regexp_replace("customer_category", " ", "_"))
-    return (clean.withColumn("segment", seg).groupBy("city").pivot("segment", SEGMENT_COLS)
-            .agg(X.ratio_pct(F.sum("gm_c"), F.sum("net_c"))))
+    out = (clean.withColumn("segment", seg).groupBy("city").pivot("segment", SEGMENT_COLS)
+           .agg(X.ratio_pct(F.sum("gm_c"), F.sum("net_c")).alias("gm_pct"),
+                X.ratio(F.sum("offer_c"), F.count("offer_c")).alias("aov")))
+    for c in SEGMENT_COLS:
+        out = out.withColumnRenamed(f"{c}_gm_pct", c)
+    return out
 
 
 STACK_COLS = {"0": "k0", "1": "k1", "2": "k2", "3+": "k3plus"}
@@ -172,6 +180,20 @@ def isolated_kind_margin(clean: DataFrame) -> DataFrame:
             .withColumn("cost_pct_of_offer", X.ratio_pct("cost_sum", "offer_sum")))
 
 
+def named_pair_margin(clean: DataFrame, pair: tuple[str, str] = ("coupon_c", "vip_c")) -> DataFrame:
+    """gm_pct and cost % of price of the bookings that stack exactly the two named kinds, next to
+    those that carry only one of them."""
+    a, b = pair
+    kind = (F.when((F.col("n_disc") == 2) & (F.col(a) > 0) & (F.col(b) > 0), F.lit(f"{KIND_NAMES[a]}+{KIND_NAMES[b]}"))
+            .when((F.col("n_disc") == 1) & (F.col(a) > 0), F.lit(KIND_NAMES[a]))
+            .when((F.col("n_disc") == 1) & (F.col(b) > 0), F.lit(KIND_NAMES[b])))
+    return (clean.withColumn("kinds", kind).filter(F.col("kinds").isNotNull()).groupBy("kinds").agg(
+        F.count(F.lit(1)).alias("bookings"), X.sum0("gm_c").alias("gm_sum"), X.sum0("net_c").alias("revenue_sum"),
+        X.sum0("cpt_c").alias("cost_sum"), X.sum0("offer_c").alias("offer_sum"))
+        .withColumn("gm_pct", X.ratio_pct("gm_sum", "revenue_sum"))
+        .withColumn("cost_pct_of_offer", X.ratio_pct("cost_sum", "offer_sum")))
+
+
 def aov_gap(clean: DataFrame) -> DataFrame:
     """Per city: fresh AOV / repeat AOV from conditional sums (one pass)."""
     fresh = F.col("booking_flag") == P.FRESH
@@ -198,10 +220,10 @@ def settlement_curve(bookings: DataFrame) -> DataFrame:
 
 def daily_completeness(bookings: DataFrame) -> DataFrame:
     """Per day: rows, unsettled share, rows / median daily rows, settled flag. The median
-    is a scalar subquery over the daily aggregate (one row per day)."""
+    is a window over the daily aggregate (one row per day)."""
     d = bookings.groupBy("booking_date").agg(
         F.count(F.lit(1)).alias("rows"), X.count_when(F.col("gm_c").isNull()).alias("null_gm_rows"))
-    med = d.select(F.percentile("rows", 0.5)).scalar()
+    med = F.percentile("rows", 0.5).over(Window.partitionBy())
     return (d.withColumn("null_gm_share", X.ratio("null_gm_rows", "rows"))
             .withColumn("rows_vs_median", F.col("rows") / med)
             .withColumn("settled", F.col("null_gm_rows") == 0))

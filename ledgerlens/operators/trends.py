@@ -2,8 +2,7 @@
 
 Time comparisons run on weekly aggregates in long form (one row per week x line), so
 every window is partitioned by the line or the group -- never a single global partition
-over raw rows. Trailing windows are calendar windows built by a bounded fan-out (each
-week feeds the next k weeks) followed by an equi-aggregate.
+over raw rows. Trailing windows are range windows over the day number of the weekly rows.
 """
 
 from __future__ import annotations
@@ -13,6 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import params as P
 from ..functions import exprs as X
+from . import prepare as PR
 from .rollups import SUM_PARTS, rollup
 
 GOOD_WHEN_RISING = {"bookings", "offer_sum", "net_sum", "gm_sum"}
@@ -29,8 +29,8 @@ def top_coupons_by_category(clean: DataFrame, n: int = 5) -> DataFrame:
 
 def revenue_share(clean: DataFrame, key: str = "city") -> DataFrame:
     g = clean.groupBy(key).agg(X.sum0("net_c").alias("revenue"))
-    return (g.withColumn("_total", g.select(F.sum("revenue")).scalar())
-            .withColumn("share_pct", X.ratio_pct("revenue", "_total")).drop("_total"))
+    # the total runs over the aggregated rows (one per key), in the same scan
+    return g.withColumn("share_pct", X.ratio_pct("revenue", F.sum("revenue").over(Window.partitionBy())))
 
 
 def waterfall_long(clean: DataFrame) -> DataFrame:
@@ -63,40 +63,43 @@ def favourability(wow: DataFrame) -> DataFrame:
     d = F.col("abs_delta")
     fav = (F.when(d.isNull(), F.lit(None).cast("string")).when(d == 0, F.lit("flat"))
            .when((good_line & (d > 0)) | (~good_line & (d < 0)), F.lit("good")).otherwise(F.lit("bad")))
-    return wow.select("week_start", "line", "abs_delta", fav.alias("favourability"))
+    return wow.select("week_start", "line", "abs_delta", fav.alias("favourability"), "vs_partial")
 
 
 def biggest_mover(wow: DataFrame) -> DataFrame:
-    """Per week, the discount kind with the largest absolute WoW percent change; kinds
-    whose previous value is 0 are excluded."""
-    d = wow.filter(F.col("line").isin(*DISCOUNT_LINES) & F.col("pct_delta").isNotNull())
+    """Per complete week after a complete week, the discount kind with the largest absolute
+    WoW percent change; kinds whose previous value is 0 are excluded."""
+    d = wow.filter(F.col("line").isin(*DISCOUNT_LINES) & F.col("pct_delta").isNotNull() & ~F.col("vs_partial"))
     w = Window.partitionBy("week_start").orderBy(F.abs("pct_delta").desc(), F.col("line").asc())
     return (d.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
             .select("week_start", "line", "pct_delta"))
 
 
-def _trailing(weekly: DataFrame, keys: list[str], weeks: int) -> DataFrame:
-    """Calendar trailing window: each week's sums feed the next ``weeks - 1`` weeks."""
-    fan = weekly.select(*keys, "week_start", "gm", "net",
-                        F.explode(F.sequence(F.lit(0), F.lit(weeks - 1))).alias("_i"))
-    fan = fan.withColumn("target_week", F.date_add("week_start", F.col("_i") * 7))
-    agg = fan.groupBy(*keys, "target_week").agg(F.sum("gm").alias("trailing_gm"), F.sum("net").alias("trailing_net"),
-                                                F.count(F.lit(1)).alias("weeks_in_window"))
-    present = weekly.select(*keys, F.col("week_start").alias("target_week"))
-    out = agg.join(present, keys + ["target_week"])
-    return out.select(*keys, F.col("target_week").alias("week_start"), "trailing_gm", "trailing_net",
-                      "weeks_in_window", X.ratio_pct("trailing_gm", "trailing_net").alias("trailing_gm_pct"))
+def _trailing_window(keys: list[str], weeks: int):
+    """The current week and the ``weeks - 1`` calendar weeks before it (missing weeks stay missing)."""
+    return Window.partitionBy(*keys).orderBy(F.unix_date("week_start")).rangeBetween(-7 * (weeks - 1), 0)
 
 
 def trailing_gm(clean: DataFrame, weeks: int = P.TRAILING_WEEKS) -> DataFrame:
-    weekly = clean.groupBy("week_start").agg(X.sum0("gm_c").alias("gm"), X.sum0("net_c").alias("net"))
-    return _trailing(weekly, [], weeks)
+    """Trailing margin over complete weeks; one row per week, so one window partition is small."""
+    weekly = (PR.complete_weeks(clean).groupBy("week_start")
+              .agg(X.sum0("gm_c").alias("gm"), X.sum0("net_c").alias("net")))
+    w = _trailing_window([], weeks)
+    return weekly.select("week_start", F.sum("gm").over(w).alias("trailing_gm"), F.sum("net").over(w).alias("trailing_net"),
+                         F.count(F.lit(1)).over(w).alias("weeks_in_window")).withColumn(
+        "trailing_gm_pct", X.ratio_pct("trailing_gm", "trailing_net"))
 
 
 def trailing_gm_by_kind(clean: DataFrame, weeks: int = P.TRAILING_KIND_WEEKS) -> DataFrame:
-    weekly = (clean.withColumn("kinds", X.stack_bucket("n_disc")).groupBy("kinds", "week_start")
-              .agg(X.sum0("gm_c").alias("gm"), X.sum0("net_c").alias("net")))
-    return _trailing(weekly, ["kinds"], weeks)
+    """Trailing trend of each discount category over complete weeks: given away in the
+    window, and that as percent of the window's offer value."""
+    wf = rollup(PR.complete_weeks(clean), ["week_start"])
+    long = wf.unpivot(["week_start", "offer_sum"], DISCOUNT_LINES, "line", "value")
+    w = _trailing_window(["line"], weeks)
+    return long.select("line", "week_start", "value", F.sum("value").over(w).alias("trailing_value"),
+                       F.sum("offer_sum").over(w).alias("trailing_offer"),
+                       F.count(F.lit(1)).over(w).alias("weeks_in_window")).withColumn(
+        "trailing_pct_of_offer", X.ratio_pct("trailing_value", "trailing_offer"))
 
 
 def pct_of_offer(clean: DataFrame) -> DataFrame:
@@ -118,12 +121,13 @@ def wow_scorecard(clean: DataFrame) -> DataFrame:
     lg = _lagged(long, "metric")
     return lg.select("week_start", "metric", "value", "prev_value",
                      (F.col("value") - F.col("prev_value")).alias("delta"),
-                     X.ratio_pct(F.col("value") - F.col("prev_value"), "prev_value").alias("pct_delta"))
+                     X.ratio_pct(F.col("value") - F.col("prev_value"), "prev_value").alias("pct_delta"),
+                     (F.col("is_partial") | F.coalesce(F.col("prev_partial"), F.lit(False))).alias("vs_partial"))
 
 
 def fresh_share_trend(clean: DataFrame, category: str = "vip gold") -> DataFrame:
     c = clean.filter(F.col("customer_category") == category)
-    return (c.groupBy("week_start").agg(X.count_when(F.col("booking_flag") == P.FRESH).alias("fresh"),
+    return (c.groupBy("week_start", "is_partial").agg(X.count_when(F.col("booking_flag") == P.FRESH).alias("fresh"),
                                         F.count(F.lit(1)).alias("total"))
             .withColumn("fresh_share", X.ratio_pct("fresh", "total")))
 
@@ -136,11 +140,11 @@ def _flag_trend(clean: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def fresh_repeat_trend(clean: DataFrame) -> DataFrame:
-    return _flag_trend(clean, ["week_start", "booking_flag"])
+    return _flag_trend(clean, ["week_start", "is_partial", "booking_flag"])
 
 
 def fresh_repeat_by_category(clean: DataFrame) -> DataFrame:
-    return _flag_trend(clean, ["week_start", "booking_flag", "customer_category"])
+    return _flag_trend(clean, ["week_start", "is_partial", "booking_flag", "customer_category"])
 
 
 def lifecycle_curve(clean: DataFrame) -> DataFrame:
@@ -156,7 +160,7 @@ def lifecycle_curve(clean: DataFrame) -> DataFrame:
 def city_aov_outlier(clean: DataFrame, ratio: float = P.AOV_OUTLIER_RATIO) -> DataFrame:
     g = clean.groupBy("city").agg(F.count(F.lit(1)).alias("bookings"), X.sum0("offer_c").alias("offer_sum"))
     g = g.withColumn("aov", F.col("offer_sum") / F.col("bookings"))
-    g = g.withColumn("median_aov", g.select(F.percentile("aov", 0.5)).scalar())
+    g = g.withColumn("median_aov", F.percentile("aov", 0.5).over(Window.partitionBy()))
     g = g.withColumn("aov_vs_median", F.col("aov") / F.col("median_aov"))
     r = F.col("aov_vs_median")
     return g.select("city", "bookings", "aov", "median_aov", "aov_vs_median",
@@ -165,11 +169,12 @@ def city_aov_outlier(clean: DataFrame, ratio: float = P.AOV_OUTLIER_RATIO) -> Da
 
 def geo_ranking(clean: DataFrame) -> DataFrame:
     """Cities and zones ranked by gm_pct within their level (window partitioned by level)."""
-    def lvl(key: str) -> DataFrame:
-        return (clean.groupBy(F.col(key).alias("name")).agg(X.sum0("gm_c").alias("gm_sum"),
-                                                              X.sum0("net_c").alias("revenue_sum"))
-                .withColumn("level", F.lit(key)))
-    both = lvl("city").unionByName(lvl("zone")).withColumn("gm_pct", X.ratio_pct("gm_sum", "revenue_sum"))
+    cells = clean.groupBy("city", "zone").agg(X.sum0("gm_c").alias("gm"), X.sum0("net_c").alias("net"))
+    level = F.explode(F.array(F.struct(F.lit("city").alias("level"), F.col("city").alias("name")),
+                              F.struct(F.lit("zone").alias("level"), F.col("zone").alias("name"))))
+    both = (cells.select("gm", "net", level.alias("x")).groupBy("x.level", "x.name")
+            .agg(F.sum("gm").alias("gm_sum"), F.sum("net").alias("revenue_sum"))
+            .withColumn("gm_pct", X.ratio_pct("gm_sum", "revenue_sum")))
     w = Window.partitionBy("level").orderBy(F.col("gm_pct").desc_nulls_last())
     return both.withColumn("rank", F.rank().over(w))
 

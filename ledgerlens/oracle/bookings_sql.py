@@ -95,8 +95,20 @@ bookings_base AS (
     'raw_' || strftime(booking_date + CAST(l_partkey % 45 AS INTEGER), '%Y-%m') AS source_file
   FROM bk4
 ),
+base_files AS (
+  SELECT MIN(collection_date) AS lo, MAX(collection_date) AS hi,
+         COUNT(DISTINCT strftime(collection_date, '%Y-%m')) AS n_months
+  FROM bookings_base GROUP BY source_file
+),
+covered AS (
+  SELECT greatest(MIN(CASE WHEN n_months = 1 THEN CAST(date_trunc('month', lo) AS DATE) END),
+                  (SELECT MIN(booking_date) FROM bookings_base)) AS first_day,
+         last_day(CAST(CAST(date_trunc('month', MAX(hi)) AS DATE) - INTERVAL 1 MONTH AS DATE)) AS last_day
+  FROM base_files
+),
 bookings AS (
-  SELECT *, week_start = (SELECT MAX(week_start) FROM bookings_base) AS is_partial FROM bookings_base
+  SELECT b.*, COALESCE(b.week_start < c.first_day OR b.week_start + 6 > c.last_day, FALSE) AS is_partial
+  FROM bookings_base b, covered c
 )"""
 
 

@@ -104,7 +104,8 @@ FROM t, (SELECT gm_total AS ref FROM t WHERE rollup = 'weekly_waterfall')""",
   UNION ALL SELECT 'weekly_market_sku', {S('gm_c')} FROM settled WHERE NOT is_partial
     GROUP BY week_start, market, sku) GROUP BY r)""")
     q["null_margin_guard"] = sql(f"""
-SELECT {CNT("gm_c IS NULL")} AS null_gm_rows, COUNT(*) AS rows, {CNT("gm_c IS NULL")} = 0 AS passes FROM clean""")
+SELECT {CNT("gm_c IS NULL")} AS null_gm_rows, COUNT(*) AS rows, {CNT("gm_c IS NULL")} = 0 AS passes
+FROM bookings, win WHERE booking_date BETWEEN win.clean_start AND win.clean_end""")
     hashes = ", ".join("'" + hashlib.sha256(w.lower().encode()).hexdigest() + "'" for w in P.BANNED_WORDS)
     q["banned_tokens"] = f"""
 SELECT doc_id, COUNT(*) AS hits, COUNT(DISTINCT token_hash) AS distinct_tokens FROM (

@@ -67,6 +67,10 @@ SELECT COALESCE(contains(package_code, ','), FALSE) AS is_combo, {summary_cols(T
     piv = ", ".join(
         f"{PCT(f'SUM(CASE WHEN booking_flag = {chr(39)}{f}{chr(39)} AND customer_category = {chr(39)}{c}{chr(39)} THEN gm_c END)', f'SUM(CASE WHEN booking_flag = {chr(39)}{f}{chr(39)} AND customer_category = {chr(39)}{c}{chr(39)} THEN net_c END)')} AS {name}"
         for name, f, c in segs)
+    piv += ", " + ", ".join(
+        f"SUM(CASE WHEN booking_flag = '{f}' AND customer_category = '{c}' THEN offer_c END) / "
+        f"CAST(NULLIF(COUNT(CASE WHEN booking_flag = '{f}' AND customer_category = '{c}' THEN offer_c END), 0) AS DOUBLE) "
+        f"AS {name}_aov" for name, f, c in segs)
     q["city_segment_matrix"] = sql(f"SELECT city, {piv} FROM clean GROUP BY city")
     kinds = [("k0", "n_disc = 0"), ("k1", "n_disc = 1"), ("k2", "n_disc = 2"), ("k3plus", "n_disc >= 3")]
     piv2 = ", ".join(f"{PCT(f'SUM(CASE WHEN {c} THEN gm_c END)', f'SUM(CASE WHEN {c} THEN net_c END)')} AS {n}"
@@ -96,6 +100,14 @@ FROM (SELECT *, CASE WHEN n_disc = 0 THEN 'none'
                      WHEN n_disc = 1 AND coupon_c > 0 THEN 'coupon' WHEN n_disc = 1 AND redcash_c > 0 THEN 'redcash'
                      WHEN n_disc = 1 AND giftcard_c > 0 THEN 'giftcard' END AS only_kind FROM clean)
 WHERE only_kind IS NOT NULL GROUP BY only_kind""")
+    q["named_pair_margin"] = sql(f"""
+SELECT kinds, COUNT(*) AS bookings, {S('gm_c')} AS gm_sum, {S('net_c')} AS revenue_sum, {S('cpt_c')} AS cost_sum,
+       {S('offer_c')} AS offer_sum, {PCT(S('gm_c'), S('net_c'))} AS gm_pct,
+       {PCT(S('cpt_c'), S('offer_c'))} AS cost_pct_of_offer
+FROM (SELECT *, CASE WHEN coupon_c > 0 AND vip_c > 0 AND n_disc = 2 THEN 'coupon+vip'
+                     WHEN coupon_c > 0 AND n_disc = 1 THEN 'coupon'
+                     WHEN vip_c > 0 AND n_disc = 1 THEN 'vip' END AS kinds FROM clean)
+WHERE kinds IS NOT NULL GROUP BY kinds""")
     fa = "CAST(fresh_offer AS DOUBLE) / NULLIF(fresh_n, 0)"
     ra = "CAST(repeat_offer AS DOUBLE) / NULLIF(repeat_n, 0)"
     q["aov_gap"] = sql(f"""

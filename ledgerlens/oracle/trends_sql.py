@@ -33,53 +33,58 @@ SELECT week_start, line, abs_delta,
        CASE WHEN abs_delta IS NULL THEN NULL WHEN abs_delta = 0 THEN 'flat'
             WHEN (line IN ('bookings', 'offer_sum', 'net_sum', 'gm_sum') AND abs_delta > 0)
               OR (line NOT IN ('bookings', 'offer_sum', 'net_sum', 'gm_sum') AND abs_delta < 0) THEN 'good'
-            ELSE 'bad' END AS favourability FROM wow""", WF, WFL, WOW)
+            ELSE 'bad' END AS favourability, vs_partial FROM wow""", WF, WFL, WOW)
     q["biggest_mover"] = sql("""
 SELECT week_start, line, pct_delta FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY week_start ORDER BY abs(pct_delta) DESC, line ASC) AS rn FROM wow
-  WHERE line IN ('special_sum', 'vip_sum', 'coupon_sum', 'redcash_sum', 'giftcard_sum') AND pct_delta IS NOT NULL)
+  WHERE line IN ('special_sum', 'vip_sum', 'coupon_sum', 'redcash_sum', 'giftcard_sum') AND pct_delta IS NOT NULL
+    AND NOT vs_partial)
 WHERE rn = 1""", WF, WFL, WOW)
     q["trailing_gm"] = sql(f"""
 SELECT week_start, trailing_gm, trailing_net, weeks_in_window, {PCT("trailing_gm", "trailing_net")} AS trailing_gm_pct
 FROM (SELECT week_start,
              CAST(SUM(gm) OVER w AS BIGINT) AS trailing_gm, CAST(SUM(net) OVER w AS BIGINT) AS trailing_net,
              COUNT(*) OVER w AS weeks_in_window
-      FROM (SELECT week_start, {S('gm_c')} AS gm, {S('net_c')} AS net FROM clean GROUP BY week_start)
+      FROM (SELECT week_start, {S('gm_c')} AS gm, {S('net_c')} AS net FROM clean WHERE NOT is_partial
+            GROUP BY week_start)
       WINDOW w AS (ORDER BY week_start RANGE BETWEEN INTERVAL 49 DAYS PRECEDING AND CURRENT ROW))""")
+    kinds = ("special", "vip", "coupon", "redcash", "giftcard")
+    by_kind = " UNION ALL ".join(
+        f"SELECT '{k}_sum' AS line, week_start, {S(f'{k}_c')} AS value, {S('offer_c')} AS offer "
+        "FROM clean WHERE NOT is_partial GROUP BY week_start" for k in kinds)
     q["trailing_gm_by_kind"] = sql(f"""
-SELECT kinds, week_start, trailing_gm, trailing_net, weeks_in_window,
-       {PCT("trailing_gm", "trailing_net")} AS trailing_gm_pct
-FROM (SELECT kinds, week_start,
-             CAST(SUM(gm) OVER w AS BIGINT) AS trailing_gm, CAST(SUM(net) OVER w AS BIGINT) AS trailing_net,
-             COUNT(*) OVER w AS weeks_in_window
-      FROM (SELECT CASE WHEN n_disc >= 3 THEN '3+' ELSE CAST(n_disc AS VARCHAR) END AS kinds, week_start,
-                   {S('gm_c')} AS gm, {S('net_c')} AS net FROM clean GROUP BY 1, 2)
-      WINDOW w AS (PARTITION BY kinds ORDER BY week_start RANGE BETWEEN INTERVAL 35 DAYS PRECEDING AND CURRENT ROW))""")
+SELECT *, {PCT("trailing_value", "trailing_offer")} AS trailing_pct_of_offer FROM (
+  SELECT line, week_start, value, CAST(SUM(value) OVER w AS BIGINT) AS trailing_value,
+         CAST(SUM(offer) OVER w AS BIGINT) AS trailing_offer, COUNT(*) OVER w AS weeks_in_window
+  FROM ({by_kind})
+  WINDOW w AS (PARTITION BY line ORDER BY week_start RANGE BETWEEN INTERVAL 35 DAYS PRECEDING AND CURRENT ROW))""")
     lines = [ln for ln in LINES if ln not in ("bookings", "offer_sum")]
     q["pct_of_offer"] = sql(" UNION ALL ".join(
         f"SELECT week_start, '{ln}' AS line, {ln} AS value, {PCT(ln, 'offer_sum')} AS pct_of_offer FROM wf"
         for ln in lines), WF)
     q["wow_scorecard"] = sql(f"""
 SELECT week_start, metric, value, prev_value, value - prev_value AS delta,
-       {PCT("value - prev_value", "prev_value")} AS pct_delta
-FROM (SELECT *, LAG(value) OVER (PARTITION BY metric ORDER BY week_start) AS prev_value FROM (
-  SELECT week_start, 'bookings' AS metric, bookings AS value FROM wk UNION ALL
-  SELECT week_start, 'gm_sum', gm_sum FROM wk UNION ALL
-  SELECT week_start, 'revenue_sum', revenue_sum FROM wk UNION ALL
-  SELECT week_start, 'gm_pct', gm_pct FROM wk))""",
-                             f"""wk AS (SELECT week_start, CAST(COUNT(*) AS DOUBLE) AS bookings,
+       {PCT("value - prev_value", "prev_value")} AS pct_delta,
+       is_partial OR COALESCE(prev_partial, FALSE) AS vs_partial
+FROM (SELECT *, LAG(value) OVER (PARTITION BY metric ORDER BY week_start) AS prev_value,
+             LAG(is_partial) OVER (PARTITION BY metric ORDER BY week_start) AS prev_partial FROM (
+  SELECT week_start, is_partial, 'bookings' AS metric, bookings AS value FROM wk UNION ALL
+  SELECT week_start, is_partial, 'gm_sum', gm_sum FROM wk UNION ALL
+  SELECT week_start, is_partial, 'revenue_sum', revenue_sum FROM wk UNION ALL
+  SELECT week_start, is_partial, 'gm_pct', gm_pct FROM wk))""",
+                             f"""wk AS (SELECT week_start, is_partial, CAST(COUNT(*) AS DOUBLE) AS bookings,
   CAST({S('gm_c')} AS DOUBLE) AS gm_sum, CAST({S('net_c')} AS DOUBLE) AS revenue_sum,
   {PCT(f"CAST({S('gm_c')} AS DOUBLE)", f"CAST({S('net_c')} AS DOUBLE)")} AS gm_pct
   FROM clean GROUP BY week_start, is_partial)""")
     q["fresh_share_trend"] = sql(f"""
-SELECT week_start, {CNT("booking_flag = 'Fresh'")} AS fresh, COUNT(*) AS total,
+SELECT week_start, is_partial, {CNT("booking_flag = 'Fresh'")} AS fresh, COUNT(*) AS total,
        {PCT(CNT("booking_flag = 'Fresh'"), "COUNT(*)")} AS fresh_share
-FROM clean WHERE customer_category = 'vip gold' GROUP BY week_start""")
+FROM clean WHERE customer_category = 'vip gold' GROUP BY week_start, is_partial""")
     ft = (f"COUNT(*) AS bookings, {S('gm_c')} AS gm_sum, {S('net_c')} AS revenue_sum, "
           f"{PCT(S('gm_c'), S('net_c'))} AS gm_pct, {S('offer_c')} / COUNT(*) AS aov")
-    q["fresh_repeat_trend"] = sql(f"SELECT week_start, booking_flag, {ft} FROM clean GROUP BY 1, 2")
+    q["fresh_repeat_trend"] = sql(f"SELECT week_start, is_partial, booking_flag, {ft} FROM clean GROUP BY 1, 2, 3")
     q["fresh_repeat_by_category"] = sql(
-        f"SELECT week_start, booking_flag, customer_category, {ft} FROM clean GROUP BY 1, 2, 3")
+        f"SELECT week_start, is_partial, booking_flag, customer_category, {ft} FROM clean GROUP BY 1, 2, 3, 4")
     q["lifecycle_curve"] = sql("""
 SELECT coupon_code, week_start, bookings,
        CAST(date_diff('day', MIN(week_start) OVER (PARTITION BY coupon_code), week_start) / 7 AS INTEGER)

@@ -31,7 +31,7 @@ RISK_HIGH = "HIGH -- price cut on already heavily-discounted package"
 RISK_LOW_CLEAN = "LOW -- clean, price increase on lightly-discounted package"
 RISK_MEDIUM = "MEDIUM -- high coupon exposure, monitor stacking"
 RISK_LOW = "LOW"
-TOP_N = {"city6": 6, "package15": 15, "city20": 20, "coupon30": 30, "zone30": 30, "package80": 80,
+TOP_N = {"city6": 6, "city15": 15, "package15": 15, "city20": 20, "coupon30": 30, "zone30": 30, "package80": 80,
          "agent20": 20}
 MIN_PACKAGE_ROWS = 10            # package kept in package_gm when it has >= 10 rows
 MIN_N_FOR_PERCENTAGES = 100      # suppression threshold for shares
@@ -48,7 +48,7 @@ FX_RATE = 3.6725                 # indicative currency rate for the currency vie
 TRAILING_WEEKS = 8
 TRAILING_KIND_WEEKS = 6
 AOV_OUTLIER_RATIO = 1.25
-TOKEN_PATTERN = r"[A-Za-z][A-Za-z0-9_\-]{2,60}"
+TOKEN_PATTERN = r"[A-Za-z][A-Za-z0-9_\-]{2,}"   # no upper bound: a long token is never cut into pieces
 # Words whose hashed, lower-cased form the token scan looks for (fixture list).
 BANNED_WORDS = ["license", "hash", "confidential", "examplecorp", "acme", "internal"]
 
@@ -124,41 +124,47 @@ class PriceEvent:
     control: str
 
 
+SKUS = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+MARKETS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+N_EVENTS, N_EXECUTED = 14, 10
+
+
 def price_events() -> list[PriceEvent]:
-    """Price-change events on (sku = p_type, market = r_name). Two of them
-    sit in ASIA where a market-scope promo runs inside the post window (confounded)."""
-    spec = [
-        ("E01", "ECONOMY", ("ASIA",), 10, (1996, 3, 4), "Uploaded", "AFRICA"),
-        ("E02", "LARGE", ("EUROPE",), 10, (1996, 9, 2), "Uploaded", "AMERICA"),
-        ("E03", "MEDIUM", ("ASIA",), 12, (1997, 2, 3), "Uploaded", "AFRICA"),
-        ("E04", "PROMO", ("AMERICA", "EUROPE"), 10, (1997, 6, 2), "Uploaded", "MIDDLE EAST"),
-        ("E05", "SMALL", ("MIDDLE EAST",), 12, (1998, 1, 5), "Uploaded", "AFRICA"),
-        ("E06", "STANDARD", ("EUROPE",), -10, (1998, 8, 3), "Uploaded", "AFRICA"),
-        ("E07", "ECONOMY", ("AMERICA",), 12, (1999, 3, 1), "Uploaded", "MIDDLE EAST"),
-        ("E08", "LARGE", ("ASIA",), 10, (2000, 1, 3), "Uploaded", "AFRICA"),
-        ("E09", "MEDIUM", ("EUROPE",), 5, None, "Recommended", "AFRICA"),
-        ("E10", "PROMO", ("MIDDLE EAST",), 6, None, "Recommended", "AFRICA"),
-        ("E11", "SMALL", ("AMERICA",), 4, None, "Not uploaded", "AFRICA"),
-    ]
-    return [PriceEvent(e, s, m, p, _monday(_dt.date(*d)) if d else None, st, c)
-            for e, s, m, p, d, st, c in spec]
+    """Price-change events by one rule over (sku = p_type, market = r_name).
+
+    Event k moves sku 5k mod 6 in market 2k mod 5, every sixth one also in the next market;
+    its percent is 3 + (7k mod 13), negative for every fourth; the control is the third market
+    after the treated one. Event k < 10 took effect in week 21k after 1995-09-04, the others
+    are only planned."""
+    first = _monday(_dt.date(1995, 9, 4))
+    out = []
+    for k in range(N_EVENTS):
+        m = 2 * k % 5
+        markets = (MARKETS[m], MARKETS[(m + 1) % 5]) if k % 6 == 5 else (MARKETS[m],)
+        pct = 3 + 7 * k % 13
+        done = k < N_EXECUTED
+        out.append(PriceEvent(f"PE{k:02d}", SKUS[5 * k % 6], markets, -pct if k % 4 == 3 else pct,
+                              first + _dt.timedelta(weeks=21 * k) if done else None,
+                              "live" if done else "planned", MARKETS[(m + 3) % 5]))
+    return out
 
 
 def market_pushes() -> list[tuple]:
-    """(week_start, market): market-scope coupon pushes (two land in E01/E03 post windows)."""
-    w = _dt.timedelta(weeks=1)
-    e01 = _monday(_dt.date(1996, 3, 4))
-    e03 = _monday(_dt.date(1997, 2, 3))
-    return [(e01 + 2 * w, "ASIA"), (e01 + 3 * w, "ASIA"), (e03 + 1 * w, "ASIA"), (e03 + 2 * w, "ASIA"),
-            (_monday(_dt.date(2000, 1, 10)), "AFRICA")]
+    """(week_start, market): every third executed event's market has coupon pushes one and three
+    weeks after the change (confounded); event 4's control market has one two weeks before."""
+    week = _dt.timedelta(weeks=1)
+    done = price_events()[:N_EXECUTED]
+    rows = [(e.change_week + n * week, e.markets[0]) for e in done[::3] for n in (1, 3)]
+    return rows + [(done[4].change_week - 2 * week, done[4].control)]
 
 
 def festive_weeks() -> list[_dt.date]:
-    return [_monday(_dt.date(1998, 8, 10)), _monday(_dt.date(1998, 8, 17))]
+    """The first Monday of October of every other year."""
+    return [_monday(_dt.date(y, 10, 7)) for y in range(1996, 2001, 2)]
 
 
 def one_off_events() -> list[tuple]:
-    return [(_monday(_dt.date(1999, 6, 7)), "Bundle coupon launched")]
+    return [(_monday(_dt.date(y, 2, 14)), f"Relaunch {y}") for y in (1997, 2000)]
 
 
 def promo_events() -> list[tuple]:
@@ -169,15 +175,14 @@ def promo_events() -> list[tuple]:
     return rows
 
 
-MARKET_PRICE_MULT = {"AFRICA": 0.90, "AMERICA": 1.00, "ASIA": 0.95, "EUROPE": 1.00, "MIDDLE EAST": 0.92}
+MARKET_PRICE_MULT = {m: round(1 - 0.015 * k, 3) for k, m in enumerate(MARKETS)}
 COMPETITORS = ["comp_a", "comp_b", "comp_c"]
 
 
 def competitor_multipliers() -> list[tuple]:
     """(sku, competitor, price multiplier vs our list price): a rule over sku index."""
-    skus = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
     rows = []
-    for i, s in enumerate(skus):
+    for i, s in enumerate(SKUS):
         for j, c in enumerate(COMPETITORS):
             rows.append((s, c, round(0.94 + 0.03 * ((i + 2 * j) % 5), 2)))
     return rows

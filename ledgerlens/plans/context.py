@@ -8,16 +8,16 @@ scan as a pushed predicate instead of a join.
 from __future__ import annotations
 
 import datetime as _dt
-import os
 import threading
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import params as P
 from ..operators import prepare as PR
 from ..operators import quality as Q
-from ..sources.bookings import bookings
+from ..sources.bookings import bookings, dataset_uri
 
 _LOCK = threading.Lock()
 _CTX: dict = {}
@@ -31,15 +31,27 @@ class Context:
         self._tops: dict = {}
 
     @property
-    def bookings(self) -> DataFrame:
+    def _fact(self) -> DataFrame:
         return bookings(self.spark, self.sf_dir)
 
+    @property
+    def bookings(self) -> DataFrame:
+        """The fact with ``is_partial``: its week is not wholly inside the covered days."""
+        return PR.flag_partial_weeks(self._fact, *self.covered)
+
     @property
     def settled(self) -> DataFrame:
         return PR.settled_rows(self.bookings)
 
     def manifest(self) -> DataFrame:
-        return Q.file_manifest(self.bookings)
+        return Q.file_manifest(self._fact)
+
+    @cached_property
+    def covered(self) -> tuple[_dt.date, _dt.date]:
+        """First day with bookings inside the clean window, and the clean end."""
+        start, end = self.window
+        first = self._fact.agg(F.min("booking_date").alias("d")).first()["d"]
+        return max(d for d in (start, first) if d is not None) if start or first else start, end
 
     @cached_property
     def window(self) -> tuple[_dt.date, _dt.date]:
@@ -62,6 +74,11 @@ class Context:
                 self._tops[k] = PR.top_values(self.clean, key, n).cache()
             return self._tops[k]
 
+    @cached_property
+    def top_agents(self) -> DataFrame:
+        """The busiest sales agents on the clean window (at most N rows), cached like ``top``."""
+        return PR.top_values(self.clean.filter(F.col("booked_by") == "Sales"), "agent_id", P.TOP_N["agent20"]).cache()
+
     @cached_property
     def panel(self) -> DataFrame:
         """Complete-week bookings per (week, market, sku), shared by the DiD-based keys and
@@ -97,7 +114,7 @@ class Context:
 
 
 def context(spark: SparkSession, sf_dir: str) -> Context:
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    key = (spark.sparkContext.applicationId, dataset_uri(spark, sf_dir))
     with _LOCK:
         if key not in _CTX:
             _CTX[key] = Context(spark, sf_dir)

@@ -111,12 +111,10 @@ def q_bookings_scope(s, d):
     c = _c(s, d).clean
     scopes = {"all": F.lit(True), "vip_gold": F.col("customer_category") == "vip gold",
               "sales": F.col("booked_by") == "Sales", "coupon": X.has_coupon()}
-    parts = [c.filter(pred).agg(F.lit(name).alias("scope"), _count(), X.sum0("gm_c").alias("gm_sum"))
-             for name, pred in scopes.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    one = c.agg(*[X.count_when(p).alias(f"n_{k}") for k, p in scopes.items()],
+                *[X.sum0(F.when(p, F.col("gm_c"))).alias(f"gm_{k}") for k, p in scopes.items()])
+    return one.select(F.inline(F.array(*[F.struct(
+        F.lit(k).alias("scope"), F.col(f"n_{k}").alias("rows"), F.col(f"gm_{k}").alias("gm_sum")) for k in scopes])))
 
 
 def q_currency_view(s, d):
@@ -130,40 +128,30 @@ def q_waterfall_reconcile(s, d):
     return Q.waterfall_reconcile(R.weekly_waterfall(_c(s, d).clean))
 
 
-ROLLUP_GRAINS = {
-    "weekly_waterfall": ["week_start"],
-    "weekly_stack": ["week_start", "n_disc_types", "customer_category"],
-    "weekly_coupon": ["week_start", "coupon"],
-    "weekly_segment": ["week_start", "market", "customer_category", "booking_flag", "booked_by"],
-    "weekly_market_sku": ["week_start", "market", "sku"],
-}
-
+def rollup_totals(published: dict[str, DataFrame]) -> DataFrame:
+    """Total complete-week GM of each published weekly table, read from the tables themselves."""
+    parts = [PR.complete_weeks(t).agg(X.sum0("gm_sum").alias("gm_total")).select(F.lit(name).alias("rollup"), "gm_total")
+             for name, t in published.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
-def rollup_totals(settled: DataFrame) -> DataFrame:
-    """Total complete-week GM of each published weekly rollup.
 
-    All five groupings are computed in one pass with GROUPING SETS (one scan, one Expand,
-    partial aggregation, one shuffle); ``grouping_id`` tells the groupings apart, and each
-    rollup's total is the sum over its own groups."""
-    full = (PR.complete_weeks(settled).withColumn("n_disc_types", X.stack_bucket("n_disc"))
-            .withColumn("coupon", F.coalesce(F.col("coupon_code"), F.lit(P.NONE_COUPON))))
-    cols = sorted({c for v in ROLLUP_GRAINS.values() for c in v})
-    gid_of = {name: sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in grain)
-              for name, grain in ROLLUP_GRAINS.items()}
-    g = full.groupingSets([list(v) for v in ROLLUP_GRAINS.values()], *cols).agg(
-        X.sum0("gm_c").alias("gm_sum"), F.grouping_id().alias("gid"))
-    name = None
-    for n, gid in gid_of.items():
-        name = (F.when(F.col("gid") == gid, F.lit(n)) if name is None else name.when(F.col("gid") == gid, F.lit(n)))
-    return g.groupBy(name.alias("rollup")).agg(X.sum0("gm_sum").alias("gm_total"))
+def published_rollups(settled: DataFrame) -> dict[str, DataFrame]:
+    """The weekly tables whose totals must agree, as their rollup functions publish them. Each is
+    computed on its own (five scans): the check is worth nothing on a shared intermediate."""
+    return {name: getattr(R, name)(settled) for name in (
+        "weekly_waterfall", "weekly_stack", "weekly_coupon", "weekly_segment", "weekly_market_sku")}
 
 
 def q_rollup_totals_agree(s, d):
-    return Q.rollup_totals_agree(rollup_totals(_c(s, d).settled))
+    return Q.rollup_totals_agree(rollup_totals(published_rollups(_c(s, d).settled)))
 
 
 def q_null_margin_guard(s, d):
-    return Q.null_margin_guard(_c(s, d).clean)
+    ctx = _c(s, d)  # unsettled rows are still in: the window cut of all bookings
+    return Q.null_margin_guard(PR.clean_window(ctx.bookings, *ctx.window))
 
 
 def banned_hashes(spark) -> DataFrame:

@@ -31,8 +31,8 @@ def rollup_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "segment_weekly": R.segment_weekly(ctx.bucketed("city")),
         "channel_weekly": R.channel_weekly(ctx.bucketed("city")),
         "stacking_weekly": R.stacking_weekly(clean),
-        "geo_weekly": R.geo_weekly(clean),
-        "daily_trend": R.daily_trend(settled, clean, *ctx.window),
+        "geo_weekly": R.geo_weekly(clean, ctx.top),
+        "daily_trend": R.daily_trend(settled, clean, *ctx.window, top=ctx.top),
         "weekly_waterfall": R.weekly_waterfall(clean),
         "package_gm": R.package_gm(clean),
     }

@@ -43,11 +43,12 @@ register("package_info")(lambda s, d: R.package_info(_c(s, d).clean))
 register("segment_weekly")(lambda s, d: R.segment_weekly(_c(s, d).bucketed("city")))
 register("channel_weekly")(lambda s, d: R.channel_weekly(_c(s, d).bucketed("city")))
 register("stacking_weekly")(lambda s, d: R.stacking_weekly(_c(s, d).clean))
-register("geo_weekly")(lambda s, d: R.geo_weekly(_c(s, d).clean))
-register("daily_trend")(lambda s, d: R.daily_trend(_c(s, d).settled, _c(s, d).clean, *_c(s, d).window))
+register("geo_weekly")(lambda s, d: R.geo_weekly(_c(s, d).clean, _c(s, d).top))
+register("daily_trend")(lambda s, d: R.daily_trend(_c(s, d).settled, _c(s, d).clean, *_c(s, d).window,
+                                                        top=_c(s, d).top))
 register("weekly_waterfall")(lambda s, d: R.weekly_waterfall(_c(s, d).clean))
 register("package_gm")(lambda s, d: R.package_gm(_c(s, d).clean))
-register("booking_cube_weekly")(lambda s, d: R.booking_cube_weekly(_c(s, d).clean))
+register("booking_cube_weekly")(lambda s, d: R.booking_cube_weekly(_c(s, d).clean, _c(s, d).top))
 register("weekly_market_sku")(lambda s, d: R.weekly_market_sku(_c(s, d).settled))
 register("weekly_stack")(lambda s, d: R.weekly_stack(_c(s, d).settled))
 register("weekly_coupon")(lambda s, d: R.weekly_coupon(_c(s, d).settled))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -63,26 +62,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return current.rstrip("/")
 
 
-def app_scratch(spark: SparkSession, *parts: str) -> str:
-    """A per-application sub-folder of the checkpoint dir for written tables."""
-    base = checkpoint_dir(spark)
-    return "/".join([base, "ledgerlens", spark.sparkContext.applicationId, *parts])
-
-
-def local_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
 def exists(spark: SparkSession, path: str) -> bool:
     """Existence check through Hadoop's FileSystem so it works on any shared store."""
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return bool(fs.exists(hpath))
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default

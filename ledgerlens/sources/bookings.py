@@ -5,35 +5,26 @@ declared with the DataFrame API; Catalyst prunes each scan to the columns used a
 picks the join strategies from measured sizes (nation/region are fixed 25/5-row
 dimensions and are broadcast explicitly).
 
-Dimension sides (orders+customer, customer) are broadcast only when their row count is
-below ``BROADCAST_MAX_ROWS``; beyond it they join by sort-merge. Counting a Parquet table
-is a cheap metadata-and-one-column job. The part side is narrow (key, sku, premium flag)
-and bounded by the catalogue; it is broadcast when its measured size (rows and exact sku
-bytes, one job) is under ``BROADCAST_MAX_BYTES``, which spares the fact a second shuffle
-on the part key at any scale where the catalogue fits.
-
 Fresh/Repeat needs the rank of an order among its customer's orders. Only the first
 three matter, so the rank is computed as a filtered ``row_number`` (Spark plans a
 map-side WindowGroupLimit, so a customer holding a third of all orders ships at most
 three rows per map task) and joined back on the unique order key.
 
-``bookings(spark, sf_dir)`` materialises the fact once per application as Parquet in the
-shared checkpoint folder (sorted by booking date inside each file so date filters skip
-row groups) and returns a lazy scan of it. ``is_partial`` is added at read time from the
-latest booking week.
+``bookings(spark, sf_dir)`` writes the fact once per dataset version into the shared folder and
+returns a lazy scan of it; ``is_partial`` is added by the query context.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-import os
+import hashlib
 import threading
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import app_scratch, exists
-from .tables import read_table
+from ..session import checkpoint_dir, exists
+from .tables import read_table, table_path
 
 _LOCK = threading.Lock()
 _CACHE: dict = {}
@@ -51,54 +42,17 @@ def share_of(offer: Column, pct: Column) -> Column:
     return F.floor(offer * pct / F.lit(100.0)).cast("bigint")
 
 
-BROADCAST_MAX_ROWS = 1_000_000   # a joined side is broadcast only below this many rows
-BROADCAST_MAX_BYTES = 1 << 30     # the narrow part side: broadcast only below this measured size
-PART_ROW_BYTES = 48               # per-row bound of the part side besides its string bytes (key,
-                                  # flag, row header, string offset, hash-table entry)
-
-
-def sized_side(df: DataFrame, rows: int, max_rows: int | None = None) -> DataFrame:
-    """Broadcast ``df`` when its counted size is under the bound (``BROADCAST_MAX_ROWS``
-    unless given); otherwise ask for a sort-merge join (spills, and AQE can still split
-    skewed partitions)."""
-    bound = BROADCAST_MAX_ROWS if max_rows is None else max_rows
-    return F.broadcast(df) if rows <= bound else df.hint("merge")
-
-
-def part_side(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The part side, narrow: (p_partkey, p_type, p_premium). Only the sku string and a
-    premium flag are needed, so the broadcast holds little beyond the sku bytes."""
-    return read_table(spark, sf_dir, "part", ["p_partkey", "p_type", "p_retailprice"]).select(
-        "p_partkey", "p_type", (F.col("p_retailprice") >= 950).alias("p_premium"))
-
-
-def table_sizes(spark: SparkSession, sf_dir: str, cols: dict[str, tuple[str, str | None]]) -> dict[str, tuple[int, int]]:
-    """(rows, string bytes) of several tables in one job. ``cols`` maps a table to its key
-    column and, optionally, a string column whose exact byte length is summed (the result
-    has one row per table)."""
-    parts = []
-    for t, (key, text) in cols.items():
-        b = F.octet_length(text).cast("bigint") if text else F.lit(0).cast("bigint")
-        parts.append(read_table(spark, sf_dir, t, [key] + ([text] if text else []))
-                     .select(F.lit(t).alias("t"), b.alias("b")))
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    got = u.groupBy("t").agg(F.count(F.lit(1)).alias("n"), F.sum("b").alias("b")).collect()
-    return {r["t"]: (int(r["n"]), int(r["b"] or 0)) for r in got}
+def spread(line: DataFrame) -> DataFrame:
+    """A fact stored in fewer splits than the cluster has cores is dealt out by a per-row id (no
+    business key, so nothing can pile up) so that its wide projection uses every core; a widely
+    split fact is left as it is."""
+    cores = line.sparkSession.sparkContext.defaultParallelism
+    if line.rdd.getNumPartitions() >= cores:
+        return line
+    return line.repartition(2 * cores, F.monotonically_increasing_id())
 
 
-def table_rows(spark: SparkSession, sf_dir: str, keys: dict[str, str]) -> dict[str, int]:
-    """Row counts of several tables in one job (key column only)."""
-    return {t: n for t, (n, _) in table_sizes(spark, sf_dir, {t: (c, None) for t, c in keys.items()}).items()}
-
-
-def part_bytes(rows: int, sku_bytes: int) -> int:
-    """Size bound of the broadcast part side: rows x PART_ROW_BYTES + the exact sku bytes."""
-    return rows * PART_ROW_BYTES + sku_bytes
-
-
-def _customer_orders(spark: SparkSession, sf_dir: str, n_customers: int | None = None) -> DataFrame:
+def _customer_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"])
     customer = read_table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey", "c_mktsegment"])
     nation = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name", "n_regionkey"])
@@ -112,11 +66,11 @@ def _customer_orders(spark: SparkSession, sf_dir: str, n_customers: int | None =
 
     geo = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey).select(
         "n_nationkey", "n_name", "r_name")
-    customer = sized_side(customer, customer.count() if n_customers is None else n_customers)
-    return (orders
+    # first three before customer: the customer join then re-deals the orders by customer, so the
+    # line join reads both of its inputs through an exchange of its own, which skew handling can split
+    return (orders.join(first_three, "o_orderkey", "left")
             .join(customer, orders.o_custkey == customer.c_custkey)
             .join(F.broadcast(geo), F.col("c_nationkey") == geo.n_nationkey)
-            .join(first_three, "o_orderkey", "left")
             .select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "c_mktsegment",
                     "n_name", "r_name", F.coalesce("_fresh", F.lit(False)).alias("_fresh")))
 
@@ -126,26 +80,13 @@ def build_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = read_table(spark, sf_dir, "lineitem", [
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
         "l_discount", "l_tax", "l_returnflag", "l_linestatus"])
-    # one job measures every side: orders and customer rows, part rows and sku bytes
-    sizes = table_sizes(spark, sf_dir, {"orders": ("o_orderkey", None), "customer": ("c_custkey", None),
-                                        "part": ("p_partkey", "p_type")})
-    n_orders = sizes.get("orders", (0, 0))[0]
-    orders = sized_side(_customer_orders(spark, sf_dir, sizes.get("customer", (0, 0))[0]), n_orders)
-    part = part_side(spark, sf_dir)
-    part = F.broadcast(part) if part_bytes(*sizes.get("part", (0, 0))) <= BROADCAST_MAX_BYTES else part.hint("merge")
-
-    # The line-item fact is never broadcast; each dimension side is size-checked.
-    # * part is bounded by the catalogue (tens of millions of rows at 100 TB, under 1 GB as
-    #   the narrow side): broadcast when its measured size is under BROADCAST_MAX_BYTES, so
-    #   the fact is not shuffled a second time on the part key; else sort-merge.
-    # * orders broadcast (so the fact is at most a few million rows): the fact is spread over
-    #   2 x cores partitions by a per-row id (uniform; no pre-sort as a round-robin shuffle
-    #   needs), so the wide projection uses every core even when the files hold few row
-    #   groups; no business key is involved, so a hot order key cannot pile up in one task.
-    # * orders too big: the sort-merge join's own exchange on the order key is the only
-    #   shuffle of the fact, and AQE's skew-join handling splits a hot key.
-    if n_orders <= BROADCAST_MAX_ROWS:
-        line = line.repartition(2 * spark.sparkContext.defaultParallelism, F.monotonically_increasing_id())
+    orders = _customer_orders(spark, sf_dir)
+    # the part side is narrow: key, sku, premium flag
+    part = read_table(spark, sf_dir, "part", ["p_partkey", "p_type", "p_retailprice"]).select(
+        "p_partkey", "p_type", (F.col("p_retailprice") >= 950).alias("p_premium"))
+    # No side is hinted: Spark broadcasts what its measured size allows and splits skewed
+    # partitions of the sort-merge joins otherwise.
+    line = spread(line)
     j = (line.join(orders, line.l_orderkey == orders.o_orderkey)
          .join(part, line.l_partkey == part.p_partkey))
 
@@ -228,35 +169,82 @@ def build_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
-def _materialise(spark: SparkSession, sf_dir: str) -> tuple[str, _dt.date, DataFrame]:
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
-    with _LOCK:
-        hit = _CACHE.get(key)
-        if hit:
-            return hit
-        tag = os.path.abspath(sf_dir).strip("/").replace("/", "_")
-        path = app_scratch(spark, "bookings", tag)
-        if not exists(spark, path + "/_SUCCESS"):
-            (build_bookings(spark, sf_dir)
-             .sortWithinPartitions("booking_date")
-             .write.mode("overwrite").parquet(path))
-        fact = spark.read.parquet(path)
-        latest = fact.agg(F.max("week_start").alias("w")).first()["w"]
-        # one DataFrame per (application, dataset): the file listing happens once, and every
-        # query starts from the same logical scan
-        df = fact.withColumn("is_partial", F.col("week_start") == F.lit(latest))
-        _CACHE[key] = (path, latest, df)
-        return _CACHE[key]
+SOURCES = ("lineitem", "orders", "customer", "part", "nation", "region")
+MAPPING_VERSION = 2   # raise when the mapping below changes, so that no older fact is read
 
 
-def bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Materialised bookings fact with ``is_partial`` (week of the latest booking)."""
-    return _materialise(spark, sf_dir)[2]
+def _fs(spark: SparkSession, path: str):
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
 
 
-def bookings_lazy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Un-materialised variant: the mapping plus ``is_partial`` from a scalar subquery on the
-    latest booking week (for one-off jobs that stream straight through)."""
-    df = build_bookings(spark, sf_dir)
-    latest = df.select(F.max("week_start")).scalar()
-    return df.withColumn("is_partial", F.col("week_start") == latest)
+def dataset_uri(spark: SparkSession, sf_dir: str) -> str:
+    """The folder's full URI, as its file system qualifies it."""
+    fs, path = _fs(spark, sf_dir.rstrip("/"))
+    return fs.makeQualified(path).toString()
+
+
+def dataset_version(spark: SparkSession, sf_dir: str) -> str:
+    """Hash of the full URI, the mapping and the length, file count and time of every source
+    table: equal for equal data in any application, different for folders that look alike."""
+    parts = [dataset_uri(spark, sf_dir), str(MAPPING_VERSION)]
+    for t in SOURCES:
+        fs, path = _fs(spark, table_path(sf_dir, t))
+        size = fs.getContentSummary(path)
+        parts.append(f"{t}:{size.getLength()}:{size.getFileCount()}:{fs.getFileStatus(path).getModificationTime()}")
+    return hashlib.sha256("\n".join(parts).encode()).hexdigest()[:24]
+
+
+def fact_folder(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of all versions of one dataset's fact."""
+    name = hashlib.sha256(dataset_uri(spark, sf_dir).encode()).hexdigest()[:24]
+    return f"{checkpoint_dir(spark)}/ledgerlens/bookings/{name}"
+
+
+def drop_old_facts(spark: SparkSession, sf_dir: str) -> int:
+    """Delete the versions of this dataset's fact that are not the present one."""
+    fs, folder = _fs(spark, fact_folder(spark, sf_dir))
+    keep, gone = dataset_version(spark, sf_dir), 0
+    for status in fs.listStatus(folder) if fs.exists(folder) else ():
+        if status.getPath().getName() != keep:
+            gone += bool(fs.delete(status.getPath(), True))
+    return gone
+
+
+def orphan_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items that the fact's inner joins drop, by the side that is missing (one row each)."""
+    line = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey"])
+    orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey"])
+    customer = read_table(spark, sf_dir, "customer", ["c_custkey"])
+    part = read_table(spark, sf_dir, "part", ["p_partkey"])
+    sides = {"order": line.join(orders, line.l_orderkey == orders.o_orderkey, "left_anti"),
+             "part": line.join(part, line.l_partkey == part.p_partkey, "left_anti"),
+             "customer": line.join(orders.join(customer, orders.o_custkey == customer.c_custkey, "left_anti"),
+                                   F.col("l_orderkey") == F.col("o_orderkey"), "left_semi")}
+    out = None
+    for name, df in sides.items():
+        n = df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("missing"), "rows")
+        out = n if out is None else out.unionByName(n)
+    return out
+
+
+def bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bookings fact, written once per dataset version and read by every later application.
+
+    It is range-partitioned on (date, id) and sorted, so each file holds one stretch of dates and
+    a date filter skips whole files; a hot day is cut into several files by the id. The write
+    goes to a folder of its own and is renamed when complete, so readers never see half a fact."""
+    key = (spark.sparkContext.applicationId, dataset_version(spark, sf_dir))
+    with _LOCK:
+        if key not in _CACHE:
+            path = f"{fact_folder(spark, sf_dir)}/{key[1]}"
+            if not exists(spark, path + "/_SUCCESS"):
+                part = f"{path}.{spark.sparkContext.applicationId}"
+                (build_bookings(spark, sf_dir).repartitionByRange("booking_date", "booking_id")
+                 .sortWithinPartitions("booking_date", "booking_id").write.mode("overwrite").parquet(part))
+                fs, made = _fs(spark, part)
+                if not fs.rename(made, _fs(spark, path)[1]) and not exists(spark, path + "/_SUCCESS"):
+                    raise RuntimeError(f"the fact could not be put at {path}")
+            # one DataFrame per (application, dataset): the file listing happens once
+            _CACHE[key] = spark.read.parquet(path)
+        return _CACHE[key]

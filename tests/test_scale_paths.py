@@ -1,12 +1,13 @@
 """The large-data code paths, exercised on small data.
 
-* With the broadcast bound forced to zero the fact is built with sort-merge joins (the
-  100 TB plan) and must still equal the SQL mapping row for row.
+* With broadcasts off the fact is built with sort-merge joins (the 100 TB plan) and must
+  still equal the SQL mapping row for row.
 * The Fresh/Repeat rank keeps a map-side WindowGroupLimit, and it is correct when one
   customer holds a third of all orders (checked against a brute-force rank).
 """
 
 import duckdb
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -18,53 +19,80 @@ COLS = ["booking_id", "booking_date", "package_code", "coupon_code", "city", "ma
         "booked_by", "offer_c", "coupon_c", "vip_c", "net_c", "cpt_c", "gm_c", "n_disc", "source_file"]
 
 
-def test_sort_merge_path_equals_sql(spark, sf_small, monkeypatch):
-    monkeypatch.setattr(B, "BROADCAST_MAX_ROWS", 0)
-    df = B.build_bookings(spark, sf_small).select(*COLS)
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" in plan or "SortMerge" in plan
-    rows = [tuple(r) for r in df.collect()]
+def _sql_mapping_hash(sf):
     con = duckdb.connect()
     for t in ("region", "nation", "customer", "part", "orders", "lineitem"):
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_small}/{t}.parquet')")
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
     cur = con.execute(with_bookings("SELECT " + ", ".join(COLS) + " FROM bookings_base"))
     drows = cur.fetchall()
-    assert len(rows) == len(drows)
-    assert table_hash(COLS, rows, None)[0] == table_hash([d[0] for d in cur.description], drows, None)[0]
+    return len(drows), table_hash([d[0] for d in cur.description], drows, None)[0]
 
 
-def _sql_mapping_hash(sf_small):
-    con = duckdb.connect()
-    for t in ("region", "nation", "customer", "part", "orders", "lineitem"):
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_small}/{t}.parquet')")
-    cur = con.execute(with_bookings("SELECT " + ", ".join(COLS) + " FROM bookings_base"))
-    drows = cur.fetchall()
-    return len(drows), table_hash([d[0] for d in cur.description], drows, None)[0]
+@pytest.fixture()
+def no_broadcast(spark):
+    """Nothing is broadcast by size, as with tables too large for it."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_part_side_over_byte_bound_joins_by_sort_merge(spark, sf_small, monkeypatch):
-    """Every side over its bound: the fact joins orders and part by sort-merge and still
-    equals the SQL mapping."""
-    monkeypatch.setattr(B, "BROADCAST_MAX_ROWS", 0)
-    monkeypatch.setattr(B, "BROADCAST_MAX_BYTES", 0)
+def test_sort_merge_build_equals_sql(spark, sf_small, no_broadcast):
     df = B.build_bookings(spark, sf_small).select(*COLS)
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin [l_partkey" in plan
     rows = [tuple(r) for r in df.collect()]
     assert (len(rows), table_hash(COLS, rows, None)[0]) == _sql_mapping_hash(sf_small)
 
 
-def test_large_plan_shuffles_fact_once(spark, sf_small, monkeypatch):
-    """Orders over the row bound, part under the byte bound (the 100 TB shape): the line
-    items cross one exchange (on the order key); part is broadcast."""
-    monkeypatch.setattr(B, "BROADCAST_MAX_ROWS", 0)
-    df = B.build_bookings(spark, sf_small)
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin [l_partkey" in plan
-    assert "hashpartitioning(l_orderkey" in plan and "hashpartitioning(l_partkey" not in plan
-    rows, sku_bytes = B.table_sizes(spark, sf_small, {"part": ("p_partkey", "p_type")})["part"]
-    assert rows == spark.read.parquet(f"{sf_small}/part.parquet").count() and sku_bytes > rows
-    assert 0 < B.part_bytes(rows, sku_bytes) <= B.BROADCAST_MAX_BYTES
+def test_line_join_reads_both_sides_through_their_own_exchange(spark, sf_small, no_broadcast):
+    """Both inputs of the line x orders join are shuffles made for it, the shape that skew
+    handling can split."""
+    plan = B.build_bookings(spark, sf_small)._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    at = next(k for k, x in enumerate(lines) if "SortMergeJoin [l_orderkey" in x)
+    below = [x for x in lines[at + 1:] if "Exchange" in x]
+    assert "hashpartitioning(l_orderkey" in below[0]
+    assert any("hashpartitioning(o_orderkey" in x and "ENSURE_REQUIREMENTS" in x for x in below)
+    customer = next(k for k, x in enumerate(lines) if "[o_custkey" in x and "SortMergeJoin" in x)
+    first = next(k for k, x in enumerate(lines) if "SortMergeJoin [o_orderkey" in x)
+    assert customer < first  # the customer join stands between, so the orders are dealt anew
+
+
+def test_hot_order_builds_whole(spark, sf_small, tmp_out, no_broadcast):
+    """A third of all line items on one order: the fact keeps every row."""
+    import shutil
+    for t in ("region", "nation", "customer", "part", "orders"):
+        shutil.copy(f"{sf_small}/{t}.parquet", tmp_out)
+    line = spark.read.parquet(f"{sf_small}/lineitem.parquet")
+    hot = line.select(F.min("l_orderkey")).first()[0]
+    line.withColumn("l_orderkey", F.when(F.col("l_partkey") % 3 == 0, F.lit(hot)).otherwise(
+        F.col("l_orderkey"))).write.parquet(f"{tmp_out}/lineitem.parquet")
+    assert B.build_bookings(spark, tmp_out).count() == line.count()
+
+
+def test_fact_path_is_stable_and_collision_free(spark, sf_small, tmp_out):
+    import os
+    import shutil
+    for name in ("a/b_c", "a_b/c"):
+        shutil.copytree(sf_small, os.path.join(tmp_out, name))
+    one, two = (B.fact_folder(spark, os.path.join(tmp_out, n)) for n in ("a/b_c", "a_b/c"))
+    assert one != two
+    first = B.dataset_version(spark, sf_small)
+    assert first == B.dataset_version(spark, sf_small + "/")
+    B.bookings(spark, sf_small)
+    files = set(spark.read.parquet(f"{B.fact_folder(spark, sf_small)}/{first}").inputFiles())
+    B._CACHE.clear()                                       # as another application would
+    assert set(B.bookings(spark, sf_small).inputFiles()) == files
+    assert B.drop_old_facts(spark, sf_small) == 0
+
+
+def test_orphan_lines_are_counted(spark, sf_small, tmp_out):
+    import shutil
+    for t in ("region", "nation", "customer", "part", "orders"):
+        shutil.copy(f"{sf_small}/{t}.parquet", tmp_out)
+    line = spark.read.parquet(f"{sf_small}/lineitem.parquet")
+    line.withColumn("l_partkey", F.when(F.col("l_linenumber") == 1, F.lit(-1)).otherwise(
+        F.col("l_partkey"))).write.parquet(f"{tmp_out}/lineitem.parquet")
+    got = {r["missing"]: r["rows"] for r in B.orphan_lines(spark, tmp_out).collect()}
+    assert got == {"order": 0, "customer": 0, "part": line.where("l_linenumber = 1").count()}
 
 
 def test_first_three_rank_with_hot_customer(spark, sf_small):
@@ -102,13 +130,14 @@ def test_token_scan_single_exchange(spark, sf_small):
     assert plan.count("Exchange hashpartitioning") == 1
 
 
-def test_grand_total_subquery_scans_once(spark, sf_small):
-    """Grand totals are scalar subqueries bound once: the fact is scanned by the main
-    aggregate and once by the subquery, not once per reference to the total."""
+ONE_SCAN = ["segment_mix", "stack_distribution", "revenue_share", "city_aov_outlier", "daily_completeness",
+            "geo_ranking", "trailing_gm", "trailing_gm_by_kind", "cap_scenarios", "package_exposure",
+            "coupon_health", "bookings_scope", "stacking_risk", "price_action_exposure"]
+
+
+def test_one_scan_of_the_fact(spark, sf_small):
+    """Totals, medians, trailing sums and roll-ups come from one scan."""
     import __spark_entry__ as E
-    for key in ("segment_mix", "stack_distribution", "revenue_share", "city_aov_outlier", "rollup_totals_agree"):
-        df = E.queries()[key](spark, sf_small)
-        df.write.format("noop").mode("overwrite").save()
-        plan = df._jdf.queryExecution().executedPlan().toString()
-        final = plan[:plan.find("== Initial Plan ==")] if "== Initial Plan ==" in plan else plan
-        assert final.count("FileScan") == 2, key
+    for key in ONE_SCAN:
+        plan = E.queries()[key](spark, sf_small)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Relation [") == 1, key

@@ -15,6 +15,7 @@ from ledgerlens.operators import prepare as PR
 from ledgerlens.operators import pricing as M
 from ledgerlens.operators import quality as Q
 from ledgerlens.operators import rollups as R
+from ledgerlens.operators import trends as W
 from ledgerlens.sources import dims as D
 
 FACT = T.StructType([
@@ -150,33 +151,27 @@ def test_p13_header_and_key_normalisation(spark):
     assert out.columns == ["Coupon Code", "MOV"] and out.first()[0] == "12"
 
 
-def test_p16_cap_total_discount_scales_proportionally(spark):
-    df = fact(spark, [dict(offer_c=100, coupon_c=80, vip_c=40)])
-    r = PR.cap_total_discount(df).first()
-    assert r["coupon_c"] + r["vip_c"] == pytest.approx(95.0)
-    assert r["coupon_c"] / r["vip_c"] == pytest.approx(2.0)
-
-
 def test_p17_elastic_multiplier(spark):
     ev = D.price_event_markets(spark).withColumn("true_elasticity", F.lit(-1.0))
-    e01 = [e for e in P.price_events() if e.event_id == "E01"][0]
-    cells = spark.createDataFrame([(e01.change_week, "ASIA", "ECONOMY"),
-                                   (e01.change_week - dt.timedelta(weeks=1), "ASIA", "ECONOMY")],
+    e = P.price_events()[0]
+    before = e.change_week - dt.timedelta(weeks=1)
+    cells = spark.createDataFrame([(w, e.markets[0], e.sku) for w in (e.change_week, before)],
                                   "week_start date, market string, sku string")
     got = {r["week_start"]: (r["price_mult"], r["volume_mult"]) for r in M.elastic_multiplier(cells, ev).collect()}
-    assert got[e01.change_week] == pytest.approx((1.1, 1 / 1.1))
-    assert got[e01.change_week - dt.timedelta(weeks=1)] == (1.0, 1.0)
+    g = 1 + e.pct / 100
+    assert got[e.change_week] == pytest.approx((g, 1 / g))
+    assert got[before] == (1.0, 1.0)
 
 
 def test_p17_unknown_elasticity_is_not_neutral(spark):
     """An active event whose elasticity could not be measured makes the volume multiplier
     unknown; the price multiplier still applies."""
-    e01 = [e for e in P.price_events() if e.event_id == "E01"][0]
+    e = P.price_events()[0]
     ev = D.price_event_markets(spark).withColumn(
-        "elasticity", F.when(F.col("event_id") == "E01", F.lit(None).cast("double")).otherwise(F.lit(-1.0)))
-    cells = spark.createDataFrame([(e01.change_week, "ASIA", "ECONOMY")], "week_start date, market string, sku string")
+        "elasticity", F.when(F.col("event_id") == e.event_id, F.lit(None).cast("double")).otherwise(F.lit(-1.0)))
+    cells = spark.createDataFrame([(e.change_week, e.markets[0], e.sku)], "week_start date, market string, sku string")
     r = M.elastic_multiplier(cells, ev, "elasticity").first()
-    assert r["events_active"] == 1 and r["price_mult"] == pytest.approx(1.1) and r["volume_mult"] is None
+    assert r["events_active"] == 1 and r["price_mult"] == pytest.approx(1 + e.pct / 100) and r["volume_mult"] is None
 
 
 def test_p19_suppression(spark):
@@ -256,11 +251,56 @@ def test_s08_manifest_and_window(spark):
     assert (w["clean_start"], w["clean_end"]) == (dt.date(2026, 7, 1), dt.date(2026, 9, 30))
 
 
-def test_no_python_udfs_in_plans(spark, sf_small):
+def test_plans_of_all_keys(spark, sf_small):
+    """No Python, no nested-loop or cartesian join over more than a one-row side, in any key of
+    the analytics registry."""
+    from ledgerlens.plans import registry
+    for key, query in registry.queries().items():
+        plan = query(spark, sf_small)._jdf.queryExecution().executedPlan().toString()
+        assert "EvalPython" not in plan and "PythonUDF" not in plan, key
+        assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan, key
+
+
+def test_partial_weeks_at_both_edges(spark):
+    """A one-day first week and a cut last week are partial; no week beside them is compared."""
+    monday = dt.date(2026, 1, 5)
+    days = [monday - dt.timedelta(days=1)] + [monday + dt.timedelta(days=k) for k in range(17)]
+    rows = [dict(booking_date=d, week_start=d - dt.timedelta(days=d.weekday()), special_c=100 + 10 * k, offer_c=10_000)
+            for k, d in enumerate(days)]
+    df = PR.flag_partial_weeks(fact(spark, rows).drop("is_partial"), days[0], days[-1])
+    flags = {r["week_start"]: r["is_partial"] for r in df.select("week_start", "is_partial").distinct().collect()}
+    assert flags == {monday - dt.timedelta(weeks=1): True, monday: False, monday + dt.timedelta(weeks=1): False,
+                     monday + dt.timedelta(weeks=2): True}
+    wow = W.wow_delta(df)
+    assert {r["week_start"] for r in W.biggest_mover(wow).collect()} == {monday + dt.timedelta(weeks=1)}
+    partial = {r["week_start"] for r in W.favourability(wow).filter("vs_partial").collect()}
+    assert partial == set(flags) - {monday + dt.timedelta(weeks=1)}
+    lines = {r["line"] for r in W.trailing_gm_by_kind(df).collect()}
+    assert lines == {"special_sum", "vip_sum", "coupon_sum", "redcash_sum", "giftcard_sum"}
+    assert {r["week_start"] for r in W.trailing_gm(df).collect()} == {monday, monday + dt.timedelta(weeks=1)}
+
+
+def test_long_token_is_found_whole(spark):
+    word = "a" + "b" * 99
+    docs = spark.createDataFrame([(1, f"x {word} y"), (2, f"{word}z"), (3, "b" * 40)], "doc_id long, text string")
+    listed = spark.createDataFrame([(word,)], "w string").select(F.sha2("w", 256).alias("token_hash"))
+    assert [tuple(r) for r in Q.banned_tokens(docs, listed).collect()] == [(1, 1, 1)]
+
+
+def test_rollup_totals_see_a_corrupted_table(spark, sf_small):
+    from ledgerlens.plans import quality_queries as K
+    from ledgerlens.plans.context import context
+    tables = K.published_rollups(context(spark, sf_small).settled)
+    assert all(r["agrees"] for r in Q.rollup_totals_agree(K.rollup_totals(tables)).collect())
+    tables["weekly_coupon"] = tables["weekly_coupon"].filter("coupon != 'NONE'")
+    agrees = {r["rollup"]: r["agrees"] for r in Q.rollup_totals_agree(K.rollup_totals(tables)).collect()}
+    assert [k for k, ok in agrees.items() if not ok] == ["weekly_coupon"]
+
+
+def test_null_margin_guard_sees_unsettled_rows(spark, sf_small):
     import __spark_entry__ as E
-    for key in ("weekly_waterfall", "coupon_health", "did_elasticity", "banned_tokens", "depth_curve"):
-        plan = E.queries()[key](spark, sf_small)._jdf.queryExecution().executedPlan().toString()
-        assert "EvalPython" not in plan and "PythonUDF" not in plan
+    r = E.queries()["null_margin_guard"](spark, sf_small.replace("sf0.001", "sf0.01")).first()
+    assert r["null_gm_rows"] > 0 and not r["passes"]
 
 
 def test_clean_window_filter_reaches_scan(spark, sf_small):
