@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import params as P
 from ..functions import exprs as X
@@ -155,7 +154,9 @@ def q_null_margin_guard(s, d):
 
 
 def banned_hashes(spark) -> DataFrame:
-    words = spark.createDataFrame([(w,) for w in P.BANNED_WORDS], T.StructType([T.StructField("word", T.StringType())]))
+    """Hashed list, built from literals so that Spark knows its size and broadcasts it by its own
+    threshold; a list read from a large table would join by sort-merge."""
+    words = spark.range(1).select(F.explode(F.array(*[F.lit(w) for w in P.BANNED_WORDS])).alias("word"))
     return words.select(F.sha2(F.lower("word"), 256).alias("token_hash"))
 
 
