@@ -3,6 +3,7 @@ splitting on raw UTF-8 bytes, vectorised hashing, and tables written to the shar
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 import zipfile
@@ -205,7 +206,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    # shuffle files of the finished job are removed when the driver's JVM collects what held them
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a table that ``written`` made and nothing reads any more."""
+    path = df.written_to
+    sc = df.sparkSession.sparkContext
+    folder = sc._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(sc._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def read_documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:

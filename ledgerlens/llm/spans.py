@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import WIDE, batched, signed, sliding_min, texts_of
-from .sketch import maybe_repeated
+from .sketch import maybe_repeated, repeated_bitmap
 
 #: Fields that name a text: its doc_id and its checksum (a doc_id may recur with other texts).
 KEY = ["doc_id", "text_key"]
@@ -104,10 +104,29 @@ def flagged_blocks(docs: DataFrame, bitmap: np.ndarray, symbols: Callable[[bytes
         T.StructField("first", T.IntegerType()), T.StructField("n", T.IntegerType())]))
 
 
+def text_bitmap(places: DataFrame) -> np.ndarray:
+    """Bitmap, of fixed size, of the texts that have places."""
+    rows = places.select(F.xxhash64(*KEY).alias("row")).distinct()
+    return repeated_bitmap(rows, lambda batch: [np.repeat(batch.column("row").to_numpy().view(np.uint64), 2)])
+
+
+def texts_with(rows: DataFrame, shared) -> DataFrame:
+    """Rows (with a column ``_row``: hash of KEY) whose text the bitmap may hold, so that only
+    these are shuffled; a full bitmap lets all pass, which costs shuffle and changes nothing."""
+    def run(batches):
+        for batch in batches:
+            kept = maybe_repeated(batch.column("_row").to_numpy().view(np.uint64), shared.value)
+            yield batch.filter(pa.array(kept))
+
+    return batched(rows, run, rows.schema).drop("_row")
+
+
 def windows_at(docs: DataFrame, places: DataFrame, symbols: Callable[[bytes], np.ndarray], window: int) -> DataFrame:
     """(h1, h2, doc_id, text_key, first) of every window in the given blocks (KEY, first, n)."""
     id_type = docs.schema["doc_id"].dataType
-    joined = keyed(docs).join(packed(places), KEY)
+    shared = docs.sparkSession.sparkContext.broadcast(text_bitmap(places))
+    rows = texts_with(keyed(docs).withColumn("_row", F.xxhash64(*KEY)), shared)
+    joined = rows.join(packed(places), KEY).dropDuplicates(KEY)  # repeated rows are one text
 
     def run(batches):
         for batch in batches:
@@ -148,29 +167,42 @@ def unpacked(spans: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
 
 def rewrite(docs: DataFrame, places: DataFrame, schema: str, make: Callable, keep: bool = False) -> DataFrame:
     """Every input row with the places found in its text: ``make(text, starts, lengths)`` gives
-    the new columns' values, with ``keep`` also the new text in front; the rows keep their other columns."""
+    the new columns' values, with ``keep`` also the new text in front; the rows keep their other
+    columns. Texts without places are finished in the scan, only the others are shuffled."""
     new = T.StructType.fromDDL(schema)
     names = new.fieldNames()
     old = [f for f in docs.schema.fields if f.name not in names and (keep or f.name == "doc_id")]
     kept = [f.name for f in old]
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept if c != "text"]).alias("row"), "text",
-                       F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_key"))
-    found = packed(places).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "spans")
-    joined = rows.join(found, ["_id", "_key"], "left").select("row", "text", "spans")
     kinds = [_arrow(f.dataType) for f in new.fields]
+    held = [c for c in kept if c != "text"]
+    shared = docs.sparkSession.sparkContext.broadcast(text_bitmap(places))
+    key = F.xxhash64("text")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in held]).alias("row"), "text", F.col("doc_id").alias("_id"),
+                       key.alias("_key"), F.xxhash64("doc_id", key).alias("_row"))
+
+    def made(batch, results):
+        columns = dict(zip(held, batch.column("row").flatten()))
+        if keep:
+            columns["text"] = pa.array([None if m[0] is None else m[0].decode() for m in results], pa.string())
+            results = [m[1:] for m in results]
+        values = zip(*results) if results else [()] * len(kinds)
+        return pa.RecordBatch.from_arrays([columns[c] for c in kept] + [
+            pa.array(list(v), k) for v, k in zip(values, kinds)], names=kept + names)
+
+    def untouched(batches):
+        none = np.zeros(0, np.int64)
+        for batch in batches:
+            other = batch.filter(pa.array(~maybe_repeated(batch.column("_row").to_numpy().view(np.uint64), shared.value)))
+            yield made(other, [make(text, none, none) for text in texts_of(other)])
 
-    def run(batches):
+    def touched(batches):
         for batch in batches:
-            made = [make(text, *unpacked(spans)) for text, spans in zip(texts_of(batch), batch.column("spans"))]
-            columns = dict(zip([c for c in kept if c != "text"], batch.column("row").flatten()))
-            if keep:
-                columns["text"] = pa.array([None if m[0] is None else m[0].decode() for m in made], pa.string())
-                made = [m[1:] for m in made]
-            values = zip(*made) if made else [()] * len(kinds)
-            yield pa.RecordBatch.from_arrays([columns[c] for c in kept] + [
-                pa.array(list(v), k) for v, k in zip(values, kinds)], names=kept + names)
-
-    return batched(joined, run, T.StructType(old + new.fields))
+            yield made(batch, [make(t, *unpacked(spans)) for t, spans in zip(texts_of(batch), batch.column("spans"))])
+
+    schema = T.StructType(old + new.fields)
+    found = packed(places).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "spans")
+    joined = texts_with(rows, shared).join(found, ["_id", "_key"], "left").select("row", "text", "spans")
+    return batched(rows, untouched, schema).union(batched(joined, touched, schema))
 
 
 def _arrow(kind: T.DataType) -> pa.DataType:

@@ -56,7 +56,7 @@ def repeated_places(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     least = windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
     single = (windows.join(least.where("least < most").drop("most"), ["h1", "h2"]).where("doc_id > least")
               .select(*KEY, "first", F.lit(window).alias("n")))
-    return whole.select(*KEY, "first", (F.col("n") + (window - 1)).alias("n")).union(single)
+    return written(whole.select(*KEY, "first", (F.col("n") + (window - 1)).alias("n")).union(single), "places")
 
 
 def dedup_passages(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, keep: bool = False) -> DataFrame:

@@ -24,8 +24,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import batched, covered, mask_runs, signed, texts_of, written
+from .common import batched, covered, discard, mask_runs, signed, texts_of, written
 from .sketch import repeated_bitmap
 from .spans import CONTEXT, KEY, Blocks, flagged_blocks, keyed, rewrite, windows_at
 
@@ -44,44 +45,47 @@ def symbols(text: bytes) -> np.ndarray:
 
 
 def suffixes(docs: DataFrame, window: int, gram: int) -> DataFrame:
-    """(anchor, row_key, first): the sampled suffixes of every document."""
+    """(anchor, doc_id, first): the sampled suffixes of every document."""
     def run(batches):
         for batch in batches:
             found = [Blocks(symbols(t), window, gram) for t in texts_of(batch)]
             row = pa.array(np.repeat(np.arange(len(found)), [len(b.anchor) for b in found]))
             yield pa.RecordBatch.from_arrays([
-                signed(np.concatenate([b.anchor for b in found])), batch.column("row_key").take(row),
-                pa.array(np.concatenate([b.first for b in found]), pa.int32())], names=["anchor", "row_key", "first"])
+                signed(np.concatenate([b.anchor for b in found])), batch.column("doc_id").take(row),
+                pa.array(np.concatenate([b.first for b in found]), pa.int32())], names=["anchor", "doc_id", "first"])
 
-    rows = docs.select(F.xxhash64(*KEY).alias("row_key"), "text")
-    return batched(rows, run, "anchor long, row_key long, first int")
+    return batched(docs.select("doc_id", "text"), run, T.StructType([
+        T.StructField("anchor", T.LongType()), docs.schema["doc_id"], T.StructField("first", T.IntegerType())]))
 
 
 class SuffixIndex:
     """Levels of sorted suffixes; level k holds 2^k batches. ``matched`` are the tables of
-    beginnings that the merge-scans found more than once."""
+    beginnings that the merge-scans found more than once. A level 0 is one sorted array for each
+    task that made it; merged levels are dealt out by beginning, a hot one over ``SALT`` parts."""
 
     def __init__(self, window: int = WINDOW, gram: int = GRAM):
         self.window, self.gram = window, gram
         self.levels: dict[int, DataFrame] = {}
         self.matched: list[DataFrame] = []
 
-    @staticmethod
-    def _array(entries: DataFrame) -> DataFrame:
-        spread = F.pmod("row_key", F.lit(SALT))
-        return written(entries.repartition("anchor", spread).sortWithinPartitions("anchor", "row_key", "first"), "suffixes")
-
     def add(self, batch: DataFrame) -> None:
         """``batch``: KEY and text of new documents."""
-        new = self._array(suffixes(batch, self.window, self.gram))
-        counts = new.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
-        self.matched.append(written(counts.where("n > 1").select("anchor"), "matched"))
+        new = written(suffixes(batch, self.window, self.gram).sortWithinPartitions("anchor", "doc_id", "first"), "suffixes")
+        # one scan over the new array and all levels: a beginning that is new here and known
+        # there, or new twice (rows of one beginning are combined before the shuffle)
+        rows = new.select("anchor", F.lit(1).alias("n"), F.lit(0).alias("known"))
         for level in self.levels.values():
-            self.matched.append(written(
-                counts.select("anchor").join(level.select("anchor"), "anchor", "left_semi"), "matched"))
+            rows = rows.union(level.select("anchor", F.lit(0), F.lit(1)))
+        seen = rows.groupBy("anchor").agg(F.sum("n").alias("n"), F.max("known").alias("known"))
+        self.matched.append(written(seen.where("n > 1 or (n = 1 and known = 1)").select("anchor"), "matched"))
         k = 0
         while k in self.levels:
-            new = self._array(self.levels.pop(k).union(new))
+            parts = (self.levels.pop(k), new)
+            spread = F.pmod(F.xxhash64("doc_id"), F.lit(SALT))
+            new = written(parts[0].union(parts[1]).repartition("anchor", spread)
+                          .sortWithinPartitions("anchor", "doc_id", "first"), "suffixes")
+            for old in parts:
+                discard(old)
             k += 1
         self.levels[k] = new
 
@@ -100,17 +104,20 @@ def repeated_places(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, bat
     index = SuffixIndex(window, gram)
     for b in range(batches):
         index.add(rows.where(F.pmod(F.xxhash64(*KEY), F.lit(batches)) == b))
-    blocks = written(flagged_blocks(docs, index.bitmap(), symbols, window, gram).distinct(), "blocks")
+    bitmap = index.bitmap()
+    for level in index.levels.values():  # this query's index is not kept
+        discard(level)
+    blocks = written(flagged_blocks(docs, bitmap, symbols, window, gram).distinct(), "blocks")
     leaders = written(blocks.groupBy(*CONTEXT).agg(
         F.min(F.struct(*KEY, "first", "n")).alias("lead"), F.count(F.lit(1)).alias("size")), "leaders")
     whole = blocks.join(leaders.where("size > 1").select(*CONTEXT), CONTEXT, "left_semi").select(
         *KEY, "first", (F.col("n") + (window - 1)).alias("n"))
     several = leaders.groupBy("anchor").agg(F.count(F.lit(1)).alias("contexts")).where("contexts > 1")
     edges = leaders.join(several, "anchor", "left_semi").select("lead.*")
-    found = written(windows_at(docs, edges, symbols, window).distinct(), "windows")
+    found = written(windows_at(docs, edges, symbols, window), "windows")
     again = found.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     single = found.join(again, ["h1", "h2"], "left_semi").select(*KEY, "first", F.lit(window).alias("n"))
-    return whole.union(single)
+    return written(whole.union(single), "places")
 
 
 def dedup_bytes(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, batches: int = BATCHES) -> DataFrame:
