@@ -89,6 +89,11 @@ SELECT week_start, offer_sum - special_sum - vip_sum - coupon_sum - redcash_sum
          AND (net_sum - cpt_sum - gm_sum) = 0 AS reconciles
 FROM (SELECT week_start, is_partial, {nine_sums()} FROM clean GROUP BY week_start, is_partial)
 WHERE NOT is_partial""")
+    q["extracts_refresh"] = sql(f"""
+SELECT week_start, is_partial, COUNT(*) AS bookings, {nine_sums()}, {PCT(S('gm_c'), S('net_c'))} AS gm_pct
+FROM (SELECT * REPLACE (CASE WHEN TRY_CAST(cpt_raw AS BIGINT) IS NULL AND gm_c IS NOT NULL THEN net_c - gm_c
+                             ELSE TRY_CAST(cpt_raw AS BIGINT) END AS cpt_c) FROM clean)
+GROUP BY week_start, is_partial""")
     q["rollup_totals_agree"] = sql("""
 SELECT rollup, gm_total, ref AS waterfall_gm_total, gm_total - ref AS diff_c,
        abs(gm_total - ref) < greatest(100e0, abs(ref) * 1e-6) AS agrees

@@ -113,6 +113,18 @@ class Context:
         return out
 
 
+class FrameContext(Context):
+    """Context over a prepared fact given as a DataFrame (for example from extracts)."""
+
+    def __init__(self, spark: SparkSession, fact: DataFrame, window: P.WindowParams | None = None):
+        super().__init__(spark, "", window)
+        self._frame = fact
+
+    @property
+    def _fact(self) -> DataFrame:
+        return self._frame
+
+
 def context(spark: SparkSession, sf_dir: str) -> Context:
     key = (spark.sparkContext.applicationId, dataset_uri(spark, sf_dir))
     with _LOCK:

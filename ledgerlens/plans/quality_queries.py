@@ -185,7 +185,24 @@ def q_union_extracts(s, d):
                                     X.sum0("gm_c").alias("gm_sum"))
 
 
+def q_extracts_refresh(s, d):
+    """The fact written out as extracts (padded keys, NaN margins, no cost column) and read back
+    through the extract path: the waterfall over repaired costs."""
+    from ..sources.bookings import dataset_version
+    from ..session import checkpoint_dir, exists
+    from .context import FrameContext
+    from .refresh import extracts_fact
+    path = f"{checkpoint_dir(s)}/ledgerlens/extracts/{dataset_version(s, d)}"
+    if not exists(s, path + "/_SUCCESS"):
+        raw = _c(s, d).bookings.drop("is_partial", "week_start", "cpt_c").withColumns({
+            "package_code": F.concat(F.lit(" "), "package_code", F.lit("  ")),
+            "gm_c": F.coalesce(F.col("gm_c").cast("double"), F.lit(float("nan")))})
+        raw.repartitionByRange("collection_date", "booking_id").write.mode("overwrite").parquet(path)
+    return R.weekly_waterfall(FrameContext(s, extracts_fact(s, path)).clean)
+
+
 for _key, _fn in {
+    "extracts_refresh": q_extracts_refresh,
     "clean_window": q_clean_window, "repair_cost": q_repair_cost, "week_start": q_week_start,
     "discount_kinds": q_discount_kinds, "has_coupon": q_has_coupon, "coupon_depth_tier": q_depth_tier,
     "bucket_top_n": q_bucket_top_n, "bucket_min_count": q_bucket_min_count, "combo_flag": q_combo_flag,

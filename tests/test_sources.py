@@ -62,6 +62,34 @@ def test_write_tables_and_persist(spark, tmp_out, sf_small):
     assert "PartitionFilters" in pruned._jdf.queryExecution().executedPlan().toString()
 
 
+def test_refresh_from_extracts(spark, sf_small, tmp_out):
+    """Extracts with untidy headers and keys, NaN margins and unreadable cost become the ten tables."""
+    import pytest
+    from ledgerlens.plans.context import context
+    from ledgerlens.plans.refresh import extracts_fact, refresh_from_extracts
+    ctx = context(spark, sf_small)
+    single = ctx.bookings.groupBy("booking_id").count().where("count = 1").select("booking_id")
+    raw = ctx.bookings.drop("is_partial", "week_start", "cpt_c").join(single, "booking_id", "left_semi")
+    raw = raw.withColumn("gm_c", F.coalesce(F.col("gm_c").cast("double"), F.lit(float("nan"))))
+    for year in (0, 1):
+        raw.where((F.year("collection_date") % 2) == year).withColumn(
+            "coupon_code", F.coalesce(F.concat(F.col("coupon_code"), F.lit(" ")), F.lit("  "))).write.parquet(
+            os.path.join(tmp_out, f"extract_{year}"))
+    pattern = os.path.join(tmp_out, "extract_*")
+    fact = extracts_fact(spark, pattern)
+    assert fact.where("gm_c is not null and cpt_c != net_c - gm_c").count() == 0
+    assert fact.where("coupon_code = ''").count() == 0 and fact.where("coupon_code is null").count() > 0
+    paths = refresh_from_extracts(spark, pattern, os.path.join(tmp_out, "published"))
+    assert len(paths) == 10
+    wf = spark.read.parquet(paths["weekly_waterfall"]).agg(F.sum("bookings").alias("n"), F.sum("gm_sum").alias("g")).first()
+    want = (ctx.clean.join(single, "booking_id", "left_semi")
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("gm_c").alias("g")).first())
+    assert (wf["n"], wf["g"]) == (want["n"], want["g"])
+    raw.limit(5).withColumn("coupon_code", F.col("coupon_code")).write.parquet(os.path.join(tmp_out, "extract_9"))
+    with pytest.raises(AssertionError, match="not unique"):
+        refresh_from_extracts(spark, pattern, os.path.join(tmp_out, "again"))
+
+
 def test_refresh_writes_ten_tables(spark, sf_small, tmp_out):
     from ledgerlens.plans.refresh import model_tables, refresh_rollups
     paths = refresh_rollups(spark, sf_small, tmp_out)
