@@ -22,8 +22,8 @@ DEPTH = 2
 CHUNK = 1 << 16
 #: Keys a task gathers before it emits a partial sketch.
 FLUSH = 1 << 21
-#: Groups of the first merge level for each chunk.
-SPREAD = 32
+#: Groups of the first merge level for each chunk (each has an own Python call, so not too many).
+SPREAD = 4
 
 
 def cells(keys: np.ndarray, row: int, width: int) -> np.ndarray:

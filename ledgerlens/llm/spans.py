@@ -22,6 +22,8 @@ from .sketch import maybe_repeated, repeated_bitmap
 #: Fields that name a text: its doc_id and its checksum (a doc_id may recur with other texts).
 KEY = ["doc_id", "text_key"]
 CONTEXT = ["anchor", "f1", "f2"]
+#: Cells of the bitmap of texts with places.
+TEXTS = 1 << 22
 _HIGH, _LOW = np.uint64(0xFFFFFFFF00000000), np.uint64(0x00000000FFFFFFFF)
 
 
@@ -107,7 +109,7 @@ def flagged_blocks(docs: DataFrame, bitmap: np.ndarray, symbols: Callable[[bytes
 def text_bitmap(places: DataFrame) -> np.ndarray:
     """Bitmap, of fixed size, of the texts that have places."""
     rows = places.select(F.xxhash64(*KEY).alias("row")).distinct()
-    return repeated_bitmap(rows, lambda batch: [np.repeat(batch.column("row").to_numpy().view(np.uint64), 2)])
+    return repeated_bitmap(rows, lambda batch: [np.repeat(batch.column("row").to_numpy().view(np.uint64), 2)], TEXTS)
 
 
 def texts_with(rows: DataFrame, shared) -> DataFrame:
