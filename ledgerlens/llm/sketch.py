@@ -89,6 +89,9 @@ def repeated_bitmap(df: DataFrame, keys_of: Callable[[pa.RecordBatch], list[np.n
 
     parts = batched(df, sketch, "row int, chunk long, once binary, twice binary").withColumn(
         "salt", F.spark_partition_id() % SPREAD)
+    # one exchange for both levels, with a stated number of parts: the rows are few bytes but much work
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = parts.repartition(n, "row", "chunk")
     level = parts.groupBy("row", "chunk", "salt").applyInPandas(first, "row int, chunk long, once binary, twice binary")
     bits = level.groupBy("row", "chunk").applyInPandas(last, "row int, chunk long, bits binary")
     out = np.zeros((DEPTH, width // CHUNK, CHUNK // 8), np.uint8)
