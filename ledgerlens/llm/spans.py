@@ -3,8 +3,9 @@
 Every window of ``window`` symbols has an anchor, the least hash of its ``gram``-symbol pieces,
 so equal windows have equal anchors. Consecutive windows with one anchor form a block; its
 context is all symbols its windows cover. Two blocks with equal contexts repeat each other as a
-whole, so only one block of each context needs its windows compared one by one, and only where
-its anchor occurs with another context too."""
+whole, so only one block of each context needs its windows compared one by one. A window reaches
+half of what it has besides the anchor to the left of it or to the right; so that is needed only
+where the anchor with that much to its left, or to its right, occurs in another context too."""
 
 from __future__ import annotations
 
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import WIDE, batched, signed, sliding_min, texts_of
+from .common import WIDE, batched, mix64, signed, sliding_min, texts_of
 from .sketch import maybe_repeated, repeated_bitmap
 
 #: Fields that name a text: its doc_id and its checksum (a doc_id may recur with other texts).
@@ -41,11 +42,11 @@ class Blocks:
 
     def __init__(self, symbols: np.ndarray, window: int, gram: int):
         self.n = max(0, len(symbols) - window + 1)
-        self.window = window
+        self.window, self.gram = window, gram
         self.symbols = symbols
         if not self.n:
             self.anchor = np.zeros(0, np.uint64)
-            self.first = self.until = np.zeros(0, np.int64)
+            self.first = self.until = self.at = np.zeros(0, np.int64)
             return
         self.prefix = [WIDE[0].prefix(symbols)]
         piece = WIDE[0].windows(self.prefix[0], gram)
@@ -53,7 +54,8 @@ class Blocks:
         least = sliding_min(ranked, window - gram + 1)
         self.first = np.concatenate(([0], np.flatnonzero(least[1:] != least[:-1]) + 1))
         self.until = np.append(self.first[1:], self.n)
-        self.anchor = piece[(least[self.first] & _LOW).astype(np.int64)]
+        self.at = (least[self.first] & _LOW).astype(np.int64)
+        self.anchor = piece[self.at]
 
     def _both(self) -> list[np.ndarray]:
         if len(self.prefix) == 1:
@@ -65,6 +67,18 @@ class Blocks:
         lo, hi = self.first[chosen], self.until[chosen] + self.window - 1
         return [w.spans(p, lo, hi) for w, p in zip(WIDE, self._both())]
 
+    def halves(self, chosen: np.ndarray, context: np.ndarray) -> list[np.ndarray]:
+        """Hash of the anchor with half the rest of a window to its left, and to its right; where
+        the context has not that much, a value of this context alone."""
+        half = (self.window - self.gram + 1) // 2
+        at, lo, hi = self.at[chosen], self.first[chosen], self.until[chosen] + self.window - 1
+        left, right = at - half, at + self.gram + half
+        out = []
+        for ok, a, b, own in ((left >= lo, left, at + self.gram, np.uint64(1)), (right <= hi, at, right, np.uint64(2))):
+            a, b = np.where(ok, a, at), np.where(ok, b, at + self.gram)
+            out.append(np.where(ok, WIDE[0].spans(self.prefix[0], a, b) ^ own, mix64(context ^ own)))
+        return out
+
     def hashes(self, starts: np.ndarray) -> list[np.ndarray]:
         """Two independent hashes of the windows at ``starts``."""
         return [w.spans(p, starts, starts + self.window) for w, p in zip(WIDE, self._both())]
@@ -77,33 +91,52 @@ def upper(values: np.ndarray) -> pa.Array:
 
 def flagged_blocks(docs: DataFrame, bitmap: np.ndarray, symbols: Callable[[bytes], np.ndarray], window: int,
                    gram: int) -> DataFrame:
-    """Blocks whose anchor the bitmap may hold: CONTEXT, KEY, first, n (windows)."""
+    """Blocks whose anchor the bitmap may hold: CONTEXT, KEY, first, n (windows), left, right."""
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches):
         bits = shared.value
         for batch in batches:
-            size, columns = [], ([], [], [], [], [])
+            size, columns = [], ([], [], [], [], [], [], [])
             for text in texts_of(batch):
                 b = Blocks(symbols(text), window, gram)
                 chosen = np.flatnonzero(maybe_repeated(b.anchor, bits)) if b.n else b.first
                 size.append(len(chosen))
                 if len(chosen):
-                    values = (b.anchor[chosen], *b.contexts(chosen), b.first[chosen], b.until[chosen] - b.first[chosen])
+                    one, two = b.contexts(chosen)
+                    values = (b.anchor[chosen], one, two, b.first[chosen], b.until[chosen] - b.first[chosen],
+                              *b.halves(chosen, one))
                     for column, value in zip(columns, values):
                         column.append(value)
             if sum(size):
                 row = pa.array(np.repeat(np.arange(len(size)), size))
-                anchor, one, two, first, n = map(np.concatenate, columns)
+                anchor, one, two, first, n, left, right = map(np.concatenate, columns)
                 yield pa.RecordBatch.from_arrays([
                     signed(anchor), signed(one), upper(two), batch.column("doc_id").take(row),
-                    batch.column("text_key").take(row), pa.array(first, pa.int32()), pa.array(n, pa.int32())],
-                    names=[*CONTEXT, *KEY, "first", "n"])
+                    batch.column("text_key").take(row), pa.array(first, pa.int32()), pa.array(n, pa.int32()),
+                    signed(left), signed(right)], names=[*CONTEXT, *KEY, "first", "n", "left", "right"])
 
     return batched(keyed(docs), run, T.StructType([
         T.StructField("anchor", T.LongType()), T.StructField("f1", T.LongType()), T.StructField("f2", T.IntegerType()),
         T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("text_key", T.LongType()),
-        T.StructField("first", T.IntegerType()), T.StructField("n", T.IntegerType())]))
+        T.StructField("first", T.IntegerType()), T.StructField("n", T.IntegerType()),
+        T.StructField("left", T.LongType()), T.StructField("right", T.LongType())]))
+
+
+def leading_blocks(blocks: DataFrame) -> DataFrame:
+    """One block of each context (the least: that of the smallest doc_id) and their number."""
+    return blocks.groupBy(*CONTEXT).agg(F.min(F.struct(*KEY, "first", "n", "left", "right")).alias("lead"),
+                                        F.count(F.lit(1)).alias("size"))
+
+
+def blocks_to_compare(leaders: DataFrame) -> DataFrame:
+    """The leading blocks that may share single windows with another context."""
+    sides = leaders.select("lead.*")
+    again = [sides.groupBy(F.col(c).alias("side")).agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("side")
+             for c in ("left", "right")]
+    shared = again[0].union(again[1])
+    listed = sides.select(*KEY, "first", "n", F.explode(F.array("left", "right")).alias("side"))
+    return listed.join(shared, "side", "left_semi").select(*KEY, "first", "n").distinct()
 
 
 def text_bitmap(places: DataFrame) -> np.ndarray:

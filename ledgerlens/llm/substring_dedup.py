@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .common import covered, space_words, texts_of, word_hashes, written
 from .sketch import repeated_bitmap
-from .spans import CONTEXT, KEY, Blocks, flagged_blocks, keyed, rewrite, windows_at
+from .spans import CONTEXT, KEY, Blocks, blocks_to_compare, flagged_blocks, keyed, leading_blocks, rewrite, windows_at
 
 #: Words of a window; words of the pieces whose least hash is a window's anchor.
 WINDOW = 50
@@ -45,13 +45,10 @@ def repeated_places(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     """Stretches of windows (KEY, first, n) that also start in a document of smaller doc_id."""
     bitmap = sketched(docs, window, gram)
     blocks = written(flagged_blocks(docs, bitmap, symbols, window, gram), "blocks")
-    leaders = blocks.groupBy(*CONTEXT).agg(F.min(F.struct(*KEY, "first", "n")).alias("lead"),
-                                           F.count(F.lit(1)).alias("size"))
-    leaders = written(leaders, "leaders")
+    leaders = written(leading_blocks(blocks), "leaders")
     whole = (blocks.join(leaders.where("size > 1").select(*CONTEXT, F.col("lead.doc_id").alias("least")), CONTEXT)
              .where("doc_id > least").select(*KEY, "first", "n"))
-    several = leaders.groupBy("anchor").agg(F.count(F.lit(1)).alias("contexts")).where("contexts > 1")
-    edges = leaders.join(several, "anchor", "left_semi").select("lead.*")
+    edges = written(blocks_to_compare(leaders), "edges")
     windows = written(windows_at(docs, edges, symbols, window), "windows")
     least = windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
     single = (windows.join(least.where("least < most").drop("most"), ["h1", "h2"]).where("doc_id > least")

@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from .common import batched, covered, discard, mask_runs, signed, texts_of, written
 from .sketch import repeated_bitmap
-from .spans import CONTEXT, KEY, Blocks, flagged_blocks, keyed, rewrite, windows_at
+from .spans import CONTEXT, KEY, Blocks, blocks_to_compare, flagged_blocks, keyed, leading_blocks, rewrite, windows_at
 
 WINDOW = 200
 GRAM = 64
@@ -108,12 +108,10 @@ def repeated_places(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, bat
     for level in index.levels.values():  # this query's index is not kept
         discard(level)
     blocks = written(flagged_blocks(docs, bitmap, symbols, window, gram).distinct(), "blocks")
-    leaders = written(blocks.groupBy(*CONTEXT).agg(
-        F.min(F.struct(*KEY, "first", "n")).alias("lead"), F.count(F.lit(1)).alias("size")), "leaders")
+    leaders = written(leading_blocks(blocks), "leaders")
     whole = blocks.join(leaders.where("size > 1").select(*CONTEXT), CONTEXT, "left_semi").select(
         *KEY, "first", (F.col("n") + (window - 1)).alias("n"))
-    several = leaders.groupBy("anchor").agg(F.count(F.lit(1)).alias("contexts")).where("contexts > 1")
-    edges = leaders.join(several, "anchor", "left_semi").select("lead.*")
+    edges = written(blocks_to_compare(leaders), "edges")
     found = written(windows_at(docs, edges, symbols, window), "windows")
     again = found.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     single = found.join(again, ["h1", "h2"], "left_semi").select(*KEY, "first", F.lit(window).alias("n"))
