@@ -41,6 +41,8 @@ LEAST_TOXIC, SIGNIFICANT, LEAST_ODDS = 4, 4.0, 1.5
 #: Words of the lexicon, the most significant first; bounds what is broadcast.
 LEXICON = 20_000
 FOLDS, FOLD = 5, 0
+#: Entries a task counts before it hands them on.
+HELD = 500_000
 #: Weight of the ridge penalty, steps and step size of the gradient ascent.
 RIDGE, STEPS, RATE = 1e-3, 150, 0.5
 
@@ -84,17 +86,23 @@ def learning_labels(labels: DataFrame) -> DataFrame:
 
 
 def word_sets(rows: DataFrame) -> DataFrame:
-    """(word, toxic, documents) summed per batch before it leaves Python."""
+    """(word, toxic, documents), summed over up to ``HELD`` entries before they leave Python."""
+    def table(counts):
+        return pa.RecordBatch.from_arrays([
+            pa.array([w for w, _ in counts], pa.binary()), pa.array([t for _, t in counts], pa.int32()),
+            pa.array(list(counts.values()), pa.int64())], names=["word", "toxic", "n"])
+
     def run(batches):
+        counts: dict[tuple[bytes, int], int] = {}
         for batch in batches:
-            counts: dict[tuple[bytes, int], int] = {}
             for text, toxic in zip(texts_of(batch), batch.column("toxic").to_pylist()):
                 for word in {e for w in set(words_at(text)[0]) for e in entries(w)}:
                     counts[word, toxic] = counts.get((word, toxic), 0) + 1
-            yield pa.RecordBatch.from_arrays([
-                pa.array([w for w, _ in counts], pa.binary()),
-                pa.array([t for _, t in counts], pa.int32()),
-                pa.array(list(counts.values()), pa.int64())], names=["word", "toxic", "n"])
+                if len(counts) >= HELD:
+                    yield table(counts)
+                    counts = {}
+        if counts:
+            yield table(counts)
 
     return batched(rows, run, "word binary, toxic int, n long")
 
@@ -270,7 +278,7 @@ def learn(docs: DataFrame, labels: DataFrame):
         T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("toxic", T.IntegerType())]))
     spark_rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")  # 2 x SAMPLE_ROWS ids
     tagged, rows = [], []
-    for r in sample_words(spark_rows, odds_of).toLocalIterator():
+    for r in sample_words(spark_rows, odds_of).collect():  # 2 x SAMPLE_ROWS rows of lexicon words
         x, at = np.array(r.odds, float), np.array(r.at, np.int64)
         rows.append((x, at, r.n_words, r.toxic))
         odds = np.zeros(r.n_words)
