@@ -52,12 +52,15 @@ def learn(docs: DataFrame) -> dict[str, bytes]:
     """Dictionary content by language, from rows that are not held out."""
     rows = (docs.select("doc_id", "text", "lang")
             .where(~held_out() & F.col("lang").isNotNull() & F.octet_length("text").between(1, SAMPLE_MOST))
-            .select("lang", "text", F.xxhash64("doc_id", "lang").alias("h")))
-    first = W.partitionBy("lang").orderBy("h", "text")
-    sample = rows.withColumn("k", F.row_number().over(first)).where(F.col("k") <= SAMPLE_ROWS)
+            .withColumn("h", F.xxhash64("doc_id", "lang")))
+    first = W.partitionBy("lang").orderBy("h")
+    # the choice is made on hashes alone; then SAMPLE_ROWS of them a language pick the texts
+    chosen = (rows.select("lang", "h").withColumn("k", F.row_number().over(first))
+              .where(F.col("k") <= SAMPLE_ROWS).select("lang", "h").distinct())
+    sample = rows.join(F.broadcast(chosen), ["lang", "h"]).select("lang", "h", "text")
     content: dict[str, list[bytes]] = {}
     size: dict[str, int] = {}
-    for r in sample.orderBy("lang", "k").toLocalIterator():  # at most SAMPLE_ROWS x SAMPLE_MOST a language
+    for r in sample.orderBy("lang", "h", "text").toLocalIterator():  # about SAMPLE_ROWS texts a language
         if size.get(r.lang, 0) < DICTIONARY:
             content.setdefault(r.lang, []).append(normal(r.text))
             size[r.lang] = size.get(r.lang, 0) + len(content[r.lang][-1]) + 1
