@@ -23,6 +23,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -112,9 +113,12 @@ def repeated_places(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, bat
     whole = blocks.join(leaders.where("size > 1").select(*CONTEXT), CONTEXT, "left_semi").select(
         *KEY, "first", (F.col("n") + (window - 1)).alias("n"))
     edges = written(blocks_to_compare(leaders), "edges")
-    found = written(windows_at(docs, edges, symbols, window), "windows")
-    again = found.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    single = found.join(again, ["h1", "h2"], "left_semi").select(*KEY, "first", F.lit(window).alias("n"))
+    # One shuffle of the windows, no table of them: with one block a context, a window comes once
+    # for each context it lies in, and equal ones meet in a partition that spills.
+    found = windows_at(docs, edges, symbols, window)
+    same = W.partitionBy("h1", "h2")
+    single = (found.withColumn("size", F.count(F.lit(1)).over(same)).where("size > 1")
+              .select(*KEY, "first", F.lit(window).alias("n")))
     return written(whole.union(single), "places")
 
 
