@@ -157,7 +157,8 @@ def texts_with(rows: DataFrame, shared) -> DataFrame:
 
 
 def windows_at(docs: DataFrame, places: DataFrame, symbols: Callable[[bytes], np.ndarray], window: int) -> DataFrame:
-    """(h1, h2, doc_id, text_key, first) of every window in the given blocks (KEY, first, n)."""
+    """(h1, h2, doc_id, text_key, first, block) of every window in the given blocks (KEY, first, n);
+    ``block`` is where the window's block starts."""
     id_type = docs.schema["doc_id"].dataType
     shared = docs.sparkSession.sparkContext.broadcast(text_bitmap(places))
     rows = texts_with(keyed(docs).withColumn("_row", F.xxhash64(*KEY)), shared)
@@ -165,25 +166,27 @@ def windows_at(docs: DataFrame, places: DataFrame, symbols: Callable[[bytes], np
 
     def run(batches):
         for batch in batches:
-            sizes, starts, one, two = [], [], [], []
+            sizes, starts, begins, one, two = [], [], [], [], []
             for text, spans in zip(texts_of(batch), batch.column("spans")):
                 lo, n = unpacked(spans)
                 at = np.unique(np.concatenate([np.arange(a, a + m) for a, m in zip(lo, n)]))
                 h = Blocks(symbols(text), window, window).hashes(at)
                 sizes.append(len(at))
                 starts.append(at)
+                begins.append((lo := np.sort(lo))[np.searchsorted(lo, at, "right") - 1])
                 one.append(h[0])
                 two.append(h[1])
             row = np.repeat(np.arange(len(sizes)), sizes)
             cat = lambda x, kind: np.concatenate(x) if x else np.zeros(0, kind)
             yield pa.RecordBatch.from_arrays(
                 [signed(cat(one, np.uint64)), upper(cat(two, np.uint64)), batch.column("doc_id").take(pa.array(row)),
-                 batch.column("text_key").take(pa.array(row)), pa.array(cat(starts, np.int64), pa.int32())],
-                names=["h1", "h2", *KEY, "first"])
+                 batch.column("text_key").take(pa.array(row)), pa.array(cat(starts, np.int64), pa.int32()),
+                 pa.array(cat(begins, np.int64), pa.int32())], names=["h1", "h2", *KEY, "first", "block"])
 
     return batched(joined, run, T.StructType([
         T.StructField("h1", T.LongType()), T.StructField("h2", T.IntegerType()), T.StructField("doc_id", id_type),
-        T.StructField("text_key", T.LongType()), T.StructField("first", T.IntegerType())]))
+        T.StructField("text_key", T.LongType()), T.StructField("first", T.IntegerType()),
+        T.StructField("block", T.IntegerType())]))
 
 
 def packed(places: DataFrame) -> DataFrame:

@@ -192,6 +192,21 @@ def test_passages_match_brute_force(make_docs, monkeypatch, width):
     assert sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept_sha256) for r in got) == brute_passages(rows, 50)
 
 
+def test_passages_repeated_inside_the_least_document(make_docs):
+    """C P D twice in document 2, A P B in document 1: P goes from both places, also where two
+    texts share the doc_id, and the document after them loses its whole C P D."""
+    rng = random.Random(12)
+    prose = lambda n: " ".join(f"w{rng.randrange(10_000)}" for _ in range(n))
+    for n in (60, 51, 90):
+        a, b, c, d, p = prose(40), prose(40), prose(30), prose(30), prose(n)
+        twice = " ".join([c, p, d, prose(70), c, p, d])
+        rows = [(1, f"{a} {p} {b}"), (2, twice), (2, f"{c} {p} {d} {prose(9)}"), (2, twice), (3, f"{prose(5)} {c} {p} {d}")]
+        got = substring_dedup.dedup_passages(make_docs(rows)).collect()
+        want = brute_passages(rows, 50)
+        assert sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept_sha256) for r in got) == want
+        assert sorted(x[2] for x in want if x[0] == "2") == [n, 2 * n, 2 * n]
+
+
 def test_passages_keep_other_columns(make_docs):
     docs = make_docs(corpus()).withColumns({"n_words": F.lit("clash"), "spans": F.lit(1), "row": F.lit(2)})
     got = substring_dedup.dedup_passages(docs, keep=True)
