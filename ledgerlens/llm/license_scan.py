@@ -27,7 +27,10 @@ NOTICE_PHRASES = {
     "cc by sa": "cc-by-sa", "cc by nd": "cc-by-nd", "cc0": "cc0", "public domain": "public-domain",
 }
 TAG = "spdx license identifier"
-TAG_LINE = re.compile(rb"(?i)spdx-license-identifier\s*:[ \t]*([^\r\n]{0,2000})")
+TAG_AT = re.compile(rb"(?i)spdx-license-identifier\s*:[ \t\"'#.;]*")
+LINE_END = re.compile(rb"[\r\n]|\Z")
+#: A bracket or a word of an expression; of a word only the beginning that an identifier may have counts.
+TOKEN = re.compile(rb"[ \t\x0b\x0c]*(?:([()])|([\w.+:/\x80-\xff-]+))")
 #: Licence family (prefix of an identifier) -> freedom of reuse, 0 to 1.
 FREEDOM = {"cc0": 1.0, "unlicense": 1.0, "mit": 0.95, "bsd": 0.95, "isc": 0.95, "zlib": 0.95, "apache": 0.9,
            "cc-by-nc": 0.3, "cc-by-nd": 0.3, "cc-by-sa": 0.6, "cc-by": 0.8, "mpl": 0.6, "lgpl": 0.5,
@@ -35,6 +38,8 @@ FREEDOM = {"cc0": 1.0, "unlicense": 1.0, "mit": 0.95, "bsd": 0.95, "isc": 0.95,
 #: How sure one piece of evidence of each kind makes the scan that the text carries a licence.
 SURE_TAG, SURE_NOTICE, SURE_RESERVED = 0.95, 0.8, 0.5
 BINDS = {"or": 1, "and": 2, "with": 3}
+_SMALL = ("or", "and", "with")
+_MAY_FOLLOW = (b"", b" ", b"\t", b"\x0b", b"\x0c", b"\r", b"\n", b"(", b")")
 
 
 def postfix(expression: str) -> list[str] | None:
@@ -72,6 +77,54 @@ def postfix(expression: str) -> list[str] | None:
     return out + stack[::-1]
 
 
+def leading(text: bytes, at: int) -> list[str] | None:
+    """Postfix order of the longest well-formed expression that starts at byte ``at`` and ends on
+    its line; None where there is none. In running text a word may follow an operator that is no
+    operator ("MIT and see below"): unless the line ends with the expression, one not in capitals
+    counts only before a known licence or, for ``with``, an exception."""
+    out: list[str] = []
+    stack: list[str] = []
+    best: tuple[int, list[str]] | None = None  # the last complete state: entries of out, stack
+    operand_next, doubtful, operator, ended = True, False, "", False
+    while not ended and (m := TOKEN.match(text, at)):
+        at = m.end()
+        token = (m[1] or m[2]).decode("utf-8", "replace")
+        word = token.lower()
+        if word == "(":
+            if not operand_next:
+                break
+            stack.append(word)
+            continue
+        if word == ")":
+            if operand_next or "(" not in stack:
+                break
+            while stack[-1] != "(":
+                out.append(stack.pop())
+            stack.pop()
+        elif word in BINDS:
+            if operand_next:
+                break
+            while stack and stack[-1] != "(" and BINDS[stack[-1]] >= BINDS[word]:
+                out.append(stack.pop())
+            stack.append(word)
+            operand_next, operator = True, token
+            continue
+        else:
+            name = word.rstrip(".:/-")
+            if not operand_next or not name or name in BINDS:
+                break
+            ended = name != word or text[at:at + 1] not in _MAY_FOLLOW  # a mark ends the expression
+            doubtful |= operator in _SMALL and not family(name) and not (operator == "with" and "exception" in name)
+            out.append(name)
+            operand_next = False
+        if "(" not in stack and not doubtful:
+            best = len(out), stack[:]
+    complete = not operand_next and "(" not in stack
+    if doubtful and complete and not text[at:LINE_END.search(text, at).start()].strip(b" \t.;#\"'*/->"):
+        best = len(out), stack[:]
+    return None if best is None else out[:best[0]] + best[1][::-1]
+
+
 def family(identifier: str) -> str | None:
     found = [k for k in FREEDOM if identifier == k or identifier.startswith(f"{k}-")]
     return max(found, key=len) if found else None
@@ -95,9 +148,9 @@ def evaluate(order: list[str]) -> tuple[set[str], float]:
     return stack[0]
 
 
-def expressions(text: bytes) -> list[str]:
-    found = (m.decode("utf-8", "replace").split("*/")[0].split("-->")[0] for m in TAG_LINE.findall(text))
-    return [" ".join(x.strip(" \t.;#\"'").split()) for x in found]
+def expressions(text: bytes) -> list[list[str]]:
+    """The well-formed expressions behind the identifier tags of a text, in postfix order."""
+    return [found for m in TAG_AT.finditer(text) if (found := leading(text, m.end()))]
 
 
 @lru_cache
@@ -127,13 +180,12 @@ def scan_text(text: bytes | None) -> tuple:
             labels.add(NOTICE_PHRASES[phrase])
             doubt *= 1 - SURE_NOTICE
     expression = freedom = None
-    for found in expressions(text) if tagged else ():
-        if order := postfix(found):
-            named, granted = evaluate(order)
-            labels |= {x.replace(",", "") for x in named}
-            doubt *= 1 - SURE_TAG
-            freedom = granted if freedom is None else min(freedom, granted)
-            expression = " ".join(order) if expression is None else expression
+    for order in expressions(text) if tagged else ():
+        named, granted = evaluate(order)
+        labels |= named
+        doubt *= 1 - SURE_TAG
+        freedom = granted if freedom is None else min(freedom, granted)
+        expression = " ".join(order) if expression is None else expression
     return (len(words), len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)),
             ",".join(sorted(base | labels)), 1 - doubt, expression, freedom)
 

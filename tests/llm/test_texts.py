@@ -58,6 +58,25 @@ def test_license_expression_choice():
     assert either[5] == both[5] == "gpl,mit"
 
 
+@pytest.mark.parametrize("text,order", [
+    ("MIT Copyright 2020 The Authors", "mit"), ("MIT. All of it", "mit"), ("MIT, see LICENSE", "mit"),
+    ("Apache-2.0 OR MIT */ int main()", "apache-2.0 mit or"), ("<!-- x", None), ("MIT--> <p>", "mit"),
+    ("(GPL-2.0-only WITH Classpath-exception-2.0) AND BSD-3-Clause Copyright (c) 2020",
+     "gpl-2.0-only classpath-exception-2.0 with bsd-3-clause and"),
+    ("MIT OR", "mit"), ("MIT) and more", "mit"), ("(MIT OR ISC", None), ("MIT and see the file below", "mit"),
+    ("mit or apache-2.0 this file is", "mit apache-2.0 or"), ("foo-1 or bar-2", "foo-1 bar-2 or"),
+    ("MIT SPDX-License-Identifier: ISC", "mit"), ('"MIT OR ISC", "name": "x"', "mit isc or"),
+    (" AND ".join(["LicenseRef-" + "x" * 90] * 40), " ".join(["licenseref-" + "x" * 90] + ["licenseref-" + "x" * 90 + " and"] * 39))])
+def test_license_tag_in_running_text(text, order):
+    found = license_scan.scan_text(b"word SPDX-License-Identifier: " + text.encode())
+    assert found[7] == order and (found[8] is None) == (order is None)
+
+
+def test_license_tags_of_one_line_all_count():
+    found = license_scan.scan_text(b"a SPDX-License-Identifier: MIT b SPDX-License-Identifier: GPL-2.0 Copyright")
+    assert found[5] == "gpl,mit" and found[7] == "mit" and found[8] == 0.3
+
+
 # -- 3 -------------------------------------------------------------------------------------
 
 def test_perfect_hash_is_minimal_and_exact():
