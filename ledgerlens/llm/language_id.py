@@ -1,7 +1,7 @@
 """Operator 10: language identification by compression.
 
-Every language gets a raw-content zstandard dictionary: texts of a bounded, hash-chosen sample
-of its learning rows. A text is compressed once with each dictionary; the smallest output names
+Every language gets a raw-content zstandard dictionary: a bounded, hash-chosen sample of its
+learning rows, of any length, each text with its share of the dictionary's bytes. A text is compressed once with each dictionary; the smallest output names
 the language, since a dictionary helps most where its strings recur. The margin between the
 two smallest gives the score, and a narrow margin marks the answer as rejected.
 
@@ -20,9 +20,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import per_document
+from .common import batched, per_document, texts_of
 
-#: The learning sample: rows of each language, by smallest hash, and bytes of text of a row.
+#: The learning sample: rows of each language, by smallest hash, and the bytes that one of them may
+#: fill at least (more where a language has few rows).
 SAMPLE_ROWS = 400
 SAMPLE_MOST = 20_000
 #: Bytes of each dictionary.
@@ -51,23 +52,36 @@ def held_out(doc_id: str = "doc_id", parts: int = 4, part: int = 2):
 def learn(docs: DataFrame) -> dict[str, bytes]:
     """Dictionary content by language, from rows that are not held out."""
     rows = (docs.select("doc_id", "text", "lang")
-            .where(~held_out() & F.col("lang").isNotNull() & F.octet_length("text").between(1, SAMPLE_MOST))
+            .where(~held_out() & F.col("lang").isNotNull() & (F.octet_length("text") > 0))
             .withColumn("h", F.xxhash64("doc_id", "lang")))
     first = W.partitionBy("lang").orderBy("h")
     # the choice is made on hashes alone; then SAMPLE_ROWS of them a language pick the texts
     chosen = (rows.select("lang", "h").withColumn("k", F.row_number().over(first))
-              .where(F.col("k") <= SAMPLE_ROWS).select("lang", "h").distinct())
-    sample = rows.join(F.broadcast(chosen), ["lang", "h"]).select("lang", "h", "text")
+              .where(F.col("k") <= SAMPLE_ROWS).groupBy("lang", "h").agg(F.count(F.lit(1)).alias("n")))
+    most = F.ceil(F.lit(DICTIONARY) / F.sum("n").over(W.partitionBy("lang")))
+    chosen = chosen.select("lang", "h", F.greatest(F.lit(SAMPLE_MOST), most).cast("int").alias("share"))
+    sample = shares(rows.join(F.broadcast(chosen), ["lang", "h"]).select("lang", "h", "share", "text"))
     content: dict[str, list[bytes]] = {}
     size: dict[str, int] = {}
     for r in sample.orderBy("lang", "h", "text").toLocalIterator():  # about SAMPLE_ROWS texts a language
         if size.get(r.lang, 0) < DICTIONARY:
-            content.setdefault(r.lang, []).append(normal(r.text))
+            content.setdefault(r.lang, []).append(bytes(r.text))
             size[r.lang] = size.get(r.lang, 0) + len(content[r.lang][-1]) + 1
     # the end of a dictionary is reached with the smallest offsets, so the first rows go last
     return {lang: b"\n".join(texts[::-1])[-DICTIONARY:] for lang, texts in content.items()}
 
 
+def shares(rows: DataFrame) -> DataFrame:
+    """(lang, h, text): the first ``share`` bytes of each normal text, cut before they leave the task."""
+    def run(batches):
+        for batch in batches:
+            texts = [normal(t.decode())[:k] for t, k in zip(texts_of(batch), batch.column("share").to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("h"), pa.array(texts, pa.binary())],
+                                             names=["lang", "h", "text"])
+
+    return batched(rows, run, "lang string, h long, text binary")
+
+
 def predict(text: bytes, languages: list[str], coders: list) -> tuple[str, float, bool]:
     sizes = [len(c.compress(text)) for c in coders]
     best = min(range(len(sizes)), key=sizes.__getitem__)

@@ -237,6 +237,23 @@ def test_language_learns_nothing_from_held_out_rows(make_docs):
     assert language_id.learn(docs) == language_id.learn(changed)
 
 
+def test_language_of_long_texts_only_is_learned(make_docs):
+    """Every text of dd is above 20,000 bytes; one of ee's two starts with as many bytes of digits."""
+    rng = random.Random(21)
+    prose = lambda sound, n: " ".join("".join(rng.choices(sound, k=2)) for _ in range(n))
+    dd, ee = ["wyr", "cze", "dzi", "osc"], ["aikka", "yyt", "uom", "inen"]
+    rows = language_rows() + [(5000 + k, prose(dd, 4_000), "dd") for k in range(12)]
+    rows += [(6000 + k, "12 " * 9_000 + prose(ee, 6_000), "ee") for k in range(9)]
+    rows += [(7000 + k, prose((dd, ee)[k % 2], 40), None) for k in range(20)]
+    learned = language_id.learn(make_docs(rows))
+    assert sorted(learned) == ["aa", "bb", "cc", "dd", "ee"]
+    assert len(learned["dd"]) == len(learned["ee"]) == language_id.DICTIONARY
+    got = {r.doc_id: r.lang_pred for r in language_id.identify(make_docs(rows), dictionaries=learned).collect()}
+    assert all(got[7000 + k] == ("dd", "ee")[k % 2] for k in range(20))
+    one = language_id.learn(make_docs([(0, rows[400][1] * 2, "dd")]))  # a single row may fill more
+    assert len(one["dd"]) > 2 * language_id.SAMPLE_MOST
+
+
 def test_language_edge_rows(make_docs):
     rows = language_rows() + [(1000, None, "aa"), (1001, "", "bb"), (1002, "123 ... !", "aa"), (None, "the tion", None),
                               (1003, "tion the " * 40_000, None), (1003, "x", None)]
