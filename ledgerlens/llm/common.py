@@ -166,21 +166,24 @@ def batched(df: DataFrame, fn: Callable, schema: str | T.StructType) -> DataFram
     return df.mapInArrow(fn, schema)
 
 
-def per_document(docs: DataFrame, schema: str, make: Callable[[], Callable], keep: bool = False) -> DataFrame:
+def per_document(docs: DataFrame, schema: str, make: Callable[[], Callable], keep: bool = False,
+                 more: str | None = None) -> DataFrame:
     """One output row for each input row: doc_id (or, with ``keep``, every input column) and
-    the columns of ``schema``, which ``make()(texts)`` returns as a list of Arrow arrays.
+    the columns of ``schema``, which ``make()(texts)`` returns as a list of Arrow arrays. The
+    values of the column ``more`` are its second argument and not put out.
 
     An input column named like an output column gives way to the operator's column."""
     new = T.StructType.fromDDL(schema)
     names = new.fieldNames()
-    old = [f for f in docs.schema.fields if f.name not in names and (keep or f.name == "doc_id")]
+    old = [f for f in docs.schema.fields if f.name not in names and f.name != more and (keep or f.name == "doc_id")]
     kept = [f.name for f in old]
-    source = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*kept, "text"])])
+    extra = [more] if more else []
+    source = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*kept, "text", *extra])])
 
     def run(batches):
         score = make()
         for batch in batches:
-            columns = [batch.column(c) for c in kept] + score(texts_of(batch))
+            columns = [batch.column(c) for c in kept] + score(texts_of(batch), *[batch.column(c).to_pylist() for c in extra])
             yield pa.RecordBatch.from_arrays(columns, names=kept + names)
 
     return batched(source, run, T.StructType(old + new.fields))

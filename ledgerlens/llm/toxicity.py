@@ -2,7 +2,9 @@
 
 1. Corpus statistics (Spark, all learning rows): in how many toxic and clean labelled documents
    each word and each word beginning (stem) occurs. Those whose log-odds of toxicity are
-   significantly positive form the lexicon; a word takes the largest odds of itself and its stems.
+   significantly positive form the lexicon; a word takes the largest odds of itself and its stems,
+   so entries that a shorter stem of at least their odds stands for are left out. All others stay:
+   a lexicon above LEXICON_BYTES is not broadcast but joined with the words of the texts.
 2. Labelled tokens: a lexicon word of a toxic document is tagged offending, every other word is
    not. A two-tag chain (emissions from a word's log-odds, tag transitions) is fitted to a bounded
    sample by gradient ascent on the conditional likelihood.
@@ -30,16 +32,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import batched, per_document, texts_of
+from .common import batched, per_document, texts_of, word_hashes, written
 from .language_id import held_out
+from .sketch import maybe_repeated, repeated_bitmap
 
 #: Documents of each label in the sample that fits the chain and the logistic layer.
 SAMPLE_ROWS = 500
-#: A lexicon word occurs in this many toxic learning documents at least (the lower of a count
-#: and a share of them), and its log-odds lie this many standard errors above zero.
+#: A lexicon word occurs in this many toxic learning documents at least, and its log-odds lie
+#: this many standard errors above zero.
 LEAST_TOXIC, SIGNIFICANT, LEAST_ODDS = 4, 4.0, 1.5
-#: Words of the lexicon, the most significant first; bounds what is broadcast.
-LEXICON = 20_000
+#: Bytes of a lexicon (its words and so many a word besides) up to which it is broadcast.
+LEXICON_BYTES, ENTRY_BYTES = 32 << 20, 160
+#: Parts of each lexicon word where the lexicon is joined, so that a frequent one is spread.
+SALT = 16
 FOLDS, FOLD = 5, 0
 #: Entries a task counts before it hands them on.
 HELD = 500_000
@@ -63,6 +68,12 @@ def entries(word: bytes) -> list[bytes]:
     return [word, *(word[:k] + b"*" for k in STEMS if len(word) >= k)]
 
 
+def covering(entry: bytes) -> list[bytes]:
+    """Shorter stems, which speak for every word that the entry speaks for."""
+    core = entry.removesuffix(b"*")
+    return [x for k in STEMS if k <= len(core) and (x := core[:k] + b"*") != entry]
+
+
 class Odds(dict):
     """word -> its odds by the lexicon, 0 for a plain word (a bounded memo)."""
 
@@ -107,8 +118,23 @@ def word_sets(rows: DataFrame) -> DataFrame:
     return batched(rows, run, "word binary, toxic int, n long")
 
 
-def lexicon(rows: DataFrame) -> dict[bytes, float]:
-    """Significantly toxic words and their log-odds, over all learning rows."""
+def without_covered(kept: DataFrame) -> DataFrame:
+    """The entries (word, odds) that no shorter stem of at least their odds stands for."""
+    def run(batches):
+        for batch in batches:
+            words = batch.column("word").to_pylist()
+            stems = [covering(w) for w in words]
+            row = pa.array([k for k, x in enumerate(stems) for _ in x], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("word").take(row), batch.column("odds").take(row), pa.array(
+                [x for found in stems for x in found], pa.binary())], names=["covered", "least", "word"])
+
+    covered = batched(kept, run, "covered binary, least double, word binary").join(kept, "word").where("odds >= least")
+    return kept.join(covered.select(F.col("covered").alias("word")).distinct(), "word", "left_anti")
+
+
+def lexicon(rows: DataFrame) -> dict[bytes, float] | DataFrame:
+    """Significantly toxic words and their log-odds, over all learning rows; above LEXICON_BYTES
+    as a table (word, odds)."""
     totals = {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     bad, good = totals.get(1, 0), totals.get(0, 0)
     if not bad or not good:
@@ -118,10 +144,41 @@ def lexicon(rows: DataFrame) -> dict[bytes, float]:
         F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("c"))
     odds = F.log((F.col("t") + 0.5) / (bad - F.col("t") + 0.5)) - F.log((F.col("c") + 0.5) / (good - F.col("c") + 0.5))
     error = F.sqrt(1 / (F.col("t") + 0.5) + 1 / (F.col("c") + 0.5))
-    least = min(LEAST_TOXIC, max(1, bad // 20))
-    kept = (counts.where(F.col("t") >= least).select("word", odds.alias("odds"), (odds / error).alias("z"))
-            .where((F.col("z") >= SIGNIFICANT) & (F.col("odds") >= LEAST_ODDS)).orderBy(F.desc("z"), "word").limit(LEXICON))
-    return {bytes(r.word): float(r.odds) for r in kept.collect()}
+    kept = written(counts.where(F.col("t") >= LEAST_TOXIC).select("word", odds.alias("odds"), (odds / error).alias("z"))
+                   .where((F.col("z") >= SIGNIFICANT) & (F.col("odds") >= LEAST_ODDS)).drop("z"), "significant")
+    kept = written(without_covered(kept), "lexicon")
+    size = kept.agg(F.sum(F.octet_length("word") + ENTRY_BYTES)).first()[0] or 0
+    return {bytes(r.word): float(r.odds) for r in kept.collect()} if size <= LEXICON_BYTES else kept
+
+
+def with_listed(rows: DataFrame, table: DataFrame) -> DataFrame:
+    """``rows`` and, as ``_listed``, the lexicon entries (word, odds) that speak for words of the
+    text, null for none. Only entries that a bitmap of the lexicon may hold are shuffled."""
+    shared = rows.sparkSession.sparkContext.broadcast(repeated_bitmap(
+        table.select("word"), lambda batch: [np.repeat(word_hashes(batch.column("word").to_pylist()), 2)]))
+
+    def run(batches):
+        for batch in batches:
+            found = []
+            for text in texts_of(batch):
+                words = list({e for w in set(words_at(text)[0]) for e in entries(w)})
+                kept = np.flatnonzero(maybe_repeated(word_hashes(words), shared.value)) if words else ()
+                found.append([words[k] for k in kept])
+            row = pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found]))
+            yield pa.RecordBatch.from_arrays([batch.column("_key").take(row), pa.array(
+                [w for x in found for w in x], pa.binary())], names=["_key", "word"])
+
+    keyed = rows.withColumn("_key", F.md5("text"))
+    salt = F.pmod(F.xxhash64("_key"), F.lit(SALT)).cast("int").alias("salt")
+    words = batched(keyed.select("_key", "text").where("text is not null"), run, "_key string, word binary").distinct()
+    parts = table.select("word", "odds", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt"))
+    listed = (words.select("_key", "word", salt).join(parts, ["word", "salt"])
+              .groupBy("_key").agg(F.collect_list(F.struct("word", "odds")).alias("_listed")))
+    return keyed.join(listed, "_key", "left").drop("_key")
+
+
+def own_odds(listed: list | None) -> Odds:
+    return Odds({bytes(x["word"]): x["odds"] for x in listed or ()})
 
 
 # -- the chain -----------------------------------------------------------------------------
@@ -290,13 +347,16 @@ def learn(docs: DataFrame, labels: DataFrame):
     return odds_of, chain.weights, fit_logistic(features(p, sizes), np.array([t for *_, t in rows], float))
 
 
-def sample_words(rows: DataFrame, odds_of: dict[bytes, float]) -> DataFrame:
-    shared = rows.sparkSession.sparkContext.broadcast(odds_of)
+def sample_words(rows: DataFrame, odds_of: dict[bytes, float] | DataFrame) -> DataFrame:
+    joined = isinstance(odds_of, DataFrame)
+    rows = with_listed(rows, odds_of) if joined else rows
+    shared = rows.sparkSession.sparkContext.broadcast(None if joined else odds_of)
 
     def run(batches):
-        odds = Odds(shared.value)
+        odds = None if joined else Odds(shared.value)
         for batch in batches:
-            found = [listed_words(t, odds) for t in texts_of(batch)]
+            each = map(own_odds, batch.column("_listed").to_pylist()) if joined else [odds] * batch.num_rows
+            found = [listed_words(t, o) for t, o in zip(texts_of(batch), each)]
             yield pa.RecordBatch.from_arrays([
                 pa.array([f[0] for f in found], pa.list_(pa.float64())),
                 pa.array([f[1] for f in found], pa.list_(pa.int64())),
@@ -313,20 +373,22 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, keep: bool = False, model
     """Score of every whole text, 1 where it is at least one half, and the byte spans of the
     words whose marginal is at least one half."""
     model = model or learn(docs, labels)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    joined = bool(model) and isinstance(model[0], DataFrame)
+    shared = docs.sparkSession.sparkContext.broadcast((None, *model[1:]) if joined else model)
 
     def make():
         model = shared.value
         span = pa.list_(pa.struct([("first", pa.int32()), ("until", pa.int32())]))
         if model:
-            odds_of, chain, layer = Odds(model[0]), Chain(model[1]), model[2]
+            odds_of, chain, layer = Odds(model[0] or {}), Chain(model[1]), model[2]
 
-        def score(texts):
+        def score(texts, listed=None):
             n = len(texts)
             if not model or not n:
                 return [pa.array([0.0] * n, pa.float64()), pa.array([0] * n, pa.int32()),
                         pa.array([0] * n, pa.int32()), pa.array([[]] * n, span)]
-            found = [listed_words(t, odds_of) for t in texts]
+            each = [odds_of] * n if listed is None else map(own_odds, listed)
+            found = [listed_words(t, o) for t, o in zip(texts, each)]
             sizes = np.array([f[3] for f in found])
             p, mask = chain.marginals([f[0] for f in found], [f[1] for f in found], sizes)
             z = features(p, sizes) @ layer
@@ -338,4 +400,6 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, keep: bool = False, model
 
         return score
 
+    if joined:
+        return per_document(with_listed(docs, model[0]), SCHEMA, make, keep, "_listed")
     return per_document(docs, SCHEMA, make, keep)

@@ -192,6 +192,33 @@ def test_toxicity_edge_rows(spark, make_docs):
     assert toxicity.score_toxicity(make_docs([]), marks).count() == 0
 
 
+def test_toxicity_lexicon_keeps_every_significant_word(spark):
+    """6,000 toxic words with 30,000 entries of their own: none is lost, and stems stand for theirs."""
+    rng = random.Random(6)
+    words = [f"{k:05d}abcdef" for k in range(6_000)]
+    rows = [(" ".join(rng.sample(words, 3_000)), 1) for _ in range(160)] + [(f"plain text {k}", 0) for k in range(600)]
+    found = toxicity.lexicon(spark.createDataFrame(rows, "text string, toxic int").repartition(8))
+    odds = toxicity.Odds(found)
+    assert all(odds[w.encode()] > 1.5 for w in words)
+    assert len(found) < 7_000
+    assert toxicity.covering(b"abcdefg") == [b"abcde*", b"abcdef*", b"abcdefg*"]
+    assert toxicity.covering(b"abcdef*") == [b"abcde*"] and toxicity.covering(b"abc") == []
+
+
+def test_toxicity_of_a_lexicon_too_large_to_broadcast(spark, make_docs, monkeypatch):
+    from ledgerlens.llm import sketch
+    monkeypatch.setattr(sketch, "WIDTH", 1 << 18)
+    rows, labels = toxic_rows()
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    docs = make_docs(rows + [r for r in EDGE if not r[1] or len(r[1]) < 1000] + [rows[0], rows[0]])
+    result = lambda: sorted((str(r.doc_id), r.text or "", round(r.score, 9), r.predicted, str(r.offending)) for r in
+                            toxicity.score_toxicity(docs, marks, keep=True).collect())
+    want = result()
+    monkeypatch.setattr(toxicity, "LEXICON_BYTES", 0)
+    assert result() == want and any(x[3] for x in want)
+    assert toxicity.score_toxicity(docs, marks, keep=True).columns == docs.columns + ["score", "predicted", "n_offending", "offending"]
+
+
 def test_marginals_equal_a_plain_forward_backward():
     """The closed form over runs of plain words gives what the step by step chain gives."""
     import numpy as np
