@@ -3,6 +3,7 @@ splitting on raw UTF-8 bytes, vectorised hashing, and tables written to the shar
 
 from __future__ import annotations
 
+import contextlib
 import gc
 import tempfile
 import uuid
@@ -172,10 +173,10 @@ def per_document(docs: DataFrame, schema: str, make: Callable[[], Callable], kee
     the columns of ``schema``, which ``make()(texts)`` returns as a list of Arrow arrays. The
     values of the column ``more`` are its second argument and not put out.
 
-    An input column named like an output column gives way to the operator's column."""
+    An input column named like an output column, in any case, gives way to the operator's column."""
     new = T.StructType.fromDDL(schema)
     names = new.fieldNames()
-    old = [f for f in docs.schema.fields if f.name not in names and f.name != more and (keep or f.name == "doc_id")]
+    old = [f for f in remaining(docs, names) if f.name != more and (keep or f.name.lower() == "doc_id")]
     kept = [f.name for f in old]
     extra = [more] if more else []
     source = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*kept, "text", *extra])])
@@ -189,6 +190,20 @@ def per_document(docs: DataFrame, schema: str, make: Callable[[], Callable], kee
     return batched(source, run, T.StructType(old + new.fields))
 
 
+def remaining(docs: DataFrame, names: list[str]) -> list[T.StructField]:
+    """Fields of ``docs`` not named like one of ``names``; Spark's names have no case."""
+    taken = {n.lower() for n in names}
+    return [f for f in docs.schema.fields if f.name.lower() not in taken]
+
+
+def free_name(docs: DataFrame, name: str) -> str:
+    """``name``, with as many underscores as make it a name that ``docs`` does not have."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def longs(values) -> pa.Array:
     return pa.array(values, pa.int64())
 
@@ -203,9 +218,26 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+#: Tables made inside the innermost ``scratch`` block, for each open block.
+_scopes: list[list[DataFrame]] = []
+
+
+@contextlib.contextmanager
+def scratch():
+    """Tables that ``written`` makes inside the block are deleted at its end, but for those written
+    with ``stays``: the block must have used up what reads the others."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for made in _scopes.pop():
+            discard(made)
+
+
+def written(df: DataFrame, name: str, stays: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage in a way that
-    survives lost executors, and computes ``df`` once for several readers."""
+    survives lost executors, and computes ``df`` once for several readers. Inside a ``scratch``
+    block the table is deleted at the end of the block, with ``stays`` at that of the next outer one."""
     spark = df.sparkSession
     path = shared_path(spark, name)
     df.write.parquet(path)
@@ -214,6 +246,9 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark.sparkContext._jvm.System.gc()
     out = spark.read.schema(df.schema).parquet(path)
     out.written_to = path
+    scopes = _scopes[:-1] if stays else _scopes
+    if scopes:
+        scopes[-1].append(out)
     return out
 
 

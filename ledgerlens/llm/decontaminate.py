@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import batched, covered, per_document, plain_words, texts_of, written
+from .common import batched, covered, free_name, per_document, plain_words, remaining, texts_of, written
 
 #: Most benchmark text (bytes) in one broadcast hash set.
 BLOCK_BYTES = 1 << 20
@@ -89,7 +89,7 @@ SCHEMA = ("n_words long, n_hit long, n_items long, items_sha256 string, contamin
           "hits array<struct<first: int, until: int>>")
 _KINDS = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(),
           pa.list_(pa.struct([("first", pa.int32()), ("until", pa.int32())]))]
-_CARRY = "found_starts array<int>, found_lengths array<int>, found_items array<string>"
+_CARRY = ("found_starts", "found_lengths", "found_items")
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = 20,
@@ -97,14 +97,14 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     """Per document: its words, the words inside benchmark windows, the items they come from,
     whether ``share`` times the hit words reach its words, and the hit word runs."""
     spark = docs.sparkSession
-    several = False
+    several, carry = False, [free_name(docs, c) for c in _CARRY]
     for items, last in blocks(benchmark):
         shared = spark.sparkContext.broadcast(WindowSet(items, window))
         if last and not several:
             break
-        docs, several = _scan_block(docs, shared), True
+        docs, several = _scan_block(docs, shared, carry, not several), True
         if last:
-            return _finish(docs, share, keep)
+            return _finish(docs, carry, share, keep)
         docs = written(docs, "decontaminate")
 
     def make():
@@ -122,10 +122,9 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     return per_document(docs, SCHEMA, make, keep)
 
 
-def _scan_block(docs: DataFrame, shared) -> DataFrame:
-    carry = T.StructType.fromDDL(_CARRY)
-    first = carry.fieldNames()[0] not in docs.columns
-    old = [f for f in docs.schema.fields if f.name not in carry.fieldNames()]
+def _scan_block(docs: DataFrame, shared, carry: list[str], first: bool) -> DataFrame:
+    fields = [T.StructField(c, T.ArrayType(k)) for c, k in zip(carry, (T.IntegerType(), T.IntegerType(), T.StringType()))]
+    old = remaining(docs, carry)
     names = [f.name for f in old]
     kinds = [pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.string())]
 
@@ -133,7 +132,7 @@ def _scan_block(docs: DataFrame, shared) -> DataFrame:
         windows = shared.value
         for batch in batches:
             found = [[], [], []]
-            had = None if first else [batch.column(c).to_pylist() for c in carry.fieldNames()]
+            had = None if first else [batch.column(c).to_pylist() for c in carry]
             for k, text in enumerate(texts_of(batch)):
                 starts, lengths, items = windows.scan(plain_words(text))
                 if had:
@@ -141,15 +140,14 @@ def _scan_block(docs: DataFrame, shared) -> DataFrame:
                 for column, value in zip(found, (starts, lengths, sorted(items))):
                     column.append(value)
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in names] + [
-                pa.array(c, k) for c, k in zip(found, kinds)], names=names + carry.fieldNames())
+                pa.array(c, k) for c, k in zip(found, kinds)], names=names + carry)
 
-    return batched(docs, run, T.StructType(old + carry.fields))
+    return batched(docs, run, T.StructType(old + fields))
 
 
-def _finish(docs: DataFrame, share: int, keep: bool) -> DataFrame:
+def _finish(docs: DataFrame, carry: list[str], share: int, keep: bool) -> DataFrame:
     new = T.StructType.fromDDL(SCHEMA)
-    carry = T.StructType.fromDDL(_CARRY).fieldNames()
-    old = [f for f in docs.schema.fields if f.name not in new.fieldNames() + carry and (keep or f.name == "doc_id")]
+    old = [f for f in remaining(docs, new.fieldNames() + carry) if keep or f.name.lower() == "doc_id"]
     names = [f.name for f in old]
 
     def run(batches):

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import batched, mix64, signed, space_words, texts_of, word_hashes, written
+from .common import batched, free_name, mix64, scratch, signed, space_words, texts_of, word_hashes, written
 from .components import components
 from .sketch import SPREAD, maybe_repeated, repeated_bitmap
 
@@ -232,10 +232,11 @@ def links(sets: DataFrame, docs: DataFrame, gram: int, t: Threshold) -> tuple[Da
 def _labelled(docs: DataFrame, gram: int, t: Threshold) -> tuple[DataFrame, DataFrame]:
     """(sets, members): all rows' sets; sid, doc_id (smallest) and component label of each class."""
     sets = written(sets_of(docs, gram, t), "sets")
-    classes, labels = links(sets, docs, gram, t)
-    members = classes.select("sid", "doc_id").join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn(
-        "label", F.coalesce("label", "sid"))
-    return sets, written(members, "members")
+    with scratch():
+        classes, labels = links(sets, docs, gram, t)
+        members = classes.select("sid", "doc_id").join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn(
+            "label", F.coalesce("label", "sid"))
+        return sets, written(members, "members", stays=True)
 
 
 def jaccard_components(docs: DataFrame, gram: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -252,10 +253,11 @@ def one_of_each(docs: DataFrame, gram: int = 5, num: int = 80, den: int = 100) -
     """All columns of one row of each component, that of the smallest doc_id (a null one only
     where no row has an id). Texts without words link with nothing and all stay."""
     sets, members = _labelled(docs, gram, Threshold(num, den))
+    key = free_name(docs, "_row_key")
     first = (sets.where("n > 0").join(members.select("sid", "label"), "sid").groupBy("label")
              .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")).alias("x"))
-             .select(F.col("x.row_key").alias("_row_key")))
-    rows = docs.withColumn("_row_key", F.xxhash64("doc_id", "text"))
+             .select(F.col("x.row_key").alias(key)))
+    rows = docs.withColumn(key, F.xxhash64("doc_id", "text"))
     wordless = F.col("text").isNull() | ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
-    kept = rows.where(~wordless).join(first, "_row_key", "left_semi").dropDuplicates(["_row_key"])
-    return kept.unionByName(rows.where(wordless)).drop("_row_key")
+    kept = rows.where(~wordless).join(first, key, "left_semi").dropDuplicates([key])
+    return kept.unionByName(rows.where(wordless)).drop(key)

@@ -5,7 +5,8 @@ learning rows, of any length, each text with its share of the dictionary's bytes
 the language, since a dictionary helps most where its strings recur. The margin between the
 two smallest gives the score, and a narrow margin marks the answer as rejected.
 
-Defined results: null text and text without a letter are ``und`` with score 0; if nothing can be
+Defined results: null text and text without a letter are ``und`` with score 0; equal rows (id,
+language and text) are learned from once; if nothing can be
 learned (an empty table, all lang null) every text is ``und``; a null doc_id is learned from and
 scored like any row that is not held out; equal sizes go to the language first in order; every
 input row gives one output row; other columns are ignored."""
@@ -53,14 +54,15 @@ def learn(docs: DataFrame) -> dict[str, bytes]:
     """Dictionary content by language, from rows that are not held out."""
     rows = (docs.select("doc_id", "text", "lang")
             .where(~held_out() & F.col("lang").isNotNull() & (F.octet_length("text") > 0))
-            .withColumn("h", F.xxhash64("doc_id", "lang")))
+            .withColumn("h", F.xxhash64("doc_id", "lang", "text")))
     first = W.partitionBy("lang").orderBy("h")
-    # the choice is made on hashes alone; then SAMPLE_ROWS of them a language pick the texts
-    chosen = (rows.select("lang", "h").withColumn("k", F.row_number().over(first))
-              .where(F.col("k") <= SAMPLE_ROWS).groupBy("lang", "h").agg(F.count(F.lit(1)).alias("n")))
-    most = F.ceil(F.lit(DICTIONARY) / F.sum("n").over(W.partitionBy("lang")))
+    # the choice is made on hashes alone, equal rows count once; then SAMPLE_ROWS of them a language pick the texts
+    chosen = (rows.select("lang", "h").distinct().withColumn("k", F.row_number().over(first))
+              .where(F.col("k") <= SAMPLE_ROWS))
+    most = F.ceil(F.lit(DICTIONARY) / F.count(F.lit(1)).over(W.partitionBy("lang")))
     chosen = chosen.select("lang", "h", F.greatest(F.lit(SAMPLE_MOST), most).cast("int").alias("share"))
     sample = shares(rows.join(F.broadcast(chosen), ["lang", "h"]).select("lang", "h", "share", "text"))
+    sample = sample.groupBy("lang", "h").agg(F.min("text").alias("text"))
     content: dict[str, list[bytes]] = {}
     size: dict[str, int] = {}
     for r in sample.orderBy("lang", "h", "text").toLocalIterator():  # about SAMPLE_ROWS texts a language

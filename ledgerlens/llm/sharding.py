@@ -1,6 +1,7 @@
 """Operator 2: sharding by a consistent-hash ring with virtual nodes and bounded loads.
 
-The ring has ``RING`` positions. Every shard owns ``VNODES`` of them by hash; a row hashes to
+The ring has ``RING`` positions. Every shard owns ``VNODES`` of them, each at the hash of (shard,
+replica), so a node stays where it is whatever the number of shards; a row hashes to
 a position and belongs to the first virtual node clockwise. Loads are bounded exactly: with N
 rows a shard takes N // shards of them, the first N % shards one more, so counts are at most
 one apart (law ``rows``). A full shard keeps the first rows of its arcs in ring order; the
@@ -8,8 +9,9 @@ others queue up and continue clockwise, and each virtual node they pass takes as
 shard still has room for.
 
 Only DataFrame functions. Rows are never ranked in one task: they are numbered inside their
-ring position and everything else is arithmetic on one counter per position, a table of
-``RING`` rows whatever the input.
+ring position, one with many rows (of one id, or of null ids with one text) in ``SALT`` parts by
+the scan's partition, and everything else is arithmetic on ``SALT`` counters per position, a table
+of ``RING`` rows whatever the input.
 
 Defined results: null text has size 8 and the checksum of the empty text; a null doc_id hashes
 by its text's checksum; repeated rows are rows of their own; an empty table gives no rows;
@@ -24,7 +26,9 @@ from pyspark.sql import functions as F
 from .common import written
 
 RING = 1 << 16
-VNODES = 64
+VNODES = 256
+#: Parts in which the rows of one position are numbered.
+SALT = 16
 
 
 def placed(docs: DataFrame) -> DataFrame:
@@ -32,14 +36,15 @@ def placed(docs: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", (F.octet_length(text) + 8).cast("long").alias("size"),
                        F.crc32(text).alias("text_crc32"))
     spot = F.when(F.col("doc_id").isNull(), F.xxhash64("text_crc32")).otherwise(F.xxhash64("doc_id"))
-    return rows.withColumn("spot", spot).withColumn("position", F.pmod("spot", F.lit(RING)).cast("int"))
+    return rows.select("*", spot.alias("spot"), F.pmod(spot, F.lit(RING)).cast("int").alias("position"),
+                       (F.spark_partition_id() % SALT).alias("part"))
 
 
 def ring(spark, shards: int) -> DataFrame:
     """Each position's virtual node (numbered clockwise) and its shard; RING rows."""
     nodes = (spark.range(shards * VNODES)
-             .select((F.col("id") % shards).cast("int").alias("shard"),
-                     F.pmod(F.xxhash64(F.lit("node"), "id"), F.lit(RING)).cast("int").alias("position"))
+             .select((F.col("id") % shards).cast("int").alias("shard"), F.expr(f"id div {shards}").alias("replica"))
+             .select("shard", F.pmod(F.xxhash64(F.lit("node"), "shard", "replica"), F.lit(RING)).cast("int").alias("position"))
              .groupBy("position").agg(F.min("shard").alias("shard"))
              .withColumn("node", F.row_number().over(W.orderBy("position")) - 1))
     ahead = W.orderBy(F.desc("position")).rowsBetween(W.unboundedPreceding, W.currentRow)
@@ -52,15 +57,22 @@ def ring(spark, shards: int) -> DataFrame:
                     F.coalesce("node", F.lit(0)).alias("node")))
 
 
-def pieces(rows: DataFrame, shards: int) -> DataFrame:
+def counters(rows: DataFrame) -> DataFrame:
+    """(position, n, before): its rows, and for each part the number of rows in the parts before it."""
+    parts = rows.groupBy("position", "part").agg(F.count(F.lit(1)).alias("c"))
+    return (parts.groupBy("position").agg(F.sum("c").alias("n"), F.collect_list(F.struct("part", "c")).alias("parts"))
+            .select("position", "n", F.expr(f"""transform(sequence(0, {SALT - 1}), k ->
+                aggregate(filter(parts, p -> p.part < k), 0L, (s, p) -> s + p.c))""").alias("before")))
+
+
+def pieces(counts: DataFrame, shards: int) -> DataFrame:
     """Where the rows of each position go: position -> array of (from, until, shard, slot, overflowed), in
     which rows number ``from`` to ``until`` - 1 of the position get slots from ``slot`` on."""
-    spark = rows.sparkSession
-    counts = rows.groupBy("position").agg(F.count(F.lit(1)).alias("n"))
+    spark = counts.sparkSession
     by_shard, everywhere = W.partitionBy("shard"), W.partitionBy()
     upto = by_shard.orderBy("position").rowsBetween(W.unboundedPreceding, -1)
     total = F.sum("n").over(everywhere)
-    own = (ring(spark, shards).join(counts, "position", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    own = (ring(spark, shards).join(counts.select("position", "n"), "position", "left").withColumn("n", F.coalesce("n", F.lit(0)))
            .withColumn("cap", F.floor(total / shards) + (F.col("shard") < total % shards).cast("long"))
            .withColumn("home", F.sum("n").over(by_shard))
            .withColumn("slot", F.coalesce(F.sum("n").over(upto), F.lit(0)))
@@ -119,11 +131,14 @@ def pieces(rows: DataFrame, shards: int) -> DataFrame:
 
 
 def shard_documents(docs: DataFrame, shards: int = 24) -> DataFrame:
-    rows = placed(docs)
-    inside = W.partitionBy("position").orderBy("spot", "doc_id", "text_crc32", "size")
+    rows = written(placed(docs), "placed")  # one scan of the texts; a row's part stays what it was
+    counts = written(counters(rows), "counters")  # at most RING rows
+    inside = W.partitionBy("position", "part").orderBy("spot", "doc_id", "text_crc32", "size")
     numbered = rows.withColumn("k", (F.row_number().over(inside) - 1).cast("long"))
+    where = pieces(counts, shards).join(counts.select("position", "before"), "position")
     piece = F.expr("filter(pieces, p -> k >= p.from and k < p.until)[0]")
-    return (numbered.join(pieces(rows, shards), "position").withColumn("piece", piece)
+    return (numbered.join(F.broadcast(where), "position")  # at most RING rows of SALT counters and few pieces
+            .withColumn("k", F.col("k") + F.col("before")[F.col("part")]).withColumn("piece", piece)
             .select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), F.col("piece.shard").alias("shard"),
                     (F.col("piece.slot") + F.col("k") - F.col("piece.from")).alias("slot"),
                     F.lit(None).cast("int").alias("grown_shard"), F.col("piece.overflowed").alias("overflowed")))

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import WIDE, batched, mix64, signed, sliding_min, texts_of
+from .common import WIDE, batched, mix64, remaining, signed, sliding_min, texts_of
 from .sketch import maybe_repeated, repeated_bitmap
 
 #: Fields that name a text: its doc_id and its checksum (a doc_id may recur with other texts).
@@ -209,10 +209,11 @@ def rewrite(docs: DataFrame, places: DataFrame, schema: str, make: Callable, kee
     columns. Texts without places are finished in the scan, only the others are shuffled."""
     new = T.StructType.fromDDL(schema)
     names = new.fieldNames()
-    old = [f for f in docs.schema.fields if f.name not in names and (keep or f.name == "doc_id")]
+    old = [f for f in remaining(docs, names) if keep or f.name.lower() == "doc_id"]
     kept = [f.name for f in old]
     kinds = [_arrow(f.dataType) for f in new.fields]
-    held = [c for c in kept if c != "text"]
+    held = [c for c in kept if c.lower() != "text"]
+    text_name = next((c for c in kept if c.lower() == "text"), "text")
     shared = docs.sparkSession.sparkContext.broadcast(text_bitmap(places))
     key = F.xxhash64("text")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in held]).alias("row"), "text", F.col("doc_id").alias("_id"),
@@ -221,7 +222,7 @@ def rewrite(docs: DataFrame, places: DataFrame, schema: str, make: Callable, kee
     def made(batch, results):
         columns = dict(zip(held, batch.column("row").flatten()))
         if keep:
-            columns["text"] = pa.array([None if m[0] is None else m[0].decode() for m in results], pa.string())
+            columns[text_name] = pa.array([None if m[0] is None else m[0].decode() for m in results], pa.string())
             results = [m[1:] for m in results]
         values = zip(*results) if results else [()] * len(kinds)
         return pa.RecordBatch.from_arrays([columns[c] for c in kept] + [

@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import covered, space_words, texts_of, word_hashes, written
+from .common import covered, scratch, space_words, texts_of, word_hashes, written
 from .sketch import repeated_bitmap
 from .spans import CONTEXT, KEY, Blocks, blocks_to_compare, flagged_blocks, keyed, leading_blocks, rewrite, windows_at
 
@@ -43,25 +43,27 @@ def sketched(docs: DataFrame, window: int, gram: int) -> np.ndarray:
 
 def repeated_places(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """Stretches of windows (KEY, first, n) that also start in a document of smaller doc_id."""
-    bitmap = sketched(docs, window, gram)
-    blocks = written(flagged_blocks(docs, bitmap, symbols, window, gram), "blocks")
-    leaders = written(leading_blocks(blocks), "leaders")
-    again = blocks.join(leaders.where("size > 1").select(*CONTEXT, "lead"), CONTEXT)
-    whole = again.where(F.col("doc_id") > F.col("lead.doc_id")).select(*KEY, "first", "n")
-    edges = written(blocks_to_compare(leaders), "edges")
-    windows = written(windows_at(docs, edges, symbols, window), "windows")
-    least = windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-    single = written(windows.join(least.where("least < most").drop("most"), ["h1", "h2"]).where("doc_id > least")
-                     .select(*KEY, "first", "block"), "single")
-    # further blocks of a context under the leader's doc_id lose what the leader loses, at the same offsets
-    beside = again.where((F.col("doc_id") == F.col("lead.doc_id")) & ~(
-        (F.col("text_key") == F.col("lead.text_key")) & (F.col("first") == F.col("lead.first"))))
-    beside = beside.select("doc_id", F.col("lead.text_key").alias("text_key"), F.col("lead.first").alias("block"),
-                           F.col("text_key").alias("own_key"), F.col("first").alias("own_first")).distinct()
-    copied = single.join(beside, [*KEY, "block"]).select(
-        "doc_id", F.col("own_key").alias("text_key"), (F.col("own_first") + F.col("first") - F.col("block")).alias("first"))
-    single = single.select(*KEY, "first").union(copied).withColumn("n", F.lit(window))
-    return written(whole.select(*KEY, "first", (F.col("n") + (window - 1)).alias("n")).union(single), "places")
+    with scratch():
+        bitmap = sketched(docs, window, gram)
+        blocks = written(flagged_blocks(docs, bitmap, symbols, window, gram), "blocks")
+        leaders = written(leading_blocks(blocks), "leaders")
+        again = blocks.join(leaders.where("size > 1").select(*CONTEXT, "lead"), CONTEXT)
+        whole = again.where(F.col("doc_id") > F.col("lead.doc_id")).select(*KEY, "first", "n")
+        edges = written(blocks_to_compare(leaders), "edges")
+        windows = written(windows_at(docs, edges, symbols, window), "windows")
+        least = windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
+        single = written(windows.join(least.where("least < most").drop("most"), ["h1", "h2"]).where("doc_id > least")
+                         .select(*KEY, "first", "block"), "single")
+        # further blocks of a context under the leader's doc_id lose what the leader loses, at the same offsets
+        beside = again.where((F.col("doc_id") == F.col("lead.doc_id")) & ~(
+            (F.col("text_key") == F.col("lead.text_key")) & (F.col("first") == F.col("lead.first"))))
+        beside = beside.select("doc_id", F.col("lead.text_key").alias("text_key"), F.col("lead.first").alias("block"),
+                               F.col("text_key").alias("own_key"), F.col("first").alias("own_first")).distinct()
+        copied = single.join(beside, [*KEY, "block"]).select(
+            "doc_id", F.col("own_key").alias("text_key"), (F.col("own_first") + F.col("first") - F.col("block")).alias("first"))
+        single = single.select(*KEY, "first").union(copied).withColumn("n", F.lit(window))
+        return written(whole.select(*KEY, "first", (F.col("n") + (window - 1)).alias("n")).union(single), "places",
+                       stays=True)
 
 
 def dedup_passages(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, keep: bool = False) -> DataFrame:

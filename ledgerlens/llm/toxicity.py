@@ -20,7 +20,8 @@ never inputs of a score.
 
 Defined results: null and empty texts have no words and get the score of a text without lexicon
 words; labels that are null are not learned from, and a document labelled several times counts
-as toxic if any label says so; if there is no toxic or no clean learning row, every score is 0;
+as toxic if any label says so; labels of documents that are not there count for nothing, equal
+rows are sampled once; if there is no toxic or no clean learning document, every score is 0;
 a null doc_id is not held out and joins no label; every input row gives one output row."""
 
 from __future__ import annotations
@@ -32,12 +33,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import batched, per_document, texts_of, word_hashes, written
+from .common import batched, free_name, per_document, texts_of, word_hashes, written
 from .language_id import held_out
 from .sketch import maybe_repeated, repeated_bitmap
 
 #: Documents of each label in the sample that fits the chain and the logistic layer.
 SAMPLE_ROWS = 500
+#: Words of one text of the sample; a longer one is learned from in a run of so many.
+SAMPLE_WORDS = 20_000
 #: A lexicon word occurs in this many toxic learning documents at least, and its log-odds lie
 #: this many standard errors above zero.
 LEAST_TOXIC, SIGNIFICANT, LEAST_ODDS = 4, 4.0, 1.5
@@ -51,6 +54,8 @@ HELD = 500_000
 #: Weight of the ridge penalty, steps and step size of the gradient ascent.
 RIDGE, STEPS, RATE = 1e-3, 150, 0.5
 
+#: Column of a text's own lexicon entries, where the lexicon is joined.
+LISTED = "_listed"
 #: Lengths (bytes) of the word beginnings counted next to whole words; a stem is marked by a star.
 STEMS = (5, 6, 7, 8)
 
@@ -152,7 +157,7 @@ def lexicon(rows: DataFrame) -> dict[bytes, float] | DataFrame:
 
 
 def with_listed(rows: DataFrame, table: DataFrame) -> DataFrame:
-    """``rows`` and, as ``_listed``, the lexicon entries (word, odds) that speak for words of the
+    """``rows`` and, as a last column, the lexicon entries (word, odds) that speak for words of the
     text, null for none. Only entries that a bitmap of the lexicon may hold are shuffled."""
     shared = rows.sparkSession.sparkContext.broadcast(repeated_bitmap(
         table.select("word"), lambda batch: [np.repeat(word_hashes(batch.column("word").to_pylist()), 2)]))
@@ -168,13 +173,15 @@ def with_listed(rows: DataFrame, table: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("_key").take(row), pa.array(
                 [w for x in found for w in x], pa.binary())], names=["_key", "word"])
 
-    keyed = rows.withColumn("_key", F.md5("text"))
+    key, listed_name = free_name(rows, "_key"), free_name(rows, LISTED)
+    keyed = rows.withColumn(key, F.md5("text"))
     salt = F.pmod(F.xxhash64("_key"), F.lit(SALT)).cast("int").alias("salt")
-    words = batched(keyed.select("_key", "text").where("text is not null"), run, "_key string, word binary").distinct()
+    words = batched(keyed.select(F.col(key).alias("_key"), "text").where("text is not null"), run,
+                    "_key string, word binary").distinct()
     parts = table.select("word", "odds", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt"))
     listed = (words.select("_key", "word", salt).join(parts, ["word", "salt"])
-              .groupBy("_key").agg(F.collect_list(F.struct("word", "odds")).alias("_listed")))
-    return keyed.join(listed, "_key", "left").drop("_key")
+              .groupBy(F.col("_key").alias(key)).agg(F.collect_list(F.struct("word", "odds")).alias(listed_name)))
+    return keyed.join(listed, key, "left").drop(key)
 
 
 def own_odds(listed: list | None) -> Odds:
@@ -325,15 +332,17 @@ def fit_logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 def learn(docs: DataFrame, labels: DataFrame):
     """(lexicon, chain weights, logistic weights), or None where a label is missing."""
     known = learning_labels(labels)
-    odds_of = lexicon(docs.select("doc_id", "text").join(known, "doc_id").select("text", "toxic"))
-    order = F.xxhash64("doc_id")
-    chosen = [r for t in (0, 1) for r in known.where(F.col("toxic") == t).orderBy(order, "doc_id")
-              .limit(SAMPLE_ROWS).collect()]
+    labelled = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("h")).join(known, "doc_id")
+    odds_of = lexicon(labelled.select("text", "toxic"))
+    # the sample is taken from labelled documents, by hash; equal rows count once
+    chosen = [r for t in (0, 1) for r in labelled.where(F.col("toxic") == t).select("h", "toxic").distinct()
+              .orderBy("h").limit(SAMPLE_ROWS).collect()]
     if not {r.toxic for r in chosen} == {0, 1}:
         return None
-    ids = docs.sparkSession.createDataFrame([(r.doc_id, r.toxic) for r in chosen], T.StructType([
-        T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("toxic", T.IntegerType())]))
-    spark_rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")  # 2 x SAMPLE_ROWS ids
+    picked = docs.sparkSession.createDataFrame([(r.h, r.toxic) for r in chosen], "h long, toxic int")
+    spark_rows = (docs.select(F.xxhash64("doc_id", "text").alias("h"), "text")
+                  .join(F.broadcast(picked), "h")  # 2 x SAMPLE_ROWS hashes
+                  .groupBy("h", "toxic").agg(F.first("text").alias("text")).select("text", "toxic"))
     tagged, rows = [], []
     for r in sample_words(spark_rows, odds_of).collect():  # 2 x SAMPLE_ROWS rows of lexicon words
         x, at = np.array(r.odds, float), np.array(r.at, np.int64)
@@ -347,6 +356,16 @@ def learn(docs: DataFrame, labels: DataFrame):
     return odds_of, chain.weights, fit_logistic(features(p, sizes), np.array([t for *_, t in rows], float))
 
 
+def sample_run(odds: np.ndarray, at: np.ndarray, spans: list, n_words: int):
+    """A text of the sample; of one with more than SAMPLE_WORDS words a run of so many, chosen by
+    a hash of its length."""
+    if n_words <= SAMPLE_WORDS:
+        return odds, at, spans, n_words
+    first = n_words * 0x9E3779B1 % (n_words - SAMPLE_WORDS + 1)
+    inside = (at >= first) & (at < first + SAMPLE_WORDS)
+    return odds[inside], at[inside] - first, spans, SAMPLE_WORDS
+
+
 def sample_words(rows: DataFrame, odds_of: dict[bytes, float] | DataFrame) -> DataFrame:
     joined = isinstance(odds_of, DataFrame)
     rows = with_listed(rows, odds_of) if joined else rows
@@ -355,8 +374,8 @@ def sample_words(rows: DataFrame, odds_of: dict[bytes, float] | DataFrame) -> Da
     def run(batches):
         odds = None if joined else Odds(shared.value)
         for batch in batches:
-            each = map(own_odds, batch.column("_listed").to_pylist()) if joined else [odds] * batch.num_rows
-            found = [listed_words(t, o) for t, o in zip(texts_of(batch), each)]
+            each = map(own_odds, batch.column(batch.num_columns - 1).to_pylist()) if joined else [odds] * batch.num_rows
+            found = [sample_run(*listed_words(t, o)) for t, o in zip(texts_of(batch), each)]
             yield pa.RecordBatch.from_arrays([
                 pa.array([f[0] for f in found], pa.list_(pa.float64())),
                 pa.array([f[1] for f in found], pa.list_(pa.int64())),
@@ -401,5 +420,6 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, keep: bool = False, model
         return score
 
     if joined:
-        return per_document(with_listed(docs, model[0]), SCHEMA, make, keep, "_listed")
+        rows = with_listed(docs, model[0])
+        return per_document(rows, SCHEMA, make, keep, rows.columns[-1])
     return per_document(docs, SCHEMA, make, keep)

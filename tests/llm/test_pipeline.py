@@ -5,9 +5,10 @@ import random
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ledgerlens.llm import bpe, sketch
+from ledgerlens.llm import bpe, decontaminate, sketch, toxicity
 
 
 @pytest.fixture()
@@ -61,3 +62,67 @@ def test_stages_and_result(spark, planted):
         public_tokenizers.path("byte_bpe_50k.tiktoken")))
     found = corpus_pipeline.STAGES[-1][1](spark, docs, folder).collect()
     assert {r.doc_id: list(r.token_ids) for r in found} == {k: library.encode_ordinary(r.text or "") for k, r in left.items()}
+
+
+CLASHES = ["Score", "predicted", "n_offending", "N_WORDS", "n_removed", "kept_sha256", "hits", "Found_Starts", "found_items",
+           "_row_key", "_key", "_listed", "row", "spans", "changed", "n_hit", "contaminated", "carried_row", "H", "toxic"]
+
+
+def test_user_columns_stay_as_they_are(spark, planted, monkeypatch):
+    folder, *_ = planted
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    rich = docs.select("*", *[F.concat(F.lit(f"{c}:"), F.col("doc_id").cast("string")).alias(c) for c in CLASHES])
+    spark.createDataFrame([(k, "word%d other%d" % (k, k) * 40) for k in range(30)], "item_id long, text string").union(
+        spark.read.parquet(f"{folder}/benchmark.parquet")).write.mode("append").parquet(f"{folder}/more/benchmark.parquet")
+    spark.read.parquet(f"{folder}/labels.parquet").write.parquet(f"{folder}/more/labels.parquet")
+    for block, joined, where in ((1 << 20, toxicity.LEXICON_BYTES, folder), (1000, 0, f"{folder}/more")):
+        monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block)
+        monkeypatch.setattr(toxicity, "LEXICON_BYTES", joined)  # many blocks and a joined lexicon, too
+        stages = corpus_pipeline.STAGES[:-1]
+        for name, stage in stages if joined else [stages[0], stages[3]]:
+            plain = {r.doc_id: r.text for r in stage(spark, docs, where).collect()}
+            found = stage(spark, rich, where)
+            assert found.columns == rich.columns and found.dtypes == rich.dtypes
+            rows = found.collect()
+            assert {r.doc_id: r.text for r in rows} == plain, name
+            assert all(r[c] == f"{c}:{r.doc_id}" for r in rows for c in CLASHES)
+    assert {r.doc_id for r in corpus_pipeline.STAGES[-1][1](spark, rich, folder).collect()} == {
+        r.doc_id for r in docs.collect()}
+
+
+def test_labels_of_absent_documents_reject_nothing(spark, planted):
+    folder, rows, *_ = planted
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    orphans = spark.createDataFrame([(5000 + k, 1, k % 2) for k in range(3000)], "doc_id long, quality int, toxic int")
+    found = toxicity.score_toxicity(docs, orphans).collect()
+    assert {(r.score, r.predicted) for r in found} == {(0.0, 0)} and len(found) == len(rows)
+    half = orphans.union(spark.read.parquet(f"{folder}/labels.parquet"))
+    caught = {r.doc_id for r in toxicity.score_toxicity(docs, half).collect() if r.predicted}
+    assert caught == {k for k in rows if k < 1000 and k % 4 == 0}
+
+
+@pytest.mark.parametrize("empty", ["documents", "labels", "benchmark"])
+def test_empty_tables(spark, planted, empty, tmp_path):
+    folder, rows, *_ = planted
+    other = str(tmp_path / "other")
+    for table in ("documents", "labels", "benchmark"):
+        df = spark.read.parquet(f"{folder}/{table}.parquet")
+        df.where(F.lit(table != empty)).write.parquet(f"{other}/{table}.parquet")
+    found = {r.doc_id for r in corpus_pipeline.run(spark, other).collect()}
+    if empty == "documents":
+        assert not found
+    elif empty == "labels":
+        assert {0, 4, 1004, 1005} <= found and not {1000, 1001, 1003} & found
+    else:
+        assert 1003 in found
+
+
+def test_repeated_rows_and_a_very_long_text(spark, planted, make_docs):
+    folder, rows, clean, _ = planted
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    long_text = " ".join(f"w{k % 997}x{k % 1013}" for k in range(60_000))
+    docs = docs.union(docs).union(make_docs([(2000, long_text), (None, long_text + " end"), (None, None)]))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = corpus_pipeline.written(stage(spark, docs, folder), name)
+    found = [r.doc_id for r in docs.collect()]
+    assert found.count(clean[5]) == 1 and found.count(1004) == 2 and found.count(2000) == 1 and found.count(None) == 1

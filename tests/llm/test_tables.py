@@ -1,14 +1,17 @@
 """Operators that compare rows: 2 (sharding), 4 (Jaccard join), 5 (passages), 7 (byte strings),
 9 (vectors), each against brute force, with edge rows."""
 
+import bisect
 import hashlib
 import random
 import re
+import struct
 import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import components, decontaminate, jaccard_join, sharding, sketch, spans, substring_dedup
@@ -77,6 +80,69 @@ def test_sharding_moves_few_rows_when_one_comes(make_docs):
     assert sum(first[k] != more[k] for k in first) < 0.05 * len(rows)
 
 
+def brute_ring(positions, shards):
+    """(position, shard) -> rows, by a walk round the ring; positions: one for each row."""
+    node = lambda s, r: xxhash.xxh64_intdigest(struct.pack("<q", r), xxhash.xxh64_intdigest(
+        struct.pack("<i", s), xxhash.xxh64_intdigest(b"node", 42)))
+    nodes = {}
+    for s in range(shards):
+        for r in range(sharding.VNODES):
+            at = node(s, r) % sharding.RING  # 2^16 divides 2^64: the sign does not matter
+            nodes[at] = min(s, nodes.get(at, s))
+    order = sorted(nodes)
+    n = Counter(positions)
+    cap = [len(positions) // shards + (s < len(positions) % shards) for s in range(shards)]
+    room, out, over = list(cap), Counter(), Counter()
+    for p in sorted(n):
+        k = bisect.bisect_left(order, p) % len(order)
+        s = nodes[order[k]]
+        kept = min(n[p], room[s])
+        room[s] -= kept
+        out[p, s] += kept
+        over[k, p] += n[p] - kept
+    queue = []
+    for turn in range(2):
+        for k, at in enumerate(order):
+            if not turn:
+                queue += [[p, c] for (x, p), c in sorted(over.items()) if x == k and c]
+            s = nodes[at]
+            while queue and room[s]:
+                take = min(queue[0][1], room[s])
+                out[queue[0][0], s] += take
+                room[s] -= take
+                queue[0][1] -= take
+                if not queue[0][1]:
+                    queue.pop(0)
+    return +out
+
+
+@pytest.mark.parametrize("shards", [24, 25])
+def test_shards_are_those_of_a_walked_ring(spark, make_docs, shards):
+    rows = [(k, str(k)) for k in range(1500)] + [(7, "hot")] * 600 + [(None, "none")] * 200
+    docs = make_docs(rows).repartition(5)
+    got = sharding.shard_documents(docs, shards)
+    found = Counter()
+    key = F.when(F.col("doc_id").isNull(), F.xxhash64("text_crc32")).otherwise(F.xxhash64("doc_id"))
+    for r in got.select(F.pmod(key, F.lit(sharding.RING)).cast("int").alias("position"), "shard").collect():
+        found[r.position, r.shard] += 1
+    positions = [p for (p, _), c in found.items() for _ in range(c)]
+    assert found == brute_ring(positions, shards)
+    check_shards(rows, got.collect(), shards)
+
+
+def test_a_further_shard_moves_few_rows(spark, make_docs):
+    """A 25th shard takes 1/25 of all rows; what moves between old shards is overflow only."""
+    rows = [(k, str(k)) for k in range(12000)]
+    docs = make_docs(rows)
+    old = {r.doc_id: r.shard for r in sharding.shard_documents(docs, 24).collect()}
+    new = {r.doc_id: r.shard for r in sharding.shard_documents(docs, 25).collect()}
+    moved = [k for k in old if old[k] != new[k]]
+    assert sum(new[k] == 24 for k in old) == 480
+    assert len(moved) < 0.08 * len(rows)
+    ring = {n: {r.position: r.shard for r in sharding.ring(spark, n).collect()} for n in (24, 25)}
+    assert {ring[25][p] for p in ring[24] if ring[24][p] != ring[25][p]} == {24}  # arcs go to the new shard only
+
+
 def test_sharding_uses_no_python(make_docs):
     plan = sharding.shard_documents(make_docs(corpus()), 24)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
