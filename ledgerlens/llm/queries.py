@@ -10,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import encode_documents
 from .common import read_documents
+from .conversation_trie import shared_prefix_trie
 from .decontaminate import find_contamination
 from .jaccard_join import jaccard_components
 from .language_id import held_out, identify
+from .lexical_search import ranked_search
 from .license_scan import license_scan
 from .sharding import shard_documents
 from .substring_dedup import dedup_passages
@@ -64,10 +66,19 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(read_documents(spark, sf_dir)).withColumn("held_out", held_out())
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shared_prefix_trie(read_documents(spark, sf_dir, "conversations"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(read_documents(spark, sf_dir), read_documents(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_license_scan, op2_sharding, op3_byte_bpe, op4_ngram_jaccard_join, op5_substring_dedup,
-        op6_decontamination, op7_suffix_dedup, op8_toxicity, op9_vector_search, op10_language_id)}
+        op6_decontamination, op7_suffix_dedup, op8_toxicity, op9_vector_search, op10_language_id,
+        op12_conversation_trie, op13_lexical_search)}
 
 
 def oracle_sql() -> dict[str, str]:
