@@ -16,6 +16,7 @@ from .jaccard_join import jaccard_components
 from .language_id import held_out, identify
 from .lexical_search import ranked_search
 from .license_scan import license_scan
+from .line_quality import score_quality
 from .sharding import shard_documents
 from .substring_dedup import dedup_passages
 from .suffix_dedup import dedup_bytes
@@ -66,6 +67,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(read_documents(spark, sf_dir)).withColumn("held_out", held_out())
 
 
+def op11_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = score_quality(read_documents(spark, sf_dir), read_documents(spark, sf_dir, "labels"))
+    return scored.withColumn("held_out", held_out("doc_id", 3, 1))
+
+
 def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shared_prefix_trie(read_documents(spark, sf_dir, "conversations"))
 
@@ -78,7 +84,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_license_scan, op2_sharding, op3_byte_bpe, op4_ngram_jaccard_join, op5_substring_dedup,
         op6_decontamination, op7_suffix_dedup, op8_toxicity, op9_vector_search, op10_language_id,
-        op12_conversation_trie, op13_lexical_search)}
+        op11_line_quality, op12_conversation_trie, op13_lexical_search)}
 
 
 def oracle_sql() -> dict[str, str]:
