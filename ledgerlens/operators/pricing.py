@@ -8,12 +8,13 @@ broadcast, so the range join is linear in the cell table and never pairs raw boo
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import params as P
 from ..functions import exprs as X
 from . import prepare as PR
+from .ranking import percent_ranks
 
 IMPACT_WINDOW_DAYS = 28
 
@@ -341,7 +342,7 @@ def coupon_health(clean: DataFrame, healthy: float = 0.66, watch: float = 0.33)
     """Composite coupon score: mean percent-rank over revenue, volume, AOV, repeat share,
     discount efficiency (higher is better) and concentration in one package (lower is
     better). Measures come from one aggregate at coupon x package rolled up to coupons; the
-    ranking window runs over the coupon aggregate (one row per code)."""
+    ranks are distributed over the coupon aggregate (one row per code)."""
     c = clean.filter(F.col("coupon_code").isNotNull())
     pairs = c.groupBy("coupon_code", "package_code").agg(
         F.count(F.lit(1)).alias("bookings"), X.sum0("net_c").alias("revenue"), X.sum0("gm_c").alias("gm"),
@@ -355,12 +356,12 @@ def coupon_health(clean: DataFrame, healthy: float = 0.66, watch: float = 0.33)
         X.ratio("repeat_n", "bookings").alias("repeat_share"),
         X.ratio("top_package_n", "bookings").alias("concentration"),
         X.ratio("gm", "coupon_sum").alias("discount_efficiency"))
-    w_up = Window.orderBy
-    ranks = [F.percent_rank().over(w_up(F.col(k).asc())) for k in ("revenue", "bookings", "aov", "repeat_share",
-                                                                     "discount_efficiency")]
-    ranks.append(F.percent_rank().over(w_up(F.col("concentration").desc())))
-    score = sum(ranks) / F.lit(float(len(ranks)))
-    out = m.withColumn("health_score", _round6(score))
+    m = m.checkpoint()  # one row per code, read by the ranks and by the result
+    better_up = {"revenue": True, "bookings": True, "aov": True, "repeat_share": True, "discount_efficiency": True,
+                 "concentration": False}
+    out = m.join(percent_ranks(m, ["coupon_code"], better_up), "coupon_code")
+    score = sum(F.col(f"{k}_rank") for k in better_up) / F.lit(float(len(better_up)))
+    out = out.withColumn("health_score", _round6(score)).select(*m.columns, "health_score")
     return out.withColumn("health", F.when(F.col("health_score") >= healthy, F.lit("healthy"))
                           .when(F.col("health_score") >= watch, F.lit("watch")).otherwise(F.lit("at risk")))
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from .. import params as P
 from ..functions import exprs as X
 from . import prepare as PR
+from .ranking import ranked
 from .rollups import SUM_PARTS, rollup
 
 GOOD_WHEN_RISING = {"bookings", "offer_sum", "net_sum", "gm_sum"}
@@ -168,22 +169,20 @@ def city_aov_outlier(clean: DataFrame, ratio: float = P.AOV_OUTLIER_RATIO) -> Da
 
 
 def geo_ranking(clean: DataFrame) -> DataFrame:
-    """Cities and zones ranked by gm_pct within their level (window partitioned by level)."""
+    """Cities and zones ranked by gm_pct within their level."""
     cells = clean.groupBy("city", "zone").agg(X.sum0("gm_c").alias("gm"), X.sum0("net_c").alias("net"))
     level = F.explode(F.array(F.struct(F.lit("city").alias("level"), F.col("city").alias("name")),
                               F.struct(F.lit("zone").alias("level"), F.col("zone").alias("name"))))
     both = (cells.select("gm", "net", level.alias("x")).groupBy("x.level", "x.name")
             .agg(F.sum("gm").alias("gm_sum"), F.sum("net").alias("revenue_sum"))
             .withColumn("gm_pct", X.ratio_pct("gm_sum", "revenue_sum")))
-    w = Window.partitionBy("level").orderBy(F.col("gm_pct").desc_nulls_last())
-    return both.withColumn("rank", F.rank().over(w))
+    return ranked(both, ["level"], "gm_pct", ["name"], "rank", ascending=False)
 
 
 def package_ranking(clean: DataFrame) -> DataFrame:
-    """Packages ranked by gm_pct within their kind (combo vs single package). Runs on the
-    package aggregate (one row per package), window partitioned by the combo flag."""
+    """Packages ranked by gm_pct within their kind (combo vs single package), over the package
+    aggregate (one row per package)."""
     g = (clean.groupBy("package_code").agg(F.count(F.lit(1)).alias("bookings"), X.sum0("gm_c").alias("gm_sum"),
                                            X.sum0("net_c").alias("revenue_sum"))
          .withColumn("gm_pct", X.ratio_pct("gm_sum", "revenue_sum")).withColumn("is_combo", X.is_combo()))
-    w = Window.partitionBy("is_combo").orderBy(F.col("gm_pct").desc_nulls_last())
-    return g.withColumn("rank_in_kind", F.rank().over(w))
+    return ranked(g, ["is_combo"], "gm_pct", ["package_code"], "rank_in_kind", ascending=False)

@@ -131,8 +131,8 @@ def test_token_scan_single_exchange(spark, sf_small):
 
 
 ONE_SCAN = ["segment_mix", "stack_distribution", "revenue_share", "city_aov_outlier", "daily_completeness",
-            "geo_ranking", "trailing_gm", "trailing_gm_by_kind", "cap_scenarios", "package_exposure",
-            "coupon_health", "bookings_scope", "stacking_risk", "price_action_exposure"]
+            "trailing_gm", "trailing_gm_by_kind", "cap_scenarios", "package_exposure",
+            "bookings_scope", "stacking_risk", "price_action_exposure"]
 
 
 def test_one_scan_of_the_fact(spark, sf_small):
