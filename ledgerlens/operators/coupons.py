@@ -1,7 +1,7 @@
 """Coupon-policy operators: scorecard, compliance, curves.
 
-The reference checks compliance with one scan per coupon code; here it is one broadcast
-join of the (small, uniqueness-checked) rules table and one aggregate.
+Compliance is one join with the uniqueness-checked rules and one aggregate for all codes. The
+rules are not hinted: Spark broadcasts them while their measured size allows it.
 """
 
 from __future__ import annotations
@@ -13,8 +13,8 @@ from .. import params as P
 from ..functions import exprs as X
 
 
-def _rules_b(rules: DataFrame, cols: list[str]) -> DataFrame:
-    return F.broadcast(rules.select("coupon_code", *cols))
+def _rules(rules: DataFrame, cols: list[str]) -> DataFrame:
+    return rules.select("coupon_code", *cols)
 
 
 def campaign_aggregate(clean: DataFrame) -> DataFrame:
@@ -34,7 +34,7 @@ def campaign_aggregate(clean: DataFrame) -> DataFrame:
 
 def campaign_rules(campaign: DataFrame, rules: DataFrame) -> DataFrame:
     """Campaign aggregate LEFT JOIN rules on code; ``known_in_crm`` = matched."""
-    r = _rules_b(rules, ["mov_c", "discount", "upper_limit", "rule_type"]).withColumn("_m", F.lit(True))
+    r = _rules(rules, ["mov_c", "discount", "upper_limit", "rule_type"]).withColumn("_m", F.lit(True))
     return (campaign.join(r, "coupon_code", "left")
             .withColumn("known_in_crm", F.coalesce(F.col("_m"), F.lit(False))).drop("_m"))
 
@@ -46,7 +46,7 @@ def campaign_scorecard(clean: DataFrame, rules: DataFrame) -> DataFrame:
 def addfamily_check(clean: DataFrame, family: DataFrame) -> DataFrame:
     """Family add-on codes: volume, mean/max total discount, shares, and how often the
     total discount exceeds the family cap."""
-    caps = F.broadcast(family.select("coupon_code", F.col("upper_limit").alias("cap_pct")))
+    caps = family.select("coupon_code", F.col("upper_limit").alias("cap_pct"))
     rows = clean.join(caps, "coupon_code")
     return rows.groupBy("coupon_code", "cap_pct").agg(
         F.count(F.lit(1)).alias("n"),
@@ -71,7 +71,7 @@ def depth_curve(clean: DataFrame, tiers: DataFrame) -> DataFrame:
     agg = (clean.withColumn("depth_tier", X.depth_tier("n_disc")).filter(F.col("depth_tier").isNotNull())
            .groupBy("depth_tier").agg(F.count(F.lit(1)).alias("n"), X.sum0("net_c").alias("revenue"),
                                       X.sum0("gm_c").alias("gm")))
-    out = F.broadcast(tiers).join(agg, "depth_tier", "left")
+    out = tiers.join(agg, "depth_tier", "left")
     return out.select("tier_order", "depth_tier",
                       F.coalesce("n", F.lit(0)).cast("bigint").alias("n"),
                       F.coalesce("revenue", F.lit(0)).cast("bigint").alias("revenue"),
@@ -80,8 +80,8 @@ def depth_curve(clean: DataFrame, tiers: DataFrame) -> DataFrame:
 
 
 def rule_rows(clean: DataFrame, rules: DataFrame) -> DataFrame:
-    """Per-row compliance in one broadcast join + conditional aggregate."""
-    r = _rules_b(rules, ["mov_c", "upper_limit"])
+    """Per-row compliance in one join + conditional aggregate."""
+    r = _rules(rules, ["mov_c", "upper_limit"])
     rows = clean.join(r, "coupon_code")
     return rows.groupBy("coupon_code", "mov_c", "upper_limit").agg(
         F.count(F.lit(1)).alias("bookings"),
@@ -108,7 +108,7 @@ def upper_limit_breach(clean: DataFrame, rules: DataFrame, min_bookings: int = P
 
 def mov_weekly(bucketed: DataFrame, rules: DataFrame) -> DataFrame:
     """week x coupon bucket: bookings under the row's own coupon MOV."""
-    r = _rules_b(rules, ["mov_c"])
+    r = _rules(rules, ["mov_c"])
     rows = bucketed.join(r, "coupon_code", "left")
     out = rows.groupBy("week_start", "coupon_bucket").agg(
         F.count(F.lit(1)).alias("bookings"),
@@ -127,17 +127,17 @@ def addfamily_weekly(clean: DataFrame, family_codes: list[str] = P.FAMILY_CODES)
 
 
 def unknown_codes(clean: DataFrame, rules: DataFrame) -> DataFrame:
-    """Codes in use that have no rule (left anti join against the broadcast rules)."""
+    """Codes in use that have no rule (left anti join with the rules)."""
     used = clean.filter(F.col("coupon_code").isNotNull()).groupBy("coupon_code").agg(
         F.count(F.lit(1)).alias("bookings"))
-    return used.join(_rules_b(rules, []), "coupon_code", "left_anti")
+    return used.join(_rules(rules, []), "coupon_code", "left_anti")
 
 
 def coupon_age(clean: DataFrame, rules: DataFrame) -> DataFrame:
     """Weekly coupon rollup with weeks since the rule was created (null dates tolerated)."""
     wk = clean.filter(F.col("coupon_code").isNotNull()).groupBy("week_start", "coupon_code").agg(
         F.count(F.lit(1)).alias("bookings"), X.sum0("gm_c").alias("gm_sum"), X.sum0("net_c").alias("revenue_sum"))
-    out = wk.join(_rules_b(rules, ["create_date"]), "coupon_code", "left")
+    out = wk.join(_rules(rules, ["create_date"]), "coupon_code", "left")
     return out.withColumn("weeks_since_create",
                           F.floor(F.datediff("week_start", "create_date") / F.lit(7.0)).cast("int"))
 

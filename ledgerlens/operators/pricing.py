@@ -1,18 +1,19 @@
 """Pricing and policy analytics.
 
-Event joins: bookings are first aggregated to a small cell table (day or week x sku x
-market), then joined to the event list -- a parameter table of a few rows per event --
-with equality on (sku, market) and a range residual on the date. The event side is
-broadcast, so the range join is linear in the cell table and never pairs raw bookings.
+Event joins: bookings are first aggregated to a cell table (day or week x sku x market), then
+joined to the event list by week bins (``intervals``): an equality on (sku, market, week) with the
+exact dates as a residual, so raw bookings are never paired. No side is hinted: event and promo
+lists may grow, and Spark broadcasts what its measured size allows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import params as P
 from ..functions import exprs as X
+from . import intervals as I
 from . import prepare as PR
 from .ranking import percent_ranks
 
@@ -40,16 +41,20 @@ def _executed(events_m: DataFrame) -> DataFrame:
     return events_m.filter(F.col("change_week").isNotNull())
 
 
+def _event_days(events: DataFrame, cells: DataFrame, days: int, how: str) -> DataFrame:
+    """Events with the daily cells of their sku and market inside [d - w, d + w - 1]."""
+    windows = I.by_week(events, F.date_sub("change_week", days), F.date_add("change_week", days - 1))
+    own = cells.withColumnsRenamed({"sku": "c_sku", "market": "c_market"})
+    return I.in_windows(windows, own, {"sku": "c_sku", "market": "c_market"}, "booking_date", how)
+
+
 def event_window_range(clean: DataFrame, events_m: DataFrame, days: int = IMPACT_WINDOW_DAYS,
                        cells: DataFrame | None = None) -> DataFrame:
     """Non-equi join: each executed event x market with the days inside [d - w, d + w - 1].
     ``cells`` is ``daily_cells(clean)`` when the caller already holds it (cached)."""
-    ev = F.broadcast(_executed(events_m).select("event_id", "sku", "market", "change_week"))
-    cells = daily_cells(clean) if cells is None else cells
-    cond = ((cells.sku == ev.sku) & (cells.market == ev.market)
-            & cells.booking_date.between(F.date_sub(ev.change_week, days), F.date_add(ev.change_week, days - 1)))
-    j = cells.join(ev, cond)
-    return j.select("event_id", ev.market.alias("market"), "booking_date",
+    j = _event_days(_executed(events_m).select("event_id", "sku", "market", "change_week"),
+                    daily_cells(clean) if cells is None else cells, days, "inner")
+    return j.select("event_id", "market", "booking_date",
                     F.when(F.col("booking_date") < F.col("change_week"), F.lit("pre")).otherwise(F.lit("post"))
                     .alias("side"), "bookings", "gm_sum", "revenue_sum", "offer_sum")
 
@@ -58,12 +63,9 @@ def price_event_daily(clean: DataFrame, events_m: DataFrame, days: int = IMPACT_
                       cells: DataFrame | None = None) -> DataFrame:
     """Every event (executed or not) LEFT JOIN the daily cells on exact sku and market
     inside the window; unmatched events are kept and flagged."""
-    ev = F.broadcast(events_m.select("event_id", "sku", "market", "change_week", "status"))
-    cells = daily_cells(clean) if cells is None else cells
-    cond = ((ev.sku == cells.sku) & (ev.market == cells.market)
-            & cells.booking_date.between(F.date_sub(ev.change_week, days), F.date_add(ev.change_week, days - 1)))
-    j = ev.join(cells, cond, "left")
-    return (j.groupBy("event_id", ev.market.alias("market"), "status").agg(
+    j = _event_days(events_m.select("event_id", "sku", "market", "change_week", "status"),
+                    daily_cells(clean) if cells is None else cells, days, "left")
+    return (j.groupBy("event_id", "market", "status").agg(
         F.count("booking_date").alias("matched_days"), F.min("booking_date").alias("first_day"),
         F.max("booking_date").alias("last_day"))
         .withColumn("matched", F.col("matched_days") > 0))
@@ -96,13 +98,26 @@ def price_event_impact(clean: DataFrame, events_m: DataFrame, rules: DataFrame |
 
 
 def arc_elasticity(impact: DataFrame, events_m: DataFrame) -> DataFrame:
-    ev = F.broadcast(_executed(events_m).select("event_id", "market", "pct_change"))
+    ev = _executed(events_m).select("event_id", "market", "pct_change")
     j = impact.join(ev, ["event_id", "market"])
     vol = X.ratio_pct(F.col("post_bookings") - F.col("pre_bookings"), "pre_bookings")
     return j.select("event_id", "market", "pct_change", "pre_bookings", "post_bookings", vol.alias("volume_pct"),
                     (vol / F.when(F.col("pct_change") != 0, F.col("pct_change"))).alias("arc_elasticity"))
 
 
+def _panel_weeks(events: DataFrame, panel: DataFrame, weeks: int, keys: dict[str, str]) -> DataFrame:
+    """Events with the panel's weeks from ``weeks`` before to ``weeks`` - 1 after the change week."""
+    span = 7 * weeks
+    windows = I.by_week(events, F.date_sub("change_week", span), F.date_add("change_week", span - 7))
+    own = panel.withColumnsRenamed({"sku": "p_sku", "market": "p_market"})
+    return I.in_windows(windows, own, keys, "week_start")
+
+
+def _market_promos(promos: DataFrame) -> DataFrame:
+    return promos.filter(F.col("scope") == "market").select(
+        F.col("market").alias("p_market"), F.col("week_start").alias("p_week"))
+
+
 def _arm_totals(panel: DataFrame, events_m: DataFrame, weeks: int) -> DataFrame:
     """Tpre/Tpost/Cpre/Cpost per executed event x treated market. Each event-market yields
     two arms (treated, control); arms join the weekly panel on sku, market and a week range."""
@@ -111,16 +126,13 @@ def _arm_totals(panel: DataFrame, events_m: DataFrame, weeks: int) -> DataFrame:
                      F.explode(F.array(
                          F.struct(F.lit("T").alias("arm"), F.col("market").alias("arm_market")),
                          F.struct(F.lit("C").alias("arm"), F.col("control_market").alias("arm_market")))).alias("a"))
-    arms = F.broadcast(arms.select("event_id", "sku", "market", "change_week", "a.arm", "a.arm_market"))
-    span = 7 * weeks
-    cond = ((panel.sku == arms.sku) & (panel.market == arms.arm_market)
-            & panel.week_start.between(F.date_sub(arms.change_week, span), F.date_add(arms.change_week, span - 7)))
-    j = panel.join(arms, cond)
+    arms = arms.select("event_id", "sku", "market", "change_week", "a.arm", "a.arm_market")
+    j = _panel_weeks(arms, panel, weeks, {"sku": "p_sku", "arm_market": "p_market"})
     is_post = F.col("week_start") >= F.col("change_week")
 
     def tot(arm, post):
         return X.sum0(F.when((F.col("arm") == arm) & (is_post if post else ~is_post), F.col("bookings")))
-    return j.groupBy("event_id", arms.market.alias("market")).agg(
+    return j.groupBy("event_id", "market").agg(
         tot("T", False).alias("t_pre"), tot("T", True).alias("t_post"),
         tot("C", False).alias("c_pre"), tot("C", True).alias("c_post"))
 
@@ -129,11 +141,9 @@ def confounder_overlap(events_m: DataFrame, promos: DataFrame, weeks: int = P.DI
     """An event is confounded when a market-scope promo hits its treated market inside the
     post window; global promos hit both arms and do not flag."""
     ev = _executed(events_m)
-    mp = F.broadcast(promos.filter(F.col("scope") == "market").select(
-        F.col("market").alias("p_market"), F.col("week_start").alias("p_week"), "event"))
-    cond = ((ev.market == mp.p_market)
-            & mp.p_week.between(ev.change_week, F.date_add(ev.change_week, 7 * weeks - 7)))
-    j = ev.join(mp, cond, "left")
+    windows = I.by_week(ev.select("event_id", "market", "change_week"), F.col("change_week"),
+                        F.date_add("change_week", 7 * weeks - 7))
+    j = I.in_windows(windows, _market_promos(promos), {"market": "p_market"}, "p_week", "left")
     return (j.groupBy("event_id", "market").agg(F.count("p_week").alias("promos_in_post"))
             .withColumn("confounded", F.col("promos_in_post") > 0))
 
@@ -142,17 +152,13 @@ def control_contamination(events_m: DataFrame, promos: DataFrame, weeks: int = P
     """Control market itself treated (another executed event on the same sku) or pushed by
     a market promo anywhere in the pre+post window."""
     ev = _executed(events_m)
-    span_lo = F.date_sub(F.col("change_week"), 7 * weeks)
-    span_hi = F.date_add(F.col("change_week"), 7 * weeks - 7)
-    base = ev.select("event_id", "sku", "market", "control_market", span_lo.alias("lo"), span_hi.alias("hi"))
-    other = F.broadcast(ev.select(F.col("event_id").alias("o_id"), F.col("sku").alias("o_sku"),
-                                  F.col("market").alias("o_market"), F.col("change_week").alias("o_week")))
-    treated = (base.join(other, (base.sku == other.o_sku) & (base.control_market == other.o_market)
-                         & other.o_week.between(base.lo, base.hi), "left")
+    windows = I.by_week(ev.select("event_id", "sku", "market", "control_market", "change_week"),
+                        F.date_sub("change_week", 7 * weeks), F.date_add("change_week", 7 * weeks - 7))
+    other = ev.select(F.col("event_id").alias("o_id"), F.col("sku").alias("o_sku"), F.col("market").alias("o_market"),
+                      F.col("change_week").alias("o_week"))
+    treated = (I.in_windows(windows, other, {"sku": "o_sku", "control_market": "o_market"}, "o_week", "left")
                .groupBy("event_id", "market").agg(F.count("o_id").alias("control_events")))
-    mp = F.broadcast(promos.filter(F.col("scope") == "market").select(
-        F.col("market").alias("p_market"), F.col("week_start").alias("p_week")))
-    pushed = (base.join(mp, (base.control_market == mp.p_market) & mp.p_week.between(base.lo, base.hi), "left")
+    pushed = (I.in_windows(windows, _market_promos(promos), {"control_market": "p_market"}, "p_week", "left")
               .groupBy("event_id", "market").agg(F.count("p_week").alias("control_promos")))
     out = treated.join(pushed, ["event_id", "market"])
     return out.withColumn("contaminated", (F.col("control_events") > 0) | (F.col("control_promos") > 0))
@@ -175,12 +181,10 @@ def did_from_panel(panel: DataFrame, events_m: DataFrame, promos: DataFrame,
     Flags: ``confounded`` (market promo on the treated market in the post window) and
     ``contaminated`` (control market treated or pushed inside the window)."""
     t = _arm_totals(panel, events_m, weeks)
-    ev = F.broadcast(_executed(events_m).select("event_id", "market", "pct_change", "control_market"))
-    # the flag frames hold one row per event x market (bounded by the event list): broadcast
+    ev = _executed(events_m).select("event_id", "market", "pct_change", "control_market")
     j = (t.join(ev, ["event_id", "market"])
-         .join(F.broadcast(confounder_overlap(events_m, promos, weeks)), ["event_id", "market"])
-         .join(F.broadcast(control_contamination(events_m, promos, weeks).select("event_id", "market",
-                                                                                "contaminated")),
+         .join(confounder_overlap(events_m, promos, weeks), ["event_id", "market"])
+         .join(control_contamination(events_m, promos, weeks).select("event_id", "market", "contaminated"),
                ["event_id", "market"]))
     ok = (F.col("t_pre") > 0) & (F.col("t_post") > 0) & (F.col("c_pre") > 0) & (F.col("c_post") > 0)
     lnp = F.log(F.lit(1.0) + F.col("pct_change") / F.lit(100.0))
@@ -198,12 +202,10 @@ def did_pairing(settled: DataFrame, events_m: DataFrame, weeks: int = P.DID_WIND
                 panel: DataFrame | None = None) -> DataFrame:
     """Treated cell joined to the control-market cell on sku x week, inside the window."""
     panel = weekly_panel(settled) if panel is None else panel
-    ev = F.broadcast(_executed(events_m).select("event_id", "sku", "market", "control_market", "change_week"))
-    span = 7 * weeks
-    tr = panel.join(ev, (panel.sku == ev.sku) & (panel.market == ev.market)
-                    & panel.week_start.between(F.date_sub(ev.change_week, span), F.date_add(ev.change_week, span - 7)))
-    tr = tr.select("event_id", ev.sku.alias("sku"), ev.market.alias("market"), "control_market", "change_week",
-                   "week_start", F.col("bookings").alias("treated_bookings"))
+    ev = _executed(events_m).select("event_id", "sku", "market", "control_market", "change_week")
+    tr = _panel_weeks(ev, panel, weeks, {"sku": "p_sku", "market": "p_market"})
+    tr = tr.select("event_id", "sku", "market", "control_market", "change_week", "week_start",
+                   F.col("bookings").alias("treated_bookings"))
     ctl = panel.select(F.col("sku").alias("c_sku"), F.col("market").alias("c_market"),
                        F.col("week_start").alias("c_week"), F.col("bookings").alias("control_bookings"))
     j = tr.join(ctl, (tr.sku == ctl.c_sku) & (tr.control_market == ctl.c_market) & (tr.week_start == ctl.c_week),
@@ -234,7 +236,7 @@ def list_prices(part: DataFrame) -> DataFrame:
 def price_event_rows(part: DataFrame, events_m: DataFrame, market_mult: DataFrame) -> DataFrame:
     """One row per event x treated market: old price = list x market multiplier, new price,
     change, percent; change date null when the event was not executed."""
-    j = events_m.join(list_prices(part), "sku").join(F.broadcast(market_mult), "market")
+    j = events_m.join(list_prices(part), "sku").join(market_mult, "market")
     old = F.floor(F.col("list_c") * F.col("market_mult") + F.lit(0.5)).cast("bigint")
     out = j.withColumn("old_price_c", old)
     new = F.floor(F.col("old_price_c") * (F.lit(100) + F.col("pct_change")) / F.lit(100.0) + F.lit(0.5)).cast("bigint")
@@ -265,7 +267,7 @@ def competitor_gap(part: DataFrame, competitors_wide: DataFrame, events: DataFra
     long = competitors_wide.unpivot(["sku"], comps, "competitor", "mult")
     lp = list_prices(part)
     raise_planned = events.groupBy("sku").agg((F.max((F.col("pct_change") > 0).cast("int")) > 0).alias("raise_planned"))
-    j = lp.join(F.broadcast(long), "sku").join(F.broadcast(raise_planned), "sku", "left")
+    j = lp.join(long, "sku").join(raise_planned, "sku", "left")
     comp = F.floor(F.col("list_c") * F.col("mult") + F.lit(0.5)).cast("bigint")
     planned = F.coalesce(F.col("raise_planned"), F.lit(False))
     return j.select("sku", "competitor", "list_c", comp.alias("competitor_price_c"),
@@ -370,21 +372,28 @@ def elastic_multiplier(cells: DataFrame, events_m: DataFrame, elasticity_col: st
                        carry: tuple[str, ...] = ()) -> DataFrame:
     """Price and volume multipliers of each (week_start, market, sku) cell from the executed
     events active in it (change week <= week): price = prod(1+p), volume = prod((1+p)^e).
-    Products are taken as exp(sum(ln)) in one aggregate; cells without events get 1. An
-    active event with an unknown elasticity makes the volume multiplier unknown (null)
-    rather than silently neutral. ``carry`` names cell columns kept alongside (they must be
+    Products are exp(running sum of ln) along the weeks of a market and sku, events standing
+    before the cells of their week: no cell is paired with every event before it. Cells without
+    events get 1. An active event with an unknown elasticity makes the volume multiplier unknown
+    (null) rather than silently neutral. ``carry`` names cell columns kept alongside (they must be
     determined by the cell key)."""
-    ev = F.broadcast(_executed(events_m).select(
-        F.col("sku").alias("e_sku"), F.col("market").alias("e_market"), "change_week",
-        (F.lit(1.0) + F.col("pct_change") / F.lit(100.0)).alias("_g"), F.col(elasticity_col).alias("_e")))
+    growth = F.lit(1.0) + F.col("pct_change") / F.lit(100.0)
     keys = ["week_start", "market", "sku"]
-    j = cells.select(*keys, *carry).join(ev, (F.col("sku") == F.col("e_sku")) & (F.col("market") == F.col("e_market"))
-                                         & (F.col("change_week") <= F.col("week_start")), "left")
-    unknown = F.count_if(F.col("_g").isNotNull() & F.col("_e").isNull()) > 0
-    return j.groupBy(*keys, *carry).agg(
-        F.count("_g").alias("events_active"),
-        F.coalesce(F.exp(F.sum(F.log("_g"))), F.lit(1.0)).alias("price_mult"),
-        F.when(~unknown, F.coalesce(F.exp(F.sum(F.col("_e") * F.log("_g"))), F.lit(1.0))).alias("volume_mult"))
+    steps = _executed(events_m).groupBy(F.col("change_week").alias("week_start"), "market", "sku").agg(
+        F.count(F.lit(1)).alias("_events"), F.sum(F.log(growth)).alias("_price"),
+        F.sum(F.col(elasticity_col) * F.log(growth)).alias("_volume"),
+        F.count_if(F.col(elasticity_col).isNull()).alias("_unknown"))
+    line = cells.select(*keys, *carry, F.lit(True).alias("_cell")).unionByName(steps, allowMissingColumns=True)
+    along = (Window.partitionBy("market", "sku").orderBy("week_start")
+             .rangeBetween(Window.unboundedPreceding, Window.currentRow))
+
+    def upto(c, start):
+        return F.coalesce(F.sum(c).over(along), F.lit(start))
+    out = line.select(*keys, *carry, "_cell", upto("_events", 0).cast("bigint").alias("events_active"),
+                      upto("_price", 0.0).alias("_price"), upto("_volume", 0.0).alias("_volume"),
+                      upto("_unknown", 0).alias("_unknown")).filter("_cell")
+    return out.select(*keys, *carry, "events_active", F.exp("_price").alias("price_mult"),
+                      F.when(F.col("_unknown") == 0, F.exp("_volume")).alias("volume_mult"))
 
 
 def elastic_projection(settled: DataFrame, events_m: DataFrame, promos: DataFrame,
@@ -393,13 +402,12 @@ def elastic_projection(settled: DataFrame, events_m: DataFrame, promos: DataFram
     the price multiplier of the executed events active in it and the volume multiplier that
     the DiD elasticity measured for each of those events implies.
 
-    The panel is one aggregate of the fact; the DiD frame and the event list hold one row
-    per event x market (bounded by the event list) and are broadcast, so the cell join is a
-    map-side range join and the final aggregate adds one shuffle of the panel. Pass a
-    cached ``panel`` so the DiD and the projection share one scan of the fact."""
+    The panel is one aggregate of the fact; the running products take one shuffle of it by
+    market and sku. Pass a cached ``panel`` so the DiD and the projection share one scan of
+    the fact."""
     panel = weekly_panel(settled) if panel is None else panel
     did = did_from_panel(panel, events_m, promos, weeks, z).select("event_id", "market", "elasticity")
-    ev = events_m.join(F.broadcast(did), ["event_id", "market"], "left")
+    ev = events_m.join(did, ["event_id", "market"], "left")
     m = elastic_multiplier(panel, ev, "elasticity", carry=("bookings",))
     return m.select("week_start", "market", "sku", "bookings", "events_active",
                     _round6(F.col("price_mult")).alias("price_mult"), _round6(F.col("volume_mult")).alias("volume_mult"))
\ No newline at end of file
