@@ -275,6 +275,24 @@ def competitor_gap(part: DataFrame, competitors_wide: DataFrame, events: DataFra
                     planned.alias("raise_planned"), (planned & (comp < F.col("list_c"))).alias("warn"))
 
 
+def competitor_gap_by_city(clean: DataFrame, part: DataFrame, competitors_wide: DataFrame,
+                           events_m: DataFrame) -> DataFrame:
+    """Per sku, city and competitor: our mean price among the city's bookings, the competitor's
+    price, the gap, and a warning where a raise is planned for the sku in the city's market while
+    the competitor is already below us there."""
+    comps = [c for c in competitors_wide.columns if c != "sku"]
+    long = competitors_wide.unpivot(["sku"], comps, "competitor", "mult")
+    own = clean.groupBy("sku", "city", "market").agg(F.count(F.lit(1)).alias("bookings"), X.sum0("offer_c").alias("offer_sum"))
+    planned = events_m.groupBy("sku", "market").agg((F.max(F.col("pct_change")) > 0).alias("raise_planned"))
+    j = own.join(list_prices(part).join(long, "sku"), "sku").join(planned, ["sku", "market"], "left")
+    price = F.col("offer_sum") / F.col("bookings")
+    theirs = F.floor(F.col("list_c") * F.col("mult") + F.lit(0.5)).cast("bigint")
+    raising = F.coalesce(F.col("raise_planned"), F.lit(False))
+    return j.select("sku", "city", "market", "competitor", "bookings", price.alias("price_c"),
+                    theirs.alias("competitor_price_c"), X.ratio_pct(theirs - price, price).alias("gap_pct"),
+                    raising.alias("raise_planned"), (raising & (theirs < price)).alias("warn"))
+
+
 def price_action_exposure(actions: DataFrame, exposure: DataFrame) -> DataFrame:
     """Price actions LEFT JOIN package exposure; unmatched actions kept and flagged."""
     e = exposure.withColumn("_m", F.lit(True))

@@ -178,6 +178,18 @@ SELECT lp.sku, c.competitor, lp.list_c, CAST(FLOOR(lp.list_c * c.mult + 0.5) AS
 FROM lp JOIN competitor_mult c ON c.sku = lp.sku
 LEFT JOIN (SELECT sku, MAX(CAST(pct_change > 0 AS INTEGER)) > 0 AS raise_planned FROM price_events GROUP BY sku) rp
   ON rp.sku = lp.sku""", EV, LIST, competitor_cte())
+    q["competitor_gap_by_city"] = sql("""
+SELECT o.sku, o.city, o.market, c.competitor, o.bookings, o.price_c, t.competitor_price_c,
+       100e0 * (t.competitor_price_c - o.price_c) / NULLIF(o.price_c, 0) AS gap_pct,
+       COALESCE(rp.raise_planned, FALSE) AS raise_planned,
+       COALESCE(rp.raise_planned, FALSE) AND t.competitor_price_c < o.price_c AS warn
+FROM (SELECT sku, city, market, COUNT(*) AS bookings, CAST(SUM(offer_c) AS DOUBLE) / COUNT(*) AS price_c
+      FROM clean GROUP BY sku, city, market) o
+JOIN competitor_mult c ON c.sku = o.sku
+JOIN (SELECT lp.sku, m.competitor, CAST(FLOOR(lp.list_c * m.mult + 0.5) AS BIGINT) AS competitor_price_c
+      FROM lp JOIN competitor_mult m ON m.sku = lp.sku) t ON t.sku = o.sku AND t.competitor = c.competitor
+LEFT JOIN (SELECT sku, market, MAX(pct_change) > 0 AS raise_planned FROM price_events GROUP BY sku, market) rp
+  ON rp.sku = o.sku AND rp.market = o.market""", EV, LIST, competitor_cte())
     q["price_action_exposure"] = sql("SELECT * FROM pae", price_actions_cte(), EXPO)
     q["stacking_risk"] = sql("""
 SELECT *, starts_with(stacking_risk, 'HIGH') OR starts_with(stacking_risk, 'MEDIUM') AS risk_attention FROM risk""",

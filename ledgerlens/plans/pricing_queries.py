@@ -38,6 +38,8 @@ register("price_event_rows")(lambda s, d: M.price_event_rows(_part(s, d), _ev(s)
 register("flat_volume_impact")(lambda s, d: M.flat_volume_impact(_c(s, d).settled, _part(s, d), _ev(s),
                                                                  D.market_multipliers(s), panel=_c(s, d).panel))
 register("competitor_gap")(lambda s, d: M.competitor_gap(_part(s, d), D.competitor_prices_wide(s), _ev(s)))
+register("competitor_gap_by_city")(lambda s, d: M.competitor_gap_by_city(
+    _c(s, d).clean, _part(s, d), D.competitor_prices_wide(s), _ev(s)))
 register("price_action_exposure")(lambda s, d: M.price_action_exposure(D.price_actions(s),
                                                                        G.package_exposure(_c(s, d).clean)))
 register("stacking_risk")(lambda s, d: M.stacking_risk(D.price_actions(s), G.package_exposure(_c(s, d).clean)))

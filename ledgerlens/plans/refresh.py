@@ -1,7 +1,7 @@
 """End-to-end plans.
 
 ``refresh_rollups`` is the rollup refresh: prepare once (materialised fact, derived clean
-window, learned buckets), then write the ten published summary tables. ``model_tables``
+window), then the ten published summary tables from two scans (``one_pass``). ``model_tables``
 returns the analytical-model outputs (scorecard, compliance, curves, segments, risk,
 daily tracker) as lazy DataFrames. Nothing is collected; each table is one Spark job
 when written.
@@ -16,13 +16,13 @@ from .. import params as P
 from ..operators import coupons as C
 from ..operators import prepare as PR
 from ..operators import pricing as M
-from ..operators import quality as Q
 from ..operators import rollups as R
 from ..operators import segments as G
 from ..sources import dims as D
-from ..sources.files import persist_prepared, read_extracts, write_tables
+from ..sources.files import read_extracts
+from ..sources.incremental import read_prepared, refresh_months
+from . import one_pass
 from .context import Context, FrameContext, context
-from .quality_queries import published_rollups, rollup_totals
 
 
 def rollup_tables(ctx: Context) -> dict[str, DataFrame]:
@@ -41,53 +41,43 @@ def rollup_tables(ctx: Context) -> dict[str, DataFrame]:
     }
 
 
-def broken_guards(ctx: Context, unique_ids: bool = True) -> list[str]:
-    """What forbids publishing: weeks that do not reconcile, published weekly tables whose totals
-    differ, null margins among the rows to publish, and (``unique_ids``) repeated booking ids."""
-    found = []
-    if bad := Q.waterfall_reconcile(R.weekly_waterfall(ctx.clean)).filter("NOT reconciles").limit(1).collect():
-        found.append(f"weekly waterfall does not reconcile in week {bad[0]['week_start']}")
-    totals = Q.rollup_totals_agree(rollup_totals(published_rollups(ctx.settled)))
-    found += [f"total of {r['rollup']} differs by {r['diff_c']}" for r in totals.filter("NOT agrees").collect()]
-    if not Q.null_margin_guard(ctx.clean).first()["passes"]:
-        found.append("null margins among the rows to publish")
-    if unique_ids and (twice := PR.duplicate_ids(ctx.clean).limit(1).collect()):
-        found.append(f"booking id {twice[0]['booking_id']} is not unique")
-    return found
-
-
 def publish(ctx: Context, out_dir: str, fmt: str, unique_ids: bool) -> dict[str, str]:
-    if broken := broken_guards(ctx, unique_ids):
-        raise AssertionError("; ".join(broken))
-    return write_tables(rollup_tables(ctx), out_dir, fmt)
+    """The ten tables from two scans of the fact, in place only if all counts agree; unique ids are
+    a question of their own, which takes a shuffle by id."""
+    if unique_ids and (twice := PR.duplicate_ids(ctx.clean).limit(1).collect()):
+        raise AssertionError(f"booking id {twice[0]['booking_id']} is not unique")
+    return one_pass.refresh(ctx, out_dir, fmt)
 
 
 def refresh_rollups(spark: SparkSession, sf_dir: str, out_dir: str, fmt: str = "parquet",
                     unique_ids: bool = False) -> dict[str, str]:
-    """Check all guards, then write the ten summary tables. The driver tables repeat line
+    """Write, check and publish the ten summary tables. The driver tables repeat line
     numbers within an order, so unique ids are demanded on request only."""
     return publish(context(spark, sf_dir), out_dir, fmt, unique_ids)
 
 
-def extracts_fact(spark: SparkSession, pattern: str) -> DataFrame:
-    """Booking extracts (Parquet files matching a glob) as the prepared fact: trimmed headers and
-    keys, NaN amounts as null, unreadable cost repaired from net and margin, week start."""
-    raw = PR.normalise_headers(read_extracts(spark, pattern))
+def extracts_fact(spark: SparkSession, files: str | list[str]) -> DataFrame:
+    """Booking extracts (Parquet files by glob or by path) as the prepared fact: trimmed headers and
+    keys, NaN amounts as null, unreadable cost repaired from net and margin, week start; each row
+    with the path of its file."""
+    raw = PR.normalise_headers(read_extracts(spark, files, file_col="_src_path", path=True))
     for key in ("package_code", "coupon_code"):
         raw = PR.normalise_key(raw, key).withColumn(key, F.when(F.col(key) != "", F.col(key)))
     amounts = [f.name for f in raw.schema.fields if f.name.endswith("_c")]
     raw = PR.nan_to_null(raw, [f.name for f in raw.schema.fields if f.dataType.typeName() in ("double", "float")])
     raw = raw.withColumns({c: F.col(c).cast("bigint") for c in amounts})
     fixed = PR.repair_cost(raw).withColumn("cpt_c", F.col("cpt_fixed_c")).drop("cpt_fixed_c", "cost_repaired")
-    return PR.with_week(fixed).drop("_src_file")
+    return PR.with_week(fixed)
 
 
 def refresh_from_extracts(spark: SparkSession, pattern: str, out_dir: str, fmt: str = "parquet",
                           window: P.WindowParams | None = None, unique_ids: bool = True) -> dict[str, str]:
-    """From extract files to the ten summary tables: prepare, write the fact by month, derive the
-    clean window from the files (or take ``window``), check the guards, publish."""
-    path = persist_prepared(extracts_fact(spark, pattern), f"{out_dir.rstrip('/')}/prepared")
-    ctx = FrameContext(spark, spark.read.parquet(path).drop("booking_month"), window)
+    """From extract files to the ten summary tables: bring the prepared fact up to date (only the
+    months of new, changed and removed files are rewritten), derive the clean window from the files
+    (or take ``window``), write and check the tables, publish."""
+    folder = f"{out_dir.rstrip('/')}/prepared"
+    refresh_months(spark, pattern, folder, extracts_fact)
+    ctx = FrameContext(spark, read_prepared(spark, folder).drop("booking_month"), window)
     return publish(ctx, out_dir, fmt, unique_ids)
 
 

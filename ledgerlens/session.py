@@ -62,6 +62,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return current.rstrip("/")
 
 
+def folder_of(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the maker of its path objects."""
+    make = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), make
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Existence check through Hadoop's FileSystem so it works on any shared store."""
     jvm = spark.sparkContext._jvm

@@ -48,7 +48,7 @@ MANIFEST_SCHEMA = T.StructType([T.StructField("files", T.ArrayType(T.StructType(
 ])))])
 
 
-def read_extract(spark: SparkSession, path: str, schema: T.StructType | None = None, fmt: str = "parquet",
+def read_extract(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None, fmt: str = "parquet",
                  columns: list[str] | None = None) -> DataFrame:
     """One extract, all columns or a pruned set."""
     reader = spark.read.format(fmt)
@@ -60,11 +60,11 @@ def read_extract(spark: SparkSession, path: str, schema: T.StructType | None = N
     return df.select(*columns) if columns else df
 
 
-def read_extracts(spark: SparkSession, pattern: str, schema: T.StructType | None = None,
-                  fmt: str = "parquet", file_col: str = "_src_file") -> DataFrame:
-    """All files matching a glob, each row tagged with its file name."""
+def read_extracts(spark: SparkSession, pattern: str | list[str], schema: T.StructType | None = None,
+                  fmt: str = "parquet", file_col: str = "_src_file", path: bool = False) -> DataFrame:
+    """All files matching a glob (or listed), each row tagged with its file's name, or path."""
     df = read_extract(spark, pattern, schema, fmt)
-    return df.withColumn(file_col, F.col("_metadata.file_name"))
+    return df.withColumn(file_col, F.col("_metadata.file_path" if path else "_metadata.file_name"))
 
 
 def read_template_bookings(spark: SparkSession, path: str) -> DataFrame:
