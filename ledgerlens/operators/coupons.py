@@ -150,10 +150,16 @@ def over_limit_offers(clean: DataFrame, ceiling: int = P.OVER_LIMIT_CEILING) ->
         X.sum0("coupon_c").alias("coupon_sum")).withColumn("gm_pct", X.ratio_pct("gm_sum", "revenue_sum")))
 
 
-def attention_flags(campaign: DataFrame, mov: DataFrame) -> DataFrame:
-    """Threshold marks: below-MOV share > 10 %, campaign gm_pct < 55 %."""
-    m = mov.select("coupon_code", "pct_bookings_below_stated_mov")
-    out = campaign.join(m, "coupon_code", "left")
+def attention_flags(clean: DataFrame, rules: DataFrame, min_bookings: int = P.COMPLIANCE_MIN_BOOKINGS) -> DataFrame:
+    """Threshold marks: below-MOV share > 10 % (of coupons with a MOV and enough bookings),
+    campaign gm_pct < 55 %. One aggregate of the rows with their rule, for both marks."""
+    rows = clean.filter(F.col("coupon_code").isNotNull()).join(_rules(rules, ["mov_c"]), "coupon_code", "left")
+    out = rows.groupBy("coupon_code", "mov_c").agg(
+        F.count(F.lit(1)).alias("bookings"), X.sum0("net_c").alias("revenue"), X.sum0("gm_c").alias("gm"),
+        X.count_when(F.col("offer_c") < F.col("mov_c")).alias("below_mov"))
+    judged = (F.col("mov_c") > 0) & (F.col("bookings") >= min_bookings)
+    out = out.withColumn("gm_pct", X.ratio_pct("gm", "revenue")).withColumn(
+        "pct_bookings_below_stated_mov", F.when(judged, X.ratio("below_mov", "bookings")))
     return out.select(
         "coupon_code", "bookings", "gm_pct", "pct_bookings_below_stated_mov",
         F.coalesce(F.col("pct_bookings_below_stated_mov") > P.MOV_ATTENTION_SHARE, F.lit(False)).alias("mov_attention"),

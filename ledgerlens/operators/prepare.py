@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import params as P
@@ -100,6 +100,18 @@ def bucket_by_top(target: DataFrame, top: DataFrame, key: str, out: str,
     return joined.withColumn(out, label).drop("_top_key")
 
 
+def min_count_label(key: str, count: str, min_rows: int) -> Column:
+    """Label of a row of per-key counts: the key, or OTHER below ``min_rows`` rows and for null."""
+    return F.coalesce(F.when(F.col(count) >= min_rows, F.col(key)), F.lit(P.OTHER))
+
+
+def min_count_rollup(df: DataFrame, key: str, min_rows: int, out: str, aggs: dict[str, Column]) -> DataFrame:
+    """Additive aggregates (name -> expression, summed again) per value with at least ``min_rows``
+    rows, the others together as OTHER: one scan, and a second aggregate over one row a value."""
+    each = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), *[a.alias(n) for n, a in aggs.items()])
+    return each.groupBy(min_count_label(key, "_n", min_rows).alias(out)).agg(*[F.sum(n).alias(n) for n in aggs])
+
+
 def bucket_min_count(df: DataFrame, key: str, min_rows: int, out: str) -> DataFrame:
     """Keep values with at least ``min_rows`` rows, else OTHER.
 

@@ -376,10 +376,9 @@ def coupon_health(clean: DataFrame, healthy: float = 0.66, watch: float = 0.33)
         X.ratio("repeat_n", "bookings").alias("repeat_share"),
         X.ratio("top_package_n", "bookings").alias("concentration"),
         X.ratio("gm", "coupon_sum").alias("discount_efficiency"))
-    m = m.checkpoint()  # one row per code, read by the ranks and by the result
     better_up = {"revenue": True, "bookings": True, "aov": True, "repeat_share": True, "discount_efficiency": True,
                  "concentration": False}
-    out = m.join(percent_ranks(m, ["coupon_code"], better_up), "coupon_code")
+    out = percent_ranks(m, ["coupon_code"], better_up)
     score = sum(F.col(f"{k}_rank") for k in better_up) / F.lit(float(len(better_up)))
     out = out.withColumn("health_score", _round6(score)).select(*m.columns, "health_score")
     return out.withColumn("health", F.when(F.col("health_score") >= healthy, F.lit("healthy"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import params as P
@@ -51,9 +51,8 @@ def waterfall_reconcile(waterfall: DataFrame) -> DataFrame:
 def rollup_totals_agree(totals: DataFrame, reference_name: str = "weekly_waterfall") -> DataFrame:
     """Compare each rollup's total GM with the waterfall's; tolerance max(1, 1e-6 * total)
     (in currency units, i.e. 100 cents)."""
-    ref = totals.filter(F.col("rollup") == reference_name).select(F.max("gm_total")).scalar()
-    # bound once as a column: an inline scalar subquery referenced four times would be
-    # planned, and its totals recomputed, four times
+    # a window over one row a rollup: nothing is computed again for the reference
+    ref = F.max(F.when(F.col("rollup") == reference_name, F.col("gm_total"))).over(Window.partitionBy())
     t = totals.withColumn("waterfall_gm_total", ref)
     ref = F.col("waterfall_gm_total")
     tol = F.greatest(F.lit(100.0), F.abs(ref) * F.lit(1e-6))

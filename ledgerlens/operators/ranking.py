@@ -29,10 +29,14 @@ def ranked(df: DataFrame, group: list[str], value: str, ids: list[str], rank: st
     """``df`` with the column ``rank``: that of ``value`` inside the group, as SQL's RANK gives it
     (ties share the rank of the first; nulls first when ascending, last when descending), and with
     ``total`` the size of the group. ``ids`` part rows of equal value; values rank as doubles."""
-    checkpoint_dir(df.sparkSession)
     flag, order = _sortable(value, ascending)
-    rows = (df.withColumn("_flag", flag).withColumn("_order", order)
-            .repartitionByRange(*group, "_flag", "_order", *ids).withColumn("_range", F.spark_partition_id())
+    return _ranked(df.withColumn("_flag", flag).withColumn("_order", order), group, ids, rank, total)
+
+
+def _ranked(df: DataFrame, group: list[str], ids: list[str], rank: str, total: str | None) -> DataFrame:
+    """Ranks by the columns _flag and _order, which have no nulls."""
+    checkpoint_dir(df.sparkSession)
+    rows = (df.repartitionByRange(*group, "_flag", "_order", *ids).withColumn("_range", F.spark_partition_id())
             .checkpoint())  # a row's range is fixed here: the windows below must all see the same cuts
     place = F.struct("_flag", "_order")
     ranges = (rows.groupBy(*group, "_range", "_flag", "_order").agg(F.count(F.lit(1)).alias("n"))
@@ -61,17 +65,13 @@ def ranked(df: DataFrame, group: list[str], value: str, ids: list[str], rank: st
 
 
 def percent_ranks(df: DataFrame, ids: list[str], measures: dict[str, bool]) -> DataFrame:
-    """One row of ``ids`` and ``<measure>_rank`` for each measure (name -> ascending): SQL's
-    PERCENT_RANK of each measure over all rows, all measures ranked in one pass. ``ids`` is unique."""
-    sides = {}
-    for up in (True, False):
-        names = [m for m, asc in measures.items() if asc == up]
-        if not names:
-            continue
-        long = df.select(*ids, F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("value"))
-                                                   for m in names])).alias("x")).select(*ids, "x.measure", "x.value")
-        sides[up] = ranked(long, ["measure"], "value", ids, "_rank", up, "_size").select(*ids, "measure", "_rank", "_size")
-    every = list(sides.values())
-    both = every[0] if len(every) == 1 else every[0].unionByName(every[1])
+    """``df`` with ``<measure>_rank`` for each measure (name -> ascending): SQL's PERCENT_RANK of
+    the measure over all rows, all measures ranked in one pass. ``ids`` name a row."""
+    sides = {m: _sortable(m, up) for m, up in measures.items()}
+    long = df.select(*ids, F.struct(*df.columns).alias("_row"), F.explode(F.array(*[
+        F.struct(F.lit(m).alias("measure"), flag.alias("_flag"), order.alias("_order")) for m, (flag, order) in sides.items()])).alias("x"))
+    each = _ranked(long.select(*ids, "_row", "x.*"), ["measure"], ids, "_rank", "_size")
     share = F.when(F.col("_size") > 1, (F.col("_rank") - 1) / (F.col("_size") - 1)).otherwise(F.lit(0.0))
-    return both.groupBy(*ids).agg(*[F.max(F.when(F.col("measure") == m, share)).alias(f"{m}_rank") for m in measures])
+    out = each.groupBy(*ids).agg(F.first("_row").alias("_row"), *[
+        F.max(F.when(F.col("measure") == m, share)).alias(f"{m}_rank") for m in measures])
+    return out.select("_row.*", *[f"{m}_rank" for m in measures])

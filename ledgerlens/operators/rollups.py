@@ -102,10 +102,11 @@ def weekly_waterfall(clean: DataFrame) -> DataFrame:
 
 
 def package_gm(clean: DataFrame, min_rows: int = P.MIN_PACKAGE_ROWS) -> DataFrame:
-    df = PR.bucket_min_count(clean, "package_code", min_rows, "package_b")
-    out = summary(df.drop("package_code").withColumnRenamed("package_b", "package_code"),
-                  ["package_code"], with_offer=True)
-    return out.withColumn("is_combo", X.is_combo())
+    """One aggregate by package; packages below ``min_rows`` become OTHER and are summed again."""
+    out = PR.min_count_rollup(clean, "package_code", min_rows, "package_code", {
+        "bookings": F.count(F.lit(1)), "gm_sum": X.sum0("gm_c"), "revenue_sum": X.sum0("net_c"), "_offer": X.sum0("offer_c")})
+    return (out.withColumn("gm_pct", X.ratio_pct("gm_sum", "revenue_sum"))
+            .withColumn("asp", F.col("_offer") / F.col("bookings")).drop("_offer").withColumn("is_combo", X.is_combo()))
 
 
 def booking_cube_weekly(clean: DataFrame, top=None) -> DataFrame:

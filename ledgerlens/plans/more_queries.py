@@ -40,7 +40,6 @@ register("unknown_codes")(lambda s, d: C.unknown_codes(_c(s, d).clean, _rules(s)
 register("coupon_age")(lambda s, d: C.coupon_age(_c(s, d).clean, _rules(s)))
 register("top_campaigns")(lambda s, d: C.top_campaigns(_c(s, d).clean, _rules(s)))
 register("over_limit_offers")(lambda s, d: C.over_limit_offers(_c(s, d).clean))
-register("attention_flags")(lambda s, d: C.attention_flags(C.campaign_aggregate(_c(s, d).clean),
-                                                           C.mov_compliance(_c(s, d).clean, _rules(s))))
+register("attention_flags")(lambda s, d: C.attention_flags(_c(s, d).clean, _rules(s)))
 
 from . import segment_queries  # noqa: E402,F401

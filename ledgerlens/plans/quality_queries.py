@@ -66,16 +66,17 @@ def q_depth_tier(s, d):
 
 
 def q_bucket_top_n(s, d):
-    b = _c(s, d).bucketed()
-    parts = [b.groupBy(F.lit(name).alias("dimension"), F.col(col).alias("bucket")).agg(_count())
-             for name, col in (("package", "package_bucket"), ("city", "city_bucket"), ("coupon", "coupon_bucket"))]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    dims = {"package_bucket": "package", "city_bucket": "city", "coupon_bucket": "coupon"}
+    sets = _c(s, d).bucketed().groupingSets([[c] for c in dims], *dims).agg(
+        _count(), *[F.grouping(c).alias(f"no_{c}") for c in dims])  # one scan for all three
+    pick = [(F.col(f"no_{c}") == 0, name, F.col(c)) for c, name in dims.items()]
+    return sets.select(F.coalesce(*[F.when(own, F.lit(name)) for own, name, _ in pick]).alias("dimension"),
+                       F.coalesce(*[F.when(own, c) for own, _, c in pick]).alias("bucket"), "rows")
 
 
 def q_bucket_min_count(s, d):
     c = _c(s, d).clean
-    return (PR.bucket_min_count(c, "package_code", P.MIN_PACKAGE_ROWS, "package_bucket")
-            .groupBy("package_bucket").agg(_count()))
+    return PR.min_count_rollup(c, "package_code", P.MIN_PACKAGE_ROWS, "package_bucket", {"rows": F.count(F.lit(1))})
 
 
 def q_combo_flag(s, d):

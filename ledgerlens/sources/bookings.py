@@ -228,11 +228,19 @@ def orphan_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def month_parts(spark: SparkSession) -> list[Column]:
+    """Month, and the part of the month by a hash of the id: about as many parts in all months
+    together as there are shuffle partitions, eight a month at least."""
+    parts = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")) // 64)
+    return [F.trunc("booking_date", "MM"), F.pmod(F.xxhash64("booking_id"), F.lit(parts))]
+
+
 def bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bookings fact, written once per dataset version and read by every later application.
 
-    It is range-partitioned on (date, id) and sorted, so each file holds one stretch of dates and
-    a date filter skips whole files; a hot day is cut into several files by the id. The write
+    It is dealt out by month and a hash of the id and sorted by date, so a file holds few months
+    and a date filter skips whole files or row groups; a hot month or day is cut by the id. No range
+    is sampled, which would compute the join twice. The write
     goes to a folder of its own and is renamed when complete, so readers never see half a fact."""
     key = (spark.sparkContext.applicationId, dataset_version(spark, sf_dir))
     with _LOCK:
@@ -240,7 +248,7 @@ def bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
             path = f"{fact_folder(spark, sf_dir)}/{key[1]}"
             if not exists(spark, path + "/_SUCCESS"):
                 part = f"{path}.{spark.sparkContext.applicationId}"
-                (build_bookings(spark, sf_dir).repartitionByRange("booking_date", "booking_id")
+                (build_bookings(spark, sf_dir).repartition(*month_parts(spark))
                  .sortWithinPartitions("booking_date", "booking_id").write.mode("overwrite").parquet(part))
                 fs, made = _fs(spark, part)
                 if not fs.rename(made, _fs(spark, path)[1]) and not exists(spark, path + "/_SUCCESS"):

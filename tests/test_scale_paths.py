@@ -6,6 +6,8 @@
   customer holds a third of all orders (checked against a brute-force rank).
 """
 
+import re
+
 import duckdb
 import pytest
 from pyspark.sql import Window
@@ -132,7 +134,7 @@ def test_token_scan_single_exchange(spark, sf_small):
 
 ONE_SCAN = ["segment_mix", "stack_distribution", "revenue_share", "city_aov_outlier", "daily_completeness",
             "trailing_gm", "trailing_gm_by_kind", "cap_scenarios", "package_exposure",
-            "bookings_scope", "stacking_risk", "price_action_exposure"]
+            "bookings_scope", "package_gm", "bucket_min_count", "attention_flags", "competitor_gap", "stacking_risk", "price_action_exposure"]
 
 
 def test_one_scan_of_the_fact(spark, sf_small):
@@ -141,3 +143,15 @@ def test_one_scan_of_the_fact(spark, sf_small):
     for key in ONE_SCAN:
         plan = E.queries()[key](spark, sf_small)._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("Relation [") == 1, key
+    for key, scans in (("rollup_totals_agree", 5), ("bucket_top_n", 1)):  # five rollups; the cached lists have none
+        plan = E.queries()[key](spark, sf_small)._jdf.queryExecution().executedPlan().toString()
+        assert len(re.findall(r"FileScan parquet", plan.split("InMemoryTableScan")[0] if key == "bucket_top_n" else plan)) == scans, key
+
+
+def test_fact_write_computes_the_join_once(spark, sf_small):
+    """Hash parts by month and id: no range exchange, so nothing is sampled."""
+    plan = B.build_bookings(spark, sf_small).repartition(*B.month_parts(spark)).sortWithinPartitions(
+        "booking_date", "booking_id")._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan
+    months = B.bookings(spark, sf_small).groupBy(F.input_file_name(), F.trunc("booking_date", "MM")).count()
+    assert months.count() < 20 * B.bookings(spark, sf_small).select(F.trunc("booking_date", "MM")).distinct().count()
