@@ -78,48 +78,73 @@ class PerfectHash:
         return self.index_at[s] if self.key_at[s] == key else -1
 
 
-def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+def pair_ids(ranks: dict[bytes, int]) -> dict[int, int]:
+    """(left id << 32 | right id) -> id of their concatenation, for all cuts of all tokens."""
+    out = {}
+    for token, r in ranks.items():
+        for k in range(1, len(token)):
+            left, right = ranks.get(token[:k]), ranks.get(token[k:])
+            if left is not None and right is not None:
+                out[left << 32 | right] = r
+    return out
+
+
+def merge(piece: bytes, bytes_ids: list[int], pairs: dict[int, int]) -> list[int]:
     """Ids of one pre-token: the adjacent pair of lowest rank merges first, the leftmost at a
-    tie. ``after`` and ``before`` link the live pieces by their start; a heap entry is stale
-    when the two pieces it was pushed for no longer meet or no longer end where they did."""
-    n, rank, push = len(piece), ranks.get, heapq.heappush
-    wide = n.bit_length() + 1
-    low, skip = (1 << wide) - 1, 2 * wide
-    # a heap entry is one integer: rank, then start, then end of the merged piece
-    heap = [(r << wide | i) << wide | i + 2 for i in range(n - 1) if (r := rank(piece[i:i + 2])) is not None]
+    tie. ``after`` and ``before`` link the live pieces by their start, ``held`` has their ids and
+    ``rank`` the rank of the pair that begins with a piece, which is the id it merges to; a heap
+    entry (rank, start) is stale when the pair that begins there has another rank by now."""
+    n, get, push = len(piece), pairs.get, heapq.heappush
+    held = [bytes_ids[b] for b in piece]
+    rank = [get(x << 32 | y, -1) for x, y in zip(held, held[1:])]
+    rank.append(-1)
+    wide = n.bit_length()
+    low = (1 << wide) - 1
+    heap = [r << wide | i for i, r in enumerate(rank) if r >= 0]
     heapq.heapify(heap)
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))  # start of the next / previous piece
     while heap:
         entry = heapq.heappop(heap)
-        end, i = entry & low, entry >> wide & low
-        j = after[i]
-        if j >= end or after[j] != end:  # a piece merged into its left neighbour has after = n + 1
+        i, r = entry & low, entry >> wide
+        if rank[i] != r:
             continue
-        after[j], after[i] = n + 1, end
+        j = after[i]
+        end = after[i] = after[j]
+        held[i], rank[j] = r, -1
         if end < n:
             before[end] = i
-            if (r := rank(piece[i:after[end]])) is not None:
-                push(heap, r << skip | i << wide | after[end])
+            rank[i] = x = get(r << 32 | held[end], -1)
+            if x >= 0:
+                push(heap, x << wide | i)
+        else:
+            rank[i] = -1
         p = before[i]
-        if p >= 0 and (r := rank(piece[p:end])) is not None:
-            push(heap, r << skip | p << wide | end)
+        if p >= 0:
+            rank[p] = x = get(held[p] << 32 | r, -1)
+            if x >= 0:
+                push(heap, x << wide | p)
     ids, i = [], 0
     while i < n:
-        ids.append(ranks[piece[i:after[i]]])
+        ids.append(held[i])
         i = after[i]
     return ids
 
 
 class Memo(dict):
-    """key -> its ids as decimal text joined by spaces; holds at most ``MEMO`` short keys."""
+    """key -> its ids as decimal text joined by spaces; holds the last ``MEMO`` short keys, and as
+    many before them, of which those asked for again come back."""
 
     def __init__(self, make: Callable[[str], str]):
         super().__init__()
         self.make = make
+        self.older: dict[str, str] = {}
 
     def __missing__(self, key: str) -> str:
-        ids = self.make(key)
+        ids = self.older.get(key)
+        if ids is None:
+            ids = self.make(key)
         if len(self) >= MEMO:
+            self.older = dict(self)
             self.clear()
         if len(key) <= 64:
             self[key] = ids
@@ -138,6 +163,7 @@ class Encoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str, table: PerfectHash):
         self.ranks, self.table = ranks, table
         self.ids = list(ranks.values())
+        self.pairs, self.bytes_ids = pair_ids(ranks), [ranks[bytes([b])] for b in range(256)]
         self.split = regex.compile(pattern).findall
         self.piece = {str(i): t for t, i in ranks.items()}
         self.tokens = Memo(self._token)
@@ -148,10 +174,12 @@ class Encoder:
     def _token(self, token: str) -> str:
         raw = token.encode()
         k = self.table.find(raw)
-        return str(self.ids[k]) if k >= 0 else " ".join(map(str, merge(raw, self.ranks)))
+        return str(self.ids[k]) if k >= 0 else " ".join(map(str, merge(raw, self.bytes_ids, self.pairs)))
 
     def _chunk(self, text: str) -> str:
-        return " ".join(map(self.tokens.__getitem__, self.split(text)))
+        tokens = self.split(text)
+        # one pre-token alone is remembered by the caller's memo
+        return self._token(tokens[0]) if len(tokens) == 1 else " ".join(map(self.tokens.__getitem__, tokens))
 
     def encode(self, raw: bytes | None) -> str:
         """Decimal ids joined by one space."""
