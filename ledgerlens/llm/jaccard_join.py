@@ -37,6 +37,7 @@ from pyspark.sql import types as T
 from .common import batched, free_name, mix64, scratch, signed, space_words, texts_of, word_hashes, written
 from .components import components
 from .sketch import SPREAD, maybe_repeated, repeated_bitmap
+from .spans import row_bitmap, texts_with
 
 #: Cells of the frequency sketch (32-bit counters, broadcast).
 CELLS = 1 << 20
@@ -168,7 +169,9 @@ def overlaps(pairs: DataFrame, texts: DataFrame, gram: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(out, pa.int64())],
                                              names=["a", "b", "o"])
 
-    return batched(pairs.join(a, "a").join(b, "b"), run, "a long, b long, o long")
+    # by sort-merge at every size: the plan, and with it what is shuffled, grows evenly
+    joined = pairs.join(a.hint("merge"), "a").join(b.hint("merge"), "b")
+    return batched(joined, run, "a long, b long, o long")
 
 
 def links(sets: DataFrame, docs: DataFrame, gram: int, t: Threshold) -> tuple[DataFrame, DataFrame]:
@@ -193,9 +196,12 @@ def links(sets: DataFrame, docs: DataFrame, gram: int, t: Threshold) -> tuple[Da
 
     alone = entries.groupBy("token").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).where("lo < hi")
     entries = written(entries.join(alone.select("token"), "token", "left_semi"), "entries")
-    needed = entries.select("sid").distinct().join(classes.select("sid", "row_key"), "sid")
-    texts = written(needed.join(docs.select(F.xxhash64("doc_id", "text").alias("row_key"), "text").where(
-        F.col("text").isNotNull()), "row_key").groupBy("row_key", "sid").agg(F.first("text").alias("text")).drop("row_key"), "texts")
+    needed = written(entries.select("sid").distinct().join(classes.select("sid", "row_key"), "sid"), "needed")
+    shared = docs.sparkSession.sparkContext.broadcast(row_bitmap(needed.select(F.col("row_key").alias("row"))))
+    key = F.xxhash64("doc_id", "text")
+    rows = texts_with(docs.where("text is not null").select(key.alias("row_key"), "text", key.alias("_row")), shared)
+    texts = written(rows.join(needed.hint("merge"), "row_key").groupBy("row_key", "sid").agg(
+        F.first("text").alias("text")).drop("row_key"), "texts")
 
     first = written(overlaps(pairs.select("a", "b"), texts, gram).join(pairs, ["a", "b"]), "answers")
     linked = f"{t.den} * o >= {t.num} * (n + n_b - o)"
@@ -231,9 +237,10 @@ def links(sets: DataFrame, docs: DataFrame, gram: int, t: Threshold) -> tuple[Da
 
 def _labelled(docs: DataFrame, gram: int, t: Threshold) -> tuple[DataFrame, DataFrame]:
     """(sets, members): all rows' sets; sid, doc_id (smallest) and component label of each class."""
-    sets = written(sets_of(docs, gram, t), "sets")
     with scratch():
-        classes, labels = links(sets, docs, gram, t)
+        every = written(sets_of(docs, gram, t), "sets")
+        sets = written(every.drop("prefix"), "rows", stays=True)
+        classes, labels = links(every, docs, gram, t)
         members = classes.select("sid", "doc_id").join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn(
             "label", F.coalesce("label", "sid"))
         return sets, written(members, "members", stays=True)

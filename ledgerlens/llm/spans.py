@@ -141,7 +141,11 @@ def blocks_to_compare(leaders: DataFrame) -> DataFrame:
 
 def text_bitmap(places: DataFrame) -> np.ndarray:
     """Bitmap, of fixed size, of the texts that have places."""
-    rows = places.select(F.xxhash64(*KEY).alias("row")).distinct()
+    return row_bitmap(places.select(F.xxhash64(*KEY).alias("row")).distinct())
+
+
+def row_bitmap(rows: DataFrame) -> np.ndarray:
+    """Bitmap, of fixed size, of the hashes in the column ``row``."""
     return repeated_bitmap(rows, lambda batch: [np.repeat(batch.column("row").to_numpy().view(np.uint64), 2)], TEXTS)
 
 

@@ -36,6 +36,7 @@ from pyspark.sql import types as T
 from .common import batched, free_name, per_document, texts_of, word_hashes, written
 from .language_id import held_out
 from .sketch import maybe_repeated, repeated_bitmap
+from .spans import row_bitmap, texts_with
 
 #: Documents of each label in the sample that fits the chain and the logistic layer.
 SAMPLE_ROWS = 500
@@ -329,11 +330,19 @@ def fit_logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
+def labelled_texts(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """(text, toxic) of the labelled documents. A bitmap of their ids keeps most other texts out of
+    the shuffle; the join is by sort-merge at every size of the labels."""
+    shared = docs.sparkSession.sparkContext.broadcast(row_bitmap(known.select(F.xxhash64("doc_id").alias("row"))))
+    rows = texts_with(docs.select("doc_id", "text", F.xxhash64("doc_id").alias("_row")), shared)
+    return rows.join(known.hint("merge"), "doc_id").select("text", "toxic")
+
+
 def learn(docs: DataFrame, labels: DataFrame):
     """(lexicon, chain weights, logistic weights), or None where a label is missing."""
     known = learning_labels(labels)
     labelled = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("h")).join(known, "doc_id")
-    odds_of = lexicon(labelled.select("text", "toxic"))
+    odds_of = lexicon(labelled_texts(docs, known))
     # the sample is taken from labelled documents, by hash; equal rows count once
     chosen = [r for t in (0, 1) for r in labelled.where(F.col("toxic") == t).select("h", "toxic").distinct()
               .orderBy("h").limit(SAMPLE_ROWS).collect()]
