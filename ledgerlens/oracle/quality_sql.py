@@ -94,6 +94,9 @@ SELECT week_start, is_partial, COUNT(*) AS bookings, {nine_sums()}, {PCT(S('gm_c
 FROM (SELECT * REPLACE (CASE WHEN TRY_CAST(cpt_raw AS BIGINT) IS NULL AND gm_c IS NOT NULL THEN net_c - gm_c
                              ELSE TRY_CAST(cpt_raw AS BIGINT) END AS cpt_c) FROM clean)
 GROUP BY week_start, is_partial""")
+    q["template_waterfall"] = sql(f"""
+SELECT week_start, COUNT(*) AS bookings, {nine_sums()}, {PCT(S('gm_c'), S('net_c'))} AS gm_pct
+FROM (SELECT * REPLACE (net_c - cpt_c AS gm_c) FROM bookings) GROUP BY week_start""")
     q["rollup_totals_agree"] = sql("""
 SELECT rollup, gm_total, ref AS waterfall_gm_total, gm_total - ref AS diff_c,
        abs(gm_total - ref) < greatest(100e0, abs(ref) * 1e-6) AS agrees

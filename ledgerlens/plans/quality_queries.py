@@ -202,8 +202,30 @@ def q_extracts_refresh(s, d):
     return R.weekly_waterfall(FrameContext(s, extracts_fact(s, path)).clean)
 
 
+def q_template_waterfall(s, d):
+    """The fact written out as booking templates (CSV) with some unreadable lines, read back with
+    these set aside and mapped to the fact: the weekly waterfall of all bookings, settled or not."""
+    from ..session import checkpoint_dir, exists
+    from ..sources.bookings import dataset_version
+    from ..sources.files import read_template_checked, template_to_fact
+    path = f"{checkpoint_dir(s)}/ledgerlens/templates/{dataset_version(s, d)}"
+    if not exists(s, path + "/good/_SUCCESS"):
+        b = _c(s, d).bookings
+        money = {"offer_price": "offer_c", "campaign_discount": "special_c", "member_discount": "vip_c",
+                 "coupon_discount": "coupon_c", "wallet_credit": "redcash_c", "gift_card": "giftcard_c",
+                 "net_revenue": "net_c", "cost": "cpt_c"}
+        rows = b.select("booking_date", "market", "sku", F.col("customer_category").alias("tier"), F.col("booked_by").alias("channel"),
+                        F.col("booking_flag").alias("flag"), F.coalesce("coupon_code", F.lit(" ")).alias("coupon"),
+                        *[(F.col(c).cast("decimal(18,0)") / 100).cast("decimal(18,2)").alias(a) for a, c in money.items()], "booking_id")
+        bad = rows.where("booking_id % 1000 = 7").withColumn("offer_price", F.lit("n/a")).withColumn("booking_date", F.lit("soon"))
+        for name, part in (("bad", bad), ("good", rows)):  # the unreadable lines stand in files of their own
+            part.drop("booking_id").write.mode("overwrite").option("header", True).csv(f"{path}/{name}")
+    df = read_template_checked(s, [f"{path}/good", f"{path}/bad"], f"{path}/unreadable")
+    return R.rollup(template_to_fact(df), ["week_start"])
+
+
 for _key, _fn in {
-    "extracts_refresh": q_extracts_refresh,
+    "extracts_refresh": q_extracts_refresh, "template_waterfall": q_template_waterfall,
     "clean_window": q_clean_window, "repair_cost": q_repair_cost, "week_start": q_week_start,
     "discount_kinds": q_discount_kinds, "has_coupon": q_has_coupon, "coupon_depth_tier": q_depth_tier,
     "bucket_top_n": q_bucket_top_n, "bucket_min_count": q_bucket_min_count, "combo_flag": q_combo_flag,

@@ -4,6 +4,7 @@
   files by glob, each row tagged with its file name through the ``_metadata`` column.
 * ``read_template_bookings``: the public 15-column booking template (CSV) and
   ``template_to_fact``, which maps it onto the engine's cent-based fact columns.
+* ``quarantine_csv`` / ``read_template_checked``: the same with unreadable rows set aside.
 * ``read_json_params``: manifest / meta / truth style JSON documents.
 * ``read_dimension_csv``: delimited dimensions and rollups with a header.
 * ``write_tables``: one output per summary table.
@@ -12,7 +13,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,6 +77,39 @@ def read_template_bookings(spark: SparkSession, path: str) -> DataFrame:
     return df.withColumn("coupon", F.when(F.trim("coupon") != "", F.col("coupon")))
 
 
+#: Share of unreadable rows above which an input is refused.
+MOST_UNREADABLE = 0.01
+CORRUPT = "_unreadable"
+
+
+def quarantine_csv(spark: SparkSession, path: str | list[str], schema: T.StructType, bad_dir: str,
+                   most: float = MOST_UNREADABLE, **options) -> DataFrame:
+    """Rows of delimited files with a header whose every cell fits the schema (S01, S05). All other
+    rows are written to ``bad_dir`` as they stand, with their file; one scan counts and writes them.
+    Above ``most`` of all rows the input is refused (ValueError), the bad rows being kept.
+
+    Cells are checked in all columns, whichever are read later."""
+    full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    reader = spark.read.schema(full).option("header", True).option("mode", "PERMISSIVE")
+    df = reader.options(columnNameOfCorruptRecord=CORRUPT, **options).csv(path)
+    seen = Observation(f"quarantine-{uuid.uuid4().hex}")
+    # Spark converts (and so checks) only the columns that a query reads: this always-true condition reads all
+    also = F.hash(*[F.col(f.name) for f in schema.fields]) >= F.lit(-(1 << 31))
+    counted = df.withColumn("file", F.col("_metadata.file_path")).observe(
+        seen, F.count_if(also).alias("rows"), F.count(CORRUPT).alias("bad"))
+    counted.where(F.col(CORRUPT).isNotNull()).select("file", F.col(CORRUPT).alias("line")).write.mode("overwrite").parquet(bad_dir)
+    n = seen.get
+    if n["bad"] > most * n["rows"]:
+        raise ValueError(f"{n['bad']} of {n['rows']} rows are unreadable; they are in {bad_dir}")
+    return df.where(F.col(CORRUPT).isNull() & also).drop(CORRUPT)
+
+
+def read_template_checked(spark: SparkSession, path: str | list[str], bad_dir: str, most: float = MOST_UNREADABLE) -> DataFrame:
+    """``read_template_bookings`` with the unreadable rows set aside."""
+    df = quarantine_csv(spark, path, TEMPLATE_SCHEMA, bad_dir, most, dateFormat="yyyy-MM-dd")
+    return df.withColumn("coupon", F.when(F.trim("coupon") != "", F.col("coupon")))
+
+
 def _cents(c: str) -> F.Column:
     return F.round(F.col(c) * 100, 0).cast("bigint")
 

@@ -115,3 +115,29 @@ def test_persist_prepared_one_slice_per_task(spark, tmp_out, sf_small):
     cols = ["booking_id", "booking_date", "offer_c", "gm_c"]
     assert back.select(*cols).exceptAll(fact.select(*cols)).count() == 0
     assert fact.select(*cols).exceptAll(back.select(*cols)).count() == 0
+
+
+BROKEN = TEMPLATE + """soon,N1,ITEM-7,Basic,Self,Fresh,TRY5,40,0,0,2,0,0,38,11.5
+2031-03-07,N1,ITEM-7,Basic,Self,Fresh,TRY5,forty,0,0,2,0,0,38,11.5
+2031-03-08,N1,ITEM-7,Basic,Self
+2031-03-09,N1,ITEM-7,Basic,Self,Fresh,TRY5,40,0,0,2,0,0,38,11.5,one,too,many
+"""
+
+
+def test_unreadable_rows_are_set_aside_and_counted(spark, tmp_out):
+    import pytest
+    for name, text in (("a", BROKEN), ("b", TEMPLATE)):
+        with open(os.path.join(tmp_out, f"{name}.csv"), "w") as f:
+            f.write(text)
+    paths = [os.path.join(tmp_out, f"{n}.csv") for n in "ab"]
+    bad = os.path.join(tmp_out, "bad")
+    got = S.read_template_checked(spark, paths, bad, most=0.5)
+    assert got.count() == 6 and got.select("market").count() == 6 and got.where("offer_price is null").count() == 0
+    assert got.agg(F.sum("net_revenue")).first()[0] == 2 * S.read_template_bookings(spark, paths[1]).agg(F.sum("net_revenue")).first()[0]
+    lines = {(os.path.basename(r.file), r.line) for r in spark.read.parquet(bad).collect()}
+    assert lines == {("a.csv", x) for x in BROKEN.splitlines()[4:]}
+    with pytest.raises(ValueError, match="4 of 10 rows are unreadable"):
+        S.read_template_checked(spark, paths, os.path.join(tmp_out, "again"))
+    assert spark.read.parquet(os.path.join(tmp_out, "again")).count() == 4      # kept although refused
+    assert S.read_template_checked(spark, paths[1], os.path.join(tmp_out, "none")).count() == 3
+    assert spark.read.parquet(os.path.join(tmp_out, "none")).count() == 0

@@ -35,3 +35,36 @@ def test_stream_matches_batch_for_final_days(spark, sf_small, tmp_out):
     assert got.select(cols).exceptAll(batch.select(cols)).count() == 0
     emitted_days = got.select("booking_date").distinct()
     assert batch.join(emitted_days, "booking_date").select(cols).exceptAll(got.select(cols)).count() == 0
+
+
+def test_late_rows_count_and_are_kept_aside(spark, sf_small, tmp_out):
+    """Files in three batches, the last with rows of days long published: every day equals the
+    batch answer, the late rows stand in the side table, and a replayed batch changes nothing."""
+    from ledgerlens.streaming.daily_stream import refresh_days, start_daily_refresh
+    ctx = context(spark, sf_small)
+    b = ctx.bookings.drop("is_partial")
+    inp, out, ck = (os.path.join(tmp_out, x) for x in ("in", "out", "ck"))
+    late = (F.col("booking_id") % 7 == 0) & (F.year("booking_date") <= 1997)
+    parts = [b.where(~late & (F.year("booking_date") <= 1996)), b.where(~late & (F.year("booking_date") > 1996)),
+             b.where(late).unionByName(b.where(late).limit(2).withColumn("booking_date", F.lit(None).cast("date")))]
+    tp, tc = ctx.top("package_code", 15), ctx.top("city", 6)
+    cols = ["booking_date", "package_bucket", "city_bucket", "bookings", "gm_sum", "revenue_sum", "gm_pct"]
+    arrived = None
+    for k, part in enumerate(parts):
+        part.write.parquet(os.path.join(inp, f"extract_{k}"))
+        arrived = part if arrived is None else arrived.unionByName(part)
+        start_daily_refresh(spark, inp + "/*", b.schema, tp, tc, out, ck).awaitTermination(300)
+        src = PR.settled_rows(arrived).where("booking_date is not null")
+        src = PR.bucket_by_top(PR.bucket_by_top(src, tp, "package_code", "package_bucket"), tc, "city", "city_bucket")
+        want = R.summary(src, ["booking_date", "package_bucket", "city_bucket"]).select(cols)
+        got = spark.read.parquet(f"{out}/daily").select(cols)
+        assert got.count() == want.count() and got.exceptAll(want).count() == 0
+    aside = spark.read.parquet(f"{out}/late")
+    settled_late = PR.settled_rows(parts[2]).select("booking_id", "booking_date")
+    assert aside.select("booking_id", "booking_date").exceptAll(settled_late).count() == 0
+    n = aside.count()
+    assert n == settled_late.count() > 100 and {r[0] for r in aside.select("batch").distinct().collect()} == {2}
+    before = spark.read.parquet(f"{out}/daily").select(cols).collect()
+    refresh_days(spark.read.schema(b.schema).parquet(os.path.join(inp, "extract_2")), 2, tp, tc, out)
+    assert sorted(spark.read.parquet(f"{out}/daily").select(cols).collect()) == sorted(before)
+    assert spark.read.parquet(f"{out}/late").count() == n
