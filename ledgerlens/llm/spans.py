@@ -207,13 +207,14 @@ def unpacked(spans: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
     return values >> 32, values & 0xFFFFFFFF
 
 
-def rewrite(docs: DataFrame, places: DataFrame, schema: str, make: Callable, keep: bool = False) -> DataFrame:
+def rewrite(docs: DataFrame, places: DataFrame, schema: str, make: Callable, keep: bool = False,
+            also: tuple[str, ...] = ()) -> DataFrame:
     """Every input row with the places found in its text: ``make(text, starts, lengths)`` gives
     the new columns' values, with ``keep`` also the new text in front; the rows keep their other
-    columns. Texts without places are finished in the scan, only the others are shuffled."""
+    columns, without it doc_id and those named by ``also``. Texts without places are finished in the scan, only the others are shuffled."""
     new = T.StructType.fromDDL(schema)
     names = new.fieldNames()
-    old = [f for f in remaining(docs, names) if keep or f.name.lower() == "doc_id"]
+    old = [f for f in remaining(docs, names) if keep or f.name.lower() == "doc_id" or f.name in also]
     kept = [f.name for f in old]
     kinds = [_arrow(f.dataType) for f in new.fields]
     held = [c for c in kept if c.lower() != "text"]

@@ -12,9 +12,9 @@ Matched beginnings are only candidates: their blocks are then compared over thei
 and where contexts differ window by window, by 96-bit hashes of all ``WINDOW`` bytes.
 
 A byte goes if it lies in a ``WINDOW``-byte string that also starts anywhere else.
-Defined results: null and empty texts have no bytes; rows with a null doc_id are neither
-searched nor changed; repeated rows of one doc_id and text are one document, held to be found
-once; an empty table gives no rows; other columns are ignored."""
+Defined results: null and empty texts have no bytes; a null doc_id is an id like any other; every
+row is a document of its own, so of repeated rows (equal id and text) each string of a window's
+length starts elsewhere, too; an empty table gives no rows; other columns are ignored."""
 
 from __future__ import annotations
 
@@ -102,6 +102,9 @@ class SuffixIndex:
 def repeated_places(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, batches: int = BATCHES) -> DataFrame:
     """Stretches of bytes (KEY, first, n) of strings that start elsewhere too."""
     rows = keyed(docs)
+    # equal rows have one key: all their strings repeat
+    twice = (rows.select(*KEY, F.octet_length("text").alias("n")).groupBy(*KEY).agg(F.count(F.lit(1)).alias("c"), F.max("n").alias("n"))
+             .where(f"c > 1 and n >= {window}").select(*KEY, F.lit(0).alias("first"), "n"))
     index = SuffixIndex(window, gram)
     for b in range(batches):
         index.add(rows.where(F.pmod(F.xxhash64(*KEY), F.lit(batches)) == b))
@@ -119,7 +122,7 @@ def repeated_places(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, bat
     same = W.partitionBy("h1", "h2")
     single = (found.withColumn("size", F.count(F.lit(1)).over(same)).where("size > 1")
               .select(*KEY, "first", F.lit(window).alias("n")))
-    return written(whole.union(single), "places")
+    return written(whole.union(single).union(twice), "places")
 
 
 def dedup_bytes(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, batches: int = BATCHES) -> DataFrame:
@@ -129,5 +132,9 @@ def dedup_bytes(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, batches
         gone = covered(starts, lengths, len(raw)) if len(starts) else np.zeros(len(raw), bool)
         return len(raw), int(gone.sum()), mask_runs(gone), hashlib.sha256(raw[~gone].tobytes()).hexdigest()
 
-    return rewrite(docs, repeated_places(docs, window, gram, batches),
-                   "n_bytes long, n_removed long, n_spans long, kept_sha256 string", make)
+    # ids as text, so that a null one is a key, too; the own one comes back in the end
+    named = docs.select(F.coalesce(F.concat(F.lit("="), F.col("doc_id").cast("string")), F.lit("")).alias("doc_id"), "text",
+                        F.col("doc_id").alias("own_id"))
+    found = rewrite(named, repeated_places(named, window, gram, batches),
+                    "n_bytes long, n_removed long, n_spans long, kept_sha256 string", make, also=("own_id",))
+    return found.select(F.col("own_id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")

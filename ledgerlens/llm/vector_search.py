@@ -12,10 +12,12 @@ going to the smaller id) and one query, so a vector that a third of all rows sha
 Lists are cut into blocks of bounded size, each scanned on its own; the best of all blocks of a
 query are merged by a window.
 
-Defined results: vectors that are null, zero, or hold null or non-finite components, or whose
-length is not the most common one, take no part, neither as queries nor as candidates; so does a
-null vec_id; a vec_id that occurs in several rows is several candidates; with fewer than k
-candidates all are returned; an empty table gives no rows; other columns are ignored."""
+Defined results: vectors that are null, zero, or hold null or non-finite components take no part,
+neither as queries nor as candidates; so does a null vec_id. Vectors of different lengths have no
+distance: each length is searched on its own. A vec_id that occurs in several rows is several
+candidates, of which a query leaves out one equal to itself; equal rows are one query, rows of one
+vec_id with different vectors are several. With fewer than k candidates all are returned; an empty
+table gives no rows; other columns are ignored."""
 
 from __future__ import annotations
 
@@ -49,9 +51,7 @@ def usable(vectors: DataFrame) -> DataFrame:
     fine = (F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & (F.size("embedding") > 0)
             & ~F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
             & F.exists("v", lambda x: x != 0))
-    rows = vectors.select("vec_id", "embedding", v.alias("v")).where(fine).select("vec_id", "v")
-    common = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
-    return rows.where(F.size("v") == (common[0].d if common else 0))
+    return vectors.select("vec_id", "embedding", v.alias("v")).where(fine).select("vec_id", "v")
 
 
 def distinct_vectors(rows: DataFrame, k: int) -> DataFrame:
@@ -127,19 +127,26 @@ def scan(queries: np.ndarray, block: np.ndarray, rotation: np.ndarray, k: int):
 
 def search(vectors: DataFrame, every: int = 100, k: int = 10) -> DataFrame:
     """The k nearest other rows of each row whose vec_id is divisible by ``every``."""
-    spark = vectors.sparkSession
     name = vectors.schema["vec_id"].dataType.simpleString()
-    base = usable(vectors)
+    rows = usable(vectors)
+    lengths = sorted(r.d for r in rows.select(F.size("v").alias("d")).distinct().collect())  # one, as a rule
+    out = None
+    for d in lengths:
+        found = search_length(rows.where(F.size("v") == d), name, every, k)
+        out = found if out is None else out.union(found)
+    return out or vectors.sparkSession.createDataFrame([], f"query_id {name}, rank int, vec_id {name}, score double")
+
+
+def search_length(base: DataFrame, name: str, every: int, k: int) -> DataFrame:
+    """``search`` over vectors of one length."""
+    spark = base.sparkSession
     distinct = written(distinct_vectors(base, k), "vectors")
-    empty = f"query_id {name}, rank int, vec_id {name}, score double"
-    if distinct.isEmpty():
-        return spark.createDataFrame([], empty)
     centres, rotation = fit(distinct)
     shared = spark.sparkContext.broadcast((centres, rotation))  # at most MOST_LISTS centres
     probes = max(LEAST_PROBES, int(np.ceil(PROBE_SHARE * len(centres))))
 
     ids = base.where(F.col("vec_id") % every == 0).select("vec_id", F.transform(
-        "v", lambda x: x + F.lit(0.0)).alias("v"))
+        "v", lambda x: x + F.lit(0.0)).alias("v")).distinct()
     asked = ids.select("v").distinct().select(F.xxhash64("v").alias("key"), "v", F.array().cast(
         f"array<{name}>").alias("ids"))
     index = written(assigned(distinct, shared, 1, name), "index")
@@ -150,24 +157,27 @@ def search(vectors: DataFrame, every: int = 100, k: int = 10) -> DataFrame:
              .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = [pd.DataFrame({"key": pd.Series(dtype="int64"), "ids": pd.Series(dtype=object),
+        out = [pd.DataFrame({"key": pd.Series(dtype="int64"), "near": pd.Series(dtype="int64"), "ids": pd.Series(dtype=object),
                              "score": pd.Series(dtype=float)})]
         if len(left) and len(right):
             block, queries = np.stack(left["v"].to_numpy()), np.stack(right["v"].to_numpy())
             for i, alive, exact in scan(queries, block, shared.value[1], k):
-                out.append(pd.DataFrame({"key": right["key"].iloc[i], "ids": left["ids"].to_numpy()[alive],
+                out.append(pd.DataFrame({"key": right["key"].iloc[i], "near": left["key"].to_numpy()[alive], "ids": left["ids"].to_numpy()[alive],
                                          "score": exact}))
         return pd.concat(out[1:]) if len(out) > 1 else out[0]
 
-    found = cut.select("list", "block", "v", "ids").groupBy("list", "block").cogroup(
+    found = cut.select("list", "block", "v", "key", "ids").groupBy("list", "block").cogroup(
         probe.select("list", "block", "v", "key").groupBy("list", "block")).applyInPandas(
-        run, f"key long, ids array<{name}>, score double")
+        run, f"key long, near long, ids array<{name}>, score double")
     near = W.partitionBy("key").orderBy("score", "vec_id")
     # k + 1, since one of them may be the query itself
-    top = (found.select("key", "score", F.explode("ids").alias("vec_id"))
+    top = (found.select("key", "near", "score", F.explode("ids").alias("vec_id"))
            .withColumn("r", F.row_number().over(near)).where(F.col("r") <= k + 1).drop("r"))
     answers = (ids.select(F.col("vec_id").alias("query_id"), F.xxhash64("v").alias("key"))
-               .join(top, "key").where("vec_id != query_id"))
-    order = W.partitionBy("query_id").orderBy("score", "vec_id")
+               .join(top, "key"))
+    same = W.partitionBy("query_id", "key", "vec_id", "near").orderBy("score")
+    answers = (answers.withColumn("n", F.row_number().over(same))
+               .where("not (vec_id = query_id and near = key and n = 1)"))  # but for the query's own row
+    order = W.partitionBy("query_id", "key").orderBy("score", "vec_id")
     return (answers.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

@@ -283,16 +283,12 @@ def test_passages_keep_other_columns(make_docs):
 
 
 def brute_bytes(rows, window):
-    texts = {}
-    for i, x in rows:
-        if i is not None and x is not None:
-            texts[i, x] = x.encode()
-    seen = Counter(t[s:s + window] for t in texts.values() for s in range(len(t) - window + 1))
+    seen = Counter(t[s:s + window] for t in ((x or "").encode() for _, x in rows) for s in range(len(t) - window + 1))
     out = []
     for i, x in rows:
         t = (x or "").encode()
         gone = np.zeros(len(t), bool)
-        for s in range(len(t) - window + 1) if i is not None else ():
+        for s in range(len(t) - window + 1):
             if seen[t[s:s + window]] > 1:
                 gone[s:s + window] = True
         runs = int((np.diff(np.concatenate(([0], gone.astype(int)))) == 1).sum())
@@ -304,6 +300,8 @@ def brute_bytes(rows, window):
 @pytest.mark.parametrize("batches", [1, 3, 4])
 def test_byte_strings_match_brute_force(make_docs, batches):
     rows = corpus(6, 70) + [(900, "abc" * 150), (901, "q" * 199), (902, "q" * 200), (903, "z" * 201)]
+    alone = " ".join(f"only{k}here" for k in range(60))
+    rows += [(None, alone), (None, "p" + alone[:150]), (950, alone[::-1]), (950, alone[::-1]), (951, "short"), (951, "short")]
     got = suffix_dedup.dedup_bytes(make_docs(rows), batches=batches).collect()
     assert sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == brute_bytes(rows, 200)
 
@@ -380,6 +378,15 @@ def test_search_of_few_and_no_vectors(spark):
     assert vector_search.search(few.limit(0)).count() == 0
 
 
+def test_search_of_several_lengths_and_repeated_ids(spark):
+    rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (0, [3.0, 0.0]), (1, [0.0, 2.0]), (100, [1.0, 0.0, 0.0]), (7, [0.0, 0.0, 4.0])]
+    got = sorted((r.query_id, r["rank"], r.vec_id, round(r.score, 6)) for r in vector_search.search(
+        spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect())
+    first = [(0, 1, 0, 0.0), (0, 2, 0, 2.0), (0, 3, 1, round(5 ** 0.5, 6))]          # the query [1, 0]
+    other = [(0, 1, 0, 2.0), (0, 2, 0, 2.0), (0, 3, 1, round(13 ** 0.5, 6))]         # the query [3, 0]
+    assert got == sorted(first + other + [(100, 1, 7, round(17 ** 0.5, 6))])
+
+
 def test_scan_abandons_no_near_candidate():
     rng = np.random.default_rng(2)
     block = rng.standard_normal((800, 32)) * np.linspace(3, 0.1, 32)
