@@ -174,9 +174,10 @@ def overlaps(pairs: DataFrame, texts: DataFrame, gram: int) -> DataFrame:
     return batched(joined, run, "a long, b long, o long")
 
 
-def links(sets: DataFrame, docs: DataFrame, gram: int, t: Threshold) -> tuple[DataFrame, DataFrame]:
+def links(sets: DataFrame, docs: DataFrame, gram: int, t: Threshold, every: bool = False) -> tuple[DataFrame, DataFrame]:
     """(classes, labels): the distinct sets (sid, n, doc_id: smallest, row_key: one row's), and
-    (node, label) over the sets that link with another one."""
+    (node, label) over the sets that link with another one. With ``every`` no pair is spared for
+    lying in one component, and instead of labels all links (a, b, o: overlap) are the second."""
     classes = written(sets.where("n > 0").groupBy("sid").agg(
         F.min("doc_id").alias("doc_id"), F.min("row_key").alias("row_key"), F.first("n").alias("n"),
         F.first("prefix").alias("prefix")), "classes")
@@ -205,7 +206,7 @@ def links(sets: DataFrame, docs: DataFrame, gram: int, t: Threshold) -> tuple[Da
 
     first = written(overlaps(pairs.select("a", "b"), texts, gram).join(pairs, ["a", "b"]), "answers")
     linked = f"{t.den} * o >= {t.num} * (n + n_b - o)"
-    labels = components(first.where(linked))
+    labels = first.select(F.col("a").alias("node"), F.col("a").alias("label")).limit(0) if every else components(first.where(linked))
 
     # What is left: pairs of one list in different components that the answers do not settle.
     heads_of = heads.select("token", "block", F.col("x.sid").alias("b"))
@@ -214,20 +215,30 @@ def links(sets: DataFrame, docs: DataFrame, gram: int, t: Threshold) -> tuple[Da
              .withColumn("o", F.when(F.col("sid") == F.col("b"), F.col("n")).otherwise(F.col("o")))
              .join(labels.withColumnRenamed("node", "sid"), "sid", "left")
              .withColumn("label", F.coalesce("label", "sid")))
-    mixed = known.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
-    known = written(known.join(mixed.select("token"), "token", "left_semi"), "known")
+    if not every:
+        mixed = known.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
+        known = known.join(mixed.select("token"), "token", "left_semi")
+    known = written(known, "known")
     y = known.select("token", *[F.col(c).alias(f"{c}_y") for c in ("sid", "n", "pos", "b", "o", "label")],
                      F.explode(F.array("block", F.col("block") - 1)).alias("list"))
     z = known.select("token", F.col("block").alias("list"), *[
         F.col(c).alias(f"{c}_z") for c in ("sid", "n", "pos", "b", "o", "label")])
     need = t.need("n_y", "n_z")
+    apart = "true" if every else "label_y != label_z"
     rest = y.join(z, ["token", "list"]).where(f"""
-        label_y != label_z and (n_y > n_z or (n_y = n_z and sid_y > sid_z))
+        {apart} and (n_y > n_z or (n_y = n_z and sid_y > sid_z))
         and {t.den} * n_z >= {t.num} * n_y and 1 + least(n_y - pos_y, n_z - pos_z) >= {need}
         and coalesce(b_y != b_z or least(o_y, o_z) + least(n_y - o_y, n_z - o_z) >= {need}, true)""")
-    rest = written(rest.select(F.col("sid_y").alias("a"), F.col("sid_z").alias("b"), F.col("n_y").alias("n"), F.col(
-        "n_z").alias("n_b"), "label_y", "label_z").distinct(), "rest")
+    rest = rest.select(F.col("sid_y").alias("a"), F.col("sid_z").alias("b"), F.col("n_y").alias("n"), F.col(
+        "n_z").alias("n_b"), "label_y", "label_z").distinct()
+    if every:  # pairs with a pivot have been answered, whichever of both it is
+        rest = (rest.join(first.select("a", "b"), ["a", "b"], "left_anti")
+                .join(first.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti"))
+    rest = written(rest, "rest")
     found = overlaps(rest.select("a", "b"), texts, gram).join(rest, ["a", "b"]).where(linked)
+    if every:
+        both = first.where(linked).select("a", "b", "o").union(found.select("a", "b", "o"))
+        return classes, both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "o").distinct()
     merged = components(found.select(F.col("label_y").alias("a"), F.col("label_z").alias("b")))
     top = merged.select(F.col("node").alias("label"), F.col("label").alias("top"))
     single = merged.select("node", F.col("label").alias("label"))
@@ -246,6 +257,31 @@ def _labelled(docs: DataFrame, gram: int, t: Threshold) -> tuple[DataFrame, Data
         return sets, written(members, "members", stays=True)
 
 
+def jaccard_links(docs: DataFrame, gram: int = 5, num: int = 80, den: int = 100) -> tuple[DataFrame, DataFrame]:
+    """(links, members). A class is all rows of one set; links are the pairs of classes that link
+    (class_a < class_b), with the overlap and both sizes, each once and none left out; members has
+    every row's doc_id, n_shingles, class_id (null without words) and n_links, the number of classes
+    that its own links with. Rows of one class link with each other, too, and are not paired.
+
+    Links of a group of G different near copies are G * G / 2 by nature; ``jaccard_components`` is
+    the way to their groups without them."""
+    t = Threshold(num, den)
+    with scratch():
+        every = written(sets_of(docs, gram, t), "sets")
+        rows = written(every.drop("prefix"), "rows", stays=True)
+        classes, found = links(every, docs, gram, t, every=True)
+        size = classes.select("sid", "n")
+        found = (found.join(size.select(F.col("sid").alias("a"), F.col("n").alias("n_a")), "a")
+                 .join(size.select(F.col("sid").alias("b"), F.col("n").alias("n_b")), "b"))
+        found = written(found.select(F.col("a").alias("class_a"), F.col("b").alias("class_b"), F.col("o").alias("overlap"),
+                                     "n_a", "n_b"), "links", stays=True)
+    degree = (found.select(F.explode(F.array("class_a", "class_b")).alias("class_id")).groupBy("class_id")
+              .agg(F.count(F.lit(1)).alias("n_links")))
+    own = rows.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("sid")).alias("class_id"))
+    return found, own.join(degree, "class_id", "left").select(
+        "doc_id", "n_shingles", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
 def jaccard_components(docs: DataFrame, gram: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """n_shingles and component_id of every row: the smallest doc_id reachable by links between
     texts whose sets have den * overlap >= num * union."""

@@ -201,6 +201,36 @@ def test_components_of_random_overlapping_sets(make_docs):
         brute_components(rows, 2, 80, 100))
 
 
+@pytest.mark.parametrize("gram,num,near", [(4, 85, False), (2, 80, True)])
+def test_every_link_is_given(make_docs, gram, num, near):
+    """Links of classes and their numbers against all pairs, in groups that pivots link only in part."""
+    rows = corpus(gram)
+    if near:
+        rng = random.Random(11)
+        pool = [f"t{k}" for k in range(50)]
+        for k in range(90):
+            w = pool[:rng.choice([20, 40])]
+            for _ in range(rng.randint(0, 4)):
+                w = w[:(at := rng.randrange(len(w)))] + [f"u{rng.randrange(4)}"] + w[at + rng.randint(0, 1):]
+            rows.append((1000 + k, " ".join(w)))
+    found, members = jaccard_join.jaccard_links(make_docs(rows), gram, num, 100)
+    sets = {}
+    for _, x in rows:
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), x or ""))
+        if w:
+            sets[frozenset(tuple(w[s:s + gram]) for s in range(max(1, len(w) - gram + 1)))] = None
+    sets = list(sets)
+    want = sorted((len(a & b), *sorted((len(a), len(b)))) for k, a in enumerate(sets) for b in sets[:k]
+                  if 100 * len(a & b) >= num * len(a | b))
+    links = found.collect()
+    assert sorted((r.overlap, *sorted((r.n_a, r.n_b))) for r in links) == want and len(want) > 10
+    assert len({(r.class_a, r.class_b) for r in links}) == len(links) and all(r.class_a < r.class_b for r in links)
+    got = members.collect()
+    degree = Counter(c for r in links for c in (r.class_a, r.class_b))
+    assert len(got) == len(rows) and all(r.n_links == degree[r.class_id] for r in got)
+    assert len({r.class_id for r in got if r.class_id is not None}) == len(sets)
+
+
 def test_one_of_each_keeps_the_smallest(make_docs):
     rows = corpus()
     got = jaccard_join.one_of_each(make_docs(rows)).collect()
