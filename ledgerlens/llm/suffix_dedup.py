@@ -27,7 +27,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import batched, covered, discard, mask_runs, signed, texts_of, written
+from .common import batched, covered, discard, mask_runs, scratch, signed, texts_of, written
 from .sketch import repeated_bitmap
 from .spans import CONTEXT, KEY, Blocks, blocks_to_compare, flagged_blocks, keyed, leading_blocks, rewrite, windows_at
 
@@ -101,28 +101,29 @@ class SuffixIndex:
 
 def repeated_places(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, batches: int = BATCHES) -> DataFrame:
     """Stretches of bytes (KEY, first, n) of strings that start elsewhere too."""
-    rows = keyed(docs)
-    # equal rows have one key: all their strings repeat
-    twice = (rows.select(*KEY, F.octet_length("text").alias("n")).groupBy(*KEY).agg(F.count(F.lit(1)).alias("c"), F.max("n").alias("n"))
-             .where(f"c > 1 and n >= {window}").select(*KEY, F.lit(0).alias("first"), "n"))
-    index = SuffixIndex(window, gram)
-    for b in range(batches):
-        index.add(rows.where(F.pmod(F.xxhash64(*KEY), F.lit(batches)) == b))
-    bitmap = index.bitmap()
-    for level in index.levels.values():  # this query's index is not kept
-        discard(level)
-    blocks = written(flagged_blocks(docs, bitmap, symbols, window, gram).distinct(), "blocks")
-    leaders = written(leading_blocks(blocks), "leaders")
-    whole = blocks.join(leaders.where("size > 1").select(*CONTEXT), CONTEXT, "left_semi").select(
-        *KEY, "first", (F.col("n") + (window - 1)).alias("n"))
-    edges = written(blocks_to_compare(leaders), "edges")
-    # One shuffle of the windows, no table of them: with one block a context, a window comes once
-    # for each context it lies in, and equal ones meet in a partition that spills.
-    found = windows_at(docs, edges, symbols, window)
-    same = W.partitionBy("h1", "h2")
-    single = (found.withColumn("size", F.count(F.lit(1)).over(same)).where("size > 1")
-              .select(*KEY, "first", F.lit(window).alias("n")))
-    return written(whole.union(single).union(twice), "places")
+    with scratch():
+        rows = keyed(docs)
+        # equal rows have one key: all their strings repeat
+        twice = (rows.select(*KEY, F.octet_length("text").alias("n")).groupBy(*KEY).agg(F.count(F.lit(1)).alias("c"), F.max("n").alias("n"))
+                 .where(f"c > 1 and n >= {window}").select(*KEY, F.lit(0).alias("first"), "n"))
+        index = SuffixIndex(window, gram)
+        for b in range(batches):
+            index.add(rows.where(F.pmod(F.xxhash64(*KEY), F.lit(batches)) == b))
+        bitmap = index.bitmap()
+        for level in index.levels.values():  # this query's index is not kept
+            discard(level)
+        blocks = written(flagged_blocks(docs, bitmap, symbols, window, gram).distinct(), "blocks")
+        leaders = written(leading_blocks(blocks), "leaders")
+        whole = blocks.join(leaders.where("size > 1").select(*CONTEXT), CONTEXT, "left_semi").select(
+            *KEY, "first", (F.col("n") + (window - 1)).alias("n"))
+        edges = written(blocks_to_compare(leaders), "edges")
+        # One shuffle of the windows, no table of them: with one block a context, a window comes once
+        # for each context it lies in, and equal ones meet in a partition that spills.
+        found = windows_at(docs, edges, symbols, window)
+        same = W.partitionBy("h1", "h2")
+        single = (found.withColumn("size", F.count(F.lit(1)).over(same)).where("size > 1")
+                  .select(*KEY, "first", F.lit(window).alias("n")))
+        return written(whole.union(single).union(twice), "places", stays=True)
 
 
 def dedup_bytes(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, batches: int = BATCHES) -> DataFrame:
