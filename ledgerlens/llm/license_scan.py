@@ -42,43 +42,8 @@ _SMALL = ("or", "and", "with")
 _MAY_FOLLOW = (b"", b" ", b"\t", b"\x0b", b"\x0c", b"\r", b"\n", b"(", b")")
 
 
-def postfix(expression: str) -> list[str] | None:
-    """Shunting-yard: an and/or/with expression in postfix order; None when malformed."""
-    out: list[str] = []
-    stack: list[str] = []
-    operand_next = True
-    for token in re.findall(r"[()]|[^\s()]+", expression.lower()):
-        if token == "(":
-            if not operand_next:
-                return None
-            stack.append(token)
-        elif token == ")":
-            if operand_next:
-                return None
-            while stack and stack[-1] != "(":
-                out.append(stack.pop())
-            if not stack:
-                return None
-            stack.pop()
-        elif token in BINDS:
-            if operand_next:
-                return None
-            while stack and stack[-1] != "(" and BINDS[stack[-1]] >= BINDS[token]:
-                out.append(stack.pop())
-            stack.append(token)
-            operand_next = True
-        else:
-            if not operand_next:
-                return None
-            out.append(token)
-            operand_next = False
-    if operand_next or "(" in stack:
-        return None
-    return out + stack[::-1]
-
-
 def leading(text: bytes, at: int) -> list[str] | None:
-    """Postfix order of the longest well-formed expression that starts at byte ``at`` and ends on
+    """Shunting-yard: postfix order of the longest well-formed expression that starts at byte ``at`` and ends on
     its line; None where there is none. In running text a word may follow an operator that is no
     operator ("MIT and see below"): unless the line ends with the expression, one not in capitals
     counts only before a known licence or, for ``with``, an exception."""
@@ -169,9 +134,12 @@ def scan_text(text: bytes | None) -> tuple:
         return 0, 0, None, None, "", "", 0.0, None, None
     flat = b" " + b" ".join(words) + b" "
     starts, base, labels, tagged, doubt = [], set(), set(), False, 1.0
+    blanks = seen = 0  # blanks in front of byte ``seen``; hits come by ascending end
     for end, phrase in automaton().iter(flat.decode("latin-1")):
         if phrase in BASE_PHRASES:
-            starts.append(flat.count(b" ", 0, end - len(phrase) - 1))
+            blanks += flat.count(b" ", seen, end + 1)
+            seen = end + 1
+            starts.append(blanks - flat.count(b" ", end - len(phrase) - 1, end + 1))
             base.add(BASE_PHRASES[phrase])
             doubt *= 1 - (SURE_RESERVED if phrase == "all rights reserved" else SURE_NOTICE)
         elif phrase == TAG:

@@ -4,6 +4,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import public_tokenizers
@@ -45,12 +46,22 @@ def test_license_base_matches_brute_force(make_docs):
     ("MIT OR Apache-2.0 AND ISC", "mit apache-2.0 isc and or"),
     ("(MIT OR Apache-2.0) AND ISC", "mit apache-2.0 or isc and"),
     ("GPL-2.0 WITH Classpath-exception-2.0 OR MIT", "gpl-2.0 classpath-exception-2.0 with mit or"),
-    ("MIT OR", None), ("(MIT", None), ("MIT)", None), ("MIT ISC", None), ("", None), ("AND", None)])
+    ("MIT AND (ISC OR (0BSD))", "mit isc 0bsd or and"), ("a OR b OR c AND d", "a b or c d and or"),
+    ("MIT OR", "mit"), ("(MIT", None), ("MIT)", "mit"), ("MIT ISC", "mit"), ("", None), ("AND", None), ("()", None)])
 def test_shunting_yard(text, order):
-    found = license_scan.postfix(text)
+    found = license_scan.leading(text.encode(), 0)
     assert (None if found is None else " ".join(found)) == order
 
 
+def test_license_positions_in_a_long_text():
+    """Positions are counted on, not from the start for every hit."""
+    words = ["all", "rights", "reserved", "x", "cc", "by"] * 20_000
+    began = time.process_time()
+    found = license_scan.scan_text(" ".join(words).encode())
+    assert time.process_time() - began < 5
+    assert found[:4] == (120_000, 40_000, 0, 119_998)
+
+
 def test_license_expression_choice():
     either = license_scan.scan_text(b"// SPDX-License-Identifier: GPL-2.0 OR MIT\nx")
     both = license_scan.scan_text(b"/* SPDX-License-Identifier: (GPL-2.0 AND MIT) */")
