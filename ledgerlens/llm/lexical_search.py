@@ -42,7 +42,7 @@ from .common import batched, plain_words, texts_of, written
 BLOCK_DOCS = 4096
 BLOCK_POSTINGS = 1 << 20
 #: Benchmark text (bytes) searched for in one scan of the index.
-ITEM_BYTES = 8 << 20
+ITEM_BYTES = 2 << 20
 #: Items whose ranges are opened together, and ranges opened for each of them in a step.
 GROUP, WIDTH = 64, 200
 
