@@ -38,30 +38,32 @@ def _ranked(df: DataFrame, group: list[str], ids: list[str], rank: str, total: s
     checkpoint_dir(df.sparkSession)
     rows = (df.repartitionByRange(*group, "_flag", "_order", *ids).withColumn("_range", F.spark_partition_id())
             .checkpoint())  # a row's range is fixed here: the windows below must all see the same cuts
+    keys = [*group, "_range"]
+    rows = rows.withColumn("_inside", F.rank().over(Window.partitionBy(*keys).orderBy("_flag", "_order")))
     place = F.struct("_flag", "_order")
-    ranges = (rows.groupBy(*group, "_range", "_flag", "_order").agg(F.count(F.lit(1)).alias("n"))
-              .groupBy(*group, "_range").agg(
-                  F.sum("n").alias("_n"), F.min(place).alias("_lo"), F.max(F.struct("_flag", "_order", "n")).alias("_hi")))
-    # one row a range from here on: what is before it, and how much of that ties with its first value
+    # one row a range from here on, and one exchange for both windows: what is before the range, and
+    # how much of that ties with its first value (its own last value: all rows from that one's rank on)
+    ranges = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(place).alias("_lo"), F.max(place).alias("_hi"),
+                                     F.max("_inside").alias("_last")).repartition(*[F.col(g) for g in group])
     along = Window.partitionBy(*group).orderBy("_range")
-    same_last = Window.partitionBy(*group, "_hi._flag", "_hi._order").orderBy("_range").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    ranges = ranges.withColumn("_run", F.struct("_hi._flag", "_hi._order", F.sum("_hi.n").over(same_last).alias("n")))
+    same_last = Window.partitionBy(*group, "_hi").orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranges = ranges.withColumn("_run", F.struct("_hi", F.sum(F.col("_n") - F.col("_last") + 1).over(same_last).alias("n")))
     before = F.coalesce(F.sum("_n").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     last = F.lag("_run").over(along)
-    ties = F.when((last._flag == F.col("_lo._flag")) & (last._order == F.col("_lo._order")), last.n).otherwise(F.lit(0))
-    ranges = ranges.select(*[F.col(g).alias(f"_of_{g}") for g in group], F.col("_range").alias("_at"), "_lo", before.alias("_before"), ties.alias("_ties"),
+    ties = F.when(last._hi == F.col("_lo"), last.n).otherwise(F.lit(0))
+    ranges = ranges.select(*[F.col(g).alias(f"_of_{g}") for g in group], F.col("_range").alias("_at"), "_lo",
+                           before.alias("_before"), ties.alias("_ties"),
                            F.sum("_n").over(Window.partitionBy(*group)).alias("_total"))
     same = F.col("_range") == F.col("_at")
     for g in group:  # a null group is a group
         same = same & F.col(g).eqNullSafe(F.col(f"_of_{g}"))
     out = rows.join(ranges, same)
-    inside = F.rank().over(Window.partitionBy(*group, "_range").orderBy("_flag", "_order"))
-    first = (F.col("_flag") == F.col("_lo._flag")) & (F.col("_order") == F.col("_lo._order"))
-    out = out.withColumn(rank, (F.col("_before") + inside - F.when(first, F.col("_ties")).otherwise(0)).cast("int"))
+    first = F.when(place == F.col("_lo"), F.col("_ties")).otherwise(0)
+    out = out.withColumn(rank, (F.col("_before") + F.col("_inside") - first).cast("int"))
     if total:
         out = out.withColumn(total, F.col("_total"))
-    return out.drop("_flag", "_order", "_range", "_at", "_lo", "_before", "_ties", "_total", *[f"_of_{g}" for g in group])
+    return out.drop("_flag", "_order", "_inside", "_range", "_at", "_lo", "_before", "_ties", "_total",
+                    *[f"_of_{g}" for g in group])
 
 
 def percent_ranks(df: DataFrame, ids: list[str], measures: dict[str, bool]) -> DataFrame:
