@@ -153,25 +153,35 @@ def index_entries(classes: DataFrame) -> DataFrame:
     return batched(classes.select("sid", "n", "prefix"), run, "token long, sid long, n long, pos long")
 
 
-def overlaps(pairs: DataFrame, texts: DataFrame, gram: int) -> DataFrame:
-    """(a, b, o): exact overlap of the sets of each pair."""
-    a = texts.select(F.col("sid").alias("a"), F.col("text").alias("text_a"))
-    b = texts.select(F.col("sid").alias("b"), F.col("text").alias("text_b"))
+def overlaps(pairs: DataFrame, classes: DataFrame, docs: DataFrame, gram: int) -> DataFrame:
+    """(a, b, o): exact overlap of the sets of each pair. Only texts that a pair names are shuffled,
+    once as an ``a`` and once as a ``b``."""
+    def named(side: str) -> DataFrame:
+        return classes.select(F.col("sid").alias(side), F.col("row_key").alias(f"key_{side}"))
+
+    named_pairs = written(pairs.join(named("a"), "a").join(named("b"), "b"), "named")
+
+    def texts(side: str) -> DataFrame:
+        bits = row_bitmap(named_pairs.select(F.col(f"key_{side}").alias("row")).distinct())
+        key = F.xxhash64("doc_id", "text")
+        rows = texts_with(docs.where("text is not null").select(key.alias(f"key_{side}"), F.col("text").alias(
+            f"text_{side}"), key.alias("_row")), docs.sparkSession.sparkContext.broadcast(bits))
+        # repeated rows are one; by sort-merge at every size, so that what is shuffled grows evenly
+        return rows.groupBy(f"key_{side}").agg(F.first(f"text_{side}").alias(f"text_{side}")).hint("merge")
 
     def run(batches):
         last: tuple = (None, None)
         for batch in batches:
             out = []
             for x, y, k in zip(texts_of(batch, "text_a"), texts_of(batch, "text_b"), batch.column("b").to_pylist()):
-                if last[0] != k:  # rows come sorted by b, the pivot
+                if last[0] != k:  # rows come sorted by the pivot's key
                     last = (k, shingle_set(y, gram))
                 out.append(len(np.intersect1d(shingle_set(x, gram), last[1], assume_unique=True)))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(out, pa.int64())],
                                              names=["a", "b", "o"])
 
-    # by sort-merge at every size: the plan, and with it what is shuffled, grows evenly
-    joined = pairs.join(a.hint("merge"), "a").join(b.hint("merge"), "b")
-    return batched(joined, run, "a long, b long, o long")
+    joined = named_pairs.join(texts("a"), "key_a").join(texts("b"), "key_b")
+    return batched(joined.select("a", "b", "text_a", "text_b"), run, "a long, b long, o long")
 
 
 def links(sets: DataFrame, docs: DataFrame, gram: int, t: Threshold, every: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -182,6 +192,8 @@ def links(sets: DataFrame, docs: DataFrame, gram: int, t: Threshold, every: bool
         F.min("doc_id").alias("doc_id"), F.min("row_key").alias("row_key"), F.first("n").alias("n"),
         F.first("prefix").alias("prefix")), "classes")
     entries = written(index_entries(classes).withColumn("block", F.expr(t.block("n"))), "entries")
+    alone = entries.groupBy("token").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).where("lo < hi")
+    entries = written(entries.join(alone.select("token"), "token", "left_semi"), "entries")
 
     # One pivot for each list, compared with the list's block and the next larger one: the set that
     # has fewest rarer shingles before this one, in a group of near copies the nearest to the middle.
@@ -195,16 +207,7 @@ def links(sets: DataFrame, docs: DataFrame, gram: int, t: Threshold, every: bool
     pairs = answers.where(f"({reach}) and ({room})").select(F.col("sid").alias("a"), "b", "n", "n_b").distinct()
     pairs = written(pairs, "pairs")
 
-    alone = entries.groupBy("token").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).where("lo < hi")
-    entries = written(entries.join(alone.select("token"), "token", "left_semi"), "entries")
-    needed = written(entries.select("sid").distinct().join(classes.select("sid", "row_key"), "sid"), "needed")
-    shared = docs.sparkSession.sparkContext.broadcast(row_bitmap(needed.select(F.col("row_key").alias("row"))))
-    key = F.xxhash64("doc_id", "text")
-    rows = texts_with(docs.where("text is not null").select(key.alias("row_key"), "text", key.alias("_row")), shared)
-    texts = written(rows.join(needed.hint("merge"), "row_key").groupBy("row_key", "sid").agg(
-        F.first("text").alias("text")).drop("row_key"), "texts")
-
-    first = written(overlaps(pairs.select("a", "b"), texts, gram).join(pairs, ["a", "b"]), "answers")
+    first = written(overlaps(pairs.select("a", "b"), classes, docs, gram).join(pairs, ["a", "b"]), "answers")
     linked = f"{t.den} * o >= {t.num} * (n + n_b - o)"
     labels = first.select(F.col("a").alias("node"), F.col("a").alias("label")).limit(0) if every else components(first.where(linked))
 
@@ -235,7 +238,7 @@ def links(sets: DataFrame, docs: DataFrame, gram: int, t: Threshold, every: bool
         rest = (rest.join(first.select("a", "b"), ["a", "b"], "left_anti")
                 .join(first.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti"))
     rest = written(rest, "rest")
-    found = overlaps(rest.select("a", "b"), texts, gram).join(rest, ["a", "b"]).where(linked)
+    found = overlaps(rest.select("a", "b"), classes, docs, gram).join(rest, ["a", "b"]).where(linked)
     if every:
         both = first.where(linked).select("a", "b", "o").union(found.select("a", "b", "o"))
         return classes, both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "o").distinct()
