@@ -78,25 +78,30 @@ class PerfectHash:
         return self.index_at[s] if self.key_at[s] == key else -1
 
 
-def pair_ids(ranks: dict[bytes, int]) -> dict[int, int]:
-    """(left id << 32 | right id) -> id of their concatenation, for all cuts of all tokens."""
-    out = {}
+def pair_ids(ranks: dict[bytes, int]) -> list[dict[int, int]]:
+    """For each left id: right id -> id of their concatenation, for all cuts of all tokens."""
+    out: list[dict[int, int]] = [{} for _ in range(max(ranks.values()) + 1)]
     for token, r in ranks.items():
         for k in range(1, len(token)):
             left, right = ranks.get(token[:k]), ranks.get(token[k:])
             if left is not None and right is not None:
-                out[left << 32 | right] = r
+                out[left][right] = r
     return out
 
 
-def merge(piece: bytes, bytes_ids: list[int], pairs: dict[int, int]) -> list[int]:
+def byte_pairs(ranks: dict[bytes, int]) -> list[int]:
+    """Id of each token of two bytes at 256 * first + second, -1 for no token."""
+    return [ranks.get(bytes([a, b]), -1) for a in range(256) for b in range(256)]
+
+
+def merge(piece: bytes, bytes_ids: list[int], starts: list[int], pairs: list[dict[int, int]]) -> list[int]:
     """Ids of one pre-token: the adjacent pair of lowest rank merges first, the leftmost at a
     tie. ``after`` and ``before`` link the live pieces by their start, ``held`` has their ids and
     ``rank`` the rank of the pair that begins with a piece, which is the id it merges to; a heap
     entry (rank, start) is stale when the pair that begins there has another rank by now."""
-    n, get, push = len(piece), pairs.get, heapq.heappush
+    n, pop, push = len(piece), heapq.heappop, heapq.heappush
     held = [bytes_ids[b] for b in piece]
-    rank = [get(x << 32 | y, -1) for x, y in zip(held, held[1:])]
+    rank = [starts[x << 8 | y] for x, y in zip(piece, piece[1:])]
     rank.append(-1)
     wide = n.bit_length()
     low = (1 << wide) - 1
@@ -104,25 +109,27 @@ def merge(piece: bytes, bytes_ids: list[int], pairs: dict[int, int]) -> list[int
     heapq.heapify(heap)
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))  # start of the next / previous piece
     while heap:
-        entry = heapq.heappop(heap)
+        entry = pop(heap)
         i, r = entry & low, entry >> wide
         if rank[i] != r:
             continue
         j = after[i]
         end = after[i] = after[j]
-        held[i], rank[j] = r, -1
+        held[i], rank[i], rank[j] = r, -1, -1
         if end < n:
             before[end] = i
-            rank[i] = x = get(r << 32 | held[end], -1)
-            if x >= 0:
+            right, follow = held[end], pairs[r]
+            if right in follow:
+                rank[i] = x = follow[right]
                 push(heap, x << wide | i)
-        else:
-            rank[i] = -1
         p = before[i]
         if p >= 0:
-            rank[p] = x = get(held[p] << 32 | r, -1)
-            if x >= 0:
+            follow = pairs[held[p]]
+            if r in follow:
+                rank[p] = x = follow[r]
                 push(heap, x << wide | p)
+            else:
+                rank[p] = -1
     ids, i = [], 0
     while i < n:
         ids.append(held[i])
@@ -163,7 +170,7 @@ class Encoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str, table: PerfectHash):
         self.ranks, self.table = ranks, table
         self.ids = list(ranks.values())
-        self.pairs, self.bytes_ids = pair_ids(ranks), [ranks[bytes([b])] for b in range(256)]
+        self.bytes_ids, self.starts, self.pairs = [ranks[bytes([b])] for b in range(256)], byte_pairs(ranks), pair_ids(ranks)
         self.split = regex.compile(pattern).findall
         self.piece = {str(i): t for t, i in ranks.items()}
         self.tokens = Memo(self._token)
@@ -174,7 +181,7 @@ class Encoder:
     def _token(self, token: str) -> str:
         raw = token.encode()
         k = self.table.find(raw)
-        return str(self.ids[k]) if k >= 0 else " ".join(map(str, merge(raw, self.bytes_ids, self.pairs)))
+        return str(self.ids[k]) if k >= 0 else " ".join(map(str, merge(raw, self.bytes_ids, self.starts, self.pairs)))
 
     def _chunk(self, text: str) -> str:
         tokens = self.split(text)
