@@ -198,10 +198,10 @@ def links(sets: DataFrame, docs: DataFrame, gram: int, t: Threshold, every: bool
     # One pivot for each list, compared with the list's block and the next larger one: the set that
     # has fewest rarer shingles before this one, in a group of near copies the nearest to the middle.
     heads = entries.groupBy("token", "block").agg(F.min(F.struct("pos", "sid", "n")).alias("x"))
-    both = entries.select("*", F.explode(F.array("block", F.col("block") - 1)).alias("list"))
-    answers = (both.join(heads.select("token", F.col("block").alias("list"), "x"), ["token", "list"])
-               .where("sid != x.sid").select("token", "list", "sid", "n", "pos", F.col("x.sid").alias("b"),
-                                             F.col("x.n").alias("n_b"), F.col("x.pos").alias("pos_b")))
+    # a head is dealt to both blocks that read its list, so an entry is shuffled once
+    dealt = heads.select("token", F.explode(F.array("block", F.col("block") + 1)).alias("block"), "x")
+    answers = (entries.join(dealt, ["token", "block"]).where("sid != x.sid").select(
+        "sid", "n", "pos", F.col("x.sid").alias("b"), F.col("x.n").alias("n_b"), F.col("x.pos").alias("pos_b")))
     reach = f"{t.den} * least(n, n_b) >= {t.num} * greatest(n, n_b)"
     room = f"1 + least(n - pos, n_b - pos_b) >= {t.need('n', 'n_b')}"
     pairs = answers.where(f"({reach}) and ({room})").select(F.col("sid").alias("a"), "b", "n", "n_b").distinct()
@@ -212,15 +212,16 @@ def links(sets: DataFrame, docs: DataFrame, gram: int, t: Threshold, every: bool
     labels = first.select(F.col("a").alias("node"), F.col("a").alias("label")).limit(0) if every else components(first.where(linked))
 
     # What is left: pairs of one list in different components that the answers do not settle.
+    # Lists of one component have none, so they go before the wider joins.
     heads_of = heads.select("token", "block", F.col("x.sid").alias("b"))
-    known = (entries.join(heads_of, ["token", "block"])
-             .join(first.select(F.col("a").alias("sid"), "b", "o", "n_b"), ["sid", "b"], "left")
-             .withColumn("o", F.when(F.col("sid") == F.col("b"), F.col("n")).otherwise(F.col("o")))
-             .join(labels.withColumnRenamed("node", "sid"), "sid", "left")
-             .withColumn("label", F.coalesce("label", "sid")))
+    known = entries.join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
     if not every:
+        known = written(known, "labelled")
         mixed = known.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
         known = known.join(mixed.select("token"), "token", "left_semi")
+    known = (known.join(heads_of, ["token", "block"])
+             .join(first.select(F.col("a").alias("sid"), "b", "o", "n_b"), ["sid", "b"], "left")
+             .withColumn("o", F.when(F.col("sid") == F.col("b"), F.col("n")).otherwise(F.col("o"))))
     known = written(known, "known")
     y = known.select("token", *[F.col(c).alias(f"{c}_y") for c in ("sid", "n", "pos", "b", "o", "label")],
                      F.explode(F.array("block", F.col("block") - 1)).alias("list"))
