@@ -3,7 +3,8 @@
 Money is integer cents (LongType) so every engine adds exact values. The mapping is
 declared with the DataFrame API; Catalyst prunes each scan to the columns used and AQE
 picks the join strategies from measured sizes (nation/region are fixed 25/5-row
-dimensions and are broadcast explicitly).
+dimensions and are broadcast explicitly). Joins and the deal by month move the narrow rows of
+``booked_lines``; ``mapped`` widens them where they are written.
 
 Fresh/Repeat needs the rank of an order among its customer's orders. Only the first
 three matter, so the rank is computed as a filtered ``row_number`` (Spark plans a
@@ -19,6 +20,7 @@ from __future__ import annotations
 import datetime as _dt
 import hashlib
 import threading
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -55,28 +57,35 @@ def spread(line: DataFrame) -> DataFrame:
 def _customer_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"])
     customer = read_table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey", "c_mktsegment"])
-    nation = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name", "n_regionkey"])
-    region = read_table(spark, sf_dir, "region", ["r_regionkey", "r_name"])
-
     rank_w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
     first_three = (orders.select("o_orderkey", "o_custkey", "o_orderdate")
                    .withColumn("_rn", F.row_number().over(rank_w))
                    .filter(F.col("_rn") <= 3)
                    .select("o_orderkey", F.lit(True).alias("_fresh")))
 
-    geo = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey).select(
-        "n_nationkey", "n_name", "r_name")
     # first three before customer: the customer join then re-deals the orders by customer, so the
     # line join reads both of its inputs through an exchange of its own, which skew handling can split
     return (orders.join(first_three, "o_orderkey", "left")
             .join(customer, orders.o_custkey == customer.c_custkey)
-            .join(F.broadcast(geo), F.col("c_nationkey") == geo.n_nationkey)
-            .select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "c_mktsegment",
-                    "n_name", "r_name", F.coalesce("_fresh", F.lit(False)).alias("_fresh")))
+            .select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("booking_date"), "c_nationkey",
+                    F.when(F.col("c_mktsegment") == "AUTOMOBILE", "vip gold")
+                    .when(F.col("c_mktsegment").isin("BUILDING", "MACHINERY"), "vip").otherwise("regular")
+                    .alias("customer_category"),
+                    F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "Self")
+                    .when(F.col("o_orderpriority").isin("3-MEDIUM", "5-LOW"), "Sales").otherwise("Phlebo").alias("booked_by"),
+                    F.coalesce("_fresh", F.lit(False)).alias("_fresh")))
 
 
-def build_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lazy mapping from the driver tables (no ``is_partial``; see module doc)."""
+def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nation = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name", "n_regionkey"])
+    region = read_table(spark, sf_dir, "region", ["r_regionkey", "r_name"])
+    return nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey).select(
+        "n_nationkey", "n_name", "r_name")
+
+
+def booked_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with what the mapping needs of their order, customer and part: the narrow rows
+    that are shuffled, from which ``mapped`` derives the fact's columns."""
     line = read_table(spark, sf_dir, "lineitem", [
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
         "l_discount", "l_tax", "l_returnflag", "l_linestatus"])
@@ -90,24 +99,28 @@ def build_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = (line.join(orders, line.l_orderkey == orders.o_orderkey)
          .join(part, line.l_partkey == part.p_partkey))
 
+    return j.select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("booking_id"), "booking_date",
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+        "l_returnflag", "l_linestatus", "o_custkey", "c_nationkey", "p_type", "p_premium", "_fresh", "customer_category",
+        "booked_by")
+
+
+def mapped(lines: DataFrame, geo: DataFrame) -> DataFrame:
+    """The fact's rows from ``booked_lines``; no shuffle (nation and region are broadcast)."""
+    j = lines.join(F.broadcast(geo), F.col("c_nationkey") == geo.n_nationkey)
     # Layered projections: each derived value is computed once and referenced by name in
     # the next layer, which keeps the generated code of the fused stage small enough for
     # the JIT (one flat select with repeated sub-expressions was ~10x slower).
     l1 = j.select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus", "o_custkey",
-        "n_name", "r_name", "p_type", "_fresh",
-        F.col("o_orderdate").cast("date").alias("booking_date"),
+        "booking_id", "booking_date", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag",
+        "l_linestatus", "o_custkey", "n_name", "r_name", "p_type", "_fresh", "customer_category", "booked_by",
         F.floor(F.col("l_extendedprice") * 100 + F.lit(0.5)).cast("bigint").alias("offer_c"),
         pct_points(F.col("l_discount")).alias("disc_pt"),
         pct_points(F.col("l_tax")).alias("tax_pt"),
         (F.col("l_discount") > F.lit(0.005)).alias("has_coupon"),
         (F.lit(1) + F.col("l_quantity").cast("int") % 4).alias("total_member"),
-        F.col("p_premium").alias("is_premium"),
-        F.when(F.col("c_mktsegment") == "AUTOMOBILE", "vip gold")
-        .when(F.col("c_mktsegment").isin("BUILDING", "MACHINERY"), "vip").otherwise("regular")
-        .alias("customer_category"),
-        F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "Self")
-        .when(F.col("o_orderpriority").isin("3-MEDIUM", "5-LOW"), "Sales").otherwise("Phlebo").alias("booked_by"))
+        F.col("p_premium").alias("is_premium"))
 
     offer, cat = F.col("offer_c"), F.col("customer_category")
     zero = F.lit(0).cast("bigint")
@@ -141,8 +154,7 @@ def build_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_add("booking_date", (F.col("l_partkey") % 45).cast("int")).alias("collection_date"))
     unsettled = (F.col("l_linestatus") == "O") & (F.col("booking_date") >= F.lit(UNSETTLED_FROM))
     out = l5.select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("booking_id"),
-        "booking_date", "collection_date",
+        "booking_id", "booking_date", "collection_date",
         F.concat(F.lit("PL"), (F.col("l_partkey") % 200).cast("string"),
                  F.when(F.col("l_linenumber") == 7,
                         F.concat(F.lit(",PL"), (F.col("l_suppkey") % 10).cast("string"))).otherwise(F.lit("")))
@@ -169,7 +181,16 @@ def build_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def build_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lazy mapping from the driver tables (no ``is_partial``; see module doc)."""
+    return mapped(booked_lines(spark, sf_dir), _geo(spark, sf_dir))
+
+
 SOURCES = ("lineitem", "orders", "customer", "part", "nation", "region")
+#: Bytes of the line item files for one partition of the fact's write.
+LINE_BYTES = 4 << 20
+#: Most bytes of a file that one scan task of the build reads: its shuffle's rows then fit the task's memory.
+SCAN_BYTES = 16 << 20
 MAPPING_VERSION = 2   # raise when the mapping below changes, so that no older fact is read
 
 
@@ -235,6 +256,32 @@ def month_parts(spark: SparkSession) -> list[Column]:
     return [F.trunc("booking_date", "MM"), F.pmod(F.xxhash64("booking_id"), F.lit(parts))]
 
 
+def fact_files(spark: SparkSession, sf_dir: str) -> int:
+    """Partitions of the fact's write: one for each ``LINE_BYTES`` of line items, so that a task's
+    sort fits its memory at every size, whatever the session's number of shuffle partitions."""
+    fs, path = _fs(spark, table_path(sf_dir, "lineitem"))
+    return max(2 * spark.sparkContext.defaultParallelism, -(-fs.getContentSummary(path).getLength() // LINE_BYTES))
+
+
+@contextmanager
+def small_splits(spark: SparkSession):
+    """Scans planned inside have splits of at most ``SCAN_BYTES``."""
+    name = "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(name)
+    spark.conf.set(name, str(SCAN_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, old)
+
+
+def dealt_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``booked_lines`` dealt out by month and a hash of the id, sorted by date. The rows are
+    shuffled and sorted before ``mapped`` widens them, which takes a fraction of the bytes."""
+    return (booked_lines(spark, sf_dir).repartition(fact_files(spark, sf_dir), *month_parts(spark))
+            .sortWithinPartitions("booking_date", "booking_id"))
+
+
 def bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bookings fact, written once per dataset version and read by every later application.
 
@@ -248,8 +295,8 @@ def bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
             path = f"{fact_folder(spark, sf_dir)}/{key[1]}"
             if not exists(spark, path + "/_SUCCESS"):
                 part = f"{path}.{spark.sparkContext.applicationId}"
-                (build_bookings(spark, sf_dir).repartition(*month_parts(spark))
-                 .sortWithinPartitions("booking_date", "booking_id").write.mode("overwrite").parquet(part))
+                with small_splits(spark):
+                    mapped(dealt_lines(spark, sf_dir), _geo(spark, sf_dir)).write.mode("overwrite").parquet(part)
                 fs, made = _fs(spark, part)
                 if not fs.rename(made, _fs(spark, path)[1]) and not exists(spark, path + "/_SUCCESS"):
                     raise RuntimeError(f"the fact could not be put at {path}")

@@ -155,3 +155,27 @@ def test_fact_write_computes_the_join_once(spark, sf_small):
     assert "rangepartitioning" not in plan
     months = B.bookings(spark, sf_small).groupBy(F.input_file_name(), F.trunc("booking_date", "MM")).count()
     assert months.count() < 20 * B.bookings(spark, sf_small).select(F.trunc("booking_date", "MM")).distinct().count()
+
+
+def test_fact_rows_are_shuffled_narrow(spark, sf_small, no_broadcast):
+    """Every exchange and sort of the fact's write moves joined source columns; what the mapping
+    derives (codes, cents, discount kinds) is added after them. The rows are those of the mapping."""
+    df = B.mapped(B.dealt_lines(spark, sf_small), B._geo(spark, sf_small))
+    plan = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    moved = max(k for k, x in enumerate(plan) if "trunc(" in x and "Exchange" in x)
+    derived = [k for k, x in enumerate(plan) if " AS package_code" in x or " AS net_c" in x or "n_name" in x and "Join" in x]
+    assert derived and max(derived) < moved                # plans print from the top: the exchange is below
+    assert not any("coupon_c" in x or "gm_c" in x for x in plan[moved:])
+    split = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    got = B.bookings(spark, sf_small)
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == split
+    want = B.build_bookings(spark, sf_small)
+    assert got.columns == want.columns and got.count() == want.count()
+    assert got.exceptAll(want).count() == 0
+
+
+def test_fact_write_grows_in_partitions(spark, sf_small, monkeypatch):
+    """More line items make more partitions of the write, not larger ones, at one session setting."""
+    few = B.dealt_lines(spark, sf_small).rdd.getNumPartitions()
+    monkeypatch.setattr(B, "LINE_BYTES", 1024)
+    assert B.dealt_lines(spark, sf_small).rdd.getNumPartitions() > 4 * few
