@@ -186,6 +186,14 @@ def q_union_extracts(s, d):
                                     X.sum0("gm_c").alias("gm_sum"))
 
 
+def extract_rows(fact: DataFrame) -> DataFrame:
+    """The fact as raw extracts. They are cut where the fact's files are, by few months each: rows
+    keep their place, so writing them shuffles nothing."""
+    return fact.drop("is_partial", "week_start", "cpt_c").withColumns({
+        "package_code": F.concat(F.lit(" "), "package_code", F.lit("  ")),
+        "gm_c": F.coalesce(F.col("gm_c").cast("double"), F.lit(float("nan")))})
+
+
 def q_extracts_refresh(s, d):
     """The fact written out as extracts (padded keys, NaN margins, no cost column) and read back
     through the extract path: the waterfall over repaired costs."""
@@ -195,10 +203,7 @@ def q_extracts_refresh(s, d):
     from .refresh import extracts_fact
     path = f"{checkpoint_dir(s)}/ledgerlens/extracts/{dataset_version(s, d)}"
     if not exists(s, path + "/_SUCCESS"):
-        raw = _c(s, d).bookings.drop("is_partial", "week_start", "cpt_c").withColumns({
-            "package_code": F.concat(F.lit(" "), "package_code", F.lit("  ")),
-            "gm_c": F.coalesce(F.col("gm_c").cast("double"), F.lit(float("nan")))})
-        raw.repartitionByRange("collection_date", "booking_id").write.mode("overwrite").parquet(path)
+        extract_rows(_c(s, d).bookings).write.mode("overwrite").parquet(path)
     return R.weekly_waterfall(FrameContext(s, extracts_fact(s, path)).clean)
 
 

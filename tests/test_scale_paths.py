@@ -179,3 +179,10 @@ def test_fact_write_grows_in_partitions(spark, sf_small, monkeypatch):
     few = B.dealt_lines(spark, sf_small).rdd.getNumPartitions()
     monkeypatch.setattr(B, "LINE_BYTES", 1024)
     assert B.dealt_lines(spark, sf_small).rdd.getNumPartitions() > 4 * few
+
+
+def test_extracts_are_written_without_a_shuffle(spark, sf_small):
+    from ledgerlens.plans.context import context
+    from ledgerlens.plans.quality_queries import extract_rows
+    plan = extract_rows(context(spark, sf_small).bookings)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
