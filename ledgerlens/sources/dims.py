@@ -1,8 +1,8 @@
 """Small dimension tables (coupon rules, price/promo events, price actions, competitors).
 
 They are parameter tables (tens of rows); each builder returns a DataFrame with a declared
-schema. Joins against them broadcast explicitly -- their size is fixed by the parameter
-list, not by the data.
+schema. Their size is fixed by the parameter list, not by the data; the coupon rules join by
+Spark's choice from it.
 """
 
 from __future__ import annotations
@@ -32,7 +32,14 @@ RULE_SCHEMA = T.StructType([
 def _rules_df(spark: SparkSession, rules) -> DataFrame:
     rows = [(r.code, r.name, r.mov_c, r.kind, r.discount, r.valid_once, r.is_red_cash, r.upper_limit,
              r.created_by, r.user_group, r.create_date, r.active) for r in rules]
-    return spark.createDataFrame(rows, RULE_SCHEMA)
+    return _literal_rows(spark, rows, RULE_SCHEMA)
+
+
+def _literal_rows(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """A parameter list as literals, so that Spark knows its size before it plans a join. Of rows given
+    to ``createDataFrame`` it does not: the other side, the whole fact, is then shuffled by the key."""
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema.fields)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
 
 
 def crm_rules(spark: SparkSession) -> DataFrame:

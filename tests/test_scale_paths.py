@@ -186,3 +186,12 @@ def test_extracts_are_written_without_a_shuffle(spark, sf_small):
     from ledgerlens.plans.quality_queries import extract_rows
     plan = extract_rows(context(spark, sf_small).bookings)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_rules_join_leaves_the_fact_in_place(spark, sf_small):
+    """The rules' size is known when the join is planned: no exchange of the fact by coupon code
+    stands below the aggregate."""
+    import __spark_entry__ as E
+    for key in ("addfamily_check", "rule_rows", "mov_compliance", "upper_limit_breach", "mov_weekly", "attention_flags"):
+        plan = E.queries()[key](spark, sf_small)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan, key
