@@ -49,11 +49,15 @@ def suffixes(docs: DataFrame, window: int, gram: int) -> DataFrame:
     """(anchor, doc_id, first): the sampled suffixes of every document."""
     def run(batches):
         for batch in batches:
-            found = [Blocks(symbols(t), window, gram) for t in texts_of(batch)]
-            row = pa.array(np.repeat(np.arange(len(found)), [len(b.anchor) for b in found]))
+            anchors, firsts = [], []
+            for text in texts_of(batch):  # of a text's blocks only these stay, not its symbols and sums
+                b = Blocks(symbols(text), window, gram)
+                anchors.append(b.anchor)
+                firsts.append(b.first)
+            row = pa.array(np.repeat(np.arange(len(anchors)), [len(a) for a in anchors]))
             yield pa.RecordBatch.from_arrays([
-                signed(np.concatenate([b.anchor for b in found])), batch.column("doc_id").take(row),
-                pa.array(np.concatenate([b.first for b in found]), pa.int32())], names=["anchor", "doc_id", "first"])
+                signed(np.concatenate(anchors)), batch.column("doc_id").take(row),
+                pa.array(np.concatenate(firsts), pa.int32())], names=["anchor", "doc_id", "first"])
 
     return batched(docs.select("doc_id", "text"), run, T.StructType([
         T.StructField("anchor", T.LongType()), docs.schema["doc_id"], T.StructField("first", T.IntegerType())]))
